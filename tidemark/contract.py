@@ -120,7 +120,9 @@ class PipelineConfig:
     strict_amount: bool = False
     # Keep deleted versions, so that an older change cannot revive an order.
     tombstones: bool = True
-    tombstone_ttl_s: int = 30 * 24 * 3600
+    # How long after its delete; must exceed how far back messages can be
+    # replayed. None keeps them for good.
+    tombstone_ttl_s: int | None = None
     # Fixed when a state table is created: at least the shuffle partitions (the
     # default), and enough for about 1 GB per bucket.
     state_buckets: int | None = None

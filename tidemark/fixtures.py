@@ -14,60 +14,77 @@ from pyspark.sql import functions as F
 
 from tidemark import contract as C
 from tidemark.session import use_utc
+from tidemark.sources import files
 
 FEED_TOPIC = C.ORDERS_TOPIC
 CATEGORIES = ("Electronics", "Grocery", "Apparel", "Home")
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+SPLIT_BYTES = 32 * 1024 * 1024
 QUALITY_CLOCK = datetime(2001, 8, 2)
 SECOND_VERSION_AT = datetime(2024, 1, 16)
 RULES = C.QualityRules(allowed=SEGMENTS)
 
 
+# Given, so that opening a table does not run a job to find its schema.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return use_utc(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
 
+def _spread(spark: SparkSession, path: str, rows: DataFrame, key: str) -> DataFrame:
+    """Use all cores for a file that is too small to be split among them."""
+    cores = spark.sparkContext.defaultParallelism
+    if files.size_bytes(spark, path) < cores * SPLIT_BYTES:
+        return rows.repartition(cores, key)
+    return rows
 
-def _text_time(column: Column) -> Column:
-    return F.concat(F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+
+_ISO = "yyyy-MM-dd\'T\'HH:mm:ss.SSSSSS\'+00:00\'"
 
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as messages of the order topic (key, value, position, time)."""
-    event = F.col("event_id")
-    k = F.regexp_extract("props", "[0-9]+", 0).cast("long")
-    order_id = F.concat(F.lit("o"), (F.col("user_id") * 10 + k % 10).cast("string"))
-    op = (
-        F.when(F.col("event_type") == "signup", "I")
-        .when(F.col("event_type") == "error", "D").otherwise("U")
-    )
-    category = F.element_at(
-        F.array(*[F.lit(c) for c in CATEGORIES]), (k % len(CATEGORIES) + 1).cast("int"),
-    )
-    amount = F.when(event % 50 == 13, -F.col("value")).otherwise(F.col("value"))
-    two_hours_late = F.col("ts") - F.expr("INTERVAL 2 HOURS")
-    event_time = (
-        F.when(event % 50 == 41, "nope")
-        .when(event % 50 == 29, _text_time(two_hours_late))
-        .otherwise(_text_time(F.col("ts")))
-    )
-    customer = F.when(event % 100 == 61, F.lit(99999999999)).otherwise(F.col("user_id"))
-
-    def payload(customer_id: Column, amount: Column) -> Column:
-        return F.to_json(F.struct(
-            op.alias("op"), order_id.alias("order_id"), customer_id.alias("customer_id"),
-            amount.alias("amount"), category.alias("product_category"),
-            event_time.alias("event_time"), event.alias("lsn"),
-        ))
-
-    value = (
-        F.when(event % 50 == 0, '{"op":"I","order_id":"truncated-')
-        .when(event % 20 == 7, payload(F.lit("NOT_A_NUMBER"), F.lit("bad_data")))
-        .otherwise(payload(customer, amount))
-    )
-    return table(spark, sf_dir, "events").select(
-        order_id.cast("binary").alias("key"), value.cast("binary").alias("value"),
-        F.lit(FEED_TOPIC).alias("topic"), (event % 3).cast("int").alias("partition"),
-        event.alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+    def payload(customer_id: str, amount: str) -> str:
+        return f"""to_json(named_struct('op', op, 'order_id', order_id,
+            'customer_id', {customer_id}, 'amount', {amount},
+            'product_category', product_category, 'event_time', event_time, 'lsn', event_id))"""
+
+    number = "CAST(regexp_extract(props, '[0-9]+', 0) AS BIGINT)"
+    categories = ", ".join(f"'{c}'" for c in CATEGORIES)
+    rows = _spread(
+        spark, f"{sf_dir}/events.parquet", table(spark, sf_dir, "events"), "event_id")
+    return (
+        rows.selectExpr(
+            "event_id", "ts", "user_id", "value AS amount",
+            "CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op",
+            f"concat('o', user_id * 10 + {number} % 10) AS order_id",
+            f"array({categories})[CAST({number} % {len(CATEGORIES)} AS INT)] AS product_category",
+            f"""CASE WHEN event_id % 50 = 41 THEN 'nope' ELSE date_format(
+                CASE WHEN event_id % 50 = 29 THEN ts - INTERVAL 2 HOURS ELSE ts END,
+                "{_ISO}") END AS event_time""",
+        )
+        .selectExpr(
+            "CAST(order_id AS BINARY) AS key",
+            f"""CAST(CASE
+                WHEN event_id % 50 = 0 THEN '{{"op":"I","order_id":"truncated-'
+                WHEN event_id % 20 = 7 THEN {payload("'NOT_A_NUMBER'", "'bad_data'")}
+                ELSE {payload(
+                    "CASE WHEN event_id % 100 = 61 THEN 99999999999 ELSE user_id END",
+                    "CASE WHEN event_id % 50 = 13 THEN -amount ELSE amount END")}
+                END AS BINARY) AS value""",
+            f"'{FEED_TOPIC}' AS topic", "CAST(event_id % 3 AS INT) AS partition",
+            "event_id AS offset", "CAST(ts AS TIMESTAMP) AS timestamp",
+        )
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,14 +16,6 @@ _MICROSECOND = timedelta(microseconds=1)
 WHITESPACE = " \t\n\r\f\x0b"
 
 
-def any_null(*names: str) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
-
-
-def all_null(*names: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(n).isNull() for n in names])
-
-
 def stripped(column: Column) -> Column:
     return F.btrim(column, F.lit(WHITESPACE))
 
@@ -49,10 +40,6 @@ def to_time(column: Column, dtype: T.DataType) -> Column:
     return column.try_cast("timestamp")
 
 
-def epoch_seconds(column: Column) -> Column:
-    return F.unix_seconds(column)
-
-
 def instant(moment: datetime) -> Column:
     """Literal timestamp; a naive datetime is read as UTC."""
     if moment.tzinfo is None:

@@ -6,7 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark import contract as C
-from tidemark.functions.safe import all_null, any_null, epoch_seconds, instant
+from tidemark.functions.safe import instant
+
+_FIELDS = C.REQUIRED_EVENT_FIELDS
 
 
 def broken_rule(cfg: C.PipelineConfig) -> Column:
@@ -16,19 +18,21 @@ def broken_rule(cfg: C.PipelineConfig) -> Column:
     event ends up either valid or rejected.
     """
     amount = C.AMOUNT_PATTERN if cfg.strict_amount else C.AMOUNT_PATTERN_RENDERED
-    return (
-        F.when(all_null(*C.REQUIRED_EVENT_FIELDS), "unparseable")
-        .when(any_null(*C.REQUIRED_EVENT_FIELDS), "missing_field")
-        .when(~F.col("op").isin(*C.OPS), "unknown_op")
-        .when(~F.col("customer_id").rlike(C.CUSTOMER_ID_PATTERN), "customer_id_not_numeric")
-        .when(F.col("customer_id").try_cast("int").isNull(), "customer_id_out_of_range")
-        .when(~F.col("amount").rlike(amount), "amount_not_numeric")
-        .when(~F.col("product_category").rlike(C.CATEGORY_PATTERN), "category_malformed")
-        .when(F.col("event_time").isNull(), "event_time_unparseable")
-    )
+    return F.expr(f"""
+        CASE
+          WHEN coalesce({', '.join(f'CAST({f} AS STRING)' for f in _FIELDS)}) IS NULL
+            THEN 'unparseable'
+          WHEN {' OR '.join(f'{f} IS NULL' for f in _FIELDS)} THEN 'missing_field'
+          WHEN op NOT IN ({', '.join(f"'{op}'" for op in C.OPS)}) THEN 'unknown_op'
+          WHEN NOT customer_id RLIKE r'{C.CUSTOMER_ID_PATTERN}' THEN 'customer_id_not_numeric'
+          WHEN try_cast(customer_id AS INT) IS NULL THEN 'customer_id_out_of_range'
+          WHEN NOT amount RLIKE r'{amount}' THEN 'amount_not_numeric'
+          WHEN NOT product_category RLIKE r'{C.CATEGORY_PATTERN}' THEN 'category_malformed'
+          WHEN event_time IS NULL THEN 'event_time_unparseable'
+        END""")
 
 
 def age_seconds(cfg: C.PipelineConfig) -> Column:
     """Whole seconds between an event and the clock it is judged by."""
     clock = F.col("arrived_at") if cfg.clock is None else instant(cfg.clock)
-    return epoch_seconds(clock) - epoch_seconds(F.col("event_time"))
+    return F.unix_seconds(clock) - F.unix_seconds("event_time")

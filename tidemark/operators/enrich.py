@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import contract as C
+from tidemark.operators.events import POSITION
 
+# Keys split in a shuffle join; any other key holds less than a thousandth.
 HEAVY_KEYS = 1000
 
 
@@ -24,34 +26,44 @@ def enrichment_columns(dimension: DataFrame) -> DataFrame:
 
 def join_dimension(
     orders: DataFrame, dimension: DataFrame, dimension_bytes: int | None,
-    limit_bytes: int, condition=None, key: str = "customer_id",
+    limit_bytes: int, condition: Column | None = None, key: str = "customer_id",
 ) -> DataFrame:
     """Left join that keeps every order.
 
-    A dimension of a known size within the limit is broadcast. Otherwise the
-    few heaviest keys are counted and joined by broadcasting just their rows,
-    and all other orders go through a shuffle join; the two parts are disjoint.
+    A dimension of a known size within the limit is broadcast. Otherwise both
+    sides are shuffled, and the heaviest keys are split: their orders are dealt
+    out by message position and their few dimension rows are repeated.
     """
     if dimension_bytes is not None and dimension_bytes <= limit_bytes:
-        return _left_join(orders, F.broadcast(dimension), key, condition)
+        return _left_join(orders, F.broadcast(dimension), [key], condition)
+    parts = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     heavy = (
         orders.filter(F.col(key).isNotNull())
         .groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         .orderBy(F.col("_n").desc(), key).limit(HEAVY_KEYS)
         .select(F.col(key), F.lit(True).alias("_heavy"))
     )
-    marked = orders.join(F.broadcast(heavy), key, "left")
-    heavy_rows = dimension.join(F.broadcast(heavy), key, "left_semi")
-    few = _left_join(marked.filter("_heavy").drop("_heavy"), F.broadcast(heavy_rows), key, condition)
-    many = _left_join(marked.filter("_heavy IS NULL").drop("_heavy"), dimension, key, condition)
-    return few.unionByName(many)
+    spread = F.col("_heavy") | F.col(key).isNull()
+    dealt = orders.join(F.broadcast(heavy), key, "left").withColumn(
+        "_part", F.when(spread, F.pmod(F.xxhash64(*POSITION), F.lit(parts))).otherwise(0),
+    )
+    last = F.when(F.col("_heavy"), parts - 1).otherwise(0).cast("bigint")
+    repeated = dimension.join(F.broadcast(heavy), key, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)),
+    )
+    return _left_join(
+        dealt.drop("_heavy"), repeated.drop("_heavy"), [key, "_part"], condition).drop("_part")
 
 
-def _left_join(orders: DataFrame, dimension: DataFrame, key: str, condition) -> DataFrame:
+def _left_join(
+    orders: DataFrame, dimension: DataFrame, keys: list[str], condition: Column | None,
+) -> DataFrame:
     if condition is None:
-        return orders.join(dimension, key, "left")
-    right = dimension.withColumnRenamed(key, "_key")
-    return orders.join(right, (F.col(key) == F.col("_key")) & condition, "left").drop("_key")
+        return orders.join(dimension, keys, "left")
+    right = dimension.withColumnsRenamed({k: f"{k}_right" for k in keys})
+    for k in keys:
+        condition = condition & (F.col(k) == F.col(f"{k}_right"))
+    return orders.join(right, condition, "left").drop(*[f"{k}_right" for k in keys])
 
 
 def state_rows(changes: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import contract as C
@@ -21,34 +21,26 @@ def parse(messages: DataFrame) -> DataFrame:
     of a generator, since a filter on them would otherwise be moved below the
     parsing and repeat it.
     """
-    def with_time(event: Column) -> Column:
-        return F.struct(*[
-            (F.try_to_timestamp(event[f]) if f == "event_time" else event[f]).alias(f)
-            for f in EVENT_FIELDS
-        ])
-
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in C.ORDER_EVENT)
+    fields = ", ".join(
+        f"{'try_to_timestamp(e.event_time)' if f == 'event_time' else 'e.' + f} AS {f}"
+        for f in EVENT_FIELDS
+    )
     return (
-        messages.select(
-            *POSITION, F.col("timestamp").alias("arrived_at"),
-            F.col("value").cast("string").alias("json_str"),
-        )
-        .select("*", F.inline(
-            F.transform(F.array(F.from_json("json_str", C.ORDER_EVENT)), with_time)
-        ))
+        messages.selectExpr(
+            *POSITION, "timestamp AS arrived_at", "CAST(value AS STRING) AS json_str")
+        .selectExpr("*", f"""inline(transform(
+            array(from_json(json_str, '{schema}')), e -> struct({fields})))""")
     )
 
 
 def judge(parsed: DataFrame, cfg: C.PipelineConfig = C.PipelineConfig()) -> DataFrame:
     """Add ``rule`` (first broken one), ``age_s`` and ``stage`` to every event."""
     return (
-        parsed.withColumn("rule", broken_rule(cfg))
-        .withColumn("age_s", age_seconds(cfg))
-        .withColumn(
-            "stage",
-            F.when(F.col("rule").isNotNull(), C.INVALID)
-            .when(F.col("age_s") > cfg.allowed_lateness_s, C.LATE)
-            .otherwise(C.FRESH),
-        )
+        parsed.withColumns({"rule": broken_rule(cfg), "age_s": age_seconds(cfg)})
+        .withColumn("stage", F.expr(f"""
+            CASE WHEN rule IS NOT NULL THEN '{C.INVALID}'
+              WHEN age_s > {cfg.allowed_lateness_s} THEN '{C.LATE}' ELSE '{C.FRESH}' END"""))
     )
 
 
@@ -57,8 +49,8 @@ def typed(judged: DataFrame, ingested_at=None) -> DataFrame:
     clock = F.current_timestamp() if ingested_at is None else instant(ingested_at)
     return judged.filter(F.col("stage") != C.INVALID).select(
         *POSITION, "arrived_at", "stage", "age_s", "op", "order_id",
-        F.col("customer_id").try_cast("int").alias("customer_id"),
-        F.col("amount").try_cast("double").alias("amount"),
+        F.expr("try_cast(customer_id AS INT) AS customer_id"),
+        F.expr("try_cast(amount AS DOUBLE) AS amount"),
         "product_category", "event_time", "lsn", clock.alias("ingested_at"),
     )
 

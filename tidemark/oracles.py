@@ -198,6 +198,12 @@ history AS (
   SELECT customer_id, name, city, {_MOVED}, TIMESTAMP '2024-01-16', NULL, true
   FROM dim WHERE customer_id % 10 = 0)
 """
+_AS_OF = f"""{HISTORY}
+SELECT s.lsn, s.order_id, CAST(s.customer_id AS INTEGER) AS customer_id, h.name, h.city, h.segment,
+  h.valid_from
+FROM stages s LEFT JOIN history h ON s.customer_id = h.customer_id
+  AND s.event_time >= h.valid_from AND (h.valid_to IS NULL OR s.event_time < h.valid_to)
+WHERE s.stage = 'fresh'"""
 _CUSTOMER_COLUMNS = "customer_id, name, city, segment, signup_date, updated_at"
 
 ORACLES: dict[str, str] = {
@@ -341,10 +347,6 @@ FROM shares
 WINDOW w AS (ORDER BY batch_id RANGE BETWEEN 4 PRECEDING AND CURRENT ROW)""",
     "dim_scd2": f"""{HISTORY}
 SELECT customer_id, name, city, segment, valid_from, valid_to, is_current FROM history""",
-    "enrich_as_of": f"""{HISTORY}
-SELECT s.lsn, s.order_id, CAST(s.customer_id AS INTEGER) AS customer_id, h.name, h.city, h.segment,
-  h.valid_from
-FROM stages s LEFT JOIN history h ON s.customer_id = h.customer_id
-  AND s.event_time >= h.valid_from AND (h.valid_to IS NULL OR s.event_time < h.valid_to)
-WHERE s.stage = 'fresh'""",
+    "enrich_as_of": _AS_OF,
+    "enrich_as_of_shuffled": _AS_OF,
 }

@@ -67,8 +67,8 @@ def apply_batch(
 class OrderPipeline:
     """The job that stream, replay and backfill share.
 
-    Order of effects: dead letters, metrics, changed rows, pointer. Everything
-    before the pointer is overwritten if the batch is repeated.
+    Order of effects: dead letters, metrics, changed rows, pointer. What a batch
+    left behind before the pointer moved is replaced when the batch is repeated.
     """
 
     spark: SparkSession
@@ -83,7 +83,7 @@ class OrderPipeline:
     def apply(self, messages: DataFrame, batch_id: int, run_id: str) -> None:
         """Apply one batch once; a batch that is already part of the table is skipped."""
         state = self.state
-        if batch_id <= state.committed(run_id) or messages.isEmpty():
+        if batch_id <= state.committed(run_id):
             return
         now = datetime.now(timezone.utc)
         staged = f"{self.root}/staged/run_id={run_id}/batch_id={batch_id}"
@@ -98,8 +98,13 @@ class OrderPipeline:
             batch = apply_batch(messages, state.attach, self.cfg, now, hold)
             if not self.cfg.cache_batch:
                 batch.guarded = self._stage(batch.guarded, staged)
-            self._write_letters(batch.letters(now), run_id, batch_id)
-            self._write_counters(batch.counters(), run_id, batch_id, now)
+            # One row; it also tells which of the writes would be empty.
+            counted = batch.counters().first().asDict()
+            if counted["processed"] == 0:
+                return
+            if counted["invalid"] + counted["late"] > 0:
+                self._write_letters(batch.letters(now), run_id, batch_id)
+            self._write_counters(counted, run_id, batch_id, now)
             dimension, size = self.dimension()
             state.commit(batch.changes(dimension, size, self.cfg), run_id, batch_id)
             if len(state.manifest()["deltas"]) >= self.cfg.compact_after:
@@ -107,7 +112,8 @@ class OrderPipeline:
         finally:
             for frame in held:
                 frame.unpersist()
-            files.remove(self.spark, staged)
+            if not self.cfg.cache_batch:
+                files.remove(self.spark, staged)
 
     def letters(self) -> DataFrame:
         """All dead letters, with the run and batch that rejected them."""
@@ -129,16 +135,14 @@ class OrderPipeline:
         letters.write.mode("overwrite").partitionBy("reject_reason").parquet(path)
 
     def _write_counters(
-        self, row: DataFrame, run_id: str, batch_id: int, now: datetime,
+        self, counted: dict, run_id: str, batch_id: int, now: datetime,
     ) -> None:
-        (
-            row.withColumns({
-                "run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint"),
-                "recorded_at": instant(now),
-            })
-            .select(*[F.col(f.name).cast(f.dataType) for f in C.COUNTERS])
-            .write.mode("append").parquet(f"{self.root}/batch_metrics")
-        )
+        row = {**counted, "run_id": run_id, "batch_id": batch_id}
+        frame = self.spark.range(1, numPartitions=1).select(*[
+            (instant(now) if f.name == "recorded_at" else F.lit(row[f.name]).cast(f.dataType))
+            .alias(f.name) for f in C.COUNTERS
+        ])
+        frame.write.mode("append").parquet(f"{self.root}/batch_metrics")
 
 
 def backfill(pipeline: OrderPipeline, messages: DataFrame, label: str) -> None:

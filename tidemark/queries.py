@@ -19,7 +19,7 @@ from tidemark.session import shared_folder
 from tidemark.sources import topics
 from tidemark.sources.snapshots import DimensionCache, SnapshotStore, memory_bytes
 from tidemark.streaming.run import start
-from tidemark.streaming.stateful import fold, version_stream
+from tidemark.streaming.newest import live_orders, version_stream, write_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = C.PipelineConfig()
@@ -336,14 +336,13 @@ def stream_lsn_state(spark, sf_dir):
     messages = X.order_messages(spark, sf_dir)
     for part in (X.first_part(messages), X.second_part(messages)):
         part.write.mode("append").parquet(f"{root}/inbox")
+        changes = version_stream(topics.file_stream(spark, f"{root}/inbox"), CFG)
         stream = (
-            version_stream(topics.file_stream(spark, f"{root}/inbox"), CFG)
-            .writeStream.format("parquet").outputMode("append")
-            .option("path", f"{root}/changes").option("checkpointLocation", f"{root}/checkpoint")
+            write_changes(changes, f"{root}/changes", f"{root}/checkpoint")
             .trigger(availableNow=True).start()
         )
         stream.awaitTermination()
-    return _keys(fold(spark.read.parquet(f"{root}/changes")), "amount")
+    return _keys(live_orders(spark, f"{root}/changes"), "amount")
 
 
 # ---- dimension refresh -----------------------------------------------------
@@ -461,5 +460,16 @@ def enrich_as_of(spark, sf_dir):
     joined = history.enrich_as_of(
         _fresh(spark, sf_dir), _history(spark, sf_dir),
         2 * _customer_bytes(spark, sf_dir), CFG.broadcast_limit_bytes)
+    return _as_of_columns(joined)
+
+
+@query
+def enrich_as_of_shuffled(spark, sf_dir):
+    """The same join for a history too large to broadcast."""
+    return _as_of_columns(history.enrich_as_of(
+        _fresh(spark, sf_dir), _history(spark, sf_dir), None, CFG.broadcast_limit_bytes))
+
+
+def _as_of_columns(joined) -> DataFrame:
     return _naive(joined.select(
         "lsn", "order_id", "customer_id", "name", "city", "segment", "valid_from"), "valid_from")

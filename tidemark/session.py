@@ -21,6 +21,7 @@ def local_session(app: str = "tidemark", cores: str | int = "*", partitions: int
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

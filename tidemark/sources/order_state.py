@@ -129,8 +129,7 @@ class OrderState:
     def compact(self, now: datetime | None = None) -> None:
         """Merge the batches into a new base, bucket by bucket.
 
-        Tombstones older than their retention, which must exceed the allowed
-        lateness and any planned replay, are dropped if ``now`` is given.
+        Tombstones whose retention has passed at ``now`` are dropped.
         """
         manifest = self.manifest()
         if not manifest["deltas"]:
@@ -146,9 +145,9 @@ class OrderState:
             merged = _newer(base, recent)
         if not self.cfg.tombstones:
             merged = merged.filter(F.col("op") != C.DELETE)
-        elif now is not None:
+        elif now is not None and self.cfg.tombstone_ttl_s is not None:
             oldest = instant(now - timedelta(seconds=self.cfg.tombstone_ttl_s))
-            merged = merged.filter((F.col("op") != C.DELETE) | (F.col("event_time") >= oldest))
+            merged = merged.filter((F.col("op") != C.DELETE) | (F.col("ingested_at") >= oldest))
         number = manifest["commit"] + 1
         path = f"{self.root}/base/commit={number:010d}"
         name = self._table_name(path)
