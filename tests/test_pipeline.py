@@ -170,11 +170,89 @@ def test_compaction_keeps_rows_and_expires_tombstones(spark, tmp_path):
     assert sorted((r.order_id, r.lsn, r.op) for r in job.state.rows().collect()) == [
         ("a", 3, "U"), ("b", 2, "D"), ("c", 4, "U")]
     job.apply(messages(spark, [event("d", 5)]), 2, "run")
-    job.state.compact(now + timedelta(hours=2))
+    job.state.compact(now + timedelta(hours=2), full=True)
     assert {r.order_id for r in job.state.rows().collect()} == {"a", "c", "d"}
     assert job.state.manifest()["deltas"] == []
 
 
+def test_small_merges_leave_the_large_level_alone(spark, tmp_path):
+    job = pipeline(spark, tmp_path, merge_factor=0)
+    for batch, feed in enumerate([
+        [event("a", 1), event("b", 2), event("c", 3)],
+        [event("a", 4, "D"), event("d", 5)],
+        [event("b", 6), event("a", 2)],
+    ]):
+        job.apply(messages(spark, feed), batch, "run")
+        job.state.compact()
+    levels = job.state.manifest()["levels"]
+    assert len(levels) == 3
+    assert {k: v[0] for k, v in served(job).items()} == {"b": 6, "c": 3, "d": 5}
+    job.state.compact(full=True)
+    assert len(job.state.manifest()["levels"]) == 1
+    assert {k: v[0] for k, v in served(job).items()} == {"b": 6, "c": 3, "d": 5}
+    assert job.state.rows().filter("op = 'D'").count() == 1
+
+
+@pytest.mark.parametrize("tombstones, live", [(True, {"b": 2}), (False, {"a": 1, "b": 2})])
+def test_a_delete_hides_rows_of_lower_levels(spark, tmp_path, tombstones, live):
+    job = pipeline(spark, tmp_path, tombstones=tombstones, merge_factor=0)
+    job.apply(messages(spark, [event("a", 5), event("b", 2)]), 0, "run")
+    job.state.compact()
+    job.apply(messages(spark, [event("a", 6, "D")]), 1, "run")
+    job.state.compact()
+    assert {k: v[0] for k, v in served(job).items()} == {"b": 2}
+    job.apply(messages(spark, [event("a", 1)]), 2, "run")
+    assert {k: v[0] for k, v in served(job).items()} == live
+    job.state.compact(full=True)
+    assert {k: v[0] for k, v in served(job).items()} == live
+
+
+def test_replaced_folders_stay_for_one_more_merge(spark, tmp_path):
+    job = pipeline(spark, tmp_path)
+    job.apply(messages(spark, [event("a", 1)]), 0, "run")
+    (delta,) = job.state.manifest()["deltas"]
+    reader = job.state.served()
+    job.state.compact()
+    assert reader.count() == 1 and files.exists(spark, delta)
+    job.apply(messages(spark, [event("b", 2)]), 1, "run")
+    job.state.compact(full=True)
+    assert not files.exists(spark, delta)
+    assert {k: v[0] for k, v in served(job).items()} == {"a": 1, "b": 2}
+
+
+def test_a_backfill_parses_its_input_once(spark, tmp_path):
+    feed = random_feed(11)
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for batch in rows:
+            reads.add(batch.num_rows)
+            yield batch
+
+    counted = messages(spark, feed).mapInArrow(count, C.MESSAGE)
+    job = pipeline(spark, tmp_path, cache_batch=False)
+    job.apply(counted, 0, "run")
+    assert reads.value == len(feed)
+    assert served(job) == newest(feed)
+    assert not files.exists(spark, f"{tmp_path}/staged/run_id=run/batch_id=0")
+
+
+@pytest.mark.parametrize("on_arrival, late", [(True, 0), (False, 1)])
+def test_lateness_by_arrival_or_by_processing(spark, tmp_path, on_arrival, late):
+    job = pipeline(spark, tmp_path, late_on_arrival=on_arrival)
+    job.apply(messages(spark, [event("a", 1)]), 0, "run")
+    assert job.metrics().first().late == late
+
+
+def test_letters_are_sent_on(spark, tmp_path):
+    sent = []
+    job = pipeline(spark, tmp_path)
+    job.publish_letters = lambda letters: sent.extend(letters.select("key", "value").collect())
+    job.apply(messages(spark, ["junk", event("a", 1), event("b", 1, age_s=9000)]), 0, "run")
+    assert sorted(r.key for r in sent) == ["", "b"]
+    assert "late_event" in {r.key: r.value.decode() for r in sent}["b"]
+
+
 def test_state_is_found_by_a_new_session(spark, tmp_path):
     job = pipeline(spark, tmp_path)
     job.apply(messages(spark, [event("a", 1)]), 0, "run")

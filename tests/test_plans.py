@@ -9,7 +9,6 @@ from tidemark import contract as C
 from tidemark import fixtures as X
 from tidemark.operators import enrich, events, marts, versions
 from tidemark.plans.batch import OrderPipeline, apply_batch
-from tidemark.sources.order_state import _newer
 
 
 def plan(frame) -> str:
@@ -61,30 +60,35 @@ def test_small_dimension_is_broadcast_and_large_one_is_not(spark, feed):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_base_of_the_state_is_never_shuffled(spark, tmp_path):
+def scans_without_exchange(text, tables) -> bool:
+    """Bucketed scans of the plan, none of them right below a shuffle."""
+    lines = text.splitlines()
+    scans = [i for i, line in enumerate(lines) if "Bucketed: true" in line]
+    assert len(scans) == tables, text
+    return not any("Exchange" in line for i in scans for line in lines[max(0, i - 3):i])
+
+
+def test_levels_of_the_state_are_never_shuffled(spark, tmp_path):
     frame = dimension(spark)
-    job = OrderPipeline(spark, str(tmp_path), lambda: (frame, 100))
-    job.apply(messages(spark, [event("a", 1), event("b", 2)]), 0, "run")
-    job.state.compact()
-    job.apply(messages(spark, [event("a", 3)]), 1, "run")
+    cfg = C.PipelineConfig(merge_factor=0)
+    job = OrderPipeline(spark, str(tmp_path), lambda: (frame, 100), cfg)
+    for batch, feed in enumerate([[event("a", 1), event("b", 2)], [event("a", 3)]]):
+        job.apply(messages(spark, feed), batch, "run")
+        job.state.compact()
+    job.apply(messages(spark, [event("a", 4)]), 2, "run")
     manifest = job.state.manifest()
+    assert len(manifest["levels"]) == 2 and len(manifest["deltas"]) == 1
     winners = job.state.recent(manifest).select("order_id", "lsn")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        plans = {
-            "attach": plan(job.state.attach(winners)),
-            "merge": plan(_newer(job.state.base(manifest), job.state.recent(manifest))),
-            "served": plan(job.state.served()),
-        }
+        guard = plan(job.state.attach(winners))
+        table = plan(versions.replace_rows(job.state.parts(manifest)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    for name, text in plans.items():
-        lines = text.splitlines()
-        (scan,) = [i for i, line in enumerate(lines) if "Bucketed: true" in line]
-        above = lines[max(0, scan - 3):scan]
-        assert not any("Exchange" in line for line in above), name
-    columns = re.findall(r"spark_catalog\.default\.tidemark_\w+\[([^\]]*)\]", plans["attach"])
-    assert [re.sub(r"#\d+L?", "", c) for c in columns] == ["order_id,op,lsn"]
+    assert scans_without_exchange(guard, 2)
+    assert scans_without_exchange(table, 3)
+    columns = re.findall(r"spark_catalog\.default\.tidemark_\w+\[([^\]]*)\]", guard)
+    assert {re.sub(r"#\d+L?", "", c) for c in columns} == {"order_id,op,lsn"}
 
 
 def test_report_aggregates_before_the_shuffle(spark, sf_dir):

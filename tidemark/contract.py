@@ -116,6 +116,8 @@ class PipelineConfig:
     lag_warn_factor: int = 10
     # None measures lateness against the arrival time of each message.
     clock: datetime | None = None
+    # False measures it against the time at which its batch is processed.
+    late_on_arrival: bool = True
     # Refuse amounts that only match once an exponent is allowed.
     strict_amount: bool = False
     # Keep deleted versions, so that an older change cannot revive an order.
@@ -126,7 +128,10 @@ class PipelineConfig:
     # Fixed when a state table is created: at least the shuffle partitions (the
     # default), and enough for about 1 GB per bucket.
     state_buckets: int | None = None
+    # Batches that are kept beside the levels before they are merged.
     compact_after: int = 16
+    # A level is merged once it is at most this much larger than what is above.
+    merge_factor: int = 4
     # Largest dimension, in memory, that is copied to every executor.
     broadcast_limit_bytes: int = 64 * 1024 * 1024
     # Keep the parsed batch between its uses; off for bulk backfills.

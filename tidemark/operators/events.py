@@ -44,6 +44,12 @@ def judge(parsed: DataFrame, cfg: C.PipelineConfig = C.PipelineConfig()) -> Data
     )
 
 
+def raw_of_rejects(judged: DataFrame) -> DataFrame:
+    """Drop the raw text where it is not needed any more, before events are kept."""
+    raw = F.when(F.col("stage") != C.FRESH, F.col("json_str"))
+    return judged.withColumn("json_str", raw)
+
+
 def typed(judged: DataFrame, ingested_at=None) -> DataFrame:
     """Valid events with their served types and the ingestion clock."""
     clock = F.current_timestamp() if ingested_at is None else instant(ingested_at)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,12 +91,15 @@ def outcomes(judged: DataFrame, guarded: DataFrame) -> DataFrame:
     )
 
 
-def live(state: DataFrame) -> DataFrame:
-    """State without tombstones."""
-    return state.filter(F.col("op") != C.DELETE)
-
+def replace_rows(parts: list[DataFrame]) -> DataFrame:
+    """One row per order from parts that replace each other, oldest first.
 
-def merge_changes(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """State after ``changes`` (one row per order) have replaced older rows."""
-    kept = state.join(changes.select("order_id"), "order_id", "left_anti")
-    return kept.unionByName(changes)
+    Each part loses the orders that any newer part holds. Parts bucketed by
+    order are joined in place.
+    """
+    kept = []
+    for number, part in enumerate(parts):
+        for newer in parts[number + 1:]:
+            part = part.join(newer.select("order_id"), "order_id", "left_anti")
+        kept.append(part)
+    return reduce(DataFrame.unionByName, kept)

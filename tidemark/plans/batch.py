@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,10 @@ from tidemark.sources import files
 from tidemark.sources.order_state import OrderState
 
 Dimension = Callable[[], tuple[DataFrame, int | None]]
+Hold = Callable[[str, DataFrame], DataFrame]
+
+# Folders of the shared parts of a batch, where those are written and not cached.
+STAGED_BY = {"judged": "stage", "guarded": "outcome"}
 
 
 @dataclass
@@ -46,21 +50,21 @@ class AppliedBatch:
 def apply_batch(
     messages: DataFrame, attach: Callable[[DataFrame], DataFrame] | None = None,
     cfg: C.PipelineConfig = C.PipelineConfig(), clock: datetime | None = None,
-    hold: Callable[[DataFrame], DataFrame] = lambda frame: frame,
+    hold: Hold = lambda name, frame: frame,
 ) -> AppliedBatch:
     """Parse, judge, collapse and guard a batch.
 
     ``attach`` puts the stored versions beside the winners; without it the
     batch is applied to an empty table. ``hold`` may keep shared parts.
     """
-    judged = hold(events.judge(events.parse(messages), cfg))
+    judged = hold("judged", events.raw_of_rejects(events.judge(events.parse(messages), cfg)))
     latest = versions.latest_per_order(events.fresh(judged, clock))
     if attach is None:
         attached = latest.withColumns({
             "stored_lsn": F.lit(None).cast("bigint"), "stored_op": F.lit(None).cast("string")})
     else:
         attached = attach(latest)
-    return AppliedBatch(judged, hold(versions.guard(attached)))
+    return AppliedBatch(judged, hold("guarded", versions.guard(attached)))
 
 
 @dataclass
@@ -69,12 +73,14 @@ class OrderPipeline:
 
     Order of effects: dead letters, metrics, changed rows, pointer. What a batch
     left behind before the pointer moved is replaced when the batch is repeated.
+    ``publish_letters`` may send the dead letters on, at least once.
     """
 
     spark: SparkSession
     root: str
     dimension: Dimension
     cfg: C.PipelineConfig = C.PipelineConfig()
+    publish_letters: Callable[[DataFrame], None] | None = None
 
     @property
     def state(self) -> OrderState:
@@ -86,18 +92,18 @@ class OrderPipeline:
         if batch_id <= state.committed(run_id):
             return
         now = datetime.now(timezone.utc)
+        cfg = self.cfg if self.cfg.late_on_arrival else replace(self.cfg, clock=now)
         staged = f"{self.root}/staged/run_id={run_id}/batch_id={batch_id}"
         held: list[DataFrame] = []
 
-        def hold(frame: DataFrame) -> DataFrame:
-            if self.cfg.cache_batch:
+        def hold(name: str, frame: DataFrame) -> DataFrame:
+            if cfg.cache_batch:
                 held.append(frame.persist())
-            return frame
+                return frame
+            return self._stage(frame, f"{staged}/{name}", STAGED_BY[name])
 
         try:
-            batch = apply_batch(messages, state.attach, self.cfg, now, hold)
-            if not self.cfg.cache_batch:
-                batch.guarded = self._stage(batch.guarded, staged)
+            batch = apply_batch(messages, state.attach, cfg, now, hold)
             # One row; it also tells which of the writes would be empty.
             counted = batch.counters().first().asDict()
             if counted["processed"] == 0:
@@ -126,13 +132,16 @@ class OrderPipeline:
         newest = F.max_by(F.struct(*C.COUNTERS.fieldNames()[2:]), "recorded_at").alias("m")
         return rows.groupBy("run_id", "batch_id").agg(newest).select("run_id", "batch_id", "m.*")
 
-    def _stage(self, guarded: DataFrame, path: str) -> DataFrame:
-        guarded.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(guarded.schema).parquet(path)
+    def _stage(self, frame: DataFrame, path: str, column: str) -> DataFrame:
+        """Write a part once; its later uses read only their rows and columns."""
+        frame.write.mode("overwrite").partitionBy(column).parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
 
     def _write_letters(self, letters: DataFrame, run_id: str, batch_id: int) -> None:
         path = f"{self.root}/dead_letters/run_id={run_id}/batch_id={batch_id}"
         letters.write.mode("overwrite").partitionBy("reject_reason").parquet(path)
+        if self.publish_letters is not None:
+            self.publish_letters(self.spark.read.parquet(path))
 
     def _write_counters(
         self, counted: dict, run_id: str, batch_id: int, now: datetime,

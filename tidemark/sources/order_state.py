@@ -1,4 +1,4 @@
-"""The served order table: a bucketed base plus the batches since then."""
+"""The served order table: bucketed levels plus the batches since then."""
 
 from __future__ import annotations
 
@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 from tidemark import contract as C
 from tidemark.functions.safe import instant
 from tidemark.operators.enrich import served
+from tidemark.operators.versions import replace_rows
 from tidemark.sources import files
 
 DELTA = T.StructType([*C.ORDER_STATE.fields, T.StructField("commit", T.LongType())])
-EMPTY = {"commit": 0, "base": None, "buckets": None, "deltas": [], "runs": {}}
+EMPTY = {"commit": 0, "levels": [], "buckets": None, "deltas": [], "retired": [], "runs": {}}
 
 
 @dataclass
@@ -25,8 +26,9 @@ class OrderState:
 
     A commit adds the changed rows of a batch as a folder and then replaces the
     pointer file that lists the live folders. Now and then the folders are
-    merged into a base that is bucketed by order, so that neither the version
-    guard nor the merge shuffles the base.
+    merged into a level, a table bucketed by order, so that neither the version
+    guard nor a later merge shuffles it. A level is rewritten only once what
+    lies above it has grown to a fair share of its size.
     """
 
     spark: SparkSession
@@ -45,39 +47,35 @@ class OrderState:
         return self.manifest()["runs"].get(run_id, -1)
 
     # ---- reading --------------------------------------------------------
-    def base(self, manifest: dict | None = None) -> DataFrame | None:
-        manifest = manifest or self.manifest()
-        if manifest["base"] is None:
-            return None
-        name = self._table_name(manifest["base"])
+    def level(self, path: str, buckets: int) -> DataFrame:
+        name = _table_name(path)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(C.ORDER_STATE)}) USING parquet "
-            f"CLUSTERED BY (order_id) SORTED BY (order_id) INTO {manifest['buckets']} BUCKETS "
-            f"LOCATION '{manifest['base']}'"
+            f"CLUSTERED BY (order_id) SORTED BY (order_id) INTO {buckets} BUCKETS "
+            f"LOCATION '{path}'"
         )
         return self.spark.table(name)
 
-    def recent(self, manifest: dict | None = None) -> DataFrame:
-        """Newest row of every order changed since the base was written."""
-        manifest = manifest or self.manifest()
-        if not manifest["deltas"]:
-            return self.spark.createDataFrame([], DELTA)
+    def recent(self, manifest: dict) -> DataFrame:
+        """Newest row of every order changed since the last merge."""
         rows = self.spark.read.schema(DELTA).parquet(*manifest["deltas"])
         if len(manifest["deltas"]) == 1:
-            return rows
+            return rows.drop("commit")
         newest = Window.partitionBy("order_id").orderBy(F.col("commit").desc())
         return (
             rows.withColumn("_rank", F.row_number().over(newest))
-            .filter(F.col("_rank") == 1).drop("_rank")
+            .filter(F.col("_rank") == 1).drop("_rank", "commit")
         )
 
+    def parts(self, manifest: dict) -> list[DataFrame]:
+        """The levels and the recent rows, oldest first; each holds an order once."""
+        found = [self.level(entry["path"], manifest["buckets"]) for entry in manifest["levels"]]
+        return found + ([self.recent(manifest)] if manifest["deltas"] else [])
+
     def rows(self) -> DataFrame:
         """The whole table, tombstones included."""
-        manifest = self.manifest()
-        base, recent = self.base(manifest), self.recent(manifest).drop("commit")
-        if base is None:
-            return recent
-        return base.join(recent.select("order_id"), "order_id", "left_anti").unionByName(recent)
+        parts = self.parts(self.manifest())
+        return replace_rows(parts) if parts else self.spark.createDataFrame([], C.ORDER_STATE)
 
     def served(self) -> DataFrame:
         return served(self.rows())
@@ -85,94 +83,92 @@ class OrderState:
     def attach(self, latest: DataFrame) -> DataFrame:
         """Winners beside their stored version.
 
-        Only key, version and op of the base are read, in place; what moves is
-        the batch.
+        Only key, version and op of the levels are read, in place; what moves
+        is the batch.
         """
-        manifest = self.manifest()
-        base, recent = self.base(manifest), self.recent(manifest)
-        recent = recent.select("order_id", F.col("lsn").alias("_lsn"), F.col("op").alias("_op"))
-        attached = latest
-        if base is None:
-            attached = attached.withColumns({
-                "_base_lsn": F.lit(None).cast("bigint"), "_base_op": F.lit(None).cast("string")})
-        else:
-            attached = attached.join(
-                base.select("order_id", F.col("lsn").alias("_base_lsn"),
-                            F.col("op").alias("_base_op")), "order_id", "left")
-        op = F.coalesce("_op", "_base_op")
-        lsn = F.coalesce("_lsn", "_base_lsn")
+        attached, found = latest, []
+        for number, part in enumerate(self.parts(self.manifest())):
+            found.insert(0, f"_version_{number}")
+            version = part.select("order_id", F.struct("lsn", "op").alias(found[0]))
+            attached = attached.join(version, "order_id", "left")
+        if not found:
+            return attached.withColumns({
+                "stored_lsn": F.lit(None).cast("bigint"), "stored_op": F.lit(None).cast("string")})
+        stored = F.coalesce(*found)
         if not self.cfg.tombstones:
             # Hard deletes forget the version along with the row.
-            lsn = F.when(op != C.DELETE, lsn)
-            op = F.when(op != C.DELETE, op)
-        return (
-            attached.join(recent, "order_id", "left")
-            .withColumns({"stored_lsn": lsn, "stored_op": op})
-            .drop("_lsn", "_op", "_base_lsn", "_base_op")
-        )
+            stored = F.when(stored["op"] != C.DELETE, stored)
+        return attached.withColumns(
+            {"stored_lsn": stored["lsn"], "stored_op": stored["op"]}).drop(*found)
 
     # ---- writing --------------------------------------------------------
     def commit(self, changes: DataFrame, run_id: str, batch_id: int) -> None:
         """Add the changed rows of one batch; repeating an unfinished commit is safe."""
         manifest = self.manifest()
         number = manifest["commit"] + 1
-        path = f"{self.root}/delta/commit={number:010d}"
+        path = f"{self.root}/delta/{number:010d}"
         (
             changes.select(*C.ORDER_STATE.fieldNames(), F.lit(number).cast("bigint").alias("commit"))
-            .write.mode("overwrite").parquet(f"{path}/data")
+            .write.mode("overwrite").parquet(path)
         )
         files.replace_json(self.spark, self.pointer, {
-            **manifest, "commit": number, "deltas": [*manifest["deltas"], f"{path}/data"],
+            **manifest, "commit": number, "deltas": [*manifest["deltas"], path],
             "runs": {**manifest["runs"], run_id: batch_id},
         })
 
-    def compact(self, now: datetime | None = None) -> None:
-        """Merge the batches into a new base, bucket by bucket.
+    def compact(self, now: datetime | None = None, full: bool = False) -> None:
+        """Merge the batches into a level, bucket by bucket.
 
-        Tombstones whose retention has passed at ``now`` are dropped.
+        Levels that are not much larger than what is merged into them are taken
+        along, all of them with ``full``. Tombstones whose retention has passed
+        at ``now`` are dropped once no older level is left that they hide.
+        Replaced folders stay readable until the next merge.
         """
         manifest = self.manifest()
-        if not manifest["deltas"]:
+        if not manifest["deltas"] and not (full and manifest["levels"]):
             return
-        base, recent = self.base(manifest), self.recent(manifest).drop("commit")
         buckets = (
             manifest["buckets"] or self.cfg.state_buckets
             or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         )
-        if base is None:
-            merged = recent.repartition(buckets, "order_id")
-        else:
-            merged = _newer(base, recent)
-        if not self.cfg.tombstones:
-            merged = merged.filter(F.col("op") != C.DELETE)
-        elif now is not None and self.cfg.tombstone_ttl_s is not None:
-            oldest = instant(now - timedelta(seconds=self.cfg.tombstone_ttl_s))
-            merged = merged.filter((F.col("op") != C.DELETE) | (F.col("ingested_at") >= oldest))
+        below, taken = list(manifest["levels"]), []
+        size = sum(files.size_bytes(self.spark, path) for path in manifest["deltas"])
+        while below and (full or below[-1]["bytes"] <= self.cfg.merge_factor * size):
+            taken.insert(0, below.pop())
+            size += taken[0]["bytes"]
+        parts = [self.level(entry["path"], buckets) for entry in taken]
+        if manifest["deltas"]:
+            parts.append(self.recent(manifest).repartition(buckets, "order_id"))
+        merged = replace_rows(parts)
+        if not below:
+            merged = self._without_expired(merged, now)
         number = manifest["commit"] + 1
-        path = f"{self.root}/base/commit={number:010d}"
-        name = self._table_name(path)
+        path = f"{self.root}/level/{number:010d}"
         (
             merged.write.mode("overwrite").format("parquet").option("path", path)
-            .bucketBy(buckets, "order_id").sortBy("order_id").saveAsTable(name)
+            .bucketBy(buckets, "order_id").sortBy("order_id").saveAsTable(_table_name(path))
         )
+        entry = {"path": path, "bytes": files.size_bytes(self.spark, path)}
         files.replace_json(self.spark, self.pointer, {
-            **manifest, "commit": number, "base": path, "buckets": buckets, "deltas": [],
+            **manifest, "commit": number, "levels": [*below, entry], "buckets": buckets,
+            "deltas": [], "retired": [*(e["path"] for e in taken), *manifest["deltas"]],
         })
-        if manifest["base"] is not None:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(manifest['base'])}")
+        for old in manifest["retired"]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(old)}")
+            files.remove(self.spark, old)
 
-    def _table_name(self, path: str) -> str:
-        return "tidemark_" + hashlib.sha256(path.encode()).hexdigest()[:24]
+    def _without_expired(self, rows: DataFrame, now: datetime | None) -> DataFrame:
+        deleted = F.col("op") == C.DELETE
+        if not self.cfg.tombstones:
+            return rows.filter(~deleted)
+        if now is None or self.cfg.tombstone_ttl_s is None:
+            return rows
+        oldest = instant(now - timedelta(seconds=self.cfg.tombstone_ttl_s))
+        return rows.filter(~deleted | (F.col("ingested_at") >= oldest))
 
 
-def _newer(base: DataFrame, recent: DataFrame) -> DataFrame:
-    """Full outer join by order in which the recent row wins."""
-    b, r = base.alias("b"), recent.alias("r")
-    changed = F.col("r.order_id").isNotNull()
-    return b.join(r, F.col("b.order_id") == F.col("r.order_id"), "full").select(*[
-        F.when(changed, F.col(f"r.{c}")).otherwise(F.col(f"b.{c}")).alias(c)
-        for c in C.ORDER_STATE.fieldNames()
-    ])
+def _table_name(path: str) -> str:
+    return "tidemark_" + hashlib.sha256(path.encode()).hexdigest()[:24]
 
 
 def _ddl(schema: T.StructType) -> str:
