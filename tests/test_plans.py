@@ -1,6 +1,7 @@
 """Properties of the physical plans that have to hold at scale."""
 
 import re
+from datetime import datetime
 
 import pytest
 from helpers import dimension, event, messages
@@ -42,7 +43,7 @@ def test_orders_are_reduced_before_the_shuffle(feed):
 def test_arrival_range_reaches_the_scan(spark, feed):
     from tidemark.sources.topics import arrived_between
 
-    text = plan(arrived_between(feed, "2024-01-10", "2024-01-20"))
+    text = plan(arrived_between(feed, datetime(2024, 1, 10), datetime(2024, 1, 20)))
     assert "GreaterThanOrEqual(timestamp" in text and "LessThan(timestamp" in text
 
 

@@ -1,5 +1,7 @@
 """Options of connectors that are not part of the image."""
 
+from datetime import datetime, timezone
+
 from tidemark import contract as C
 from tidemark.sources import topics
 from tidemark.sources.database import JdbcSource
@@ -25,3 +27,10 @@ def test_database_options():
     assert "partitionColumn" not in source.split_options(None, None)
     assert source.query_options(source.baseline_query())["query"] == (
         "SELECT COUNT(*) AS row_count, MAX(updated_at) AS max_updated_at FROM customers")
+
+
+def test_topic_range_options():
+    begin, end = datetime(2024, 1, 10), datetime(2024, 1, 11, tzinfo=timezone.utc)
+    options = topics.kafka_range_options("broker:9092", "orders_stream", begin, end)
+    assert (options["startingTimestamp"], options["endingTimestamp"]) == (
+        "1704844800000", "1704931200000")

@@ -309,7 +309,7 @@ def replay_idempotence(spark, sf_dir):
 def backfill_range(spark, sf_dir):
     pipeline = _pipeline(spark, sf_dir, "backfill", C.PipelineConfig(cache_batch=False))
     messages = topics.arrived_between(
-        X.order_messages(spark, sf_dir), "2024-01-10 00:00:00", "2024-01-20 00:00:00")
+        X.order_messages(spark, sf_dir), datetime(2024, 1, 10), datetime(2024, 1, 20))
     backfill(pipeline, messages, "2024-01-10")
     return _public(pipeline.state.served())
 

@@ -6,10 +6,13 @@ The broker connector is a package that is given to the session at start-up
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import contract as C
+from tidemark.functions.safe import instant
 
 
 def kafka_read_options(
@@ -38,16 +41,26 @@ def kafka_stream(spark: SparkSession, servers: str, **kwargs) -> DataFrame:
     return _message_columns(spark.readStream.format("kafka").options(**options).load())
 
 
+def kafka_range_options(
+    servers: str, topic: str, begin: datetime, end: datetime,
+) -> dict[str, str]:
+    """Times apply to every partition; a partition without later messages adds none."""
+    return {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingTimestamp": _millis(begin),
+        "endingTimestamp": _millis(end),
+        "startingOffsetsByTimestampStrategy": "latest",
+        "failOnDataLoss": "false",
+    }
+
+
 def kafka_range(
-    spark: SparkSession, servers: str, topic: str, starting: str, ending: str,
+    spark: SparkSession, servers: str, topic: str, begin: datetime, end: datetime,
 ) -> DataFrame:
-    """A bounded range of a topic for a backfill, between two offset or time JSONs."""
-    return _message_columns(
-        spark.read.format("kafka").option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsetsByTimestamp", starting)
-        .option("endingOffsetsByTimestamp", ending).load()
-    )
+    """A bounded range of a topic, for a backfill."""
+    options = kafka_range_options(servers, topic, begin, end)
+    return _message_columns(spark.read.format("kafka").options(**options).load())
 
 
 def write_kafka(letters: DataFrame, servers: str, topic: str = C.DEAD_LETTER_TOPIC) -> None:
@@ -66,11 +79,16 @@ def file_stream(
     return reader.parquet(folder)
 
 
-def arrived_between(messages: DataFrame, start: str, end: str) -> DataFrame:
-    """Messages that arrived in [start, end)."""
+def arrived_between(messages: DataFrame, begin: datetime, end: datetime) -> DataFrame:
+    """Messages that arrived in [begin, end); naive times are UTC."""
     arrived = F.col("timestamp")
-    return messages.filter(
-        (arrived >= F.lit(start).cast("timestamp")) & (arrived < F.lit(end).cast("timestamp")))
+    return messages.filter((arrived >= instant(begin)) & (arrived < instant(end)))
+
+
+def _millis(moment: datetime) -> str:
+    if moment.tzinfo is None:
+        moment = moment.replace(tzinfo=timezone.utc)
+    return str(int(moment.timestamp() * 1000))
 
 
 def _message_columns(messages: DataFrame) -> DataFrame:

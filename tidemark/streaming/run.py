@@ -5,13 +5,17 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark.plans.batch import OrderPipeline
 from tidemark.sources import files
 
-OFFSETS = "batch_id bigint, topic string, partition int, end_offset bigint, committed_offset bigint"
+OFFSETS = (
+    "reported_at string, batch_id bigint, topic string, partition int, end_offset bigint, "
+    "committed_offset bigint"
+)
 
 
 def start(
@@ -38,7 +42,7 @@ def start(
 
 
 def progress_offsets(progress: dict) -> list[tuple]:
-    """(batch, topic, partition, newest offset, offset read) of one progress report.
+    """One row per topic partition of a progress report: newest offset and offset read.
 
     The stream keeps its own offsets, so lag is taken from what it reports and
     not from a consumer group, to which it never commits.
@@ -49,7 +53,8 @@ def progress_offsets(progress: dict) -> list[tuple]:
         for topic, partitions in newest.items():
             for partition, end in partitions.items():
                 done = read.get(topic, {}).get(partition)
-                rows.append((progress["batchId"], topic, int(partition), end, done))
+                rows.append((
+                    progress.get("timestamp"), progress["batchId"], topic, int(partition), end, done))
     return rows
 
 
@@ -60,6 +65,16 @@ def _offsets(value) -> dict:
     return {t: p for t, p in value.items() if isinstance(p, dict)}
 
 
+def newest_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """Offsets of the last report of every topic partition."""
+    last = F.max_by(F.struct("end_offset", "committed_offset"), F.struct("reported_at", "batch_id"))
+    return (
+        spark.read.schema(OFFSETS).parquet(path)
+        .groupBy("topic", "partition").agg(last.alias("last"))
+        .select("topic", "partition", "last.*")
+    )
+
+
 class LagReporter(StreamingQueryListener):
     """Appends the offsets of every n-th non-empty batch to a table."""
 
