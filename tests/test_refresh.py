@@ -10,7 +10,7 @@ from tidemark.operators import quality
 from tidemark.plans.batch import OrderPipeline
 from tidemark.plans.refresh import StageFailure, extract, publish, refresh_dimension, validate
 from tidemark.sources import files
-from tidemark.sources.snapshots import DimensionCache, SnapshotStore
+from tidemark.sources.snapshots import DimensionCache, SnapshotStore, memory_bytes
 
 CLOCK = datetime(2001, 8, 2)
 
@@ -101,3 +101,13 @@ def test_pointer_is_replaced_whole(spark, tmp_path):
         files.replace_json(spark, path, {"n": n})
     assert files.read_json(spark, path) == {"n": 2}
     assert files.size_bytes(spark, str(tmp_path)) > 0
+
+
+def test_memory_bound_follows_the_text_and_not_the_files(spark, tmp_path):
+    """Repeated text is stored once in Parquet, but takes its place in memory."""
+    frame = spark.range(2000).selectExpr("id AS customer_id", "repeat('x', 1000) AS name")
+    frame.write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    assert files.size_bytes(spark, f"{tmp_path}/rows") < 200_000
+    assert 2000 * 1000 < memory_bytes(stored) < 2000 * 1200
+    assert memory_bytes(stored.limit(0)) == 0

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import contract as C
+from tidemark.functions.safe import instant
 from tidemark.session import use_utc
 from tidemark.sources import files
 
@@ -21,6 +22,7 @@ CATEGORIES = ("Electronics", "Grocery", "Apparel", "Home")
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 SPLIT_BYTES = 32 * 1024 * 1024
 QUALITY_CLOCK = datetime(2001, 8, 2)
+CORRUPT_UNTIL = datetime(2001, 7, 25)
 SECOND_VERSION_AT = datetime(2024, 1, 16)
 RULES = C.QualityRules(allowed=SEGMENTS)
 
@@ -137,11 +139,14 @@ def source_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corrupt_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The source with one kind of damage per check of the quality gate."""
+    """The source with one kind of damage per check of the quality gate.
+
+    The newest changes are missing, as in a snapshot that was taken too early.
+    """
     key = F.col("customer_id")
     day = F.date_format("signup_date", "yyyy-MM-dd")
     return (
-        source_customers(spark, sf_dir).filter(key % 25 != 24)
+        source_customers(spark, sf_dir).filter(F.col("updated_at") < instant(CORRUPT_UNTIL))
         .select(
             F.when(key % 50 == 3, "abc").when(key % 50 == 7, (-key).cast("string"))
             .when(key % 50 == 11, "1").otherwise(key.cast("string")).alias("id"),

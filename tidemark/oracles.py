@@ -91,7 +91,7 @@ corrupt AS (
     CASE WHEN customer_id % 60 = 9 THEN 'not-a-date' WHEN customer_id % 60 = 10 THEN '2030-01-01'
       ELSE strftime(signup_date, '%Y-%m-%d') END AS signup_date,
     updated_at
-  FROM source WHERE customer_id % 25 <> 24)
+  FROM source WHERE updated_at < TIMESTAMP '2001-07-25')
 """
 
 _ALLOWED = ", ".join(f"'{s}'" for s in SEGMENTS)

@@ -25,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CFG = C.PipelineConfig()
 TRAILING_NOW = datetime(2024, 1, 16)
 QUERIES: dict[str, Query] = {}
+_MEASURED: dict[str, int] = {}
 
 
 def query(function: Query) -> Query:
@@ -46,7 +47,10 @@ def _whole_feed(spark: SparkSession, sf_dir: str) -> AppliedBatch:
 
 
 def _customer_bytes(spark: SparkSession, sf_dir: str) -> int:
-    return memory_bytes(spark, f"{sf_dir}/customer.parquet")
+    """Measured once per table, as a catalog keeps it with a table."""
+    if sf_dir not in _MEASURED:
+        _MEASURED[sf_dir] = memory_bytes(enrich.enrichment_columns(X.customers(spark, sf_dir)))
+    return _MEASURED[sf_dir]
 
 
 def _enriched(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
@@ -459,7 +463,8 @@ def dim_scd2(spark, sf_dir):
 def enrich_as_of(spark, sf_dir):
     joined = history.enrich_as_of(
         _fresh(spark, sf_dir), _history(spark, sf_dir),
-        2 * _customer_bytes(spark, sf_dir), CFG.broadcast_limit_bytes)
+        # At most two ranges per customer, with two more fields each.
+        3 * _customer_bytes(spark, sf_dir), CFG.broadcast_limit_bytes)
     return _as_of_columns(joined)
 
 

@@ -7,17 +7,24 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.enrich import enrichment_columns
 from tidemark.sources import files
 
-# Upper estimate of how much larger rows are in memory than in Parquet.
-STORED_TO_MEMORY = 10
+# Memory of a row and of each of its fields beside the text they hold; generous.
+ROW_BYTES, FIELD_BYTES = 64, 16
 
 
-def memory_bytes(spark: SparkSession, *paths: str) -> int:
-    """Upper estimate of the memory that stored rows take."""
-    return STORED_TO_MEMORY * sum(files.size_bytes(spark, p) for p in paths)
+def memory_bytes(frame: DataFrame) -> int:
+    """Upper bound of the memory that rows take once decoded, measured on all of them."""
+    size = F.lit(ROW_BYTES + FIELD_BYTES * len(frame.columns)).cast("bigint")
+    for column in frame.schema:
+        if not isinstance(column.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)):
+            text = F.octet_length(F.col(column.name).cast("string"))
+            size = size + F.coalesce(text, F.lit(0))
+    return frame.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
 
 
 @dataclass
@@ -48,7 +55,7 @@ class SnapshotStore:
         version = (self.current() or {"version": 0})["version"] + 1
         entry = {
             "version": version, "path": candidate,
-            "bytes": memory_bytes(self.spark, candidate),
+            "bytes": memory_bytes(self.spark.read.parquet(candidate)),
         }
         files.replace_json(self.spark, self.pointer, entry)
         return entry
@@ -79,7 +86,7 @@ class DimensionCache:
     _read_at: float = field(default=0.0, init=False)
 
     def get(self) -> tuple[DataFrame, int]:
-        """Enrichment columns and memory estimate of the current version."""
+        """Enrichment columns of the current version and the bound of its memory."""
         entry = self.store.current()
         if entry is None:
             raise FileNotFoundError(f"no published snapshot below {self.store.root}")
