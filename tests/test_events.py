@@ -94,3 +94,12 @@ def test_triage_counts_by_window(spark):
     rows = deadletter.triage(deadletter.envelope(events.rejected(frame))).select(
         "reject_reason", "n", F.col("window_start").cast("string")).collect()
     assert sorted((r[0], r[1]) for r in rows) == [("late_event", 1), ("schema_or_parse_failure", 2)]
+
+
+def test_letters_read_back_from_their_topic(spark):
+    frame = events.judge(events.parse(messages(spark, [event("a", 7, age_s=9000), "junk"])))
+    sent = deadletter.envelope(events.rejected(frame, NOW)).select("key", "value")
+    letters = deadletter.from_messages(sent)
+    assert {(r.reject_reason, r.lsn) for r in deadletter.read_back(letters).collect()} == {
+        (C.REASON_LATE, 7), (C.REASON_INVALID, None)}
+    assert {r.arrived_at for r in letters.collect()} == {NOW.replace(tzinfo=None)}

@@ -36,11 +36,10 @@ def batch_counters(judged: DataFrame, guarded: DataFrame, *keys: str) -> DataFra
         F.count_if(kept & (F.col("op") == "U")).alias("updates"),
         F.count_if(kept & ~F.col("op").isin(*C.OPS)).alias("unknown_ops"),
     )
-    if keys:
-        both = per_event.join(per_order, list(keys), "left").fillna(0)
-    else:
-        marker = F.lit(1).alias("_one")
-        both = per_event.select("*", marker).join(per_order.select("*", marker), "_one").drop("_one")
+    # Stacked rather than joined: each side fills its own columns of a batch.
+    stacked = per_event.unionByName(per_order, allowMissingColumns=True)
+    names = [c for c in stacked.columns if c not in keys]
+    both = stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names]).fillna(0, names)
     total = sum(F.col(c) for c in ("invalid", "late", "superseded", "stale", "upserts", "deletes"))
     return (
         both.withColumn("superseded", F.col("accepted") - F.col("winners")).drop("winners")

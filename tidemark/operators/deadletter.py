@@ -18,6 +18,15 @@ def envelope(rejected: DataFrame) -> DataFrame:
     )
 
 
+def from_messages(messages: DataFrame) -> DataFrame:
+    """Dead letters as they come back from their topic; reason and time are in the value."""
+    text = F.col("value").cast("string")
+    return messages.select(
+        "key", "value", F.get_json_object(text, "$.reject_reason").alias("reject_reason"),
+        F.try_to_timestamp(F.get_json_object(text, "$.arrived_at")).alias("arrived_at"),
+    )
+
+
 def read_back(letters: DataFrame) -> DataFrame:
     """Fields of dead letters, read from their JSON value."""
     schema = ", ".join(

@@ -109,9 +109,9 @@ def quality_report(
     expected = set()
     if source is not None:
         expected = set(source.columns) & {"row_count", "max_updated_at"}
-        one = F.lit(1).alias("_one")
-        wide = wide.select("*", one).join(
-            F.broadcast(source.select(*expected, one)), "_one", "left")
+        # Two one-row frames, stacked rather than joined.
+        wide = wide.unionByName(source.select(*expected), allowMissingColumns=True)
+        wide = wide.agg(*[F.max(c).alias(c) for c in wide.columns])
 
     rows = F.col("rows")
     missing = [c for c in rules.required if c not in frame.columns]
