@@ -15,8 +15,8 @@ from tidemark.sources.order_state import OrderState
 
 def pipeline(spark, root, **settings):
     frame = dimension(spark)
-    return OrderPipeline(
-        spark, str(root), lambda: (frame, 1000), C.PipelineConfig(state_buckets=4, **settings))
+    settings = {"state_buckets": 4, "level_bytes_per_bucket": 0, **settings}
+    return OrderPipeline(spark, str(root), lambda: (frame, 1000), C.PipelineConfig(**settings))
 
 
 def served(job):
@@ -54,10 +54,12 @@ def newest(feed):
     }
 
 
-@pytest.mark.parametrize("seed, cache", [(1, True), (2, True), (3, False)])
-def test_batches_in_any_order_converge(spark, tmp_path, seed, cache):
+@pytest.mark.parametrize("seed, cache, level_bytes", [
+    (1, True, 0), (2, True, 1024 * 1024), (3, False, 0)])
+def test_batches_in_any_order_converge(spark, tmp_path, seed, cache, level_bytes):
     feed = random_feed(seed)
-    job = pipeline(spark, tmp_path, cache_batch=cache, compact_after=2)
+    job = pipeline(
+        spark, tmp_path, cache_batch=cache, compact_after=2, level_bytes_per_bucket=level_bytes)
     size = 50
     for i in range(0, len(feed), size):
         job.apply(messages(spark, feed[i:i + size], i), i // size, "run")
@@ -193,6 +195,21 @@ def test_small_merges_leave_the_large_level_alone(spark, tmp_path):
     assert job.state.rows().filter("op = 'D'").count() == 1
 
 
+def test_small_batches_merge_as_plain_files(spark, tmp_path):
+    job = pipeline(spark, tmp_path, level_bytes_per_bucket=1024 * 1024, compact_after=2)
+    for batch, feed in enumerate([
+        [event("a", 1), event("b", 2)], [event("a", 3, "D")], [event("c", 4)], [event("b", 5)],
+        [event("a", 2)],
+    ]):
+        job.apply(messages(spark, feed), batch, "run")
+        manifest = job.state.manifest()
+        assert not manifest["levels"] and len(manifest["deltas"]) <= 2
+    assert {k: v[0] for k, v in served(job).items()} == {"b": 5, "c": 4}
+    job.state.compact(full=True)
+    assert len(job.state.manifest()["levels"]) == 1
+    assert {k: v[0] for k, v in served(job).items()} == {"b": 5, "c": 4}
+
+
 @pytest.mark.parametrize("tombstones, live", [(True, {"b": 2}), (False, {"a": 1, "b": 2})])
 def test_a_delete_hides_rows_of_lower_levels(spark, tmp_path, tombstones, live):
     job = pipeline(spark, tmp_path, tombstones=tombstones, merge_factor=0)

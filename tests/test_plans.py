@@ -71,7 +71,7 @@ def scans_without_exchange(text, tables) -> bool:
 
 def test_levels_of_the_state_are_never_shuffled(spark, tmp_path):
     frame = dimension(spark)
-    cfg = C.PipelineConfig(merge_factor=0)
+    cfg = C.PipelineConfig(merge_factor=0, level_bytes_per_bucket=0)
     job = OrderPipeline(spark, str(tmp_path), lambda: (frame, 100), cfg)
     for batch, feed in enumerate([[event("a", 1), event("b", 2)], [event("a", 3)]]):
         job.apply(messages(spark, feed), batch, "run")

@@ -128,8 +128,10 @@ class PipelineConfig:
     # Fixed when a state table is created: at least the shuffle partitions (the
     # default), and enough for about 1 GB per bucket.
     state_buckets: int | None = None
-    # Batches that are kept beside the levels before they are merged.
+    # Number of batch folders at which they are merged.
     compact_after: int = 16
+    # Below this size they are merged as plain files, to spare small bucket files.
+    level_bytes_per_bucket: int = 1024 * 1024
     # A level is merged once it is at most this much larger than what is above.
     merge_factor: int = 4
     # Largest dimension, in memory, that is copied to every executor.

@@ -304,7 +304,7 @@ def replay_idempotence(spark, sf_dir):
     pipeline = _pipeline(spark, sf_dir, "replay")
     messages = X.order_messages(spark, sf_dir)
     _apply_out_of_order(pipeline, messages)
-    pipeline.state.compact()
+    pipeline.state.compact(full=True)
     pipeline.apply(messages, 0, "replay")
     return pipeline.metrics().drop("recorded_at")
 

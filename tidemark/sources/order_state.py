@@ -26,9 +26,10 @@ class OrderState:
 
     A commit adds the changed rows of a batch as a folder and then replaces the
     pointer file that lists the live folders. Now and then the folders are
-    merged into a level, a table bucketed by order, so that neither the version
-    guard nor a later merge shuffles it. A level is rewritten only once what
-    lies above it has grown to a fair share of its size.
+    merged: while they are small into one folder, then into a level, a table
+    bucketed by order, so that neither the version guard nor a later merge
+    shuffles it. A level is rewritten only once what lies above it has grown to
+    a fair share of its size.
     """
 
     spark: SparkSession
@@ -57,20 +58,20 @@ class OrderState:
         return self.spark.table(name)
 
     def recent(self, manifest: dict) -> DataFrame:
-        """Newest row of every order changed since the last merge."""
+        """Newest row of every order changed since the last level was written."""
         rows = self.spark.read.schema(DELTA).parquet(*manifest["deltas"])
         if len(manifest["deltas"]) == 1:
-            return rows.drop("commit")
+            return rows
         newest = Window.partitionBy("order_id").orderBy(F.col("commit").desc())
         return (
             rows.withColumn("_rank", F.row_number().over(newest))
-            .filter(F.col("_rank") == 1).drop("_rank", "commit")
+            .filter(F.col("_rank") == 1).drop("_rank")
         )
 
     def parts(self, manifest: dict) -> list[DataFrame]:
         """The levels and the recent rows, oldest first; each holds an order once."""
         found = [self.level(entry["path"], manifest["buckets"]) for entry in manifest["levels"]]
-        return found + ([self.recent(manifest)] if manifest["deltas"] else [])
+        return found + ([self.recent(manifest).drop("commit")] if manifest["deltas"] else [])
 
     def rows(self) -> DataFrame:
         """The whole table, tombstones included."""
@@ -117,7 +118,7 @@ class OrderState:
         })
 
     def compact(self, now: datetime | None = None, full: bool = False) -> None:
-        """Merge the batches into a level, bucket by bucket.
+        """Merge the batches, as plain files or into a level, bucket by bucket.
 
         Levels that are not much larger than what is merged into them are taken
         along, all of them with ``full``. Tombstones whose retention has passed
@@ -131,28 +132,42 @@ class OrderState:
             manifest["buckets"] or self.cfg.state_buckets
             or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         )
-        below, taken = list(manifest["levels"]), []
         size = sum(files.size_bytes(self.spark, path) for path in manifest["deltas"])
+        if full or size >= buckets * self.cfg.level_bytes_per_bucket:
+            self._write_level(manifest, buckets, size, now, full)
+        elif len(manifest["deltas"]) > 1:
+            path = f"{self.root}/delta/{manifest['commit'] + 1:010d}"
+            self.recent(manifest).write.mode("overwrite").parquet(path)
+            self._replace(manifest, manifest["deltas"], deltas=[path])
+
+    def _write_level(
+        self, manifest: dict, buckets: int, size: int, now: datetime | None, full: bool,
+    ) -> None:
+        below, taken = list(manifest["levels"]), []
         while below and (full or below[-1]["bytes"] <= self.cfg.merge_factor * size):
             taken.insert(0, below.pop())
             size += taken[0]["bytes"]
         parts = [self.level(entry["path"], buckets) for entry in taken]
         if manifest["deltas"]:
-            parts.append(self.recent(manifest).repartition(buckets, "order_id"))
+            # One file per bucket.
+            parts.append(self.recent(manifest).drop("commit").repartition(buckets, "order_id"))
         merged = replace_rows(parts)
         if not below:
             merged = self._without_expired(merged, now)
-        number = manifest["commit"] + 1
-        path = f"{self.root}/level/{number:010d}"
+        path = f"{self.root}/level/{manifest['commit'] + 1:010d}"
         (
             merged.write.mode("overwrite").format("parquet").option("path", path)
             .bucketBy(buckets, "order_id").sortBy("order_id").saveAsTable(_table_name(path))
         )
         entry = {"path": path, "bytes": files.size_bytes(self.spark, path)}
+        self._replace(
+            manifest, [*(e["path"] for e in taken), *manifest["deltas"]],
+            levels=[*below, entry], buckets=buckets, deltas=[])
+
+    def _replace(self, manifest: dict, replaced: list[str], **live) -> None:
+        """Switch readers to the merged folders and remove what the last merge replaced."""
         files.replace_json(self.spark, self.pointer, {
-            **manifest, "commit": number, "levels": [*below, entry], "buckets": buckets,
-            "deltas": [], "retired": [*(e["path"] for e in taken), *manifest["deltas"]],
-        })
+            **manifest, **live, "commit": manifest["commit"] + 1, "retired": replaced})
         for old in manifest["retired"]:
             self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(old)}")
             files.remove(self.spark, old)
