@@ -4,6 +4,7 @@ import pytest
 from helpers import NOW, event, messages
 from test_streaming import PROGRESS
 
+from tidemark import contract as C
 from tidemark import fixtures as X
 from tidemark.jobs import arguments, main
 from tidemark.plans.batch import OrderPipeline
@@ -59,7 +60,7 @@ def test_stream_backfill_and_audit(spark, root):
 
 
 def test_lag_of_the_last_report(spark, root):
-    reporter = LagReporter(spark, f"{root}/lag", every=1)
+    reporter = LagReporter(spark, f"{root}/lag", C.PipelineConfig(lag_report_every=1))
     reporter.record({**PROGRESS, "timestamp": "2024-05-01T00:00:00.000Z", "batchId": 90})
     caught_up = {"endOffset": {"orders_stream": {"0": 100}}, "latestOffset": {"orders_stream": {"0": 101}}}
     reporter.record({

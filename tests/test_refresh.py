@@ -111,3 +111,13 @@ def test_memory_bound_follows_the_text_and_not_the_files(spark, tmp_path):
     assert files.size_bytes(spark, f"{tmp_path}/rows") < 200_000
     assert 2000 * 1000 < memory_bytes(stored) < 2000 * 1200
     assert memory_bytes(stored.limit(0)) == 0
+
+
+def test_replaced_snapshot_stays_until_the_next_one(spark, store):
+    paths = []
+    for n in range(3):
+        paths.append(store.write_candidate(spark.range(n + 1).withColumnRenamed("id", "customer_id")))
+        store.publish(paths[-1])
+        assert store.publish(paths[-1])["version"] == n + 1
+    assert [files.exists(spark, p) for p in paths] == [False, True, True]
+    assert store.read().count() == 3

@@ -104,9 +104,16 @@ def test_file_sources_report_no_lag():
 
 
 def test_reporter_records_every_nth_batch(spark, tmp_path):
-    reporter = LagReporter(spark, f"{tmp_path}/lag", every=2)
+    reporter = LagReporter(spark, f"{tmp_path}/lag", C.PipelineConfig(lag_report_every=2))
     for n in range(5):
         reporter.record({**PROGRESS, "batchId": n})
     reporter.record({**PROGRESS, "numInputRows": 0})
     recorded = spark.read.parquet(f"{tmp_path}/lag")
     assert sorted({r.batch_id for r in recorded.collect()}) == [1, 3]
+
+
+@pytest.mark.parametrize("offsets, warned", [(6, True), (7, False)])
+def test_reporter_warns_of_lag(spark, tmp_path, caplog, offsets, warned):
+    cfg = C.PipelineConfig(lag_report_every=1, max_offsets_per_trigger=offsets)
+    LagReporter(spark, f"{tmp_path}/lag", cfg).record(PROGRESS)
+    assert ("69 messages behind" in caplog.text) is warned

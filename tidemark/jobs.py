@@ -137,7 +137,7 @@ def run_stream(spark: SparkSession, args) -> int:
             spark, args.servers, topic=args.topic, group=args.group, cfg=job.cfg)
     else:
         messages = topics.file_stream(spark, args.inbox)
-    reporter = LagReporter(spark, f"{args.root}/lag", job.cfg.lag_report_every)
+    reporter = LagReporter(spark, f"{args.root}/lag", job.cfg)
     spark.streams.addListener(reporter)
     try:
         start(messages, job, f"{args.root}/checkpoint", args.available_now).awaitTermination()

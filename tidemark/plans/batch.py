@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
@@ -15,6 +16,8 @@ from tidemark.operators import counters, deadletter, enrich, events, versions
 from tidemark.sources import files
 from tidemark.sources.order_state import OrderState
 
+log = logging.getLogger("tidemark")
+
 Dimension = Callable[[], tuple[DataFrame, int | None]]
 Hold = Callable[[str, DataFrame], DataFrame]
 
@@ -108,6 +111,8 @@ class OrderPipeline:
             counted = batch.counters().first().asDict()
             if counted["processed"] == 0:
                 return
+            log.log(logging.INFO if counted["reconciles"] else logging.ERROR,
+                    "batch %d of %s: %s", batch_id, run_id, counted)
             if counted["invalid"] + counted["late"] > 0:
                 self._write_letters(batch.letters(now), run_id, batch_id)
             self._write_counters(counted, run_id, batch_id, now)

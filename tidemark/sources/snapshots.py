@@ -51,13 +51,21 @@ class SnapshotStore:
         return files.read_json(self.spark, self.pointer)
 
     def publish(self, candidate: str) -> dict:
-        """Make a validated candidate the current version, without copying it."""
-        version = (self.current() or {"version": 0})["version"] + 1
+        """Make a validated candidate the current version, without copying it.
+
+        The version it replaces stays for those who still read it, until the
+        next one is published.
+        """
+        before = self.current() or {"version": 0, "path": None, "previous": None}
+        if before["path"] == candidate:
+            return before
         entry = {
-            "version": version, "path": candidate,
+            "version": before["version"] + 1, "path": candidate, "previous": before["path"],
             "bytes": memory_bytes(self.spark.read.parquet(candidate)),
         }
         files.replace_json(self.spark, self.pointer, entry)
+        if before["previous"] is not None:
+            files.remove(self.spark, before["previous"])
         return entry
 
     def quarantine(self, candidate: str, report: DataFrame) -> str:

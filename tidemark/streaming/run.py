@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import json
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from tidemark import contract as C
 from tidemark.plans.batch import OrderPipeline
 from tidemark.sources import files
 
+log = logging.getLogger("tidemark")
+
 OFFSETS = (
     "reported_at string, batch_id bigint, topic string, partition int, end_offset bigint, "
     "committed_offset bigint"
@@ -76,10 +80,14 @@ def newest_offsets(spark: SparkSession, path: str) -> DataFrame:
 
 
 class LagReporter(StreamingQueryListener):
-    """Appends the offsets of every n-th non-empty batch to a table."""
+    """Appends the offsets of every n-th non-empty batch to a table.
+
+    Warns when more messages wait than the stream could take in many batches.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, every: int = 5):
-        self.spark, self.path, self.every = spark, path, every
+    def __init__(self, spark: SparkSession, path: str, cfg: C.PipelineConfig = C.PipelineConfig()):
+        self.spark, self.path, self.every = spark, path, cfg.lag_report_every
+        self.limit = cfg.max_offsets_per_trigger * cfg.lag_warn_factor
         self.seen = 0
 
     def onQueryStarted(self, event) -> None:
@@ -101,5 +109,8 @@ class LagReporter(StreamingQueryListener):
         if self.seen % self.every:
             return
         rows = progress_offsets(progress)
+        waiting = sum(end - (done or 0) for *_, end, done in rows)
+        if waiting > self.limit:
+            log.warning("%d messages behind, limit %d", waiting, self.limit)
         if rows:
             self.spark.createDataFrame(rows, OFFSETS).coalesce(1).write.mode("append").parquet(self.path)
