@@ -8,7 +8,6 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.session import shared_folder
 from tidemark.sources import files
@@ -58,10 +57,16 @@ class Scratch:
             files.remove(self.spark, one.path_written)
 
 
-def arrow_schema(ddl: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
+          "boolean": pa.bool_(), "binary": pa.binary()}
 
-    return to_arrow_schema(T.StructType.fromDDL(ddl))
+
+def arrow_schema(columns: str) -> pa.Schema:
+    """Arrow schema of "name type, ..."; can be made without a session, as in a task."""
+    def kind(name: str) -> pa.DataType:
+        return pa.list_(kind(name[6:-1])) if name.startswith("array<") else _ARROW[name]
+
+    return pa.schema([(c.split()[0], kind(c.split()[1])) for c in columns.split(", ")])
 
 
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:

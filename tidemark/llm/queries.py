@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, sharding
+from tidemark.llm import html_text, packing, quality, sharding, toxicity
 from tidemark.llm.common import table
 
 
@@ -18,11 +18,24 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark, table(spark, sf_dir, "pages"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op9_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op5_toxicity, op6_html_extraction, op8_quality, op9_sharding)}
 
 #: The draws use xxhash64 and the checks crc32, which the SQL engine of the tests lacks;
 #: the other operators are models, alignments or searches. All are tested by brute force.
