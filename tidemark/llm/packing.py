@@ -12,7 +12,9 @@ ids are packed each on its own; an empty table gives no rows. Other columns are
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,58 +31,71 @@ LEAST_CUT = 16
 #: So many partitions' leftovers, each of at most OPEN_WINDOWS windows, are merged by one task.
 MERGE = 32
 END_ID = 1
-CACHE_WORDS = 300_000
+#: Words in each of two generations of the cache.
+CACHE_WORDS = 400_000
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
 STAGED = PIECES + ", part int, ids binary"
 
 
+class _Known(dict):
+    """Ids by word; words not met lately are taken from the generation before, or encoded."""
+
+    def __init__(self, encode, before: dict[bytes, bytes]):
+        super().__init__()
+        self.encode, self.before = encode, before
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
+
+
 class WordIds:
     """Ids of texts by a public tokenizer, word by word.
 
-    The tokenizer never joins characters across ASCII white space, so the ids of a
-    text are those of its words in order. Words are looked up in a bounded cache.
+    The tokenizer never joins characters across ASCII white space, so the ids of a text
+    are those of its words in order. Nor does it join letters with a comma or full stop,
+    so a word's letters are encoded by its model alone: lower case in normal form, which
+    is all that its normaliser would do, as the byte alphabet of its vocabulary. Any
+    other word takes the whole tokenizer. Words are looked up in a bounded cache.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), cache_words
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8") for w in words], add_special_tokens=False)
-        for word, one in zip(words, found):
-            self.cores[word] = np.asarray(one.ids, dtype="<u4").tobytes()
-
-    def _learn(self, missing: list[bytes]) -> None:
-        """Letters before a comma or full stop are encoded once, in whatever case (ASCII)."""
-        parts = []
-        for word in missing:
-            low = word.lower() if word.isascii() else word
-            core = low.rstrip(b".,")
-            if core != low and core and core.decode("utf-8").isalpha():
-                parts.append((word, core, low[len(core):]))
-            else:
-                parts.append((word, low, b""))
-        self._encode(list({p for _, *pair in parts for p in pair if p and p not in self.cores}))
-        for word, core, tail in parts:
-            self.words[word] = self.cores[core] + (self.cores[tail] if tail else b"")
+        self.model = self.tokenizer.model
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = (b for b in range(256) if b not in plain)
+        self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+        self.known = _Known(self._encode, {})
+
+    def _encode(self, word: bytes) -> bytes:
+        low = word.lower() if word.isascii() else word
+        core = low.rstrip(b".,")
+        if core != word and core:
+            if core == low:
+                return self.known[low]
+            if unicodedata.normalize("NFC", core.decode("utf-8")).lower().isalpha():
+                return self.known[core] + self.known[low[len(core):]]
+        text = low.decode("utf-8")
+        if text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text):
+            ids = [t.id for t in self.model.tokenize(low.decode("latin-1").translate(self.alphabet))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if len(self.words) + len(self.cores) > self.limit:
-            self.words.clear()
-            self.cores.clear()
-        split, words = (text or "").encode("utf-8").split(), self.words
-        try:
-            return b"".join([words[w] for w in split])
-        except KeyError:
-            self._learn([w for w in set(split) if w not in words])
-            return b"".join([words[w] for w in split])
+        known = self.known
+        if len(known) > self.limit:
+            known = self.known = _Known(self._encode, known)
+            known.before.before = {}
+        return b"".join([known[w] for w in (text or "").encode("utf-8").split()])
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
