@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import html_text, packing, quality, sharding, toxicity
+from tidemark.llm import decontamination, html_text, licenses, packing, quality, sharding, toxicity, vectors
 from tidemark.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -26,6 +30,10 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spark, table(spark, sf_dir, "pages"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,8 +42,14 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.overlaps(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op5_toxicity, op6_html_extraction, op8_quality, op9_sharding)}
+    op1_packing, op3_embeddings, op5_toxicity, op6_html_extraction, op7_licenses, op8_quality, op9_sharding,
+    op10_decontamination)}
 
 #: The draws use xxhash64 and the checks crc32, which the SQL engine of the tests lacks;
 #: the other operators are models, alignments or searches. All are tested by brute force.
