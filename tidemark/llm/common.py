@@ -90,3 +90,25 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def id_crc(doc_id: Column) -> Column:
     """crc32 of an id as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
+class WordCache(dict):
+    """Values by word, of two bounded generations: words not met lately are forgotten."""
+
+    def __init__(self, make, before: dict | None = None, most: int = 300_000):
+        super().__init__()
+        self.make, self.before, self.most = make, before or {}, most
+
+    def __missing__(self, word):
+        value = self.before.get(word)
+        if value is None:
+            value = self.make(word)
+        self[word] = value
+        return value
+
+    def renewed(self) -> WordCache:
+        """The cache to go on with; call it between texts."""
+        if len(self) <= self.most:
+            return self
+        self.before = {}
+        return WordCache(self.make, self, self.most)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, arrow_schema, batches, with_workers
+from tidemark.llm.common import Scratch, WordCache, arrow_schema, batches, with_workers
 
 WINDOW = 2048
 OPEN_WINDOWS = 64
@@ -39,21 +39,6 @@ PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
 STAGED = PIECES + ", part int, ids binary"
 
 
-class _Known(dict):
-    """Ids by word; words not met lately are taken from the generation before, or encoded."""
-
-    def __init__(self, encode, before: dict[bytes, bytes]):
-        super().__init__()
-        self.encode, self.before = encode, before
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.before.get(word)
-        if ids is None:
-            ids = self.encode(word)
-        self[word] = ids
-        return ids
-
-
 class WordIds:
     """Ids of texts by a public tokenizer, word by word.
 
@@ -67,12 +52,12 @@ class WordIds:
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), cache_words
+        self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = (b for b in range(256) if b not in plain)
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
-        self.known = _Known(self._encode, {})
+        self.known = WordCache(self._encode, most=cache_words)
 
     def _encode(self, word: bytes) -> bytes:
         low = word.lower() if word.isascii() else word
@@ -91,10 +76,7 @@ class WordIds:
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        known = self.known
-        if len(known) > self.limit:
-            known = self.known = _Known(self._encode, known)
-            known.before.before = {}
+        known = self.known = self.known.renewed()
         return b"".join([known[w] for w in (text or "").encode("utf-8").split()])
 
 

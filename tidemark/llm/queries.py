@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, html_text, licenses, packing, quality, sharding, toxicity, vectors
+from tidemark.llm import bagminhash, decontamination, hmm, html_text, licenses, packing, quality, sharding, toxicity, vectors
 from tidemark.llm.common import table
 
 
@@ -18,10 +18,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(spark, table(spark, sf_dir, "documents")).drop("row_no")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,7 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op3_embeddings, op5_toxicity, op6_html_extraction, op7_licenses, op8_quality, op9_sharding,
+    op1_packing, op2_hidden_markov, op3_embeddings, op4_minhash, op5_toxicity, op6_html_extraction, op7_licenses, op8_quality, op9_sharding,
     op10_decontamination)}
 
 #: The draws use xxhash64 and the checks crc32, which the SQL engine of the tests lacks;
