@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,19 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list], np.ndarray]]) -> DataFrame:
+    """Rows whose text passes, with all columns; ``make`` is called once in each task and
+    gives the test of a list of texts."""
+    at = docs.columns.index("text")
+
+    def run(rows):
+        passes = make()
+        for batch in rows:
+            yield batch.filter(pa.array(passes(batch.column(at).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def id_crc(doc_id: Column) -> Column:
     """crc32 of an id as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, arrow_schema, batches, with_workers
+from tidemark.llm.common import Scratch, arrow_schema, batches, filter_texts, with_workers
 
 SEED_WORDS = 3
 #: One seed for so many successive sequences.
@@ -158,84 +158,83 @@ def _regions(places: list[int], length: int, end: int) -> list[tuple[int, int]]:
     return [tuple(r) for r in out]
 
 
-def _find(coded: Coded, ids: list, items: list[np.ndarray],
-          seeds: dict[int, dict[int, list[int]]], least: float):
-    """Scores of all pairs of a document and an item that share a seed."""
-    keys = {size: np.array(sorted(found)) for size, found in seeds.items()}
+class Block:
+    """A bounded number of items with their seeds."""
+
+    def __init__(self, ids: list, coded: Coded, items: list[np.ndarray],
+                 seeds: dict[int, dict[int, list[int]]]):
+        self.ids, self.coded, self.items, self.seeds = ids, coded, items, seeds
+        self.keys = {size: np.array(sorted(found)) for size, found in seeds.items()}
+
+    def _score(self, waiting: list[tuple], best: dict[tuple, tuple]) -> None:
+        """Align stretches (text, item, seeds, place, words), wide and narrow ones apart."""
+        waiting.sort(key=lambda w: len(w[4]))
+        while waiting:
+            wide = len(waiting[-1][4])
+            part = waiting[-max(1, CELLS // 20 // wide):]
+            del waiting[-len(part):]
+            long = max(len(self.items[k]) for _, k, *_ in part)
+            left, right = np.zeros((len(part), long), int), np.full((len(part), wide), -1)
+            for r, (_, k, _, _, text) in enumerate(part):
+                left[r, :len(self.items[k])] = self.items[k]
+                right[r, :len(text)] = text
+            for (n, k, hits, low, _), score, first, last in zip(part, *align(left, right)):
+                share = float(score) / (MATCH * len(self.items[k]))
+                if share > best.get((n, k), (0, -1.0))[1]:
+                    best[n, k] = (hits, share, low + int(first), low + int(last))
+
+    def matches(self, texts: list[str | None], least: float) -> list[tuple]:
+        """(text, item, seeds, score, first word, end) of all pairs that share a seed and
+        reach the score."""
+        best: dict[tuple, tuple] = {}
+        waiting: list[tuple] = []
+        cells = 0
+        for n, text in enumerate(texts):
+            codes = self.coded.words(words_of(text))
+            hits: dict[int, list[int]] = defaultdict(list)
+            for size, known in self.keys.items():
+                at = _inside(known, self.coded.sequences(codes, size))
+                for p in np.flatnonzero(at >= 0):
+                    for k in self.seeds[size][int(known[at[p]])]:
+                        hits[k].append(int(p))
+            for k, places in hits.items():
+                for low, high in _regions(sorted(places), len(self.items[k]), len(codes)):
+                    waiting.append((n, k, len(places), low, codes[low:high]))
+                    cells += (high - low) * len(self.items[k])
+            if cells >= CELLS:
+                self._score(waiting, best)
+                cells = 0
+        self._score(waiting, best)
+        return [(n, k, *found) for (n, k), found in sorted(best.items()) if found[1] >= least]
 
-    def scored(waiting: list[tuple]) -> list[tuple]:
-        long = max(len(items[k]) for _, _, k, _, _, _ in waiting)
-        wide = max(len(t) for *_, t in waiting)
-        left, right = np.zeros((len(waiting), long), int), np.full((len(waiting), wide), -1)
-        for r, (_, _, k, _, _, text) in enumerate(waiting):
-            left[r, :len(items[k])] = items[k]
-            right[r, :len(text)] = text
-        return list(zip(*align(left, right)))
 
+def _find(shared, least: float):
     def run(rows):
-        def out():
-            waiting: list[tuple] = []
-            cells = serial = 0
-            best: dict[tuple, tuple] = {}
-
-            def settle():
-                nonlocal cells
-                # Wide and narrow stretches apart, so that little is padded.
-                waiting.sort(key=lambda w: len(w[5]))
-                begin = 0
-                while begin < len(waiting):
-                    room = max(1, CELLS // 20 // max(1, len(waiting[min(begin + 200, len(waiting) - 1)][5])))
-                    part = waiting[begin:begin + room]
-                    for (n, doc_id, k, hits, low, _), (score, first, last) in zip(part, scored(part)):
-                        share = float(score) / (MATCH * len(items[k]))
-                        row = (doc_id, ids[k], hits, share, low + int(first), low + int(last))
-                        if share > best.get((n, k), (0, 0, 0, -1.0))[3]:
-                            best[n, k] = row
-                    begin += room
-                waiting.clear()
-                cells = 0
-                yield from (r for r in best.values() if r[3] >= least)
-                best.clear()
+        block = shared.value
 
+        def out():
             for batch in rows:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    serial += 1
-                    codes = coded.words(words_of(text.as_py()))
-                    hits: dict[int, list[int]] = defaultdict(list)
-                    for size, known in keys.items():
-                        at = _inside(known, coded.sequences(codes, size))
-                        for p in np.flatnonzero(at >= 0):
-                            for k in seeds[size][int(known[at[p]])]:
-                                hits[k].append(int(p))
-                    for k, places in hits.items():
-                        for low, high in _regions(sorted(places), len(items[k]), len(codes)):
-                            waiting.append((serial, doc_id, k, len(places), low, codes[low:high]))
-                            cells += (high - low) * len(items[k])
-                    if cells >= CELLS:
-                        yield from settle()
-            if waiting:
-                yield from settle()
+                ids = batch.column(0).to_pylist()
+                for n, k, *found in block.matches(batch.column(1).to_pylist(), least):
+                    yield (ids[n], block.ids[k], *found)
 
         yield from batches(out(), arrow_schema(COLUMNS))
 
     return run
 
 
-def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
-             least: float = LEAST_SCORE) -> DataFrame:
-    """(document, item) pairs whose alignment reaches the score."""
+def blocks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> list:
+    """The items in blocks, as broadcast variables; seeds are chosen by the documents' counts."""
     with_workers(spark)
     scratch = Scratch(spark, "decontamination")
-    docs = docs.select("doc_id", "text")
     items = scratch.keep(benchmark.select(
         "item_id", "text", F.size(F.split(F.coalesce("text", F.lit("")), r"[\W_]+")).alias("words")))
     total = items.agg(F.sum("words")).first()[0] or 0
-    blocks = -(-total // BLOCK_WORDS)
-    results = []
-    for block in range(blocks):
-        # The words of a block are bounded, for they are dealt out evenly by hash.
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        ids, words = [r.item_id for r in part], [words_of(r.text) for r in part]
+    count, out = -(-total // BLOCK_WORDS), []
+    for number in range(count):
+        # The words of a block are bounded, for items are dealt out evenly by hash.
+        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == number).collect()
+        words = [words_of(r.text) for r in part]
         coded = Coded(words)
         coded_items = [coded.words(w) for w in words]
         sizes = [min(SEED_WORDS, len(w)) for w in words]
@@ -253,18 +252,32 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
         for k, (g, n) in enumerate(zip(grams, sizes)):
             for s in rare_seeds(g, held.get(n, {})):
                 seeds[n][s].append(k)
-        results.append(docs.mapInArrow(
-            _find(coded, ids, coded_items, {n: dict(s) for n, s in seeds.items()}, least), COLUMNS))
-    if not results:
-        return spark.createDataFrame([], COLUMNS)
-    out = results[0]
-    for more in results[1:]:
-        out = out.unionByName(more)
+        out.append(spark.sparkContext.broadcast(Block(
+            [r.item_id for r in part], coded, coded_items, {n: dict(s) for n, s in seeds.items()})))
+    return out
+
+
+def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
+             least: float = LEAST_SCORE) -> DataFrame:
+    """(document, item) pairs whose alignment reaches the score."""
+    out = spark.createDataFrame([], COLUMNS)
+    for block in blocks(spark, docs, benchmark):
+        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(_find(block, least), COLUMNS))
     return out
 
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
           least: float = LEAST_SCORE) -> DataFrame:
-    """Documents that hold no benchmark item; rows without an id stay as they are."""
-    found = overlaps(spark, docs, benchmark, least).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    """Documents that hold no benchmark item, with all columns."""
+    out = docs
+    for shared in blocks(spark, docs, benchmark):
+        def make(shared=shared):
+            def passes(texts):
+                ok = np.ones(len(texts), bool)
+                ok[[m[0] for m in shared.value.matches(texts, least)]] = False
+                return ok
+
+            return passes
+
+        out = filter_texts(out, make)
+    return out

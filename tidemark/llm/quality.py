@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import labelled
-from tidemark.llm.common import Scratch, arrow_schema, id_crc, with_workers
+from tidemark.llm.common import Scratch, arrow_schema, filter_texts, id_crc, with_workers
 
 FEATURES, RIDGE, SEED = 256, 1e-3, 20
 BINS = 500
@@ -166,21 +166,23 @@ def fit(spark: SparkSession, texts: DataFrame) -> dict:
     return {"cosines": cosines, "weights": weights, "steps": steps, "values": values}
 
 
+def scores_of(model: dict, texts: list[str | None]) -> np.ndarray:
+    if "constant" in model or not texts:
+        return np.full(len(texts), float(model.get("constant", 0)))
+    x = np.array([statistics(t) for t in texts])
+    raw = np.clip(model["cosines"](x) @ model["weights"], -0.5, 1.5)
+    # From one step's middle to the next the value rises evenly.
+    return np.interp((raw + 0.5) / 2 * BINS, model["steps"] + 0.5, model["values"])
+
+
 def _scores(model: dict):
     schema = arrow_schema("doc_id bigint, held_out boolean, score double")
 
     def run(rows):
         for batch in rows:
-            if "constant" in model:
-                out = np.full(batch.num_rows, float(model["constant"]))
-            else:
-                x = np.array([statistics(t.as_py()) for t in batch.column(2)]).reshape(-1, STATISTICS)
-                raw = np.clip(model["cosines"](x) @ model["weights"], -0.5, 1.5)
-                at = (raw + 0.5) / 2 * BINS
-                # From one step's middle to the next the value rises evenly.
-                out = np.interp(at, model["steps"] + 0.5, model["values"])
+            found = scores_of(model, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.float64())], schema=schema)
+                [batch.column(0), batch.column(1), pa.array(found, pa.float64())], schema=schema)
 
     return run
 
@@ -198,3 +200,13 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
     """Score of every document by a model of the labelled ones."""
     sample = labelled.training_labels(labels, "quality")
     return score(spark, docs, fit(spark, labelled.labelled_texts(docs, sample)))
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that a model of the labelled ones does not reject, with all columns."""
+    model = fit(spark, labelled.labelled_texts(docs, labelled.training_labels(labels, "quality")))
+
+    def keeps(texts):
+        return scores_of(model, texts) >= THRESHOLD
+
+    return filter_texts(docs, lambda: keeps)

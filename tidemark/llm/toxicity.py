@@ -16,11 +16,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import labelled
-from tidemark.llm.common import Scratch, arrow_schema, batches, with_workers
+from tidemark.llm.common import Scratch, WordCache, arrow_schema, batches, filter_texts, with_workers
 
 BUCKETS = 1 << 18
 #: A feature is used if its share differs between the labels by so many standard errors.
@@ -30,7 +31,7 @@ STEPS, RATE, RIDGE = 30, 0.4, 1e-4
 #: Weight of the squared score change under a swap, against the mean log loss.
 COUNTERFACTUAL = 4.0
 PARTS = 12
-CACHE_WORDS = 300_000
+THRESHOLD = 0.5
 
 # Names of groups of people that may stand for each other.
 IDENTITY_GROUPS = (
@@ -105,8 +106,6 @@ def _gradient(place: dict[int, int], weights: np.ndarray, penalty: float):
     size = len(weights)
 
     def run(rows):
-        import pyarrow as pa
-
         total = np.zeros(size + 1)
         for batch in rows:
             for label, found, other in zip(*(c.to_pylist() for c in batch.columns)):
@@ -161,35 +160,31 @@ def fit(spark: SparkSession, texts: DataFrame, penalty: float = COUNTERFACTUAL)
     return {"bias": float(weights[0]), "weights": {f: float(weights[k]) for f, k in place.items()}}
 
 
-_WORD_SCORES: dict[str, dict] = {}
+class Scorer:
+    """Scores of texts; the chosen features of a word are looked up in a bounded cache."""
+
+    def __init__(self, model: dict):
+        self.bias, self.weights = model["bias"], model["weights"]
+        self.known = WordCache(
+            lambda word: tuple(f for f in features(word) if f in self.weights))
+
+    def __call__(self, text: str | None) -> float:
+        self.known = known = self.known.renewed()
+        found: set[int] = set()
+        for word in words_of(text):
+            if hit := known[word]:
+                found.update(hit)
+        total = self.bias + sum(self.weights[f] for f in sorted(found))
+        return float(1 / (1 + np.exp(-np.clip(total, -60, 60))))
 
 
-def _score(model: dict, mark: str):
+def _score(model: dict):
     schema = arrow_schema("doc_id bigint, held_out boolean, score double")
-    weights, bias = model["weights"], model["bias"]
 
     def run(rows):
-        if mark not in _WORD_SCORES:  # one model at a time in a worker
-            _WORD_SCORES.clear()
-            _WORD_SCORES[mark] = {}
-        known = _WORD_SCORES[mark]
+        scorer = Scorer(model)
         for batch in rows:
-            scores = []
-            for text in batch.column(2):
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                words = words_of(text.as_py())
-                found: set[int] = set()
-                for w in words:
-                    hit = known.get(w)
-                    if hit is None:
-                        hit = known[w] = tuple(f for f in features(w) if f in weights)
-                    if hit:
-                        found.update(hit)
-                total = bias + sum(weights[f] for f in sorted(found))
-                scores.append(1 / (1 + np.exp(-np.clip(total, -60, 60))))
-            import pyarrow as pa
-
+            scores = [scorer(text.as_py()) for text in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores, pa.float64())], schema=schema)
 
@@ -197,13 +192,11 @@ def _score(model: dict, mark: str):
 
 
 def score(spark: SparkSession, docs: DataFrame, model: dict) -> DataFrame:
-    import uuid
-
     with_workers(spark)
     return (
         docs.select("doc_id", labelled.is_held_out(F.col("doc_id")).alias("held_out"), "text")
-        .mapInArrow(_score(model, uuid.uuid4().hex), "doc_id bigint, held_out boolean, score double")
-        .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        .mapInArrow(_score(model), "doc_id bigint, held_out boolean, score double")
+        .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
     )
 
 
@@ -211,3 +204,14 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
     """Score of every document by a model of the labelled ones."""
     sample = labelled.training_labels(labels, "toxic")
     return score(spark, docs, fit(spark, labelled.labelled_texts(docs, sample)))
+
+
+def keep_civil(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that a model of the labelled ones does not call toxic, with all columns."""
+    model = fit(spark, labelled.labelled_texts(docs, labelled.training_labels(labels, "toxic")))
+
+    def make():
+        scorer = Scorer(model)
+        return lambda texts: np.array([scorer(t) < THRESHOLD for t in texts], bool)
+
+    return filter_texts(docs, make)
