@@ -8,10 +8,12 @@ the signature. A place keeps its earliest point, so two signatures agree at a pl
 with the probability of the weighted Jaccard similarity of the texts.
 
 Signatures are cut into bands; equal bands make candidates, whose multisets are compared
-exactly. In a group of equal bands every document meets its neighbour by number first;
-then, wherever a group still holds several components, documents of different ones
-meet: all of them in groups up to ``WINDOW`` + 1, each with its next ``WINDOW`` in larger ones. So
-the work grows with the rows, not with the square of a group, and copies are compared once.
+exactly. In a group of equal bands every document meets its neighbour by number first,
+which joins a group of near copies in as many comparisons as it has rows. Then, wherever
+a group still holds several components, all documents of different ones meet: in small
+groups at once; in larger ones block against block by their signatures, and exactly if
+these leave a chance. So no pair is left out for the size of its group, pairs of one
+component are not compared again, and copies are compared once.
 
 Words are lower-cased and parted by white space; a text of fewer than five words is one
 shingle. Defined cases: null, empty and blank texts are alone in their groups; rows are
@@ -36,8 +38,12 @@ from tidemark.llm.components import components
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
-#: Neighbours that a document meets in a large group of equal bands.
-WINDOW = 32
+#: Rows of a group of equal bands in which all pairs of different components meet at once.
+SMALL = 33
+#: Rows of a block of a larger group.
+BLOCK = 1024
+#: Standard errors that the share of equal places may lie below the similarity.
+ERRORS = 3.5
 #: Shingles whose processes run together in a task.
 TOGETHER = 200_000
 
@@ -119,7 +125,7 @@ def similarity(a: list[str], b: list[str]) -> float:
     return common / total if total else 0.0
 
 
-SIGNED = "row_no bigint, doc_id bigint, digest binary, bands array<bigint>"
+SIGNED = "row_no bigint, doc_id bigint, digest binary, bands array<bigint>, places binary, size bigint"
 
 
 def _sign(bands: int, rows: int):
@@ -131,12 +137,18 @@ def _sign(bands: int, rows: int):
         documents: list[tuple[np.ndarray, np.ndarray]] = []
 
         def finish():
-            keys = iter(band_keys(signatures(documents, bands * rows), bands, rows) if documents else ())
-            out = [(*h, next(keys) if h[2] is not None else None) for h in held]
+            found = signatures(documents, bands * rows) if documents else np.zeros((0, bands * rows))
+            short = (mixed(found.view(np.uint64)) >> np.uint64(48)).astype("<u2")
+            made = zip(band_keys(found, bands, rows), short, documents)
+            out = []
+            for h in held:
+                keys, places, (_, counts) = next(made) if h[2] is not None else (None, None, (None, None))
+                out.append((*h, keys, None if places is None else places.tobytes(),
+                            None if counts is None else int(counts.sum())))
             held.clear()
             documents.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array([o[k] for o in out], schema.field(k).type) for k in range(4)], schema=schema)
+                [pa.array([o[k] for o in out], schema.field(k).type) for k in range(6)], schema=schema)
 
         size = 0
         for batch in incoming:
@@ -188,38 +200,74 @@ def _chain(rows):
             [pa.array(bands), pa.array(nodes), pa.array(previous, pa.int64())], schema=schema)
 
 
-def _across(window: int):
-    """Pairs of different components near each other in groups sorted by (band, root, node).
+def _across(rows):
+    """All pairs of different components in small groups, sorted by (band, root, node)."""
+    now, seen = None, []
+
+    def out():
+        nonlocal now, seen
+        for batch in rows:
+            for band, root, node in zip(*(c.to_pylist() for c in batch.columns)):
+                if band != now:
+                    now, seen = band, []
+                for other_root, other in seen:
+                    if other_root != root:
+                        yield (node, other) if node < other else (other, node)
+                seen.append((root, node))
+
+    yield from batches(out(), arrow_schema("a bigint, b bigint"))
+
+
+def _blocks(least: float, places: int):
+    """Pairs of two blocks of a large group that may be similar, by size and signature."""
+    enough = places * max(0.0, least - ERRORS * np.sqrt(least * (1 - least) / places))
+
+    def run(key, rows):
+        i, j = key[1].as_py(), key[2].as_py()
+        node, root, block, size = (rows.column(c).to_numpy() for c in ("node", "root", "block", "size"))
+        seen = np.frombuffer(b"".join(rows.column("places").to_pylist()), "<u2").reshape(len(node), places)
+        one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        found = []
+        for at in range(0, len(one), 64):
+            some = one[at:at + 64]
+            near = root[some][:, None] != root[two][None, :]
+            near &= np.minimum(size[some][:, None], size[two]) >= least * np.maximum(size[some][:, None], size[two])
+            near &= node[some][:, None] < node[two][None, :] if i == j else True
+            x, y = np.nonzero(near)
+            for part in np.array_split(np.arange(len(x)), len(x) // 50_000 + 1):
+                equal = (seen[some[x[part]]] == seen[two[y[part]]]).sum(axis=1) >= enough
+                found.append((node[some[x[part][equal]]], node[two[y[part][equal]]]))
+        a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
+        b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
+        return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=arrow_schema("a bigint, b bigint"))
 
-    Every row meets the last row of each component before it, and the ``window`` rows
-    of other components before its own.
-    """
-    def run(rows):
-        now, seen = None, []
-
-        def out():
-            nonlocal now, seen
-            for batch in rows:
-                for band, root, node in zip(*(c.to_pylist() for c in batch.columns)):
-                    if band != now:
-                        now, seen = band, []
-                    met = 0
-                    for other_root, other in reversed(seen):
-                        if other_root != root:
-                            yield (node, other) if node < other else (other, node)
-                            met += 1
-                            if met == window:
-                                break
-                    same = [s for s in seen if s[0] == root]
-                    if len(same) >= window:  # rows of its own component never push out others
-                        seen.remove(same[0])
-                    seen.append((root, node))
-                    if len(seen) > 2 * window:
-                        seen.pop(0)
+    return run
 
-        yield from batches(out(), arrow_schema("a bigint, b bigint"))
 
-    return run
+def _between_components(meeting: DataFrame, signed: DataFrame, least: float, places: int) -> DataFrame:
+    """Pairs of documents of different components that share a band."""
+    groups = (
+        meeting.groupBy("band").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.count("root").alias("n"))
+        .filter("low < high").select("band", "n")
+    )
+    rows = meeting.join(groups, "band")
+    small = (
+        rows.filter(F.col("n") <= SMALL).select("band", "root", "node")
+        .repartitionByRange("band").sortWithinPartitions("band", "root", "node")
+        .mapInArrow(_across, "a bigint, b bigint")
+    )
+    large = (
+        rows.filter(F.col("n") > SMALL)
+        .join(signed.select(F.col("row_no").alias("node"), "places", "size"), "node")
+        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                "node", "root", "block", "size", "places")
+        .groupBy("band", "i", "j").applyInArrow(_blocks(least, places), "a bigint, b bigint")
+    )
+    return small.unionByName(large).distinct()
 
 
 def _verify(least: float):
@@ -248,7 +296,7 @@ def _linked(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILARITY,
-                    bands: int = BANDS, rows: int = ROWS, window: int = WINDOW) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(row_no, doc_id, copy_of, group_id, kept) of every row of a table that is read twice.
 
     ``row_no`` is ``monotonically_increasing_id`` of the table; ``copy_of`` the smallest
@@ -278,16 +326,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
     parts = components(scratch, links)
     meeting = shared.select("band", "node").join(parts, "node", "left").select(
         "band", F.coalesce("root", "node").alias("root"), "node")
-    mixed_bands = (
-        meeting.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter("low < high").select("band")
-    )
-    across = (
-        meeting.join(mixed_bands, "band", "left_semi")
-        .repartitionByRange("band", "root", "node").sortWithinPartitions("band", "root", "node")
-        .mapInArrow(_across(window), "a bigint, b bigint").distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
+    across = _between_components(scratch.keep(meeting, "meeting"), signed, least, bands * rows).join(
+        pairs, ["a", "b"], "left_anti")
     more = scratch.keep(_linked(some, scratch.keep(across, "across"), least), "more")
     parts = components(scratch, links.unionByName(more))
     members = scratch.keep(
