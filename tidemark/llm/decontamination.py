@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare word sequences as seeds, then local alignment.
 
-Of every few successive three-word sequences of a test item the one that the
-documents hold least often is a seed, so each stretch of an item has one, however
+Of every two successive three-word sequences of a test item the one that the
+documents hold less often is a seed, so each stretch of an item has one, however
 common the item has become. Documents that hold seeds of an item are joined to it, and
 Smith-Waterman alignment of the item with the document around the seeds gives the score:
 matched words score 1, mismatches and gaps cost, and the best local score is divided by
@@ -28,7 +28,7 @@ from tidemark.llm.common import Scratch, arrow_schema, batches, filter_texts, wi
 
 SEED_WORDS = 3
 #: One seed for so many successive sequences.
-SEED_EVERY = 4
+SEED_EVERY = 2
 #: Share of an item's best possible score from which a document is contaminated.
 LEAST_SCORE = 0.5
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.7
@@ -60,8 +60,8 @@ class Coded:
         self.base = len(self.numbers) + 1
 
     def words(self, words: list[str]) -> np.ndarray:
-        known = self.numbers
-        return np.fromiter((known.get(w, 0) for w in words), np.int64, len(words))
+        number = self.numbers.get
+        return np.array([number(w, 0) for w in words], np.int64)
 
     def sequences(self, codes: np.ndarray, size: int) -> np.ndarray:
         """One number for each place; 0 where a word is not of the items."""

@@ -139,8 +139,9 @@ def fit(spark: SparkSession, texts: DataFrame, penalty: float = COUNTERFACTUAL)
         .agg(F.sum("label").alias("a"), F.count("label").alias("c"))
         .filter(F.col("c") >= LEAST_TEXTS)
         .withColumn("p", F.col("c") / n)
-        .withColumn("z", (F.col("a") / n1 - (F.col("c") - F.col("a")) / (n - n1))
-                    / F.sqrt(F.col("p") * (1 - F.col("p")) * (1 / n1 + 1 / (n - n1))))
+        .withColumn("z", F.try_divide(  # a feature of all texts tells nothing
+            F.col("a") / n1 - (F.col("c") - F.col("a")) / (n - n1),
+            F.sqrt(F.col("p") * (1 - F.col("p")) * (1 / n1 + 1 / (n - n1)))))
         .filter(F.abs("z") >= LEAST_Z)
     )
     chosen = sorted(r.f for r in counted.select("f").collect())  # at most BUCKETS
