@@ -10,7 +10,7 @@ ORDER = "order_id string, customer_id int, `partition` int, `offset` bigint"
 
 
 def test_missing_key_is_an_error(spark):
-    with pytest.raises(ValueError, match="customer_id"):
+    with pytest.raises(KeyError, match="customer_id"):
         enrich.enrichment_columns(dimension(spark).drop("customer_id"))
 
 
@@ -36,16 +36,16 @@ def test_both_joins_agree_with_a_hot_customer_and_nulls(spark):
     assert small.count() == 600
 
 
-def test_rare_keys_beyond_the_heavy_ones_are_joined(spark, monkeypatch):
-    monkeypatch.setattr(enrich, "HEAVY_KEYS", 1)
-    orders = spark.createDataFrame(
-        [(f"o{i}", 1 if i < 50 else i % 5, i % 3, i) for i in range(90)], ORDER)
-    joined = enrich.join_dimension(orders, dimension(spark, 4), None, 0).collect()
-    assert len(joined) == 90
-    assert all((r.name == f"name {r.customer_id}") == (1 <= r.customer_id <= 4) for r in joined)
+def test_every_key_above_its_share_is_split(spark):
+    """More hot customers than a fixed number of them, beside rare ones."""
+    rows = [(f"o{i}", i % 3 + 1 if i < 300 else 10 + i, i % 3, i) for i in range(400)]
+    joined = enrich.join_dimension(
+        spark.createDataFrame(rows, ORDER), dimension(spark, 4), None, 0).collect()
+    assert len(joined) == 400
+    assert all((r.name == f"name {r.customer_id}") == (r.customer_id <= 4) for r in joined)
 
 
-@pytest.mark.parametrize("sf, missing", [("0.001", 199), ("0.01", 1284)])
+@pytest.mark.parametrize("sf, missing", [("0.001", 185), ("0.01", 1190)])
 def test_unmatched_events_of_a_dimension_with_gaps(spark, sf, missing):
     sf_dir = f"/root/testdata/sf{sf}"
     gaps = X.customers(spark, sf_dir).filter(F.col("customer_id") % 7 != 0)
@@ -72,3 +72,21 @@ def test_history_joins_unchanged_snapshots_and_ranges(spark):
     ranges = history.type2_history(versions).orderBy("valid_from").collect()
     assert [(r.segment, r.valid_from.day, r.valid_to and r.valid_to.day, r.is_current)
             for r in ranges] == [("A", 1, 3, False), ("B", 3, 4, False), ("A", 4, None, True)]
+
+
+def test_ties_and_vanished_customers_in_the_history(spark):
+    columns = "customer_id int, name string, city string, segment string"
+    tied = spark.createDataFrame(
+        [(1, "n", "c", "A"), (1, "n", "c", "B")], columns).withColumn("updated_at", F.lit("2024-01-01").cast("timestamp"))
+    (only,) = history.type2_history(tied).collect()
+    assert only.is_current and only.segment == "B"
+
+    def day(n):
+        return F.lit(f"2024-01-0{n}").cast("timestamp")
+
+    first = spark.createDataFrame([(1, "n", "c", "A"), (2, "n", "c", "A"), (3, "n", "c", None)], columns)
+    second = spark.createDataFrame([(1, "n", "c", "B"), (3, "n", "c", None)], columns)
+    ranges = history.advance(history.advance(history.advance(None, first, day(1)), second, day(2)), first, day(3))
+    assert sorted((r.customer_id, r.segment or "", r.valid_from.day, r.valid_to.day if r.valid_to else None)
+                  for r in ranges.collect()) == [
+        (1, "A", 1, 2), (1, "A", 3, None), (1, "B", 2, 3), (2, "A", 1, 2), (2, "A", 3, None), (3, "", 1, None)]

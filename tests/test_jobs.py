@@ -8,6 +8,7 @@ from tidemark import contract as C
 from tidemark import fixtures as X
 from tidemark.jobs import arguments, main
 from tidemark.plans.batch import OrderPipeline
+from tidemark.streaming.newest import live_orders
 from tidemark.streaming.run import LagReporter
 
 SEGMENTS = ["--segments", *X.SEGMENTS]
@@ -56,9 +57,26 @@ def test_stream_backfill_and_audit(spark, root):
     day = ["--begin", NOW.isoformat(), "--end", "2024-05-02"]
     assert run(spark, "backfill", root, *inbox, *day, "--label", "x", "--lateness-s", "9000") == 0
     assert set(orders(spark, root)) == {"a", "b", "c"}
+    assert run(spark, "backfill", root, *inbox, *day, "--label", "x") == 3
+    assert run(spark, "compact", root, "--buckets", "3") == 0
+    assert set(orders(spark, root)) == {"a", "b", "c"}
     assert run(spark, "audit", root) == 0
 
 
+def test_what_does_not_exist_is_not_sound(spark, root):
+    assert run(spark, "audit", root) == 1
+    assert run(spark, "lag", root) == 1
+
+
+def test_stream_on_the_state_store(spark, root):
+    refresh(spark, root, *CLOCK, *SEGMENTS)
+    messages(spark, [event("a", 3), "junk"]).write.parquet(f"{root}/inbox")
+    assert run(spark, "stream", root, "--inbox", f"{root}/inbox", "--available-now", "--state-store") == 0
+    (row,) = live_orders(spark, f"{root}/versions/changes").collect()
+    assert (row.order_id, row.lsn) == ("a", 3) and row.name is not None
+    assert spark.read.parquet(f"{root}/versions/dead_letters").count() == 1
+
+
 def test_lag_of_the_last_report(spark, root):
     reporter = LagReporter(spark, f"{root}/lag", C.PipelineConfig(lag_report_every=1))
     reporter.record({**PROGRESS, "timestamp": "2024-05-01T00:00:00.000Z", "batchId": 90})
@@ -72,4 +90,4 @@ def test_lag_of_the_last_report(spark, root):
 def test_broker_options_reach_the_command_line():
     args = arguments().parse_args(["stream", "--root", "r", "--servers", "broker:9092"])
     assert (args.topic, args.dead_letter_topic, args.group) == (
-        "orders_stream", "orders_stream_dlt", "retail-order-stream")
+        "orders_stream", "orders_stream_dlt", None)

@@ -15,7 +15,7 @@ from tidemark.sources.order_state import OrderState
 
 def pipeline(spark, root, **settings):
     frame = dimension(spark)
-    settings = {"state_buckets": 4, "level_bytes_per_bucket": 0, **settings}
+    settings = {"state_buckets": 4, **settings}
     return OrderPipeline(spark, str(root), lambda: (frame, 1000), C.PipelineConfig(**settings))
 
 
@@ -54,12 +54,12 @@ def newest(feed):
     }
 
 
-@pytest.mark.parametrize("seed, cache, level_bytes", [
-    (1, True, 0), (2, True, 1024 * 1024), (3, False, 0)])
-def test_batches_in_any_order_converge(spark, tmp_path, seed, cache, level_bytes):
+@pytest.mark.parametrize("seed, cache, compact_after, limit", [
+    (1, True, 2, 10**6), (2, True, None, 10**6), (3, False, 2, 0)])
+def test_batches_in_any_order_converge(spark, tmp_path, seed, cache, compact_after, limit):
     feed = random_feed(seed)
     job = pipeline(
-        spark, tmp_path, cache_batch=cache, compact_after=2, level_bytes_per_bucket=level_bytes)
+        spark, tmp_path, cache_batch=cache, compact_after=compact_after, broadcast_limit_bytes=limit)
     size = 50
     for i in range(0, len(feed), size):
         job.apply(messages(spark, feed[i:i + size], i), i // size, "run")
@@ -116,19 +116,20 @@ def test_committed_batch_is_skipped(spark, tmp_path):
 def test_empty_batch_leaves_no_trace(spark, tmp_path):
     job = pipeline(spark, tmp_path)
     job.apply(messages(spark, [event()]).limit(0), 0, "run")
-    assert job.state.manifest()["commit"] == 0
+    assert job.state.manifest()["number"] == 0 and job.state.rows().isEmpty()
     assert not files.exists(spark, f"{tmp_path}/batch_metrics")
 
 
-def test_crash_before_the_pointer_moves(spark, tmp_path, monkeypatch):
+def test_crash_before_the_manifest(spark, tmp_path, monkeypatch):
     job = pipeline(spark, tmp_path)
+    job.state.create()
     feed = ["junk", event("a", 1), event("b", 2, "D")]
 
     def crash(*_):
         raise RuntimeError("lost the driver")
 
     with monkeypatch.context() as patched:
-        patched.setattr("tidemark.sources.order_state.files.replace_json", crash)
+        patched.setattr("tidemark.sources.manifests.files.create_json", crash)
         with pytest.raises(RuntimeError):
             job.apply(messages(spark, feed), 0, "run")
     assert job.state.rows().isEmpty()
@@ -172,69 +173,144 @@ def test_compaction_keeps_rows_and_expires_tombstones(spark, tmp_path):
     assert sorted((r.order_id, r.lsn, r.op) for r in job.state.rows().collect()) == [
         ("a", 3, "U"), ("b", 2, "D"), ("c", 4, "U")]
     job.apply(messages(spark, [event("d", 5)]), 2, "run")
-    job.state.compact(now + timedelta(hours=2), full=True)
+    job.state.compact(now + timedelta(hours=2))
     assert {r.order_id for r in job.state.rows().collect()} == {"a", "c", "d"}
     assert job.state.manifest()["deltas"] == []
 
 
-def test_small_merges_leave_the_large_level_alone(spark, tmp_path):
-    job = pipeline(spark, tmp_path, merge_factor=0)
-    for batch, feed in enumerate([
-        [event("a", 1), event("b", 2), event("c", 3)],
-        [event("a", 4, "D"), event("d", 5)],
-        [event("b", 6), event("a", 2)],
-    ]):
-        job.apply(messages(spark, feed), batch, "run")
-        job.state.compact()
-    levels = job.state.manifest()["levels"]
-    assert len(levels) == 3
-    assert {k: v[0] for k, v in served(job).items()} == {"b": 6, "c": 3, "d": 5}
-    job.state.compact(full=True)
-    assert len(job.state.manifest()["levels"]) == 1
-    assert {k: v[0] for k, v in served(job).items()} == {"b": 6, "c": 3, "d": 5}
-    assert job.state.rows().filter("op = 'D'").count() == 1
-
-
-def test_small_batches_merge_as_plain_files(spark, tmp_path):
-    job = pipeline(spark, tmp_path, level_bytes_per_bucket=1024 * 1024, compact_after=2)
-    for batch, feed in enumerate([
-        [event("a", 1), event("b", 2)], [event("a", 3, "D")], [event("c", 4)], [event("b", 5)],
-        [event("a", 2)],
-    ]):
-        job.apply(messages(spark, feed), batch, "run")
-        manifest = job.state.manifest()
-        assert not manifest["levels"] and len(manifest["deltas"]) <= 2
-    assert {k: v[0] for k, v in served(job).items()} == {"b": 5, "c": 4}
-    job.state.compact(full=True)
-    assert len(job.state.manifest()["levels"]) == 1
-    assert {k: v[0] for k, v in served(job).items()} == {"b": 5, "c": 4}
-
-
 @pytest.mark.parametrize("tombstones, live", [(True, {"b": 2}), (False, {"a": 1, "b": 2})])
-def test_a_delete_hides_rows_of_lower_levels(spark, tmp_path, tombstones, live):
-    job = pipeline(spark, tmp_path, tombstones=tombstones, merge_factor=0)
+def test_a_delete_hides_rows_of_the_base(spark, tmp_path, tombstones, live):
+    job = pipeline(spark, tmp_path, tombstones=tombstones)
     job.apply(messages(spark, [event("a", 5), event("b", 2)]), 0, "run")
     job.state.compact()
     job.apply(messages(spark, [event("a", 6, "D")]), 1, "run")
-    job.state.compact()
     assert {k: v[0] for k, v in served(job).items()} == {"b": 2}
     job.apply(messages(spark, [event("a", 1)]), 2, "run")
     assert {k: v[0] for k, v in served(job).items()} == live
-    job.state.compact(full=True)
+    job.state.compact()
     assert {k: v[0] for k, v in served(job).items()} == live
 
 
-def test_replaced_folders_stay_for_one_more_merge(spark, tmp_path):
-    job = pipeline(spark, tmp_path)
+def test_buckets_are_set_and_can_change(spark, tmp_path):
+    job = pipeline(spark, tmp_path, state_buckets=None)
+    job.apply(messages(spark, [event("a", 1), event("b", 2)]), 0, "run")
+    with pytest.raises(ValueError, match="state_buckets"):
+        job.state.compact()
+    for buckets in (2, 5):
+        assert job.state.compact(buckets=buckets)
+        assert job.state.manifest()["base"]["buckets"] == buckets
+        assert {k: v[0] for k, v in served(job).items()} == {"a": 1, "b": 2}
+
+
+def test_replaced_folders_stay_for_their_time(spark, tmp_path):
+    job = pipeline(spark, tmp_path, retain_s=3600)
     job.apply(messages(spark, [event("a", 1)]), 0, "run")
     (delta,) = job.state.manifest()["deltas"]
     reader = job.state.served()
     job.state.compact()
-    assert reader.count() == 1 and files.exists(spark, delta)
     job.apply(messages(spark, [event("b", 2)]), 1, "run")
-    job.state.compact(full=True)
+    job.state.compact()
+    assert reader.count() == 1 and files.exists(spark, delta)
+    short = pipeline(spark, tmp_path, retain_s=0)
+    short.apply(messages(spark, [event("c", 3)]), 2, "run")
+    short.state.compact()
     assert not files.exists(spark, delta)
-    assert {k: v[0] for k, v in served(job).items()} == {"a": 1, "b": 2}
+    assert len(short.state.manifests.numbers()) == 1
+    assert {k: v[0] for k, v in served(job).items()} == {"a": 1, "b": 2, "c": 3}
+
+
+def test_interleaved_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    """Another writer commits between this batch's guard and its manifest."""
+    job = pipeline(spark, tmp_path)
+    job.apply(messages(spark, [event("a", 1)]), 0, "stream")
+    commit, between = OrderState.commit, []
+
+    def late_commit(self, changes, manifest, run_id, batch_id):
+        if run_id == "stream" and not between:
+            between.append(True)
+            pipeline(spark, tmp_path).apply(messages(spark, [event("a", 7), event("b", 3)]), 0, "backfill")
+        return commit(self, changes, manifest, run_id, batch_id)
+
+    monkeypatch.setattr(OrderState, "commit", late_commit)
+    job.apply(messages(spark, [event("a", 5), event("c", 4)]), 1, "stream")
+    assert {k: v[0] for k, v in served(job).items()} == {"a": 7, "b": 3, "c": 4}
+    assert job.state.manifest()["runs"] == {"stream": 1, "backfill": 0}
+    last = {(m.run_id, m.batch_id): m for m in job.metrics().collect()}["stream", 1]
+    assert (last.stale, last.upserts, last.reconciles) == (1, 1, True)
+
+
+def test_a_reader_never_finds_a_gap(spark, tmp_path):
+    import threading
+
+    from tidemark.sources.manifests import Manifests
+
+    table, seen, stop = Manifests(spark, f"{tmp_path}/t"), [], threading.Event()
+    table.add({"number": 0})
+
+    def poll():
+        while not stop.is_set():
+            seen.append(table.latest()["number"])
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    for number in range(1, 60):
+        assert table.add({"number": number}) is not None
+        assert table.add({"number": number}) is None
+        if number % 10 == 0:
+            table.expire(0)
+    stop.set()
+    reader.join()
+    assert seen == sorted(seen) and table.latest()["number"] == 59
+
+
+def test_lost_manifests_are_an_error(spark, tmp_path):
+    job = pipeline(spark, tmp_path)
+    with pytest.raises(FileNotFoundError):
+        job.state.served()
+    job.apply(messages(spark, [event("a", 1)]), 0, "run")
+    files.remove(spark, f"{job.state.root}/manifests")
+    with pytest.raises(FileNotFoundError, match="no manifest"):
+        job.apply(messages(spark, [event("b", 1)]), 1, "run")
+
+
+def test_equal_versions_keep_the_first(spark, tmp_path):
+    job = pipeline(spark, tmp_path)
+    job.apply(messages(spark, [event("a", 1, amount=5), event("a", 1, amount=6)]), 0, "run")
+    job.apply(messages(spark, [event("a", 1, amount=7)], 10), 1, "run")
+    assert served(job)["a"][2] == 5
+
+
+def test_large_ids_by_setting(spark, tmp_path):
+    big = [event("a", 1, customer_id=3_000_000_000)]
+    narrow, wide = pipeline(spark, tmp_path / "n"), pipeline(spark, tmp_path / "w", customer_id_type="bigint")
+    narrow.apply(messages(spark, big), 0, "run")
+    wide.apply(messages(spark, big), 0, "run")
+    wide.state.compact()
+    assert narrow.metrics().first().invalid == 1
+    assert wide.state.served().first().customer_id == 3_000_000_000
+
+
+def test_reports_are_merged(spark, tmp_path):
+    job = pipeline(spark, tmp_path)
+    for batch in range(6):
+        job.apply(messages(spark, ["junk", event("a", batch + 1)], 10 * batch), batch, "run")
+        if batch % 3 == 2:
+            job.merge_reports()
+            job.merge_reports()
+    assert len(files.names(spark, f"{job.root}/batch_metrics")) == 1
+    assert len(files.names(spark, f"{job.root}/dead_letters")) == 1
+    assert job.metrics().count() == 6 and job.letters().count() == 6
+
+
+def test_a_backfill_is_known_by_label_and_range(spark, tmp_path):
+    from tidemark.plans.batch import backfill
+
+    job = pipeline(spark, tmp_path, allowed_lateness_s=10**9)
+    day = datetime(2024, 5, 1), datetime(2024, 5, 2)
+    assert backfill(job, messages(spark, [event("a", 1)]), "x", *day)
+    assert not backfill(job, messages(spark, [event("b", 1)]), "x", *day)
+    assert backfill(job, messages(spark, [event("b", 1)]), "x", day[0], datetime(2024, 5, 3))
+    assert set(served(job)) == {"a", "b"}
 
 
 def test_a_backfill_parses_its_input_once(spark, tmp_path):
@@ -251,7 +327,7 @@ def test_a_backfill_parses_its_input_once(spark, tmp_path):
     job.apply(counted, 0, "run")
     assert reads.value == len(feed)
     assert served(job) == newest(feed)
-    assert not files.exists(spark, f"{tmp_path}/staged/run_id=run/batch_id=0")
+    assert files.names(spark, f"{tmp_path}/staged") == []
 
 
 @pytest.mark.parametrize("on_arrival, late", [(True, 0), (False, 1)])
@@ -294,9 +370,9 @@ def test_lookup_returns_only_touched_orders(spark):
 
 # processed, invalid, late, superseded, stale, upserts, deletes, live
 EXPECTED = {
-    "a": (667, 66, 13, 440, 0, 118, 30),
-    "b": (333, 34, 7, 171, 71, 39, 11),
-    "replay": (1000, 100, 20, 731, 149, 0, 0),
+    "a": (667, 114, 13, 395, 0, 113, 32),
+    "b": (333, 56, 7, 151, 66, 42, 11),
+    "replay": (1000, 170, 20, 662, 148, 0, 0),
 }
 
 
@@ -308,4 +384,4 @@ def test_known_counters_of_the_feed(spark, sf_dir):
         r = rows[key]
         assert (r.processed, r.invalid, r.late, r.superseded, r.stale, r.upserts, r.deletes) \
             == EXPECTED[name]
-    assert QUERIES["hard_delete_apply"](spark, sf_dir).count() == 125
+    assert QUERIES["hard_delete_apply"](spark, sf_dir).count() == 123

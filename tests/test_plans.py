@@ -52,44 +52,51 @@ def test_small_dimension_is_broadcast_and_large_one_is_not(spark, feed):
     big = spark.range(10**6).selectExpr(
         "CAST(id AS INT) AS customer_id", "'n' AS name", "'c' AS city", "'s' AS segment")
     assert "BroadcastHashJoin" in plan(enrich.join_dimension(orders, big, 10, 100))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        text = plan(enrich.join_dimension(orders, big, 1000, 100))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    text = plan(enrich.join_dimension(orders, big, 1000, 100))
     assert re.search(r"SortMergeJoin \[customer_id#\d+, _part#\d+L\]", text)
-    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    assert "CartesianProduct" not in text
 
 
-def scans_without_exchange(text, tables) -> bool:
-    """Bucketed scans of the plan, none of them right below a shuffle."""
-    lines = text.splitlines()
-    scans = [i for i, line in enumerate(lines) if "Bucketed: true" in line]
-    assert len(scans) == tables, text
-    return not any("Exchange" in line for i in scans for line in lines[max(0, i - 3):i])
+@pytest.mark.parametrize("name", ["enrich_orders_shuffled", "enrich_as_of_shuffled"])
+def test_shuffled_queries_shuffle(spark, sf_dir, name):
+    from tidemark.queries import QUERIES
 
+    frame = QUERIES[name](spark, sf_dir)
+    frame.collect()
+    assert re.search(r"SortMergeJoin(\(skew=true\))? \[customer_id#\d+, _part", plan(frame))
 
-def test_levels_of_the_state_are_never_shuffled(spark, tmp_path):
+
+def above(text: str, scan: str) -> list[str]:
+    """Operators between a scan and the join that reads it, in the text of a plan."""
+    lines = text.splitlines()
+    (at,) = [i for i, line in enumerate(lines) if scan in line]
+    depth, out = len(lines[at]) - len(lines[at].lstrip(" :+-*")), []
+    for line in reversed(lines[:at]):
+        here = len(line) - len(line.lstrip(" :+-*"))
+        if here < depth:
+            depth = here
+            out.append(line.strip(" :+-*"))
+            if "Join" in line:
+                break
+    return out
+
+
+@pytest.mark.parametrize("limit, join", [(10**6, "BroadcastHashJoin"), (0, "ShuffledHashJoin")])
+def test_the_guard_neither_sorts_nor_shuffles_the_base(spark, tmp_path, limit, join):
     frame = dimension(spark)
-    cfg = C.PipelineConfig(merge_factor=0, level_bytes_per_bucket=0)
+    cfg = C.PipelineConfig(state_buckets=4, broadcast_limit_bytes=limit)
     job = OrderPipeline(spark, str(tmp_path), lambda: (frame, 100), cfg)
-    for batch, feed in enumerate([[event("a", 1), event("b", 2)], [event("a", 3)]]):
-        job.apply(messages(spark, feed), batch, "run")
-        job.state.compact()
-    job.apply(messages(spark, [event("a", 4)]), 2, "run")
-    manifest = job.state.manifest()
-    assert len(manifest["levels"]) == 2 and len(manifest["deltas"]) == 1
-    winners = job.state.recent(manifest).select("order_id", "lsn")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        guard = plan(job.state.attach(winners))
-        table = plan(versions.replace_rows(job.state.parts(manifest)))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert scans_without_exchange(guard, 2)
-    assert scans_without_exchange(table, 3)
-    columns = re.findall(r"spark_catalog\.default\.tidemark_\w+\[([^\]]*)\]", guard)
+    job.apply(messages(spark, [event("a", 1), event("b", 2), event("c", 2)]), 0, "run")
+    job.state.compact()
+    winners = spark.createDataFrame([("a", 4), ("z", 1)], "order_id string, lsn long").repartition(3)
+    guard = job.state.attach(winners, job.state.manifest())
+    text = plan(guard)
+    operators = above(text, "FileScan parquet spark_catalog")
+    assert join in operators[-1], text
+    assert not any(o.startswith(("Sort", "Exchange")) for o in operators), text
+    columns = re.findall(r"spark_catalog\.default\.tidemark_\w+\[([^\]]*)\]", text)
     assert {re.sub(r"#\d+L?", "", c) for c in columns} == {"order_id,op,lsn"}
+    assert sorted((r.order_id, r.stored_lsn) for r in guard.collect()) == [("a", 1), ("z", None)]
 
 
 def test_report_aggregates_before_the_shuffle(spark, sf_dir):

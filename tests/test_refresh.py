@@ -1,4 +1,5 @@
-from datetime import datetime
+from dataclasses import replace
+from datetime import datetime, timedelta
 
 import pytest
 from helpers import event, messages
@@ -8,9 +9,10 @@ from tidemark import contract as C
 from tidemark import fixtures as X
 from tidemark.operators import quality
 from tidemark.plans.batch import OrderPipeline
-from tidemark.plans.refresh import StageFailure, extract, publish, refresh_dimension, validate
+from tidemark.plans.refresh import RefreshStopped, extract, publish, refresh_dimension, validate
 from tidemark.sources import files
-from tidemark.sources.snapshots import DimensionCache, SnapshotStore, memory_bytes
+from tidemark.sources.measure import memory_bytes
+from tidemark.sources.snapshots import PublishedDimension, SnapshotStore
 
 CLOCK = datetime(2001, 8, 2)
 
@@ -29,7 +31,7 @@ def test_refresh_publishes_what_passed(spark, sf_dir, store):
     report = refresh(store, X.source_customers(spark, sf_dir))
     assert quality.summary(report).first().ok
     assert report.count() == 13
-    assert store.current()["version"] == 1 and store.read().count() == 150
+    assert store.current()["number"] == 1 and store.read().count() == 150
     assert store.read().schema == C.CUSTOMER
 
 
@@ -37,7 +39,7 @@ def test_failed_gate_keeps_the_published_version(spark, sf_dir, store):
     source = X.source_customers(spark, sf_dir)
     refresh(store, source)
     before = store.current()
-    with pytest.raises(StageFailure, match="segment_domain"):
+    with pytest.raises(RefreshStopped, match="segment_domain"):
         refresh(store, X.corrupt_customers(spark, sf_dir), quality.baseline(source))
     assert store.current() == before
     rejected = spark.read.parquet(f"{store.root}/rejected/*/report")
@@ -49,13 +51,13 @@ def test_stages_can_run_one_by_one(spark, sf_dir, store):
     candidate = extract(source, store)
     assert store.current() is None
     validate(candidate, quality.baseline(source), store, X.RULES, CLOCK)
-    assert publish(candidate, store)["version"] == 1
+    assert publish(candidate, store, CLOCK)["number"] == 1
 
 
 def test_failed_extraction_stops_the_run(spark, sf_dir, store):
     source = X.source_customers(spark, sf_dir).withColumn(
         "name", F.raise_error(F.lit("source is down")))
-    with pytest.raises(StageFailure, match="extraction failed"):
+    with pytest.raises(RefreshStopped, match="could not be copied"):
         refresh(store, source, quality.baseline(X.source_customers(spark, sf_dir)))
     assert store.current() is None
 
@@ -64,27 +66,25 @@ def test_reading_without_a_snapshot_is_an_error(store):
     with pytest.raises(FileNotFoundError):
         store.read()
     with pytest.raises(FileNotFoundError):
-        DimensionCache(store).get()
+        PublishedDimension(store)()
 
 
-def test_cache_follows_the_published_version(spark, store):
+def test_lookup_follows_the_published_version(spark, store):
     def version(segment):
         return spark.createDataFrame(
             [(1, "n", "c", segment)], "customer_id int, name string, city string, segment string")
 
-    cache = DimensionCache(store, ttl_s=3600)
+    lookup = PublishedDimension(store)
     store.publish(store.write_candidate(version("Premium")))
-    frame, size = cache.get()
+    frame, size = lookup()
     assert frame.first().segment == "Premium" and size > 0
-    assert cache.get()[0] is frame
+    assert lookup()[0] is frame
     store.publish(store.write_candidate(version("Standard")))
-    assert cache.get()[0].first().segment == "Standard"
-    cache.ttl_s = -1
-    assert cache.get()[0] is not cache.get()[0]
+    assert lookup()[0].first().segment == "Standard" and len(lookup.known) == 1
 
 
 def test_stream_picks_up_a_new_version_between_batches(spark, store, tmp_path):
-    job = OrderPipeline(spark, f"{tmp_path}/facts", DimensionCache(store).get)
+    job = OrderPipeline(spark, f"{tmp_path}/facts", PublishedDimension(store))
     for batch, segment in enumerate(("Premium", "Standard")):
         store.publish(store.write_candidate(spark.createDataFrame(
             [(1, "n", "c", segment)],
@@ -94,13 +94,50 @@ def test_stream_picks_up_a_new_version_between_batches(spark, store, tmp_path):
         "o0": "Premium", "o1": "Standard"}
 
 
-def test_pointer_is_replaced_whole(spark, tmp_path):
-    path = f"{tmp_path}/pointer.json"
+def test_a_file_is_created_once_and_whole(spark, tmp_path):
+    path = f"{tmp_path}/folder/one.json"
     assert files.read_json(spark, path) is None
-    for n in range(3):
-        files.replace_json(spark, path, {"n": n})
-    assert files.read_json(spark, path) == {"n": 2}
-    assert files.size_bytes(spark, str(tmp_path)) > 0
+    assert files.create_json(spark, path, {"n": 1})
+    assert not files.create_json(spark, path, {"n": 2})
+    assert files.read_json(spark, path) == {"n": 1}
+    assert files.names(spark, f"{tmp_path}/folder") == ["one.json"]
+
+
+@pytest.mark.parametrize("broken, check", [
+    (lambda f: f.drop("city"), "required_columns_present"),
+    (lambda f: f.withColumn("customer_id", F.concat(F.lit("x"), "customer_id")), "customer_id_numeric"),
+    (lambda f: f.withColumn("signup_date", F.lit("someday")), "signup_date_parseable"),
+    (lambda f: f.withColumn("segment", F.lit("Zinc")), "segment_domain"),
+    (lambda f: f.unionByName(f), "customer_id_unique"),
+    (lambda f: f.limit(0), "row_count_minimum"),
+])
+def test_broken_sources_are_refused_before_they_are_typed(spark, sf_dir, store, broken, check):
+    """Even where NULLs are allowed."""
+    source = X.source_customers(spark, sf_dir)
+    rules = replace(X.RULES, max_null_rate=1.0)
+    with pytest.raises(RefreshStopped, match=check):
+        refresh_dimension(broken(source), quality.baseline(source), store, rules, CLOCK)
+    assert store.current() is None
+
+
+def test_unexpected_segments_are_listed(spark, sf_dir):
+    frame = X.source_customers(spark, sf_dir).withColumn(
+        "segment", F.when(F.col("customer_id") % 9 == 0, "Zinc").when(F.col("customer_id") % 9 == 1, "Brass")
+        .otherwise(F.col("segment")))
+    report = quality.quality_report(frame, X.RULES, clock=CLOCK)
+    assert report.filter("check_name = 'segment_domain'").first().detail.endswith(": Brass, Zinc")
+
+
+def test_history_is_kept_by_the_refresh(spark, sf_dir, store):
+    source = X.source_customers(spark, sf_dir)
+    moved = source.filter("customer_id <> 5").withColumn(
+        "segment", F.when(F.col("customer_id") == 7, "BUILDING").otherwise(F.col("segment")))
+    before = source.filter("customer_id = 7").first().segment
+    for rows, clock in ((source, CLOCK), (moved, CLOCK + timedelta(hours=1))):
+        refresh_dimension(rows, quality.baseline(rows), store, X.RULES, clock, keep_history=True)
+    closed = {r.customer_id for r in store.history().filter("NOT is_current").collect()}
+    assert closed == {5} | ({7} if before != "BUILDING" else set())
+    assert store.read().count() == 149
 
 
 def test_memory_bound_follows_the_text_and_not_the_files(spark, tmp_path):
@@ -113,11 +150,12 @@ def test_memory_bound_follows_the_text_and_not_the_files(spark, tmp_path):
     assert memory_bytes(stored.limit(0)) == 0
 
 
-def test_replaced_snapshot_stays_until_the_next_one(spark, store):
-    paths = []
+@pytest.mark.parametrize("retain_s, kept", [(3600, [True, True, True]), (0, [False, True, True])])
+def test_replaced_snapshots_stay_for_their_time(spark, tmp_path, retain_s, kept):
+    store, paths = SnapshotStore(spark, str(tmp_path), retain_s), []
     for n in range(3):
         paths.append(store.write_candidate(spark.range(n + 1).withColumnRenamed("id", "customer_id")))
         store.publish(paths[-1])
-        assert store.publish(paths[-1])["version"] == n + 1
-    assert [files.exists(spark, p) for p in paths] == [False, True, True]
+        assert store.publish(paths[-1])["number"] == n + 1
+    assert [files.exists(spark, p) for p in paths] == kept
     assert store.read().count() == 3

@@ -7,7 +7,7 @@ from tidemark import contract as C
 from tidemark.operators import counters
 from tidemark.plans.batch import OrderPipeline
 from tidemark.sources import topics
-from tidemark.streaming.newest import live_orders, version_stream, write_changes
+from tidemark.streaming.newest import live_orders, merge_changes, version_stream, write_changes, write_rejects
 from tidemark.streaming.run import OFFSETS, LagReporter, progress_offsets, start
 
 
@@ -80,6 +80,38 @@ def test_versions_in_the_state_store(spark, tmp_path):
     assert step() == {"b": 3}
 
 
+def test_state_store_survives_a_new_checkpoint(spark, tmp_path):
+    """A replay under a new checkpoint, whose batch ids begin again, changes nothing."""
+    def step(checkpoint, folder, files=1):
+        changes = version_stream(topics.file_stream(spark, f"{tmp_path}/{folder}", files))
+        frame = dimension(spark)
+        write_changes(
+            changes, f"{tmp_path}/changes", f"{tmp_path}/{checkpoint}", lambda: (frame, 100),
+        ).trigger(availableNow=True).start().awaitTermination()
+        return {r.order_id: (r.lsn, r.amount, r.name) for r in live_orders(spark, f"{tmp_path}/changes").collect()}
+
+    drop(spark, tmp_path, [event("a", 5), event("b", 2, amount=1), event("b", 2, amount=2)])
+    step("one", "inbox")
+    drop(spark, tmp_path, [event("a", 9), event("b", 2, amount=3)], 10)
+    want = {"a": (9, 10.5, "name 1"), "b": (2, 1.0, "name 1")}
+    assert step("one", "inbox") == want
+    messages(spark, [event("a", 5)]).coalesce(1).write.parquet(f"{tmp_path}/old")
+    assert step("two", "old") == want
+    merge_changes(spark, f"{tmp_path}/changes")
+    assert step("two", "old") == want
+
+
+def test_rejects_beside_the_state_store(spark, tmp_path):
+    drop(spark, tmp_path, ["junk", event("a", 1, age_s=9000), event("b", 1)])
+    write_rejects(
+        topics.file_stream(spark, f"{tmp_path}/inbox"), f"{tmp_path}/out", f"{tmp_path}/cp",
+    ).trigger(availableNow=True).start().awaitTermination()
+    letters = spark.read.parquet(f"{tmp_path}/out/dead_letters")
+    assert sorted(r.reject_reason for r in letters.collect()) == ["late_event", "schema_or_parse_failure"]
+    counted = spark.read.parquet(f"{tmp_path}/out/counters").collect()
+    assert {r.stage: r.n for r in counted} == {"invalid": 1, "late": 1, "fresh": 1}
+
+
 PROGRESS = {
     "batchId": 7, "numInputRows": 10,
     "sources": [{

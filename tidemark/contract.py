@@ -19,7 +19,7 @@ REASON_INVALID = "schema_or_parse_failure"
 REASON_LATE = "late_event"
 ORDERS_TOPIC = "orders_stream"
 DEAD_LETTER_TOPIC = "orders_stream_dlt"
-CONSUMER_GROUP = "retail-order-stream"
+DIMENSION_KEY = "customer_id"
 DIMENSION_COLUMNS = ("customer_id", "name", "city", "segment")
 SERVED_COLUMNS = (
     "_id", "order_id", "op", "customer_id", "amount", "product_category",
@@ -104,6 +104,13 @@ COUNTERS = T.StructType([
 ])
 
 
+def with_id_type(schema: T.StructType, cfg: PipelineConfig) -> T.StructType:
+    """A schema whose customer_id has the configured type."""
+    kind = {"int": T.IntegerType(), "bigint": T.LongType()}[cfg.customer_id_type]
+    return T.StructType([
+        T.StructField(f.name, kind) if f.name == "customer_id" else f for f in schema])
+
+
 # ---- settings -----------------------------------------------------------
 @dataclass(frozen=True)
 class PipelineConfig:
@@ -111,10 +118,10 @@ class PipelineConfig:
 
     allowed_lateness_s: int = 3600
     max_offsets_per_trigger: int = 20_000
-    dimension_refresh_s: int = 300
     lag_report_every: int = 5
     lag_warn_factor: int = 10
-    # None measures lateness against the arrival time of each message.
+    # None measures lateness against the arrival time of each message, which is the
+    # time of processing only on topics that stamp messages on append.
     clock: datetime | None = None
     # False measures it against the time at which its batch is processed.
     late_on_arrival: bool = True
@@ -125,15 +132,16 @@ class PipelineConfig:
     # How long after its delete; must exceed how far back messages can be
     # replayed. None keeps them for good.
     tombstone_ttl_s: int | None = None
-    # Fixed when a state table is created: at least the shuffle partitions (the
-    # default), and enough for about 1 GB per bucket.
+    # Buckets of the base, to be set before the first compaction: enough for about
+    # 1 GB a bucket. A table is dealt out anew by ``compact(buckets=...)``.
     state_buckets: int | None = None
-    # Number of batch folders at which they are merged.
-    compact_after: int = 16
-    # Below this size they are merged as plain files, to spare small bucket files.
-    level_bytes_per_bucket: int = 1024 * 1024
-    # A level is merged once it is at most this much larger than what is above.
-    merge_factor: int = 4
+    # Number of batch folders at which they are folded into the base; None leaves it to
+    # the compact job.
+    compact_after: int | None = None
+    # How long replaced folders stay for those who still read them.
+    retain_s: int = 7 * 24 * 3600
+    # Type of customer_id, "int" or "bigint"; ids beyond it are invalid.
+    customer_id_type: str = "int"
     # Largest dimension, in memory, that is copied to every executor.
     broadcast_limit_bytes: int = 64 * 1024 * 1024
     # Keep the parsed batch between its uses; off for bulk backfills.

@@ -14,14 +14,12 @@ from pyspark.sql import functions as F
 
 from tidemark import contract as C
 from tidemark.functions.safe import instant
-from tidemark.session import use_utc
-from tidemark.sources import files
 
 FEED_TOPIC = C.ORDERS_TOPIC
 CATEGORIES = ("Electronics", "Grocery", "Apparel", "Home")
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-SPLIT_BYTES = 32 * 1024 * 1024
 QUALITY_CLOCK = datetime(2001, 8, 2)
+FIRST_DAY = datetime(1992, 1, 1)
 CORRUPT_UNTIL = datetime(2001, 7, 25)
 SECOND_VERSION_AT = datetime(2024, 1, 16)
 RULES = C.QualityRules(allowed=SEGMENTS)
@@ -40,15 +38,7 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _spread(spark: SparkSession, path: str, rows: DataFrame, key: str) -> DataFrame:
-    """Use all cores for a file that is too small to be split among them."""
-    cores = spark.sparkContext.defaultParallelism
-    if files.size_bytes(spark, path) < cores * SPLIT_BYTES:
-        return rows.repartition(cores, key)
-    return rows
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 _ISO = "yyyy-MM-dd\'T\'HH:mm:ss.SSSSSS\'+00:00\'"
@@ -57,16 +47,21 @@ _ISO = "yyyy-MM-dd\'T\'HH:mm:ss.SSSSSS\'+00:00\'"
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as messages of the order topic (key, value, position, time)."""
     def payload(customer_id: str, amount: str) -> str:
-        return f"""to_json(named_struct('op', op, 'order_id', order_id,
-            'customer_id', {customer_id}, 'amount', {amount},
-            'product_category', product_category, 'event_time', event_time, 'lsn', event_id))"""
+        return f"""to_json(named_struct('op', {sent('op', "CASE WHEN event_id % 50 = 17 THEN 'X' ELSE op END")},
+            'order_id', {sent('order_id')},
+            'customer_id', {sent('customer_id', customer_id)}, 'amount', {sent('amount', amount)},
+            'product_category', {sent('product_category', "CASE WHEN event_id % 50 = 33 THEN '9-volt!' ELSE product_category END")},
+            'event_time', event_time, 'lsn', {sent('lsn', 'event_id')}))"""
+
+    def sent(field: str, value: str | None = None) -> str:
+        """One event in fifty lacks one of the required fields, each in turn."""
+        turn = C.REQUIRED_EVENT_FIELDS.index(field)
+        return f"CASE WHEN event_id % 50 = 3 AND event_id DIV 50 % 6 = {turn} THEN NULL ELSE {value or field} END"
 
     number = "CAST(regexp_extract(props, '[0-9]+', 0) AS BIGINT)"
     categories = ", ".join(f"'{c}'" for c in CATEGORIES)
-    rows = _spread(
-        spark, f"{sf_dir}/events.parquet", table(spark, sf_dir, "events"), "event_id")
     return (
-        rows.selectExpr(
+        table(spark, sf_dir, "events").selectExpr(
             "event_id", "ts", "user_id", "value AS amount",
             "CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op",
             f"concat('o', user_id * 10 + {number} % 10) AS order_id",
@@ -80,9 +75,10 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"""CAST(CASE
                 WHEN event_id % 50 = 0 THEN '{{"op":"I","order_id":"truncated-'
                 WHEN event_id % 20 = 7 THEN {payload("'NOT_A_NUMBER'", "'bad_data'")}
+                WHEN event_id % 50 = 23 THEN {payload("user_id", "'12,5'")}
                 ELSE {payload(
                     "CASE WHEN event_id % 100 = 61 THEN 99999999999 ELSE user_id END",
-                    "CASE WHEN event_id % 50 = 13 THEN -amount ELSE amount END")}
+                    "CASE event_id % 50 WHEN 13 THEN -amount WHEN 31 THEN amount + 1e7D ELSE amount END")}
                 END AS BINARY) AS value""",
             f"'{FEED_TOPIC}' AS topic", "CAST(event_id % 3 AS INT) AS partition",
             "event_id AS offset", "CAST(ts AS TIMESTAMP) AS timestamp",
@@ -138,6 +134,13 @@ def source_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source where a customer who never ordered signed up on the first day."""
+    first = F.lit(FIRST_DAY.isoformat()).cast("timestamp")
+    return source_customers(spark, sf_dir).withColumns(
+        {c: F.coalesce(c, first) for c in ("signup_date", "updated_at")})
+
+
 def corrupt_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source with one kind of damage per check of the quality gate.
 

@@ -25,7 +25,7 @@ def broken_rule(cfg: C.PipelineConfig) -> Column:
           WHEN {' OR '.join(f'{f} IS NULL' for f in _FIELDS)} THEN 'missing_field'
           WHEN op NOT IN ({', '.join(f"'{op}'" for op in C.OPS)}) THEN 'unknown_op'
           WHEN NOT customer_id RLIKE r'{C.CUSTOMER_ID_PATTERN}' THEN 'customer_id_not_numeric'
-          WHEN try_cast(customer_id AS INT) IS NULL THEN 'customer_id_out_of_range'
+          WHEN try_cast(customer_id AS {cfg.customer_id_type}) IS NULL THEN 'customer_id_out_of_range'
           WHEN NOT amount RLIKE r'{amount}' THEN 'amount_not_numeric'
           WHEN NOT product_category RLIKE r'{C.CATEGORY_PATTERN}' THEN 'category_malformed'
           WHEN event_time IS NULL THEN 'event_time_unparseable'

@@ -3,6 +3,7 @@
     refresh   extract, validate and publish the customer dimension
     stream    apply the order topic to the served table
     backfill  apply a range of it once, through the same steps
+    compact   fold the batches of the served table into its base
     audit     check that the served table holds each order once
     lag       how far the stream is behind
 
@@ -23,11 +24,11 @@ from pyspark.sql import functions as F
 from tidemark import contract as C
 from tidemark.operators import counters, quality
 from tidemark.plans.batch import OrderPipeline, backfill
-from tidemark.plans.refresh import StageFailure, refresh_dimension
-from tidemark.session import use_utc
-from tidemark.sources import topics
+from tidemark.plans.refresh import RefreshStopped, refresh_dimension
+from tidemark.sources import files, topics
 from tidemark.sources.database import JdbcSource
-from tidemark.sources.snapshots import DimensionCache, SnapshotStore
+from tidemark.sources.snapshots import PublishedDimension, SnapshotStore
+from tidemark.streaming.newest import version_stream, write_changes, write_rejects
 from tidemark.streaming.run import LagReporter, newest_offsets, start
 
 log = logging.getLogger("tidemark")
@@ -41,8 +42,9 @@ def arguments() -> argparse.ArgumentParser:
     source = refresh.add_mutually_exclusive_group(required=True)
     source.add_argument("--jdbc-url")
     source.add_argument("--source", help="Parquet folder instead of a database")
-    refresh.add_argument("--user", default="retail")
-    refresh.add_argument("--password-variable", default="PG_PASSWORD")
+    refresh.add_argument("--user", help="database user, required with --jdbc-url")
+    refresh.add_argument("--password-variable", default="TIDEMARK_DB_PASSWORD")
+    refresh.add_argument("--keep-history", action="store_true", help="close and open validity ranges")
     refresh.add_argument("--partitions", type=int, default=16)
     refresh.add_argument("--min-rows", type=int, default=1)
     refresh.add_argument("--max-null-rate", type=float, default=0.0)
@@ -52,12 +54,19 @@ def arguments() -> argparse.ArgumentParser:
 
     stream = _command(commands, "stream", applies=True)
     stream.add_argument("--available-now", action="store_true", help="stop when caught up")
+    stream.add_argument("--state-store", action="store_true",
+                        help="keep versions in the state store, for small batches on a huge table")
 
     history = _command(commands, "backfill", applies=True)
     history.add_argument("--label", required=True, help="a label is applied once")
     history.add_argument("--begin", type=_instant, required=True)
     history.add_argument("--end", type=_instant, required=True)
 
+    compact = _command(commands, "compact")
+    compact.add_argument("--buckets", type=int, help="new number, or that of the first base")
+    compact.add_argument("--retain-s", type=int, default=C.PipelineConfig.retain_s)
+    compact.add_argument("--tombstone-ttl-s", type=int)
+
     _command(commands, "audit")
     lag = _command(commands, "lag")
     lag.add_argument("--max-offsets", type=int, default=C.PipelineConfig.max_offsets_per_trigger)
@@ -74,11 +83,18 @@ def _command(commands, name: str, applies: bool = False) -> argparse.ArgumentPar
         defaults = C.PipelineConfig
         parser.add_argument("--topic", default=C.ORDERS_TOPIC)
         parser.add_argument("--dead-letter-topic", default=C.DEAD_LETTER_TOPIC)
-        parser.add_argument("--group", default=C.CONSUMER_GROUP)
+        parser.add_argument("--group", help="consumer group shown to the brokers")
         parser.add_argument("--lateness-s", type=int, default=defaults.allowed_lateness_s)
         parser.add_argument("--late-on-processing", action="store_true")
         parser.add_argument("--max-offsets", type=int, default=defaults.max_offsets_per_trigger)
-        parser.add_argument("--refresh-s", type=int, default=defaults.dimension_refresh_s)
+        parser.add_argument("--customer-id-type", choices=("int", "bigint"), default=defaults.customer_id_type)
+        parser.add_argument("--strict-amount", action="store_true")
+        parser.add_argument("--hard-deletes", action="store_true", help="keep no tombstones")
+        parser.add_argument("--tombstone-ttl-s", type=int)
+        parser.add_argument("--broadcast-limit-bytes", type=int, default=defaults.broadcast_limit_bytes)
+        parser.add_argument("--buckets", type=int, help="of the base, needed to compact")
+        parser.add_argument("--compact-after", type=int, help="batches; default: by the compact job")
+        parser.add_argument("--retain-s", type=int, default=defaults.retain_s)
         parser.add_argument("--lag-every", type=int, default=defaults.lag_report_every)
     return parser
 
@@ -96,15 +112,18 @@ def pipeline(spark: SparkSession, args, **settings) -> OrderPipeline:
     """The order job as the command line describes it; fails without a dimension."""
     cfg = C.PipelineConfig(
         allowed_lateness_s=args.lateness_s, late_on_arrival=not args.late_on_processing,
-        max_offsets_per_trigger=args.max_offsets, dimension_refresh_s=args.refresh_s,
-        lag_report_every=args.lag_every, **settings)
-    dimension = DimensionCache(customers(spark, args), cfg.dimension_refresh_s)
-    dimension.get()
+        max_offsets_per_trigger=args.max_offsets, lag_report_every=args.lag_every,
+        customer_id_type=args.customer_id_type, strict_amount=args.strict_amount,
+        tombstones=not args.hard_deletes, tombstone_ttl_s=args.tombstone_ttl_s,
+        broadcast_limit_bytes=args.broadcast_limit_bytes, state_buckets=args.buckets,
+        compact_after=args.compact_after, retain_s=args.retain_s, **settings)
+    dimension = PublishedDimension(customers(spark, args))
+    dimension()
     send = None
     if args.servers:
         def send(letters: DataFrame) -> None:
             topics.write_kafka(letters, args.servers, args.dead_letter_topic)
-    return OrderPipeline(spark, f"{args.root}/facts", dimension.get, cfg, send)
+    return OrderPipeline(spark, f"{args.root}/facts", dimension, cfg, send)
 
 
 def run_refresh(spark: SparkSession, args) -> int:
@@ -121,9 +140,10 @@ def run_refresh(spark: SparkSession, args) -> int:
         rows, held = source.read(spark), source.baseline(spark)
     clock = args.now or datetime.now(timezone.utc)
     try:
-        report = refresh_dimension(rows, held, customers(spark, args), rules, clock)
-    except StageFailure as failure:
-        log.error("%s; the published snapshot is unchanged", failure)
+        report = refresh_dimension(
+            rows, held, customers(spark, args), rules, clock, args.keep_history)
+    except RefreshStopped as stopped:
+        log.error("%s", stopped)
         return 1
     for check in report.filter(~F.col("passed")).collect():
         log.warning("%s: %s", check.check_name, check.detail)
@@ -132,6 +152,8 @@ def run_refresh(spark: SparkSession, args) -> int:
 
 def run_stream(spark: SparkSession, args) -> int:
     job = pipeline(spark, args)
+    if args.state_store:
+        return _run_versions(spark, args, job)
     if args.servers:
         messages = topics.kafka_stream(
             spark, args.servers, topic=args.topic, group=args.group, cfg=job.cfg)
@@ -146,18 +168,54 @@ def run_stream(spark: SparkSession, args) -> int:
     return 0
 
 
+def _run_versions(spark: SparkSession, args, job: OrderPipeline) -> int:
+    """The stream on the state store: versions and rejects, each with its checkpoint."""
+    def messages() -> DataFrame:
+        if args.servers:
+            return topics.kafka_stream(spark, args.servers, topic=args.topic, group=args.group, cfg=job.cfg)
+        return topics.file_stream(spark, args.inbox)
+
+    root = f"{args.root}/versions"
+    writers = [
+        write_changes(version_stream(messages(), job.cfg), f"{root}/changes",
+                      f"{root}/checkpoint-changes", job.dimension, job.cfg),
+        write_rejects(messages(), root, f"{root}/checkpoint-rejects", job.cfg),
+    ]
+    started = [(w.trigger(availableNow=True) if args.available_now else w).start() for w in writers]
+    for query in started:
+        query.awaitTermination()
+    return 0
+
+
+def run_compact(spark: SparkSession, args) -> int:
+    """Fold the batches into the base; exit code 1 if another writer was faster."""
+    cfg = C.PipelineConfig(state_buckets=args.buckets, retain_s=args.retain_s,
+                           tombstone_ttl_s=args.tombstone_ttl_s)
+    job = OrderPipeline(spark, f"{args.root}/facts", PublishedDimension(customers(spark, args)), cfg)
+    done = job.state.compact(datetime.now(timezone.utc), args.buckets)
+    job.merge_reports()
+    return 0 if done else 1
+
+
 def run_backfill(spark: SparkSession, args) -> int:
     job = pipeline(spark, args, cache_batch=False)
     if args.servers:
         messages = topics.kafka_range(spark, args.servers, args.topic, args.begin, args.end)
     else:
         messages = spark.read.schema(C.MESSAGE).parquet(args.inbox)
-    backfill(job, topics.arrived_between(messages, args.begin, args.end), args.label)
+    if not backfill(job, messages, args.label, args.begin, args.end):
+        log.warning("%s was applied to this range before; nothing was changed", args.label)
+        return 3
     return 0
 
 
 def run_audit(spark: SparkSession, args) -> int:
-    facts = OrderPipeline(spark, f"{args.root}/facts", customers(spark, args).read).state.served()
+    state = OrderPipeline(
+        spark, f"{args.root}/facts", PublishedDimension(customers(spark, args))).state
+    if state.manifests.latest() is None:
+        log.error("there is no order table at %s", state.root)
+        return 1
+    facts = state.served()
     found = counters.sink_audit(facts).first()
     mix = {r.op: r.n for r in counters.op_mix(facts).collect()}
     log.info("audit %s, ops %s", found.asDict(), mix)
@@ -166,6 +224,9 @@ def run_audit(spark: SparkSession, args) -> int:
 
 def run_lag(spark: SparkSession, args) -> int:
     cfg = C.PipelineConfig(max_offsets_per_trigger=args.max_offsets)
+    if not files.names(spark, f"{args.root}/lag"):
+        log.error("no stream has reported below %s", args.root)
+        return 1
     lag = counters.partition_lag(newest_offsets(spark, f"{args.root}/lag"))
     behind = counters.total_lag(lag, cfg).collect()
     for topic in behind:
@@ -176,7 +237,7 @@ def run_lag(spark: SparkSession, args) -> int:
 
 JOBS = {
     "refresh": run_refresh, "stream": run_stream, "backfill": run_backfill,
-    "audit": run_audit, "lag": run_lag,
+    "compact": run_compact, "audit": run_audit, "lag": run_lag,
 }
 
 
@@ -184,7 +245,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = arguments().parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = spark or SparkSession.builder.appName(f"tidemark-{args.command}").getOrCreate()
-    return JOBS[args.command](use_utc(spark), args)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # naive times of the source are UTC
+    return JOBS[args.command](spark, args)
 
 
 if __name__ == "__main__":

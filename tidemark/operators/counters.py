@@ -66,26 +66,27 @@ def sequence_outcomes(fresh: DataFrame, batch: str = "batch_id") -> DataFrame:
 
 
 def counter_trend(metrics: DataFrame, batches: int = 5) -> DataFrame:
-    """Share of superseded and stale events, averaged over the last batches.
+    """Share of superseded and stale events, averaged over the last batches of a run.
 
     Every row is sent to the ``batches`` batch ids whose average it belongs to,
     so the trend is a grouped aggregate and not one global sort.
     """
+    runs = [c for c in ("run_id",) if c in metrics.columns]
     share = metrics.filter(F.col("processed") > 0).select(
-        "batch_id",
+        *runs, "batch_id",
         (F.col("superseded") / F.col("processed")).alias("superseded_share"),
         (F.col("stale") / F.col("processed")).alias("stale_share"),
     )
     ahead = F.explode(F.sequence(F.lit(0), F.lit(batches - 1)))
     trend = (
         share.withColumn("_ahead", ahead)
-        .groupBy((F.col("batch_id") + F.col("_ahead")).alias("batch_id"))
+        .groupBy(*runs, (F.col("batch_id") + F.col("_ahead")).alias("batch_id"))
         .agg(
             F.avg("superseded_share").alias("superseded_trend"),
             F.avg("stale_share").alias("stale_trend"),
         )
     )
-    return share.join(trend, "batch_id")
+    return share.join(trend, [*runs, "batch_id"])
 
 
 def partition_lag(offsets: DataFrame, cfg: C.PipelineConfig = C.PipelineConfig()) -> DataFrame:

@@ -9,19 +9,16 @@ from pyspark.sql import types as T
 from tidemark import contract as C
 from tidemark.operators.events import POSITION
 
-# Keys split in a shuffle join; any other key holds less than a thousandth.
-HEAVY_KEYS = 1000
-
 
 def enrichment_columns(dimension: DataFrame) -> DataFrame:
-    """Only the attributes that are served; fails without the join key."""
-    keep = [c for c in C.DIMENSION_COLUMNS if c in dimension.columns]
-    if "customer_id" not in keep:
-        raise ValueError(f"dimension lacks 'customer_id'; found {dimension.columns}")
-    naive = {f.name for f in dimension.schema if isinstance(f.dataType, T.TimestampNTZType)}
-    return dimension.select(
-        *[F.col(c).cast("string").alias(c) if c in naive else F.col(c) for c in keep]
-    )
+    """The served attributes of a dimension; times without a zone become text."""
+    served_fields = [f for f in dimension.schema if f.name in C.DIMENSION_COLUMNS]
+    if C.DIMENSION_KEY not in {f.name for f in served_fields}:
+        raise KeyError(f"orders cannot be matched without {C.DIMENSION_KEY}")
+    as_text = (T.TimestampNTZType,)
+    return dimension.selectExpr(*[
+        f"CAST({f.name} AS STRING) AS {f.name}" if isinstance(f.dataType, as_text) else f.name
+        for f in sorted(served_fields, key=lambda f: C.DIMENSION_COLUMNS.index(f.name))])
 
 
 def join_dimension(
@@ -30,17 +27,18 @@ def join_dimension(
 ) -> DataFrame:
     """Left join that keeps every order.
 
-    A dimension of a known size within the limit is broadcast. Otherwise both
-    sides are shuffled, and the heaviest keys are split: their orders are dealt
-    out by message position and their few dimension rows are repeated.
+    A dimension of a known size within the limit is broadcast. Otherwise both sides are
+    shuffled and merged, and heavy keys are split: their orders are dealt out by message
+    position and their few dimension rows are repeated. A key is heavy if it holds more
+    than the fair share of one task, so there are fewer of them than tasks.
     """
     if dimension_bytes is not None and dimension_bytes <= limit_bytes:
         return _left_join(orders, F.broadcast(dimension), [key], condition)
     parts = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = orders.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"))
     heavy = (
-        orders.filter(F.col(key).isNotNull())
-        .groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.col("_n").desc(), key).limit(HEAVY_KEYS)
+        counts.join(F.broadcast(total), F.col("_n") * parts > F.col("_total"))
         .select(F.col(key), F.lit(True).alias("_heavy"))
     )
     spread = F.col("_heavy") | F.col(key).isNull()
@@ -52,7 +50,7 @@ def join_dimension(
         "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)),
     )
     return _left_join(
-        dealt.drop("_heavy"), repeated.drop("_heavy"), [key, "_part"], condition).drop("_part")
+        dealt.drop("_heavy"), repeated.drop("_heavy").hint("merge"), [key, "_part"], condition).drop("_part")
 
 
 def _left_join(
@@ -61,14 +59,17 @@ def _left_join(
     if condition is None:
         return orders.join(dimension, keys, "left")
     right = dimension.withColumnsRenamed({k: f"{k}_right" for k in keys})
+    if "_part" in keys:
+        right = right.hint("merge")
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"{k}_right"))
     return orders.join(right, condition, "left").drop(*[f"{k}_right" for k in keys])
 
 
-def state_rows(changes: DataFrame) -> DataFrame:
+def state_rows(changes: DataFrame, cfg: C.PipelineConfig = C.PipelineConfig()) -> DataFrame:
     """Changes as rows of the state table; deletes carry no attributes."""
-    return changes.select(*[F.col(f.name).cast(f.dataType) for f in C.ORDER_STATE])
+    return changes.select(*[
+        F.col(f.name).cast(f.dataType) for f in C.with_id_type(C.ORDER_STATE, cfg)])
 
 
 def served(state: DataFrame) -> DataFrame:

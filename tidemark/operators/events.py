@@ -50,20 +50,20 @@ def raw_of_rejects(judged: DataFrame) -> DataFrame:
     return judged.withColumn("json_str", raw)
 
 
-def typed(judged: DataFrame, ingested_at=None) -> DataFrame:
+def typed(judged: DataFrame, ingested_at=None, cfg: C.PipelineConfig = C.PipelineConfig()) -> DataFrame:
     """Valid events with their served types and the ingestion clock."""
     clock = F.current_timestamp() if ingested_at is None else instant(ingested_at)
     return judged.filter(F.col("stage") != C.INVALID).select(
         *POSITION, "arrived_at", "stage", "age_s", "op", "order_id",
-        F.expr("try_cast(customer_id AS INT) AS customer_id"),
+        F.expr(f"try_cast(customer_id AS {cfg.customer_id_type}) AS customer_id"),
         F.expr("try_cast(amount AS DOUBLE) AS amount"),
         "product_category", "event_time", "lsn", clock.alias("ingested_at"),
     )
 
 
-def fresh(judged: DataFrame, ingested_at=None) -> DataFrame:
+def fresh(judged: DataFrame, ingested_at=None, cfg: C.PipelineConfig = C.PipelineConfig()) -> DataFrame:
     """Typed events young enough to be applied."""
-    return typed(judged, ingested_at).filter(F.col("stage") == C.FRESH).drop("stage", "age_s")
+    return typed(judged, ingested_at, cfg).filter(F.col("stage") == C.FRESH).drop("stage", "age_s")
 
 
 def rejected(judged: DataFrame, rejected_at=None) -> DataFrame:

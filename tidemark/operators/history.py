@@ -13,11 +13,17 @@ ATTRIBUTES = ("name", "city", "segment")
 def type2_history(versions: DataFrame, attributes: tuple[str, ...] = ATTRIBUTES) -> DataFrame:
     """Validity ranges from snapshot rows (customer_id, attributes, updated_at).
 
-    A snapshot that changes nothing extends the current range. Snapshots hold
-    each customer once, so a window group has at most one row per snapshot.
+    A snapshot that changes nothing extends the current range. Of rows of one customer
+    with the same ``updated_at`` the one that sorts last by its attributes counts, so no
+    range is empty and every run gives the same ranges. Snapshots hold each customer
+    once, so a window group has at most one row per snapshot.
     """
     by_time = Window.partitionBy("customer_id").orderBy("updated_at")
     state = F.struct(*attributes)
+    versions = (
+        versions.groupBy("customer_id", "updated_at").agg(F.max(state).alias("_state"))
+        .select("customer_id", "updated_at", "_state.*")
+    )
     changed = ~state.eqNullSafe(F.lag(state).over(by_time))
     first = F.row_number().over(by_time) == 1
     return (
@@ -29,6 +35,37 @@ def type2_history(versions: DataFrame, attributes: tuple[str, ...] = ATTRIBUTES)
     )
 
 
+def advance(
+    history: DataFrame | None, snapshot: DataFrame, at: Column,
+    attributes: tuple[str, ...] = ATTRIBUTES,
+) -> DataFrame:
+    """The history after one more snapshot.
+
+    Ranges of changed customers and of those who are no longer in the snapshot end at
+    ``at``; a customer who comes back opens a new range. A changed customer's new range
+    begins where the old one ends.
+    """
+    now = snapshot.select("customer_id", *attributes)
+    if history is None:
+        return now.select(
+            "*", at.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"),
+            F.lit(True).alias("is_current"))
+    current = history.filter("is_current")
+    same = F.lit(True)
+    for a in attributes:
+        same = same & F.col(f"n.{a}").eqNullSafe(F.col(f"h.{a}"))
+    met = current.alias("h").join(
+        now.alias("n"), F.col("h.customer_id") == F.col("n.customer_id"), "full")
+    old = met.filter(F.col("h.customer_id").isNotNull()).select(
+        *[F.col(f"h.{c}") for c in ("customer_id", *attributes, "valid_from")],
+        F.when(F.col("n.customer_id").isNotNull() & same, F.lit(None)).otherwise(at).alias("valid_to"),
+    ).withColumn("is_current", F.col("valid_to").isNull())
+    new = met.filter(F.col("n.customer_id").isNotNull() & ~(F.col("h.customer_id").isNotNull() & same)).select(
+        *[F.col(f"n.{c}") for c in ("customer_id", *attributes)], at.alias("valid_from"),
+        F.lit(None).cast("timestamp").alias("valid_to"), F.lit(True).alias("is_current"))
+    return history.filter("NOT is_current").unionByName(old).unionByName(new)
+
+
 def enrich_as_of(
     orders: DataFrame, history: DataFrame, history_bytes: int | None, limit_bytes: int,
     at: Column | None = None,

@@ -12,6 +12,8 @@ from tidemark.contract import QualityRules
 from tidemark.functions.safe import instant, is_blank, to_number, to_time
 
 ERROR, WARNING = "error", "warning"
+#: Unexpected values that the report lists.
+LISTED = 20
 
 
 def conform(frame: DataFrame, schema) -> DataFrame:
@@ -113,6 +115,15 @@ def quality_report(
         wide = wide.unionByName(source.select(*expected), allowMissingColumns=True)
         wide = wide.agg(*[F.max(c).alias(c) for c in wide.columns])
 
+    if "unexpected" in measures:
+        listed = (
+            unexpected_values(frame, rules).select(F.col("value").cast("string"))
+            .orderBy("value").limit(LISTED + 1)
+            .agg(F.array_sort(F.collect_list("value")).alias("unexpected_values"))
+        )
+        wide = wide.unionByName(listed, allowMissingColumns=True)
+        wide = wide.agg(*[F.max(c).alias(c) for c in wide.columns])
+
     rows = F.col("rows")
     missing = [c for c in rules.required if c not in frame.columns]
     checks = [
@@ -148,7 +159,9 @@ def quality_report(
     if "unexpected" in measures:
         checks.append(_check(
             f"{rules.domain_column}_domain", F.col("unexpected") == 0, F.col("unexpected"),
-            F.concat("unexpected", F.lit(" rows outside " + ", ".join(sorted(rules.allowed))))))
+            F.concat("unexpected", F.lit(" rows outside " + ", ".join(sorted(rules.allowed)) + ": "),
+                     F.array_join(F.slice("unexpected_values", 1, LISTED), ", "),
+                     F.when(F.size("unexpected_values") > LISTED, ", ...").otherwise(""))))
     if "unparseable" in measures:
         checks += [
             _check(f"{rules.start_date}_parseable", F.col("unparseable") == 0,

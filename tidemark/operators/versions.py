@@ -12,8 +12,8 @@ from tidemark.operators.events import POSITION
 
 
 def newest_first():
-    """Equal versions are told apart by time and position, the same on every run."""
-    return [F.col(c).desc() for c in ("lsn", "event_time", *POSITION)]
+    """Of equal versions the first to arrive stays, as it does against the stored one."""
+    return [F.col("lsn").desc(), *[F.col(c).asc() for c in ("arrived_at", *POSITION)]]
 
 
 def latest_per_order(events: DataFrame, *extra_keys: str) -> DataFrame:

@@ -14,17 +14,35 @@ feed AS (
     ts AS arrived, user_id AS customer_id,
     'o' || (user_id * 10 + CAST(regexp_extract(props, '[0-9]+') AS BIGINT) % 10) AS order_id,
     CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op,
-    CASE WHEN event_id % 50 = 13 THEN -value ELSE value END AS amount,
+    CASE event_id % 50 WHEN 13 THEN -value WHEN 31 THEN value + 1e7::DOUBLE ELSE value END AS amount,
     CASE CAST(regexp_extract(props, '[0-9]+') AS BIGINT) % 4
       WHEN 0 THEN 'Electronics' WHEN 1 THEN 'Grocery' WHEN 2 THEN 'Apparel' ELSE 'Home' END
       AS product_category,
     CASE WHEN event_id % 50 = 29 THEN ts - INTERVAL 2 HOUR ELSE ts END AS event_time,
-    CASE WHEN event_id % 50 = 0 THEN 'unparseable'
+    CASE WHEN event_id % 50 = 3 THEN event_id // 50 % 6 END AS lost,
+    CASE WHEN event_id % 50 = 0 THEN 'unparseable' WHEN event_id % 50 = 3 THEN 'missing_field'
+      WHEN event_id % 50 = 17 THEN 'unknown_op'
+      WHEN event_id % 50 = 23 THEN 'amount_not_numeric'
+      WHEN event_id % 50 = 33 THEN 'category_malformed'
       WHEN event_id % 20 = 7 THEN 'customer_id_not_numeric'
       WHEN event_id % 50 = 41 THEN 'event_time_unparseable'
       WHEN event_id % 100 = 61 THEN 'customer_id_out_of_range'
       WHEN event_id % 50 = 29 THEN 'late' ELSE 'ok' END AS kind
   FROM events),
+sent AS (  -- the fields as they are in the payload
+  SELECT pos,
+    CASE WHEN kind = 'unparseable' OR lost = 0 THEN NULL WHEN kind = 'unknown_op' THEN 'X' ELSE op END AS op,
+    CASE WHEN kind <> 'unparseable' AND lost IS DISTINCT FROM 1 THEN order_id END AS order_id,
+    CASE WHEN kind = 'unparseable' OR lost = 2 THEN NULL WHEN pos % 20 = 7 THEN 'NOT_A_NUMBER'
+      WHEN kind = 'customer_id_out_of_range' THEN '99999999999' ELSE CAST(customer_id AS VARCHAR) END
+      AS customer_id,
+    CASE WHEN kind NOT IN ('unparseable', 'amount_not_numeric') AND pos % 20 <> 7
+      AND lost IS DISTINCT FROM 3 THEN amount END AS amount,
+    CASE WHEN kind <> 'unparseable' AND lost IS DISTINCT FROM 4 THEN lsn END AS lsn,
+    CASE WHEN kind = 'unparseable' OR lost = 5 THEN NULL WHEN kind = 'category_malformed' THEN '9-volt!'
+      ELSE product_category END AS product_category,
+    CASE WHEN kind <> 'unparseable' AND pos % 50 <> 41 THEN event_time END AS event_time
+  FROM feed),
 stages AS (
   SELECT *, CASE kind WHEN 'ok' THEN 'fresh' WHEN 'late' THEN 'late' ELSE 'invalid' END AS stage,
     CAST(epoch(date_trunc('second', arrived)) - epoch(date_trunc('second', event_time)) AS BIGINT)
@@ -208,22 +226,12 @@ _CUSTOMER_COLUMNS = "customer_id, name, city, segment, signup_date, updated_at"
 
 ORACLES: dict[str, str] = {
     "parse_payload": f"""WITH {FEED}
-SELECT pos AS "offset",
-  CASE WHEN kind <> 'unparseable' THEN op END AS op,
-  CASE WHEN kind <> 'unparseable' THEN order_id END AS order_id,
-  CASE kind WHEN 'unparseable' THEN NULL WHEN 'customer_id_not_numeric' THEN 'NOT_A_NUMBER'
-    WHEN 'customer_id_out_of_range' THEN '99999999999'
-    ELSE CAST(customer_id AS VARCHAR) END AS customer_id,
-  CASE WHEN kind NOT IN ('unparseable', 'customer_id_not_numeric') THEN amount END AS amount,
-  CASE WHEN kind <> 'unparseable' THEN product_category END AS product_category,
-  CASE WHEN kind NOT IN ('unparseable', 'event_time_unparseable') THEN event_time END
-    AS event_time,
-  CASE WHEN kind <> 'unparseable' THEN lsn END AS lsn
-FROM feed""",
+SELECT pos AS "offset", op, order_id, customer_id, amount, product_category, event_time, lsn
+FROM sent""",
     "split_valid": f"""WITH {FEED} SELECT pos AS "offset", lsn FROM stages WHERE stage <> 'invalid'""",
     "split_invalid": f"""WITH {FEED}
-SELECT pos AS "offset", CASE WHEN kind <> 'unparseable' THEN lsn END AS lsn, kind AS rule
-FROM stages WHERE stage = 'invalid'""",
+SELECT pos AS "offset", sent.lsn, kind AS rule
+FROM stages JOIN sent USING (pos) WHERE stage = 'invalid'""",
     "invalid_by_rule": f"""WITH {FEED}
 SELECT kind AS rule, count(*) AS n FROM stages WHERE stage = 'invalid' GROUP BY kind""",
     "accepted_events": f"""WITH {FEED}
@@ -263,15 +271,10 @@ SELECT count(*) AS documents, count(DISTINCT order_id) AS distinct_orders,
   count(*) = count(DISTINCT order_id) AS sound FROM facts""",
     "sink_op_mix": f"{FACTS} SELECT op, count(*) AS n FROM facts GROUP BY op",
     "dlq_payloads": f"""WITH {FEED}
-SELECT CASE WHEN kind = 'unparseable' THEN '' ELSE order_id END AS key,
+SELECT coalesce(sent.order_id, '') AS key,
   CASE WHEN stage = 'late' THEN 'late_event' ELSE 'schema_or_parse_failure' END AS reject_reason,
-  CASE WHEN kind <> 'unparseable' THEN order_id END AS order_id,
-  CASE WHEN kind <> 'unparseable' THEN op END AS op,
-  CASE kind WHEN 'unparseable' THEN NULL WHEN 'customer_id_not_numeric' THEN 'NOT_A_NUMBER'
-    WHEN 'customer_id_out_of_range' THEN '99999999999'
-    ELSE CAST(customer_id AS VARCHAR) END AS customer_id,
-  CASE WHEN kind <> 'unparseable' THEN lsn END AS lsn, pos AS "offset", true AS has_payload
-FROM stages WHERE stage <> 'fresh'""",
+  sent.order_id, sent.op, sent.customer_id, sent.lsn, pos AS "offset", true AS has_payload
+FROM stages JOIN sent USING (pos) WHERE stage <> 'fresh'""",
     "dlq_triage": f"""WITH {FEED}
 SELECT CASE WHEN stage = 'late' THEN 'late_event' ELSE 'schema_or_parse_failure' END
     AS reject_reason,
@@ -294,14 +297,15 @@ SELECT CASE batch_no WHEN 2 THEN 'replay' ELSE 'delivery' END AS run_id,
         "FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20')",
     ) + _SERVED,
     "stream_order_facts": f"{FACTS} {_SERVED}",
-    "stream_lsn_state": f"WITH {FEED} SELECT order_id, lsn, op, amount FROM winners WHERE op <> 'D'",
+    "stream_lsn_state": f"""{FACTS}
+SELECT order_id, lsn, op, amount, name, city, segment FROM facts""",
     "dim_extract": f"WITH {SOURCE} SELECT {_CUSTOMER_COLUMNS} FROM source",
     "dim_snapshot": f"""WITH {SOURCE}
 SELECT customer_id, name, city,
   CASE WHEN customer_id % 10 = 0 THEN {_MOVED} ELSE segment END AS segment, signup_date,
   updated_at + INTERVAL 1 DAY AS updated_at FROM source""",
     "dim_refresh": f"""WITH {SOURCE}
-SELECT customer_id, name, city, segment FROM source WHERE updated_at IS NOT NULL""",
+SELECT customer_id, name, city, segment FROM source""",
     "source_baseline": f"""WITH {SOURCE}
 SELECT count(*) AS row_count, max(updated_at) AS max_updated_at FROM source""",
     "dq_report": f"WITH {SOURCE}, {_gate('source')} SELECT * FROM checks",

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import contract as C
 from tidemark.functions.safe import instant
 from tidemark.operators import counters, deadletter, enrich, events, versions
-from tidemark.sources import files
+from tidemark.sources import files, topics
 from tidemark.sources.order_state import OrderState
 
 log = logging.getLogger("tidemark")
@@ -22,6 +23,8 @@ Dimension = Callable[[], tuple[DataFrame, int | None]]
 Hold = Callable[[str, DataFrame], DataFrame]
 
 # Folders of the shared parts of a batch, where those are written and not cached.
+LETTERS = ("key string, value binary, reject_reason string, arrived_at timestamp, run_id string, "
+           "batch_id bigint")
 STAGED_BY = {"judged": "stage", "guarded": "outcome"}
 
 
@@ -47,7 +50,7 @@ class AppliedBatch:
     def changes(self, dimension: DataFrame, size: int | None, cfg: C.PipelineConfig) -> DataFrame:
         """Rows for the state table: enriched upserts and tombstones."""
         return enrich.state_rows(enrich.join_dimension(
-            self.effective(), dimension, size, cfg.broadcast_limit_bytes))
+            self.effective(), dimension, size, cfg.broadcast_limit_bytes), cfg)
 
 
 def apply_batch(
@@ -60,8 +63,21 @@ def apply_batch(
     ``attach`` puts the stored versions beside the winners; without it the
     batch is applied to an empty table. ``hold`` may keep shared parts.
     """
-    judged = hold("judged", events.raw_of_rejects(events.judge(events.parse(messages), cfg)))
-    latest = versions.latest_per_order(events.fresh(judged, clock))
+    return guard_batch(judge_batch(messages, cfg, hold), attach, cfg, clock, hold)
+
+
+def judge_batch(
+    messages: DataFrame, cfg: C.PipelineConfig, hold: Hold = lambda name, frame: frame,
+) -> DataFrame:
+    return hold("judged", events.raw_of_rejects(events.judge(events.parse(messages), cfg)))
+
+
+def guard_batch(
+    judged: DataFrame, attach: Callable[[DataFrame], DataFrame] | None, cfg: C.PipelineConfig,
+    clock: datetime | None = None, hold: Hold = lambda name, frame: frame,
+) -> AppliedBatch:
+    """Collapse judged events and guard the winners; repeated when another writer was faster."""
+    latest = versions.latest_per_order(events.fresh(judged, clock, cfg))
     if attach is None:
         attached = latest.withColumns({
             "stored_lsn": F.lit(None).cast("bigint"), "stored_op": F.lit(None).cast("string")})
@@ -74,8 +90,8 @@ def apply_batch(
 class OrderPipeline:
     """The job that stream, replay and backfill share.
 
-    Order of effects: dead letters, metrics, changed rows, pointer. What a batch
-    left behind before the pointer moved is replaced when the batch is repeated.
+    Order of effects: dead letters, metrics, changed rows, manifest. What a batch left
+    behind before its manifest was created is replaced when the batch is repeated.
     ``publish_letters`` may send the dead letters on, at least once.
     """
 
@@ -89,53 +105,97 @@ class OrderPipeline:
     def state(self) -> OrderState:
         return OrderState(self.spark, f"{self.root}/orders", self.cfg)
 
-    def apply(self, messages: DataFrame, batch_id: int, run_id: str) -> None:
-        """Apply one batch once; a batch that is already part of the table is skipped."""
+    def apply(self, messages: DataFrame, batch_id: int, run_id: str) -> bool:
+        """Apply one batch once; False if it is part of the table already.
+
+        The events are judged once. When another writer changes the table meanwhile, the
+        winners are guarded again by what it has become.
+        """
         state = self.state
-        if batch_id <= state.committed(run_id):
-            return
+        manifest = state.create()
+        if batch_id <= manifest["runs"].get(run_id, -1):
+            return False
         now = datetime.now(timezone.utc)
         cfg = self.cfg if self.cfg.late_on_arrival else replace(self.cfg, clock=now)
-        staged = f"{self.root}/staged/run_id={run_id}/batch_id={batch_id}"
+        staged = f"{self.root}/staged/{uuid.uuid4().hex}"
         held: list[DataFrame] = []
 
         def hold(name: str, frame: DataFrame) -> DataFrame:
             if cfg.cache_batch:
                 held.append(frame.persist())
                 return frame
-            return self._stage(frame, f"{staged}/{name}", STAGED_BY[name])
+            return self._stage(frame, f"{staged}/{len(held)}-{name}", STAGED_BY[name])
 
         try:
-            batch = apply_batch(messages, state.attach, cfg, now, hold)
-            # One row; it also tells which of the writes would be empty.
-            counted = batch.counters().first().asDict()
-            if counted["processed"] == 0:
-                return
+            judged = judge_batch(messages, cfg, hold)
+            told = False
+            while True:
+                batch = guard_batch(
+                    judged, lambda latest: state.attach(latest, manifest), cfg, now, hold)
+                # One row; it also tells which of the writes would be empty.
+                counted = batch.counters().first().asDict()
+                if counted["processed"] == 0:
+                    return True
+                if not told and counted["invalid"] + counted["late"] > 0:
+                    self._write_letters(batch.letters(now), run_id, batch_id)
+                told = True
+                self._write_counters(counted, run_id, batch_id, now)
+                dimension, size = self.dimension()
+                added = state.commit(
+                    batch.changes(dimension, size, self.cfg), manifest, run_id, batch_id)
+                if added is not None:
+                    break
+                log.warning("batch %d of %s meets another writer and is guarded again", batch_id, run_id)
+                if not cfg.cache_batch:
+                    held.append(batch.guarded)
+                manifest = state.manifest()
+                if batch_id <= manifest["runs"].get(run_id, -1):
+                    return False
             log.log(logging.INFO if counted["reconciles"] else logging.ERROR,
                     "batch %d of %s: %s", batch_id, run_id, counted)
-            if counted["invalid"] + counted["late"] > 0:
-                self._write_letters(batch.letters(now), run_id, batch_id)
-            self._write_counters(counted, run_id, batch_id, now)
-            dimension, size = self.dimension()
-            state.commit(batch.changes(dimension, size, self.cfg), run_id, batch_id)
-            if len(state.manifest()["deltas"]) >= self.cfg.compact_after:
+            if self.cfg.compact_after and len(added["deltas"]) >= self.cfg.compact_after:
                 state.compact(now)
+            return True
         finally:
-            for frame in held:
-                frame.unpersist()
-            if not self.cfg.cache_batch:
+            if cfg.cache_batch:
+                for frame in held:
+                    frame.unpersist()
+            else:
                 files.remove(self.spark, staged)
 
     def letters(self) -> DataFrame:
-        """All dead letters, with the run and batch that rejected them."""
-        return self.spark.read.option("basePath", f"{self.root}/dead_letters").parquet(
-            f"{self.root}/dead_letters")
+        """All dead letters, with the run and batch that rejected them, each message once."""
+        text = F.col("value").cast("string")
+        place = [F.get_json_object(text, f"$.{c}").alias(f"_{c}") for c in events.POSITION]
+        rows = self.spark.read.schema(LETTERS).parquet(f"{self.root}/dead_letters/*")
+        return (
+            rows.select("*", *place)
+            .dropDuplicates(["run_id", "batch_id", *(f"_{c}" for c in events.POSITION)])
+            .drop(*(f"_{c}" for c in events.POSITION))
+        )
 
     def metrics(self) -> DataFrame:
         """Counters per batch; of a repeated batch the last attempt counts."""
-        rows = self.spark.read.schema(C.COUNTERS).parquet(f"{self.root}/batch_metrics")
-        newest = F.max_by(F.struct(*C.COUNTERS.fieldNames()[2:]), "recorded_at").alias("m")
-        return rows.groupBy("run_id", "batch_id").agg(newest).select("run_id", "batch_id", "m.*")
+        rows = self.spark.read.schema(C.COUNTERS).parquet(f"{self.root}/batch_metrics/*")
+        last = Window.partitionBy("run_id", "batch_id").orderBy(F.col("recorded_at").desc())
+        return (
+            rows.withColumn("_rank", F.row_number().over(last))
+            .filter(F.col("_rank") == 1).drop("_rank")
+        )
+
+    def merge_reports(self) -> None:
+        """Replace the many small folders of letters and metrics by one each.
+
+        The merged folder is there before the others go, and what is found twice counts
+        once, so the rows are whole at any time.
+        """
+        for name, rows in (("dead_letters", self.letters), ("batch_metrics", self.metrics)):
+            before = files.names(self.spark, f"{self.root}/{name}")
+            if len(before) < 2:
+                continue
+            rows().write.parquet(f"{self.root}/{name}/merged-{uuid.uuid4().hex}")
+            for old in before:
+                files.remove(self.spark, f"{self.root}/{name}/{old}")
 
     def _stage(self, frame: DataFrame, path: str, column: str) -> DataFrame:
         """Write a part once; its later uses read only their rows and columns."""
@@ -143,8 +203,10 @@ class OrderPipeline:
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def _write_letters(self, letters: DataFrame, run_id: str, batch_id: int) -> None:
-        path = f"{self.root}/dead_letters/run_id={run_id}/batch_id={batch_id}"
-        letters.write.mode("overwrite").partitionBy("reject_reason").parquet(path)
+        path = f"{self.root}/dead_letters/{run_id}-{batch_id}"
+        rows = letters.withColumns({
+            "run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
+        rows.write.mode("overwrite").parquet(path)
         if self.publish_letters is not None:
             self.publish_letters(self.spark.read.parquet(path))
 
@@ -156,9 +218,15 @@ class OrderPipeline:
             (instant(now) if f.name == "recorded_at" else F.lit(row[f.name]).cast(f.dataType))
             .alias(f.name) for f in C.COUNTERS
         ])
-        frame.write.mode("append").parquet(f"{self.root}/batch_metrics")
+        frame.write.parquet(f"{self.root}/batch_metrics/{run_id}-{batch_id}-{uuid.uuid4().hex}")
 
 
-def backfill(pipeline: OrderPipeline, messages: DataFrame, label: str) -> None:
-    """Apply a bounded set of messages through the same steps as the stream."""
-    pipeline.apply(messages, 0, f"backfill-{label}")
+def backfill(
+    pipeline: OrderPipeline, messages: DataFrame, label: str, begin: datetime, end: datetime,
+) -> bool:
+    """Apply the messages that arrived in a range through the same steps as the stream.
+
+    A label and range are applied once; False if they were before.
+    """
+    run = f"backfill-{label}-{begin:%Y%m%dT%H%M%S.%f}-{end:%Y%m%dT%H%M%S.%f}"
+    return pipeline.apply(topics.arrived_between(messages, begin, end), 0, run)

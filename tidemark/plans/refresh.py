@@ -1,55 +1,68 @@
-"""Refreshing the customer dimension: extract, validate, publish."""
+"""Refreshing the customer dimension: copy, check, publish."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
 from tidemark.contract import CUSTOMER, QualityRules
-from tidemark.operators import quality
+from tidemark.functions.safe import instant
+from tidemark.operators import history, quality
 from tidemark.sources.snapshots import SnapshotStore
 
 
-class StageFailure(RuntimeError):
-    """A stage did not meet its contract; nothing after it may run."""
+class RefreshStopped(RuntimeError):
+    """The source could not be copied or did not pass; readers keep what they have."""
 
 
-def extract(source: DataFrame, store: SnapshotStore, schema=CUSTOMER) -> str:
-    """Copy the source to a candidate, away from what readers see."""
+def extract(source: DataFrame, store: SnapshotStore) -> str:
+    """Copy the source as it is, columns and values untouched, away from readers."""
     try:
-        return store.write_candidate(quality.conform(source, schema))
-    except Exception as error:
-        raise StageFailure(f"extraction failed: {error}") from error
+        return store.write_candidate(source)
+    except PySparkException as error:
+        raise RefreshStopped(f"the source could not be copied: {error}") from error
 
 
 def validate(
     candidate: str, baseline: DataFrame | None, store: SnapshotStore, rules: QualityRules,
     clock: datetime,
 ) -> DataFrame:
-    """Report of the gate; a failed candidate is set aside and stops the run."""
+    """Report of the gate on the copied source; what does not pass is set aside."""
     frame = store.spark.read.parquet(candidate)
     report = quality.quality_report(frame, rules, clock=clock, source=baseline)
     # At most one row per check, so the report fits anywhere.
     rows = report.collect()
     report = store.spark.createDataFrame(rows, report.schema)
-    failed = [r.check_name for r in rows if not r.passed and r.severity == quality.ERROR]
-    if failed:
+    broken = sorted(r.check_name for r in rows if not r.passed and r.severity == quality.ERROR)
+    if broken:
         store.quarantine(candidate, report)
-        raise StageFailure(f"quality gate blocked publication: {', '.join(sorted(failed))}")
+        raise RefreshStopped("not published, for it breaks " + ", ".join(broken))
     return report
 
 
-def publish(candidate: str, store: SnapshotStore) -> dict:
-    return store.publish(candidate)
+def publish(
+    candidate: str, store: SnapshotStore, clock: datetime, schema=CUSTOMER, keep_history: bool = False,
+) -> dict:
+    """Give the checked copy its types and make it what readers see.
+
+    With ``keep_history`` the history advances by it: changed and vanished customers are
+    closed at ``clock``.
+    """
+    typed = store.write_candidate(quality.conform(store.spark.read.parquet(candidate), schema))
+    if not keep_history:
+        return store.publish(typed)
+    ranges = history.advance(store.history(), store.spark.read.parquet(typed), instant(clock))
+    return store.publish(typed, store.write_candidate(ranges))
 
 
 def refresh_dimension(
     source: DataFrame, baseline: DataFrame | None, store: SnapshotStore,
-    rules: QualityRules, clock: datetime,
+    rules: QualityRules, clock: datetime, keep_history: bool = False,
 ) -> DataFrame:
     """All stages in order; returns the report of the published snapshot."""
     candidate = extract(source, store)
     report = validate(candidate, baseline, store, rules, clock)
-    publish(candidate, store)
+    publish(candidate, store, clock, keep_history=keep_history)
     return report

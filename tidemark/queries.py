@@ -17,15 +17,15 @@ from tidemark.plans.batch import AppliedBatch, OrderPipeline, apply_batch, backf
 from tidemark.plans.refresh import refresh_dimension
 from tidemark.session import shared_folder
 from tidemark.sources import topics
-from tidemark.sources.snapshots import DimensionCache, SnapshotStore, memory_bytes
+from tidemark.sources.measure import memory_bytes
+from tidemark.sources.snapshots import PublishedDimension, SnapshotStore
 from tidemark.streaming.run import start
-from tidemark.streaming.newest import live_orders, version_stream, write_changes
+from tidemark.streaming.newest import live_orders, merge_changes, version_stream, write_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = C.PipelineConfig()
 TRAILING_NOW = datetime(2024, 1, 16)
 QUERIES: dict[str, Query] = {}
-_MEASURED: dict[str, int] = {}
 
 
 def query(function: Query) -> Query:
@@ -46,17 +46,10 @@ def _whole_feed(spark: SparkSession, sf_dir: str) -> AppliedBatch:
     return apply_batch(X.order_messages(spark, sf_dir), cfg=CFG)
 
 
-def _customer_bytes(spark: SparkSession, sf_dir: str) -> int:
-    """Measured once per table, as a catalog keeps it with a table."""
-    if sf_dir not in _MEASURED:
-        _MEASURED[sf_dir] = memory_bytes(enrich.enrichment_columns(X.customers(spark, sf_dir)))
-    return _MEASURED[sf_dir]
-
-
 def _enriched(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     dimension = enrich.enrichment_columns(X.customers(spark, sf_dir))
     return enrich.join_dimension(
-        orders, dimension, _customer_bytes(spark, sf_dir), CFG.broadcast_limit_bytes)
+        orders, dimension, memory_bytes(dimension), CFG.broadcast_limit_bytes)
 
 
 def _first_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +210,7 @@ def enrich_orders(spark, sf_dir):
     dimension = enrich.enrichment_columns(X.solvent_customers(spark, sf_dir))
     orders = _whole_feed(spark, sf_dir).effective().filter(F.col("op") != C.DELETE)
     joined = enrich.join_dimension(
-        orders, dimension, _customer_bytes(spark, sf_dir), CFG.broadcast_limit_bytes)
+        orders, dimension, memory_bytes(dimension), CFG.broadcast_limit_bytes)
     return joined.select("order_id", "customer_id", "name", "city", "segment")
 
 
@@ -265,16 +258,16 @@ def dlq_triage(spark, sf_dir):
 
 
 # ---- jobs on a stored table ------------------------------------------------
-def _published_dimension(spark, sf_dir, root) -> DimensionCache:
+def _published_dimension(spark, sf_dir, root) -> PublishedDimension:
     store = SnapshotStore(spark, f"{root}/customers")
     store.publish(store.write_candidate(
         enrich.enrichment_columns(X.customers(spark, sf_dir))))
-    return DimensionCache(store)
+    return PublishedDimension(store)
 
 
 def _pipeline(spark, sf_dir, purpose, cfg=CFG) -> OrderPipeline:
     root = shared_folder(spark, purpose)
-    return OrderPipeline(spark, root, _published_dimension(spark, sf_dir, root).get, cfg)
+    return OrderPipeline(spark, root, _published_dimension(spark, sf_dir, root), cfg)
 
 
 def _apply_out_of_order(pipeline, messages) -> None:
@@ -301,10 +294,11 @@ def hard_delete_apply(spark, sf_dir):
 @query
 def replay_idempotence(spark, sf_dir):
     """Counters of A, B, and of the whole feed again under a new run."""
-    pipeline = _pipeline(spark, sf_dir, "replay")
+    pipeline = _pipeline(spark, sf_dir, "replay", C.PipelineConfig(state_buckets=8))
     messages = X.order_messages(spark, sf_dir)
     _apply_out_of_order(pipeline, messages)
-    pipeline.state.compact(full=True)
+    pipeline.state.compact()
+    pipeline.merge_reports()
     pipeline.apply(messages, 0, "replay")
     return pipeline.metrics().drop("recorded_at")
 
@@ -312,9 +306,8 @@ def replay_idempotence(spark, sf_dir):
 @query
 def backfill_range(spark, sf_dir):
     pipeline = _pipeline(spark, sf_dir, "backfill", C.PipelineConfig(cache_batch=False))
-    messages = topics.arrived_between(
-        X.order_messages(spark, sf_dir), datetime(2024, 1, 10), datetime(2024, 1, 20))
-    backfill(pipeline, messages, "2024-01-10")
+    backfill(pipeline, X.order_messages(spark, sf_dir), "january",
+             datetime(2024, 1, 10), datetime(2024, 1, 20))
     return _public(pipeline.state.served())
 
 
@@ -335,18 +328,20 @@ def stream_order_facts(spark, sf_dir):
 
 @query
 def stream_lsn_state(spark, sf_dir):
-    """Live orders after a stream that keeps its versions in the state store."""
+    """Live, enriched orders after a stream that keeps its versions in the state store."""
     root = shared_folder(spark, "versions")
+    dimension = _published_dimension(spark, sf_dir, root)
     messages = X.order_messages(spark, sf_dir)
     for part in (X.first_part(messages), X.second_part(messages)):
         part.write.mode("append").parquet(f"{root}/inbox")
         changes = version_stream(topics.file_stream(spark, f"{root}/inbox"), CFG)
         stream = (
-            write_changes(changes, f"{root}/changes", f"{root}/checkpoint")
+            write_changes(changes, f"{root}/changes", f"{root}/checkpoint", dimension)
             .trigger(availableNow=True).start()
         )
         stream.awaitTermination()
-    return _keys(live_orders(spark, f"{root}/changes"), "amount")
+    merge_changes(spark, f"{root}/changes")
+    return _keys(live_orders(spark, f"{root}/changes"), "amount", "name", "city", "segment")
 
 
 # ---- dimension refresh -----------------------------------------------------
@@ -371,8 +366,8 @@ def dim_snapshot(spark, sf_dir):
 def dim_refresh(spark, sf_dir):
     """Extract, validate and publish; the snapshot that readers then see."""
     store = SnapshotStore(spark, shared_folder(spark, "refresh"))
-    source = X.source_customers(spark, sf_dir).filter(F.col("updated_at").isNotNull())
-    refresh_dimension(source, quality.baseline(source), store, X.RULES, X.QUALITY_CLOCK)
+    source = X.dated_customers(spark, sf_dir)
+    refresh_dimension(source, quality.baseline(source), store, X.RULES, X.QUALITY_CLOCK, keep_history=True)
     return store.read().select(*C.DIMENSION_COLUMNS)
 
 
@@ -461,11 +456,9 @@ def dim_scd2(spark, sf_dir):
 
 @query
 def enrich_as_of(spark, sf_dir):
-    joined = history.enrich_as_of(
-        _fresh(spark, sf_dir), _history(spark, sf_dir),
-        # At most two ranges per customer, with two more fields each.
-        3 * _customer_bytes(spark, sf_dir), CFG.broadcast_limit_bytes)
-    return _as_of_columns(joined)
+    ranges = _history(spark, sf_dir)
+    return _as_of_columns(history.enrich_as_of(
+        _fresh(spark, sf_dir), ranges, memory_bytes(ranges), CFG.broadcast_limit_bytes))
 
 
 @query

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,19 +28,17 @@ def local_session(app: str = "tidemark", cores: str | int = "*", partitions: int
     )
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Naive timestamps in the tables are UTC; read them as such."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path that every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; a
-    temporary folder is used only where that is unset (single machine).
+    The cluster names its shared folder in ``spark.checkpoint.dir``. A temporary folder
+    takes its place only where all tasks run on this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return f"{root.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"tidemark-{purpose}-")
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix=f"tidemark-{purpose}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -38,20 +39,44 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
         stream.close()
 
 
-def replace_json(spark: SparkSession, path: str, content: dict) -> None:
-    """Replace a small JSON file: readers see the old or the new one, whole."""
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if it does not exist."""
+    _, target, conf = _hadoop(spark, folder)
+    fs = target.getFileSystem(conf)
+    return [f.getPath().getName() for f in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def create_json(spark: SparkSession, path: str, content: dict) -> bool:
+    """Create a small JSON file, whole at once; False if the path is taken.
+
+    The file is written aside and then given its name, which fails if the name exists:
+    by a hard link on a local file system, by a rename elsewhere. The rename must be
+    atomic, as it is on HDFS.
+    """
     jvm, target, conf = _hadoop(spark, path)
-    staged = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
-    stream = target.getFileSystem(conf).create(staged, True)
+    fs = target.getFileSystem(conf)
+    fs.mkdirs(target.getParent())
+    staged = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(staged, False)
     try:
         stream.write(bytearray(json.dumps(content, sort_keys=True).encode("utf-8")))
     finally:
         stream.close()
-    options = jvm.org.apache.hadoop.fs.Options
-    overwrite = spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 1)
-    overwrite[0] = getattr(options, "Rename").OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(
-        staged, target, overwrite)
+    try:
+        if fs.getUri().getScheme() == "file":
+            link, source = (jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, staged))
+            jvm.java.nio.file.Files.createLink(link, source)
+        else:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(
+                staged, target, spark.sparkContext._gateway.new_array(
+                    jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        fs.delete(staged, False)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -1,10 +1,11 @@
-"""The served order table: bucketed levels plus the batches since then."""
+"""The served order table: one bucketed base plus the batches since then."""
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,21 +16,20 @@ from tidemark.functions.safe import instant
 from tidemark.operators.enrich import served
 from tidemark.operators.versions import replace_rows
 from tidemark.sources import files
-
-DELTA = T.StructType([*C.ORDER_STATE.fields, T.StructField("commit", T.LongType())])
-EMPTY = {"commit": 0, "levels": [], "buckets": None, "deltas": [], "retired": [], "runs": {}}
+from tidemark.sources.manifests import Manifests, split_by_age
+from tidemark.sources.measure import memory_bytes
 
 
 @dataclass
 class OrderState:
-    """One row per order, written by one job at a time.
-
-    A commit adds the changed rows of a batch as a folder and then replaces the
-    pointer file that lists the live folders. Now and then the folders are
-    merged: while they are small into one folder, then into a level, a table
-    bucketed by order, so that neither the version guard nor a later merge
-    shuffles it. A level is rewritten only once what lies above it has grown to
-    a fair share of its size.
+    """One row per order; any number of writers, of which one wins each version.
+
+    A commit writes the changed rows of a batch to a folder of its own and then creates
+    the next numbered manifest, which lists the live folders. If another writer was
+    faster, nothing of the commit is visible and the batch has to be guarded again.
+
+    Layout rule: ``compact_after`` batches are folded into the base, a table bucketed by
+    order, in one pass over it. Replaced folders live on for ``retain_s``.
     """
 
     spark: SparkSession
@@ -37,140 +37,145 @@ class OrderState:
     cfg: C.PipelineConfig = C.PipelineConfig()
 
     @property
-    def pointer(self) -> str:
-        return f"{self.root}/current.json"
+    def manifests(self) -> Manifests:
+        return Manifests(self.spark, self.root)
 
-    def manifest(self) -> dict:
-        return files.read_json(self.spark, self.pointer) or dict(EMPTY)
+    @property
+    def schema(self) -> T.StructType:
+        return C.with_id_type(C.ORDER_STATE, self.cfg)
+
+    def create(self) -> dict:
+        """The current manifest, after making the table if it does not exist."""
+        while (found := self.manifests.latest()) is None:
+            self.manifests.add({
+                "number": 0, "base": None, "deltas": [], "retired": [], "runs": {}})
+        return found
 
-    def committed(self, run_id: str) -> int:
-        """Last batch of a run that is part of the table, -1 for none."""
-        return self.manifest()["runs"].get(run_id, -1)
+    def manifest(self) -> dict:
+        found = self.manifests.latest()
+        if found is None:
+            raise FileNotFoundError(f"no order table at {self.root}")
+        return found
 
     # ---- reading --------------------------------------------------------
-    def level(self, path: str, buckets: int) -> DataFrame:
-        name = _table_name(path)
+    def base(self, entry: dict) -> DataFrame:
+        name = _table_name(entry["path"])
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(C.ORDER_STATE)}) USING parquet "
-            f"CLUSTERED BY (order_id) SORTED BY (order_id) INTO {buckets} BUCKETS "
-            f"LOCATION '{path}'"
+            f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(self.schema)}) USING parquet "
+            f"CLUSTERED BY (order_id) SORTED BY (order_id) INTO {entry['buckets']} BUCKETS "
+            f"LOCATION '{entry['path']}'"
         )
         return self.spark.table(name)
 
     def recent(self, manifest: dict) -> DataFrame:
-        """Newest row of every order changed since the last level was written."""
-        rows = self.spark.read.schema(DELTA).parquet(*manifest["deltas"])
-        if len(manifest["deltas"]) == 1:
-            return rows
+        """Newest row of every order changed since the base was written."""
+        delta = T.StructType([*self.schema.fields, T.StructField("commit", T.LongType())])
+        rows = self.spark.read.schema(delta).parquet(*manifest["deltas"])
         newest = Window.partitionBy("order_id").orderBy(F.col("commit").desc())
         return (
             rows.withColumn("_rank", F.row_number().over(newest))
-            .filter(F.col("_rank") == 1).drop("_rank")
+            .filter(F.col("_rank") == 1).drop("_rank", "commit")
         )
 
     def parts(self, manifest: dict) -> list[DataFrame]:
-        """The levels and the recent rows, oldest first; each holds an order once."""
-        found = [self.level(entry["path"], manifest["buckets"]) for entry in manifest["levels"]]
-        return found + ([self.recent(manifest).drop("commit")] if manifest["deltas"] else [])
+        """The base and the recent rows; each holds an order once."""
+        found = [self.base(manifest["base"])] if manifest["base"] else []
+        return found + ([self.recent(manifest)] if manifest["deltas"] else [])
 
     def rows(self) -> DataFrame:
         """The whole table, tombstones included."""
         parts = self.parts(self.manifest())
-        return replace_rows(parts) if parts else self.spark.createDataFrame([], C.ORDER_STATE)
+        return replace_rows(parts) if parts else self.spark.createDataFrame([], self.schema)
 
     def served(self) -> DataFrame:
         return served(self.rows())
 
-    def attach(self, latest: DataFrame) -> DataFrame:
+    def attach(self, latest: DataFrame, manifest: dict) -> DataFrame:
         """Winners beside their stored version.
 
-        Only key, version and op of the levels are read, in place; what moves
-        is the batch.
+        Only the rows of the batch's orders leave the base, by a semi-join that neither
+        sorts nor shuffles it: the keys of a small batch are broadcast, those of a large
+        one are hashed bucket by bucket.
         """
-        attached, found = latest, []
-        for number, part in enumerate(self.parts(self.manifest())):
-            found.insert(0, f"_version_{number}")
-            version = part.select("order_id", F.struct("lsn", "op").alias(found[0]))
-            attached = attached.join(version, "order_id", "left")
-        if not found:
+        keys = latest.select("order_id")
+        small = bool(manifest["base"]) and memory_bytes(keys) <= self.cfg.broadcast_limit_bytes
+        keys = F.broadcast(keys) if small else keys.hint("shuffle_hash")
+        found = []
+        if manifest["base"]:
+            found.append(self.base(manifest["base"]).select("order_id", "lsn", "op")
+                         .join(keys, "order_id", "left_semi"))
+        if manifest["deltas"]:
+            found.append(self.recent(manifest).select("order_id", "lsn", "op"))
+        attached, names = latest, []
+        for number, part in enumerate(found):
+            names.insert(0, f"_version_{number}")
+            attached = attached.join(
+                part.select("order_id", F.struct("lsn", "op").alias(names[0])), "order_id", "left")
+        if not names:
             return attached.withColumns({
                 "stored_lsn": F.lit(None).cast("bigint"), "stored_op": F.lit(None).cast("string")})
-        stored = F.coalesce(*found)
+        stored = F.coalesce(*names)
         if not self.cfg.tombstones:
             # Hard deletes forget the version along with the row.
             stored = F.when(stored["op"] != C.DELETE, stored)
         return attached.withColumns(
-            {"stored_lsn": stored["lsn"], "stored_op": stored["op"]}).drop(*found)
+            {"stored_lsn": stored["lsn"], "stored_op": stored["op"]}).drop(*names)
 
     # ---- writing --------------------------------------------------------
-    def commit(self, changes: DataFrame, run_id: str, batch_id: int) -> None:
-        """Add the changed rows of one batch; repeating an unfinished commit is safe."""
-        manifest = self.manifest()
-        number = manifest["commit"] + 1
-        path = f"{self.root}/delta/{number:010d}"
-        (
-            changes.select(*C.ORDER_STATE.fieldNames(), F.lit(number).cast("bigint").alias("commit"))
-            .write.mode("overwrite").parquet(path)
-        )
-        files.replace_json(self.spark, self.pointer, {
-            **manifest, "commit": number, "deltas": [*manifest["deltas"], path],
-            "runs": {**manifest["runs"], run_id: batch_id},
-        })
-
-    def compact(self, now: datetime | None = None, full: bool = False) -> None:
-        """Merge the batches, as plain files or into a level, bucket by bucket.
-
-        Levels that are not much larger than what is merged into them are taken
-        along, all of them with ``full``. Tombstones whose retention has passed
-        at ``now`` are dropped once no older level is left that they hide.
-        Replaced folders stay readable until the next merge.
+    def commit(self, changes: DataFrame, manifest: dict, run_id: str, batch_id: int) -> dict | None:
+        """Add the rows that a batch changes in the version ``manifest``.
+
+        Gives the new version, or None if that is not the current one any more; the
+        batch must then be guarded by what has become of the table.
         """
-        manifest = self.manifest()
-        if not manifest["deltas"] and not (full and manifest["levels"]):
-            return
-        buckets = (
-            manifest["buckets"] or self.cfg.state_buckets
-            or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        )
-        size = sum(files.size_bytes(self.spark, path) for path in manifest["deltas"])
-        if full or size >= buckets * self.cfg.level_bytes_per_bucket:
-            self._write_level(manifest, buckets, size, now, full)
-        elif len(manifest["deltas"]) > 1:
-            path = f"{self.root}/delta/{manifest['commit'] + 1:010d}"
-            self.recent(manifest).write.mode("overwrite").parquet(path)
-            self._replace(manifest, manifest["deltas"], deltas=[path])
-
-    def _write_level(
-        self, manifest: dict, buckets: int, size: int, now: datetime | None, full: bool,
-    ) -> None:
-        below, taken = list(manifest["levels"]), []
-        while below and (full or below[-1]["bytes"] <= self.cfg.merge_factor * size):
-            taken.insert(0, below.pop())
-            size += taken[0]["bytes"]
-        parts = [self.level(entry["path"], buckets) for entry in taken]
-        if manifest["deltas"]:
-            # One file per bucket.
-            parts.append(self.recent(manifest).drop("commit").repartition(buckets, "order_id"))
-        merged = replace_rows(parts)
-        if not below:
-            merged = self._without_expired(merged, now)
-        path = f"{self.root}/level/{manifest['commit'] + 1:010d}"
+        number = manifest["number"] + 1
+        path = f"{self.root}/delta/{number:012d}-{uuid.uuid4().hex}"
+        changes.select(
+            *self.schema.fieldNames(), F.lit(number).cast("bigint").alias("commit")).write.parquet(path)
+        added = self.manifests.add({
+            **manifest, "number": number, "deltas": [*manifest["deltas"], path],
+            "runs": {**manifest["runs"], run_id: batch_id}})
+        if added is None:
+            files.remove(self.spark, path)
+        return added
+
+    def compact(self, now: datetime | None = None, buckets: int | None = None) -> bool:
+        """Fold the batches into the base, or deal the base out over other ``buckets``.
+
+        Tombstones whose retention has passed at ``now`` are dropped. False if another
+        writer was faster; the table is then as it was.
+        """
+        manifest = self.create()
+        held = manifest["base"]["buckets"] if manifest["base"] else self.cfg.state_buckets
+        buckets = buckets or held
+        if not manifest["deltas"] and (not manifest["base"] or buckets == held):
+            return True
+        if not buckets:
+            raise ValueError("state_buckets must be set before the table is compacted: enough for about 1 GB a bucket")
+        parts = self.parts(manifest)
+        merged = self._without_expired(replace_rows(parts), now).repartition(buckets, "order_id")
+        path = f"{self.root}/base/{manifest['number'] + 1:012d}-{uuid.uuid4().hex}"
         (
-            merged.write.mode("overwrite").format("parquet").option("path", path)
+            merged.write.format("parquet").option("path", path)
             .bucketBy(buckets, "order_id").sortBy("order_id").saveAsTable(_table_name(path))
         )
-        entry = {"path": path, "bytes": files.size_bytes(self.spark, path)}
-        self._replace(
-            manifest, [*(e["path"] for e in taken), *manifest["deltas"]],
-            levels=[*below, entry], buckets=buckets, deltas=[])
-
-    def _replace(self, manifest: dict, replaced: list[str], **live) -> None:
-        """Switch readers to the merged folders and remove what the last merge replaced."""
-        files.replace_json(self.spark, self.pointer, {
-            **manifest, **live, "commit": manifest["commit"] + 1, "retired": replaced})
-        for old in manifest["retired"]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(old)}")
-            files.remove(self.spark, old)
+        at = datetime.now(timezone.utc).isoformat()
+        gone = [*([manifest["base"]["path"]] if manifest["base"] else []), *manifest["deltas"]]
+        old, kept = split_by_age(manifest["retired"], self.cfg.retain_s)
+        added = self.manifests.add({
+            **manifest, "number": manifest["number"] + 1, "base": {"path": path, "buckets": buckets},
+            "deltas": [], "retired": [*kept, *({"path": p, "at": at} for p in gone)]})
+        if added is None:
+            self._remove(path)
+            return False
+        for one in old:
+            self._remove(one["path"])
+        self.manifests.expire(self.cfg.retain_s)
+        return True
+
+    def _remove(self, path: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+        files.remove(self.spark, path)
 
     def _without_expired(self, rows: DataFrame, now: datetime | None) -> DataFrame:
         deleted = F.col("op") == C.DELETE

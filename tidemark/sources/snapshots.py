@@ -1,46 +1,35 @@
-"""Versioned snapshots of a dimension behind one pointer file."""
+"""Versioned snapshots of a dimension, listed by numbered manifests."""
 
 from __future__ import annotations
 
-import time
 import uuid
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.enrich import enrichment_columns
 from tidemark.sources import files
-
-# Memory of a row and of each of its fields beside the text they hold; generous.
-ROW_BYTES, FIELD_BYTES = 64, 16
-
-
-def memory_bytes(frame: DataFrame) -> int:
-    """Upper bound of the memory that rows take once decoded, measured on all of them."""
-    size = F.lit(ROW_BYTES + FIELD_BYTES * len(frame.columns)).cast("bigint")
-    for column in frame.schema:
-        if not isinstance(column.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)):
-            text = F.octet_length(F.col(column.name).cast("string"))
-            size = size + F.coalesce(text, F.lit(0))
-    return frame.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+from tidemark.sources.manifests import Manifests, split_by_age
+from tidemark.sources.measure import memory_bytes
 
 
 @dataclass
 class SnapshotStore:
     """Candidates, published versions and quarantined snapshots of a dimension.
 
-    Every version is an immutable folder; publishing replaces the pointer, so
-    a reader gets the whole old or the whole new version on any file system.
+    Every version is an immutable folder; publishing creates the next manifest, so a
+    reader gets the whole old or the whole new version. Replaced ones stay for
+    ``retain_s``.
     """
 
     spark: SparkSession
     root: str
+    retain_s: int = 7 * 24 * 3600
 
     @property
-    def pointer(self) -> str:
-        return f"{self.root}/current.json"
+    def published(self) -> Manifests:
+        return Manifests(self.spark, f"{self.root}/published")
 
     def write_candidate(self, frame: DataFrame) -> str:
         path = f"{self.root}/candidates/{uuid.uuid4().hex}"
@@ -48,59 +37,67 @@ class SnapshotStore:
         return path
 
     def current(self) -> dict | None:
-        return files.read_json(self.spark, self.pointer)
+        return self.published.latest()
 
-    def publish(self, candidate: str) -> dict:
+    def publish(self, candidate: str, history: str | None = None) -> dict:
         """Make a validated candidate the current version, without copying it.
 
-        The version it replaces stays for those who still read it, until the
-        next one is published.
+        ``history`` is the folder of the history that goes with it, if one is kept.
         """
-        before = self.current() or {"version": 0, "path": None, "previous": None}
-        if before["path"] == candidate:
-            return before
-        entry = {
-            "version": before["version"] + 1, "path": candidate, "previous": before["path"],
-            "bytes": memory_bytes(self.spark.read.parquet(candidate)),
-        }
-        files.replace_json(self.spark, self.pointer, entry)
-        if before["previous"] is not None:
-            files.remove(self.spark, before["previous"])
-        return entry
+        size = memory_bytes(self.spark.read.parquet(candidate))
+        while True:
+            before = self.current() or {"number": 0, "path": None, "retired": []}
+            if before["path"] == candidate:
+                return before
+            at = datetime.now(timezone.utc).isoformat()
+            gone = [p for p in (before["path"], before.get("history")) if p]
+            old, kept = split_by_age(before["retired"], self.retain_s)
+            added = self.published.add({
+                "number": before["number"] + 1, "path": candidate, "bytes": size, "history": history,
+                "retired": [*kept, *({"path": p, "at": at} for p in gone)]})
+            if added is not None:
+                for one in old:
+                    files.remove(self.spark, one["path"])
+                self.published.expire(self.retain_s)
+                return added
 
     def quarantine(self, candidate: str, report: DataFrame) -> str:
         """Keep a rejected candidate, with its report beside it, for triage."""
         run = candidate.rstrip("/").rsplit("/", 1)[-1]
         target = f"{self.root}/rejected/run_id={run}"
         report.write.parquet(f"{target}/report")
-        files.replace_json(self.spark, f"{target}/rejected.json", {"candidate": candidate})
+        files.create_json(self.spark, f"{target}/rejected.json", {"candidate": candidate})
         return target
 
-    def read(self) -> DataFrame:
+    def _entry(self) -> dict:
         entry = self.current()
         if entry is None:
-            raise FileNotFoundError(f"no published snapshot below {self.root}")
-        return self.spark.read.parquet(entry["path"])
+            raise FileNotFoundError(f"nothing has been published below {self.root}")
+        return entry
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self._entry()["path"])
+
+    def history(self) -> DataFrame | None:
+        """The history that goes with the current version, None if none is kept."""
+        entry = self.current()
+        return self.spark.read.parquet(entry["history"]) if entry and entry.get("history") else None
 
 
 @dataclass
-class DimensionCache:
-    """The published dimension, read again when it changes or grows old."""
+class PublishedDimension:
+    """Looks up the enrichment columns of whatever version is current.
+
+    Versions never change, so a frame is kept for as long as its number is the newest.
+    """
 
     store: SnapshotStore
-    ttl_s: int = 300
-    _entry: dict | None = field(default=None, init=False)
-    _frame: DataFrame | None = field(default=None, init=False)
-    _read_at: float = field(default=0.0, init=False)
-
-    def get(self) -> tuple[DataFrame, int]:
-        """Enrichment columns of the current version and the bound of its memory."""
-        entry = self.store.current()
-        if entry is None:
-            raise FileNotFoundError(f"no published snapshot below {self.store.root}")
-        expired = time.monotonic() - self._read_at > self.ttl_s
-        if self._frame is None or expired or entry != self._entry:
-            frame = self.store.spark.read.parquet(entry["path"])
-            self._frame, self._entry = enrichment_columns(frame), entry
-            self._read_at = time.monotonic()
-        return self._frame, self._entry["bytes"]
+    known: dict[int, tuple[DataFrame, int]] = field(default_factory=dict)
+
+    def __call__(self) -> tuple[DataFrame, int]:
+        """The columns and the bound of the memory they take."""
+        entry = self.store._entry()
+        if entry["number"] not in self.known:
+            frame = enrichment_columns(self.store.spark.read.parquet(entry["path"]))
+            self.known = {entry["number"]: (frame, entry["bytes"])}
+        return self.known[entry["number"]]

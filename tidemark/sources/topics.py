@@ -16,16 +16,16 @@ from tidemark.functions.safe import instant
 
 
 def kafka_read_options(
-    servers: str, topic: str = C.ORDERS_TOPIC, group: str = C.CONSUMER_GROUP,
+    servers: str, topic: str = C.ORDERS_TOPIC, group: str | None = None,
     cfg: C.PipelineConfig = C.PipelineConfig(),
 ) -> dict[str, str]:
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "kafka.group.id": group,
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": str(cfg.max_offsets_per_trigger),
+        **({"kafka.group.id": group} if group else {}),
     }
 
 

@@ -2,37 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark import contract as C
-from tidemark.operators import events
+from tidemark.operators import deadletter, enrich, events, versions
 from tidemark.session import ROCKSDB
+from tidemark.sources import files
+
+FIELDS = ("op", "customer_id", "amount", "product_category", "event_time", "lsn", "ingested_at",
+          "arrived_at", *events.POSITION)
 
-VERSION = ("lsn", "event_time", *events.POSITION)
-FIELDS = ("op", "customer_id", "amount", "product_category", *VERSION)
+Dimension = Callable[[], tuple[DataFrame, int | None]]
 
 
 def version_stream(messages: DataFrame, cfg: C.PipelineConfig = C.PipelineConfig()) -> DataFrame:
     """The newest version of every order that a micro-batch touches.
 
-    The state store is split by order and each task reads only its own keys, so
-    the cost of a batch follows the batch and not the served table. An older
-    version meets the stored one and loses; a deleted order keeps its version.
-    Events of one order are combined before the shuffle.
+    The state store is split by order and each task reads only its own keys, so the cost
+    of a batch follows the batch and not the served table. An older version meets the
+    stored one and loses, an equal one that arrived later too; a deleted order keeps its
+    version. Events of one order are combined before the shuffle.
     """
-    fresh = events.fresh(events.judge(events.parse(messages), cfg))
-    newest = F.max_by(F.struct(*FIELDS), F.struct(*VERSION)).alias("newest")
+    fresh = events.fresh(events.judge(events.parse(messages), cfg), cfg=cfg)
+    first = [-F.unix_micros("arrived_at"), *[-F.col(c) for c in events.POSITION]]
+    newest = F.max_by(F.struct(*FIELDS), F.struct("lsn", *first)).alias("newest")
     return fresh.groupBy("order_id").agg(newest).select("order_id", "newest.*")
 
 
-def write_changes(changes: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Store the touched orders of every batch; a repeated batch replaces its folder."""
-    changes.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+def write_changes(
+    changes: DataFrame, path: str, checkpoint: str, dimension: Dimension | None = None,
+    cfg: C.PipelineConfig = C.PipelineConfig(),
+) -> DataStreamWriter:
+    """Store the touched orders of every batch, enriched if there is a dimension.
+
+    A folder belongs to one batch of one run, so a repeated batch replaces its own folder
+    and a new checkpoint replaces none.
+    """
+    spark = changes.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if dimension is not None:
+            frame, size = dimension()
+            batch = enrich.join_dimension(batch, frame, size, cfg.broadcast_limit_bytes)
+        run = files.read_json(spark, f"{checkpoint}/metadata")["id"]
+        batch.write.mode("overwrite").parquet(f"{path}/run_id={run}/batch_id={batch_id}")
 
     return (
         changes.writeStream.foreachBatch(handle).outputMode("update")
@@ -40,12 +59,52 @@ def write_changes(changes: DataFrame, path: str, checkpoint: str) -> DataStreamW
     )
 
 
-def live_orders(spark: SparkSession, path: str) -> DataFrame:
-    """Orders that are not deleted, from the stored changes of all batches."""
-    changes = spark.read.parquet(path)
-    names = [c for c in changes.columns if c != "batch_id"]
-    newest = F.max_by(F.struct(*names), "batch_id").alias("newest")
+def write_rejects(
+    messages: DataFrame, path: str, checkpoint: str, cfg: C.PipelineConfig = C.PipelineConfig(),
+) -> DataStreamWriter:
+    """Dead letters and counters of every batch, beside the stream of versions."""
+    spark = messages.sparkSession
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        run = files.read_json(spark, f"{checkpoint}/metadata")["id"]
+        place = f"run_id={run}/batch_id={batch_id}"
+        judged = events.judge(events.parse(batch), cfg).persist()
+        try:
+            deadletter.envelope(events.rejected(judged)).write.mode("overwrite").parquet(
+                f"{path}/dead_letters/{place}")
+            judged.groupBy("stage").agg(F.count(F.lit(1)).alias("n")).coalesce(1).write.mode(
+                "overwrite").parquet(f"{path}/counters/{place}")
+        finally:
+            judged.unpersist()
+
+    return messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+
+
+def newest_changes(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each order: the newest of all stored changes, whichever batch wrote it."""
+    changes = spark.read.option("basePath", path).parquet(f"{path}/run_id=*/batch_id=*")
+    window = Window.partitionBy("order_id").orderBy(*versions.newest_first())
     return (
-        changes.groupBy("order_id").agg(newest).select("newest.*")
-        .filter(F.col("op") != C.DELETE)
+        changes.drop("run_id", "batch_id").withColumn("_rank", F.row_number().over(window))
+        .filter(F.col("_rank") == 1).drop("_rank")
     )
+
+
+def live_orders(spark: SparkSession, path: str) -> DataFrame:
+    """Orders that are not deleted."""
+    return newest_changes(spark, path).filter(F.col("op") != C.DELETE)
+
+
+def merge_changes(spark: SparkSession, path: str) -> None:
+    """Replace the folders of all batches by one with the newest change of each order.
+
+    The merged folder is there before the others go, and a change that is found twice
+    counts once, so the rows are whole at any time. A batch that is repeated afterwards
+    adds its changes again, which changes nothing. Readers that run longer than this
+    job should read from a merged table of their own.
+    """
+    before = [f"{path}/{run}/{batch}" for run in files.names(spark, path) if run.startswith("run_id=")
+              for batch in files.names(spark, f"{path}/{run}")]
+    newest_changes(spark, path).write.parquet(f"{path}/run_id=merged-{uuid.uuid4().hex}/batch_id=0")
+    for folder in before:
+        files.remove(spark, folder)
