@@ -99,6 +99,14 @@ def test_the_guard_neither_sorts_nor_shuffles_the_base(spark, tmp_path, limit, j
     assert sorted((r.order_id, r.stored_lsn) for r in guard.collect()) == [("a", 1), ("z", None)]
 
 
+@pytest.mark.parametrize("name", ["feed_outcomes", "batch_counters", "counter_trend", "event_outcomes"])
+def test_reports_on_the_feed_parse_it_once(spark, sf_dir, name):
+    """What a report uses twice is written once; the state of an earlier batch is its own read."""
+    from tidemark.queries import QUERIES
+
+    assert plan(QUERIES[name](spark, sf_dir)).count("from_json") <= 1
+
+
 def test_report_aggregates_before_the_shuffle(spark, sf_dir):
     from tidemark.queries import QUERIES
 

@@ -13,7 +13,7 @@ from tidemark import fixtures as X
 from tidemark.operators import (
     counters, deadletter, enrich, events, history, marts, quality, versions,
 )
-from tidemark.plans.batch import AppliedBatch, OrderPipeline, apply_batch, backfill
+from tidemark.plans.batch import AppliedBatch, Hold, OrderPipeline, apply_batch, backfill
 from tidemark.plans.refresh import refresh_dimension
 from tidemark.session import shared_folder
 from tidemark.sources import topics
@@ -42,8 +42,19 @@ def _fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.fresh(_judged(spark, sf_dir))
 
 
-def _whole_feed(spark: SparkSession, sf_dir: str) -> AppliedBatch:
-    return apply_batch(X.order_messages(spark, sf_dir), cfg=CFG)
+def _written(spark: SparkSession, purpose: str) -> Hold:
+    """Write a part that is used more than once, so that the feed is parsed once."""
+    root = shared_folder(spark, purpose)
+
+    def hold(name: str, frame: DataFrame) -> DataFrame:
+        frame.write.parquet(f"{root}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
+
+    return hold
+
+
+def _whole_feed(spark: SparkSession, sf_dir: str, **settings) -> AppliedBatch:
+    return apply_batch(X.order_messages(spark, sf_dir), cfg=CFG, **settings)
 
 
 def _enriched(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
@@ -57,12 +68,12 @@ def _first_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_batch(X.first_part(X.order_messages(spark, sf_dir)), cfg=CFG).effective()
 
 
-def _second_batch(spark: SparkSession, sf_dir: str) -> AppliedBatch:
+def _second_batch(spark: SparkSession, sf_dir: str, **settings) -> AppliedBatch:
     """Batch B guarded by the state that batch A left."""
     stored = versions.stored_versions(_first_winners(spark, sf_dir))
     return apply_batch(
         X.second_part(X.order_messages(spark, sf_dir)),
-        lambda latest: versions.attach_stored(latest, stored), CFG)
+        lambda latest: versions.attach_stored(latest, stored), CFG, **settings)
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,12 +178,14 @@ def drop_stale(spark, sf_dir):
 
 @query
 def event_outcomes(spark, sf_dir):
-    return _second_batch(spark, sf_dir).outcomes().select("offset", "outcome")
+    batch = _second_batch(spark, sf_dir, hold=_written(spark, "outcomes"))
+    return batch.outcomes().select("offset", "outcome")
 
 
 @query
 def feed_outcomes(spark, sf_dir):
-    return _whole_feed(spark, sf_dir).outcomes().select("offset", "outcome")
+    batch = _whole_feed(spark, sf_dir, hold=_written(spark, "outcomes"))
+    return batch.outcomes().select("offset", "outcome")
 
 
 @query
@@ -183,7 +196,8 @@ def op_mix(spark, sf_dir):
 @query
 def batch_counters(spark, sf_dir):
     """Counters of batch A and of batch B after it."""
-    judged = _judged(spark, sf_dir).withColumn("batch_id", _batch_of_partition())
+    judged = _written(spark, "counters")("judged", _judged(spark, sf_dir)).withColumn(
+        "batch_id", _batch_of_partition())
     winners = counters.sequence_outcomes(events.fresh(judged).withColumn("batch_id", _batch_of_partition()))
     return counters.batch_counters(judged, winners, "batch_id")
 
@@ -218,7 +232,8 @@ def enrich_orders(spark, sf_dir):
 def enrich_orders_shuffled(spark, sf_dir):
     """The same join for a dimension too large to broadcast."""
     dimension = enrich.enrichment_columns(X.solvent_customers(spark, sf_dir))
-    orders = _whole_feed(spark, sf_dir).effective().filter(F.col("op") != C.DELETE)
+    batch = _whole_feed(spark, sf_dir, hold=_written(spark, "enrich"))
+    orders = batch.effective().filter(F.col("op") != C.DELETE)
     joined = enrich.join_dimension(orders, dimension, None, CFG.broadcast_limit_bytes)
     return joined.select("order_id", "customer_id", "name", "city", "segment")
 
@@ -433,7 +448,8 @@ def revenue_trailing(spark, sf_dir):
 @query
 def counter_trend(spark, sf_dir):
     """The feed delivered in 24 interleaved batches."""
-    judged = _judged(spark, sf_dir).withColumn("batch_id", F.col("offset") * 7 % 24)
+    judged = _written(spark, "trend")("judged", _judged(spark, sf_dir)).withColumn(
+        "batch_id", F.col("offset") * 7 % 24)
     fresh = events.fresh(judged).withColumn("batch_id", F.col("offset") * 7 % 24)
     rows = counters.batch_counters(judged, counters.sequence_outcomes(fresh), "batch_id")
     trend = counters.counter_trend(rows)
@@ -464,8 +480,9 @@ def enrich_as_of(spark, sf_dir):
 @query
 def enrich_as_of_shuffled(spark, sf_dir):
     """The same join for a history too large to broadcast."""
+    fresh = _written(spark, "as-of")("fresh", _fresh(spark, sf_dir))
     return _as_of_columns(history.enrich_as_of(
-        _fresh(spark, sf_dir), _history(spark, sf_dir), None, CFG.broadcast_limit_bytes))
+        fresh, _history(spark, sf_dir), None, CFG.broadcast_limit_bytes))
 
 
 def _as_of_columns(joined) -> DataFrame:
