@@ -340,15 +340,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
     parts = components(scratch, links)
     meeting = shared.select("band", "node").join(parts, "node", "left").select(
         "band", F.coalesce("root", "node").alias("root"), "node")
-    across = _between_components(scratch.keep(meeting, "meeting"), signed, least, bands * rows).join(
-        pairs, ["a", "b"], "left_anti")
-    more = scratch.keep(_linked(some, scratch.keep(across, "across"), least), "more")
+    meeting = scratch.keep(meeting, "meeting")
+    across = scratch.keep(_between_components(meeting, signed, least, bands * rows).join(
+        pairs, ["a", "b"], "left_anti"), "across")
+    more = scratch.keep(_linked(some, across, least), "more")
+    scratch.drop(parts, shared, pairs, some, meeting, across)
     parts = components(scratch, links.unionByName(more))
     members = scratch.keep(
         signed.select("row_no", "doc_id", "digest").join(copies, "digest", "left")
         .join(parts, "node", "left")
         .select("row_no", "doc_id", F.coalesce("copy_of", "doc_id").alias("copy_of"),
                 F.coalesce("root", "node", "row_no").alias("root")), "members")
+    scratch.drop(signed, copies, links, more, parts)
     groups = members.groupBy("root").agg(
         F.min("doc_id").alias("group_id"),
         F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_no")))["row_no"].alias("survivor"))

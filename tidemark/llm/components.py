@@ -43,6 +43,7 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
         if now == total:
             break
         total = now
+    scratch.drop(both)
     return points
 
 

@@ -189,6 +189,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = COS
     for more in links[1:]:
         found = found.unionByName(more)
     groups = components(scratch, found)
+    scratch.drop(*links)
     counted = scratch.keep(_count_links(spark, classes, groups, cosine), "counted")
     known = (
         classes.join(groups, "node", "left").join(counted, "node", "left")
