@@ -12,7 +12,7 @@ exactly. In a group of equal bands every document first meets its neighbour by n
 the group's centre, the one that shares its bands most widely: most often the original of
 the copies. That joins a group of near copies in about as many comparisons as it has rows.
 Then, wherever a group still holds several components, all documents of different ones
-meet: in small groups at once; in larger ones block against block by their signatures,
+meet: in small groups at once; in larger ones block against block, by their signatures
 and exactly if these leave a chance. So no pair is left out for the size of its group, pairs of one
 component are not compared again, and copies are compared once.
 
@@ -41,8 +41,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 #: Rows of a group of equal bands in which all pairs of different components meet at once.
 SMALL = 33
-#: Rows of a block of a larger group.
-BLOCK = 1024
+#: Documents of a block of a larger group.
+BLOCK = 256
 #: Standard errors that the share of equal places may lie below the similarity.
 ERRORS = 3.0
 #: Shingles whose processes run together in a task.
@@ -233,55 +233,87 @@ def _across(rows):
 
 
 def _blocks(least: float, places: int):
-    """Pairs of two blocks of a large group that may be similar, by size and signature."""
+    """Links between different components of two blocks, as many as join what they join.
+
+    Signatures and sizes rule out most pairs; the others are compared exactly.
+    """
     enough = places * max(0.0, least - ERRORS * np.sqrt(least * (1 - least) / places))
 
     def run(key, rows):
         i, j = key[1].as_py(), key[2].as_py()
         node, root, block, size = (rows.column(c).to_numpy() for c in ("node", "root", "block", "size"))
         seen = np.frombuffer(b"".join(rows.column("places").to_pylist()), "<u2").reshape(len(node), places)
+        texts, hashes = rows.column("text"), WordCache(xxhash.xxh3_64_intdigest)
+        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        joined = {r: r for r in root.tolist()}
+
+        def top(r: int) -> int:
+            while joined[r] != r:
+                joined[r] = r = joined[joined[r]]
+            return r
+
+        def bag(k: int) -> tuple[np.ndarray, np.ndarray]:
+            if k not in known:
+                known[k] = shingles(words_of(texts[k].as_py()), hashes)
+            return known[k]
+
+        def similar(x: int, y: int) -> bool:
+            (a, n), (b, m) = bag(x), bag(y)
+            _, at, bt = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+            common = int(np.minimum(n[at], m[bt]).sum())
+            return common >= least * (int(n.sum()) + int(m.sum()) - common)
+
+        links = []
         one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found = []
-        for at in range(0, len(one), 64):
-            some = one[at:at + 64]
-            near = root[some][:, None] != root[two][None, :]
-            near &= np.minimum(size[some][:, None], size[two]) >= least * np.maximum(size[some][:, None], size[two])
-            near &= node[some][:, None] < node[two][None, :] if i == j else True
-            x, y = np.nonzero(near)
-            for part in np.array_split(np.arange(len(x)), len(x) // 50_000 + 1):
-                equal = (seen[some[x[part]]] == seen[two[y[part]]]).sum(axis=1) >= enough
-                found.append((node[some[x[part][equal]]], node[two[y[part][equal]]]))
-        a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-        return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=arrow_schema("a bigint, b bigint"))
+        for x in one.tolist():
+            others = two[(root[two] != root[x]) & ((node[two] > node[x]) if i == j else True)]
+            others = others[np.minimum(size[others], size[x]) >= least * np.maximum(size[others], size[x])]
+            others = others[(seen[others] == seen[x]).sum(axis=1) >= enough]
+            for y in others.tolist():
+                p, q = top(int(root[x])), top(int(root[y]))
+                if p != q and similar(x, y):
+                    joined[max(p, q)] = min(p, q)
+                    links.append((int(node[x]), int(node[y])))
+        return pa.table(
+            [pa.array([e[k] for e in links], pa.int64()) for k in (0, 1)], schema=arrow_schema("a bigint, b bigint"))
 
     return run
 
 
-def _between_components(meeting: DataFrame, signed: DataFrame, least: float, places: int) -> DataFrame:
-    """Pairs of documents of different components that share a band."""
-    groups = (
-        meeting.groupBy("band").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), F.count("root").alias("n"))
-        .filter("low < high").select("band", "n")
-    )
-    rows = meeting.join(groups, "band")
-    small = (
-        rows.filter(F.col("n") <= SMALL).select("band", "root", "node")
-        .repartitionByRange("band").sortWithinPartitions("band", "root", "node")
-        .mapInArrow(_across, "a bigint, b bigint")
-    )
-    large = (
-        rows.filter(F.col("n") > SMALL)
+def _in_large_groups(scratch: Scratch, rows: DataFrame, signed: DataFrame, texts: DataFrame,
+                     least: float, places: int) -> DataFrame:
+    """Links between the components that meet in large groups.
+
+    Groups that share documents are one cluster, so two documents meet once, however many
+    bands they share. A cluster is dealt out over blocks and every two blocks meet in a
+    task of their own, with their texts.
+    """
+    firsts = rows.groupBy("band").agg(F.min("node").alias("a"))
+    clusters = components(scratch, rows.join(firsts, "band").select("a", F.col("node").alias("b")))
+    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    members = (
+        clusters.join(sizes, "root").withColumnRenamed("root", "cluster")
+        .join(rows.select("node", "root").distinct(), "node")
         .join(signed.select(F.col("row_no").alias("node"), "places", "size"), "node")
+        .join(texts.withColumnRenamed("row_no", "node"), "node")
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                "node", "root", "block", "size", "places")
-        .groupBy("band", "i", "j").applyInArrow(_blocks(least, places), "a bigint, b bigint")
     )
-    return small.unionByName(large).distinct()
+    return (
+        members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                "node", "root", "block", "size", "places", "text")
+        .groupBy("cluster", "i", "j").applyInArrow(_blocks(least, places), "a bigint, b bigint")
+    )
+
+
+def _in_small_groups(rows: DataFrame) -> DataFrame:
+    """Pairs of documents of different components that share a band of a small group."""
+    return (
+        rows.select("band", "root", "node")
+        .repartitionByRange("band").sortWithinPartitions("band", "root", "node")
+        .mapInArrow(_across, "a bigint, b bigint").distinct()
+    )
 
 
 def _verify(least: float):
@@ -340,10 +372,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
     parts = components(scratch, links)
     meeting = shared.select("band", "node").join(parts, "node", "left").select(
         "band", F.coalesce("root", "node").alias("root"), "node")
-    meeting = scratch.keep(meeting, "meeting")
-    across = scratch.keep(_between_components(meeting, signed, least, bands * rows).join(
+    groups = (
+        meeting.groupBy("band").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.count("root").alias("n"))
+        .filter("low < high").select("band", "n")
+    )
+    meeting = scratch.keep(meeting.join(groups, "band"), "meeting")
+    across = scratch.keep(_in_small_groups(meeting.filter(F.col("n") <= SMALL)).join(
         pairs, ["a", "b"], "left_anti"), "across")
-    more = scratch.keep(_linked(some, across, least), "more")
+    more = scratch.keep(_linked(some, across, least).unionByName(_in_large_groups(
+        scratch, meeting.filter(F.col("n") > SMALL), signed, some, least, bands * rows)), "more")
     scratch.drop(parts, shared, pairs, some, meeting, across)
     parts = components(scratch, links.unionByName(more))
     members = scratch.keep(
