@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -36,13 +37,20 @@ BLOCK_WORDS = 200_000
 #: Cells of one alignment batch in a task.
 CELLS = 4_000_000
 
-WORD = re.compile(r"[^\W_]+")
 COLUMNS = ("doc_id bigint, item_id bigint, seeds bigint, score double, matched_from bigint, "
            "matched_to bigint")
 
+#: Bytes of ASCII letters and digits, in lower case, and of other characters; the rest part words.
+PARTED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+#: Signs and spaces beyond ASCII that part words too.
+SIGNS = re.compile("[\u00a0-\u00bf\u2000-\u206f\u3000-\u303f\uff00-\uff0f]")
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+
+def words_of(text: str | None) -> list[bytes]:
+    text = (text or "").lower()
+    if not text.isascii():
+        text = SIGNS.sub(" ", text)
+    return text.encode("utf-8").translate(PARTED).split()
 
 
 class Coded:
@@ -52,16 +60,15 @@ class Coded:
     is exact; a block's words keep it below 2**63.
     """
 
-    def __init__(self, items: list[list[str]]):
-        self.numbers: dict[str, int] = {}
+    def __init__(self, items: list[list[bytes]]):
+        self.numbers: dict[bytes, int] = {}
         for words in items:
             for w in words:
                 self.numbers.setdefault(w, len(self.numbers) + 1)
         self.base = len(self.numbers) + 1
 
-    def words(self, words: list[str]) -> np.ndarray:
-        number = self.numbers.get
-        return np.array([number(w, 0) for w in words], np.int64)
+    def words(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.get, words, repeat(0)), np.int64, len(words))
 
     def sequences(self, codes: np.ndarray, size: int) -> np.ndarray:
         """One number for each place; 0 where a word is not of the items."""
