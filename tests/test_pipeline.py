@@ -288,6 +288,10 @@ def test_large_ids_by_setting(spark, tmp_path):
     wide.state.compact()
     assert narrow.metrics().first().invalid == 1
     assert wide.state.served().first().customer_id == 3_000_000_000
+    other = pipeline(spark, tmp_path / "w")
+    assert other.state.served().first().customer_id == 3_000_000_000
+    with pytest.raises(ValueError, match="bigint"):
+        other.apply(messages(spark, big), 1, "run")
 
 
 def test_reports_are_merged(spark, tmp_path):

@@ -28,7 +28,7 @@ from tidemark.plans.refresh import RefreshStopped, refresh_dimension
 from tidemark.sources import files, topics
 from tidemark.sources.database import JdbcSource
 from tidemark.sources.snapshots import PublishedDimension, SnapshotStore
-from tidemark.streaming.newest import version_stream, write_changes, write_rejects
+from tidemark.streaming.newest import merge_changes, version_stream, write_changes, write_rejects
 from tidemark.streaming.run import LagReporter, newest_offsets, start
 
 log = logging.getLogger("tidemark")
@@ -66,6 +66,8 @@ def arguments() -> argparse.ArgumentParser:
     compact.add_argument("--buckets", type=int, help="new number, or that of the first base")
     compact.add_argument("--retain-s", type=int, default=C.PipelineConfig.retain_s)
     compact.add_argument("--tombstone-ttl-s", type=int)
+    compact.add_argument("--hard-deletes", action="store_true", help="as the table is written")
+    compact.add_argument("--customer-id-type", choices=("int", "bigint"), default=C.PipelineConfig.customer_id_type)
 
     _command(commands, "audit")
     lag = _command(commands, "lag")
@@ -189,11 +191,15 @@ def _run_versions(spark: SparkSession, args, job: OrderPipeline) -> int:
 
 def run_compact(spark: SparkSession, args) -> int:
     """Fold the batches into the base; exit code 1 if another writer was faster."""
-    cfg = C.PipelineConfig(state_buckets=args.buckets, retain_s=args.retain_s,
-                           tombstone_ttl_s=args.tombstone_ttl_s)
+    cfg = C.PipelineConfig(
+        state_buckets=args.buckets, retain_s=args.retain_s, tombstones=not args.hard_deletes,
+        tombstone_ttl_s=args.tombstone_ttl_s, customer_id_type=args.customer_id_type)
     job = OrderPipeline(spark, f"{args.root}/facts", PublishedDimension(customers(spark, args)), cfg)
     done = job.state.compact(datetime.now(timezone.utc), args.buckets)
     job.merge_reports()
+    changes = f"{args.root}/versions/changes"
+    if files.exists(spark, changes):
+        merge_changes(spark, changes)
     return 0 if done else 1
 
 

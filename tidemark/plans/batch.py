@@ -91,7 +91,7 @@ class OrderPipeline:
     """The job that stream, replay and backfill share.
 
     Order of effects: dead letters, metrics, changed rows, manifest. What a batch left
-    behind before its manifest was created is replaced when the batch is repeated.
+    behind before its manifest was created counts once when the batch is repeated.
     ``publish_letters`` may send the dead letters on, at least once.
     """
 
@@ -163,20 +163,20 @@ class OrderPipeline:
             else:
                 files.remove(self.spark, staged)
 
-    def letters(self) -> DataFrame:
+    def letters(self, paths: list[str] | None = None) -> DataFrame:
         """All dead letters, with the run and batch that rejected them, each message once."""
         text = F.col("value").cast("string")
         place = [F.get_json_object(text, f"$.{c}").alias(f"_{c}") for c in events.POSITION]
-        rows = self.spark.read.schema(LETTERS).parquet(f"{self.root}/dead_letters/*")
+        rows = self.spark.read.schema(LETTERS).parquet(*(paths or [f"{self.root}/dead_letters/*"]))
         return (
             rows.select("*", *place)
             .dropDuplicates(["run_id", "batch_id", *(f"_{c}" for c in events.POSITION)])
             .drop(*(f"_{c}" for c in events.POSITION))
         )
 
-    def metrics(self) -> DataFrame:
+    def metrics(self, paths: list[str] | None = None) -> DataFrame:
         """Counters per batch; of a repeated batch the last attempt counts."""
-        rows = self.spark.read.schema(C.COUNTERS).parquet(f"{self.root}/batch_metrics/*")
+        rows = self.spark.read.schema(C.COUNTERS).parquet(*(paths or [f"{self.root}/batch_metrics/*"]))
         last = Window.partitionBy("run_id", "batch_id").orderBy(F.col("recorded_at").desc())
         return (
             rows.withColumn("_rank", F.row_number().over(last))
@@ -186,16 +186,17 @@ class OrderPipeline:
     def merge_reports(self) -> None:
         """Replace the many small folders of letters and metrics by one each.
 
-        The merged folder is there before the others go, and what is found twice counts
+        Every attempt writes a folder of its own, so a finished one never changes. The
+        merged folder is there before the others go, and what is found twice counts
         once, so the rows are whole at any time.
         """
         for name, rows in (("dead_letters", self.letters), ("batch_metrics", self.metrics)):
-            before = files.names(self.spark, f"{self.root}/{name}")
+            before = files.complete(self.spark, f"{self.root}/{name}")
             if len(before) < 2:
                 continue
-            rows().write.parquet(f"{self.root}/{name}/merged-{uuid.uuid4().hex}")
+            rows(before).write.parquet(f"{self.root}/{name}/merged-{uuid.uuid4().hex}")
             for old in before:
-                files.remove(self.spark, f"{self.root}/{name}/{old}")
+                files.remove(self.spark, old)
 
     def _stage(self, frame: DataFrame, path: str, column: str) -> DataFrame:
         """Write a part once; its later uses read only their rows and columns."""
@@ -203,10 +204,10 @@ class OrderPipeline:
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def _write_letters(self, letters: DataFrame, run_id: str, batch_id: int) -> None:
-        path = f"{self.root}/dead_letters/{run_id}-{batch_id}"
+        path = f"{self.root}/dead_letters/{run_id}-{batch_id}-{uuid.uuid4().hex}"
         rows = letters.withColumns({
             "run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.parquet(path)
         if self.publish_letters is not None:
             self.publish_letters(self.spark.read.parquet(path))
 

@@ -46,6 +46,11 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def complete(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the tables in a folder whose writing has ended."""
+    return [f"{folder}/{n}" for n in names(spark, folder) if exists(spark, f"{folder}/{n}/_SUCCESS")]
+
+
 def create_json(spark: SparkSession, path: str, content: dict) -> bool:
     """Create a small JSON file, whole at once; False if the path is taken.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -42,13 +42,18 @@ class OrderState:
 
     @property
     def schema(self) -> T.StructType:
-        return C.with_id_type(C.ORDER_STATE, self.cfg)
+        """Columns of the table as it was created, or as it will be."""
+        kind = (self.manifests.latest() or {}).get("customer_id_type", self.cfg.customer_id_type)
+        return C.with_id_type(C.ORDER_STATE, replace(self.cfg, customer_id_type=kind))
 
     def create(self) -> dict:
         """The current manifest, after making the table if it does not exist."""
         while (found := self.manifests.latest()) is None:
             self.manifests.add({
-                "number": 0, "base": None, "deltas": [], "retired": [], "runs": {}})
+                "number": 0, "base": None, "deltas": [], "retired": [], "runs": {},
+                "customer_id_type": self.cfg.customer_id_type})
+        if found["customer_id_type"] != self.cfg.customer_id_type:
+            raise ValueError(f"customer ids of this table are {found['customer_id_type']}")
         return found
 
     def manifest(self) -> dict:

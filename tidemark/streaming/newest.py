@@ -40,8 +40,8 @@ def write_changes(
 ) -> DataStreamWriter:
     """Store the touched orders of every batch, enriched if there is a dimension.
 
-    A folder belongs to one batch of one run, so a repeated batch replaces its own folder
-    and a new checkpoint replaces none.
+    Every attempt of a batch writes a folder of its own, so nothing that was written is
+    replaced; a change that is found twice counts once.
     """
     spark = changes.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -50,8 +50,7 @@ def write_changes(
         if dimension is not None:
             frame, size = dimension()
             batch = enrich.join_dimension(batch, frame, size, cfg.broadcast_limit_bytes)
-        run = files.read_json(spark, f"{checkpoint}/metadata")["id"]
-        batch.write.mode("overwrite").parquet(f"{path}/run_id={run}/batch_id={batch_id}")
+        batch.write.parquet(f"{path}/{batch_id}-{uuid.uuid4().hex}")
 
     return (
         changes.writeStream.foreachBatch(handle).outputMode("update")
@@ -80,19 +79,19 @@ def write_rejects(
     return messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
 
 
-def newest_changes(spark: SparkSession, path: str) -> DataFrame:
+def newest_changes(spark: SparkSession, *paths: str) -> DataFrame:
     """One row for each order: the newest of all stored changes, whichever batch wrote it."""
-    changes = spark.read.option("basePath", path).parquet(f"{path}/run_id=*/batch_id=*")
+    changes = spark.read.parquet(*paths)
     window = Window.partitionBy("order_id").orderBy(*versions.newest_first())
     return (
-        changes.drop("run_id", "batch_id").withColumn("_rank", F.row_number().over(window))
+        changes.withColumn("_rank", F.row_number().over(window))
         .filter(F.col("_rank") == 1).drop("_rank")
     )
 
 
 def live_orders(spark: SparkSession, path: str) -> DataFrame:
     """Orders that are not deleted."""
-    return newest_changes(spark, path).filter(F.col("op") != C.DELETE)
+    return newest_changes(spark, f"{path}/*").filter(F.col("op") != C.DELETE)
 
 
 def merge_changes(spark: SparkSession, path: str) -> None:
@@ -103,8 +102,9 @@ def merge_changes(spark: SparkSession, path: str) -> None:
     adds its changes again, which changes nothing. Readers that run longer than this
     job should read from a merged table of their own.
     """
-    before = [f"{path}/{run}/{batch}" for run in files.names(spark, path) if run.startswith("run_id=")
-              for batch in files.names(spark, f"{path}/{run}")]
-    newest_changes(spark, path).write.parquet(f"{path}/run_id=merged-{uuid.uuid4().hex}/batch_id=0")
+    before = files.complete(spark, path)
+    if len(before) < 2:
+        return
+    newest_changes(spark, *before).write.parquet(f"{path}/merged-{uuid.uuid4().hex}")
     for folder in before:
         files.remove(spark, folder)
