@@ -40,7 +40,7 @@ from tidemark.llm.components import components
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 #: Rows of a group of equal bands in which all pairs of different components meet at once.
-SMALL = 33
+SMALL = 8
 #: Documents of a block of a larger group.
 BLOCK = 256
 #: Standard errors that the share of equal places may lie below the similarity.
