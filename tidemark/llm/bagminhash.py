@@ -284,16 +284,18 @@ def _in_large_groups(scratch: Scratch, rows: DataFrame, signed: DataFrame, texts
                      least: float, places: int) -> DataFrame:
     """Links between the components that meet in large groups.
 
-    Groups that share documents are one cluster, so two documents meet once, however many
-    bands they share. A cluster is dealt out over blocks and every two blocks meet in a
+    Groups that share a component are one cluster, so two documents meet once, however
+    many bands they share. A cluster is dealt out over blocks and every two blocks meet in a
     task of their own, with their texts.
     """
-    firsts = rows.groupBy("band").agg(F.min("node").alias("a"))
-    clusters = components(scratch, rows.join(firsts, "band").select("a", F.col("node").alias("b")))
-    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    firsts = rows.groupBy("band").agg(F.min("root").alias("a"))
+    clusters = components(
+        scratch, rows.join(firsts, "band").select("a", F.col("root").alias("b")).filter("a <> b").distinct())
+    placed = rows.select("node", "root").distinct().join(
+        clusters.select(F.col("node").alias("root"), F.col("root").alias("cluster")), "root")
+    sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     members = (
-        clusters.join(sizes, "root").withColumnRenamed("root", "cluster")
-        .join(rows.select("node", "root").distinct(), "node")
+        placed.join(sizes, "cluster")
         .join(signed.select(F.col("row_no").alias("node"), "places", "size"), "node")
         .join(texts.withColumnRenamed("row_no", "node"), "node")
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
@@ -382,14 +384,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
         pairs, ["a", "b"], "left_anti"), "across")
     more = scratch.keep(_linked(some, across, least).unionByName(_in_large_groups(
         scratch, meeting.filter(F.col("n") > SMALL), signed, some, least, bands * rows)), "more")
-    scratch.drop(parts, shared, pairs, some, meeting, across)
-    parts = components(scratch, links.unionByName(more))
+    scratch.drop(shared, pairs, some, meeting, across, links)
+    stars, parts = parts, components(scratch, more.unionByName(
+        parts.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))))
     members = scratch.keep(
         signed.select("row_no", "doc_id", "digest").join(copies, "digest", "left")
         .join(parts, "node", "left")
         .select("row_no", "doc_id", F.coalesce("copy_of", "doc_id").alias("copy_of"),
                 F.coalesce("root", "node", "row_no").alias("root")), "members")
-    scratch.drop(signed, copies, links, more, parts)
+    scratch.drop(signed, copies, more, stars, parts)
     groups = members.groupBy("root").agg(
         F.min("doc_id").alias("group_id"),
         F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_no")))["row_no"].alias("survivor"))
