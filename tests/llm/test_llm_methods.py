@@ -137,6 +137,21 @@ def test_embeddings_match_all_pairs(spark):
     _check_vectors(found, [(r.vec_id, r.embedding) for r in table.collect()])
 
 
+def test_embeddings_in_one_dense_cluster(spark):
+    """Planes hardly divide vectors at a mutual cosine of 0.9; links among them are still found."""
+    from tidemark.llm import vectors
+
+    draw = np.random.default_rng(6)
+    centre, noise = draw.normal(size=64), draw.normal(size=(2500, 64))
+    centre /= np.linalg.norm(centre)
+    base = 0.9**0.5 * centre + 0.1**0.5 * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+    away = draw.normal(size=(150, 64))
+    near = 0.956 * base[:150] + (1 - 0.956**2) ** 0.5 * away / np.linalg.norm(away, axis=1, keepdims=True)
+    rows = [(k, [float(np.float32(x)) for x in v]) for k, v in enumerate(np.concatenate([base, near]))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    _check_vectors({r.vec_id: r for r in vectors.near_duplicates(spark, table).collect()}, rows)
+
+
 def _check_vectors(out, rows):
     units = np.array([r[1] for r in rows], float)
     units /= np.linalg.norm(units, axis=1, keepdims=True)

@@ -1,9 +1,12 @@
 """Near-duplicate vectors by sorted projection passes.
 
-Each pass orders the distinct vectors by a chain of random hashes (the sides of random
+Each sorted pass orders the distinct vectors by a chain of random hashes (the sides of random
 planes, concatenated) and compares every vector with its neighbours in a window of
-that order. What reaches the cosine is united across passes. Vectors that point the
-same way mostly share the head of the chain, so a few passes part hardly any pair. An
+that order. That a pair is far apart there says nothing, so further passes compare
+all vectors on the same sides of RUN_PLANES planes, block against block, however many they are:
+two vectors at the cosine share a side with chance 1 - arccos(COSINE) / pi = 0.899, so
+all RUN_PASSES passes part them with chance (1 - 0.899^RUN_PLANES)^RUN_PASSES < 1e-4, whatever
+the number and the density of the vectors. What reaches the cosine is united across passes. An
 exact count of the links inside every component follows, block by block.
 
 Equal vectors are one until the end, so copies cost nothing.
@@ -31,7 +34,9 @@ PASSES = 8
 PLANES = 60
 #: Neighbours on each side in the order.
 WINDOW = 128
-#: Vectors of a block when links are counted.
+#: Planes whose sides make a run, all pairs of which are compared, and passes of them.
+RUN_PLANES, RUN_PASSES = 12, 29
+#: Vectors of a block when runs are compared and links are counted.
 BLOCK = 1024
 
 
@@ -109,6 +114,85 @@ def _neighbours(window: int, cosine: float):
     return run
 
 
+def _runs(planes: int, passes: int):
+    """The run of each vector in each pass: its length, the pass and its sides, as one number."""
+    schema = arrow_schema("node bigint, run bigint")
+
+    def run(rows):
+        for batch in rows:
+            for length, part in _by_length(batch):
+                nodes, units = np.asarray(part.column("node")), _units(part.column("embedding"))
+                for number in range(passes):
+                    normals = np.random.default_rng([number, length, planes]).normal(size=(length, planes))
+                    sides = ((units @ normals > 0).astype(np.int64) << np.arange(planes)).sum(axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(nodes), pa.array(((length * passes + number) << planes) + sides)], schema=schema)
+
+    return run
+
+
+def _link_block(cosine: float):
+    """Links between two blocks of each run of a group, as stars."""
+    schema = arrow_schema("a bigint, b bigint")
+
+    def run(key, rows):
+        i, j = key[1].as_py(), key[2].as_py()
+        rows = rows.combine_chunks().sort_by("run")
+        runs, nodes, block = (np.asarray(rows.column(c)) for c in ("run", "node", "block"))
+        embeddings = rows.column("embedding").combine_chunks()
+        if isinstance(embeddings, pa.ChunkedArray):
+            embeddings = pa.concat_arrays(embeddings.chunks)
+        begins = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]]))
+        found: list[tuple[int, int]] = []
+        for low, high in zip(begins, [*begins[1:], len(runs)]):
+            units, here = _units(embeddings.slice(low, high - low)), block[low:high]
+            a, b = np.flatnonzero(here == i), np.flatnonzero(here == j)
+            near = units[a] @ units[b].T >= cosine
+            near &= a[:, None] != b[None, :]
+            at, to = a[near.any(axis=1)], b[near.any(axis=0)]
+            if len(at):
+                linked = np.union1d(at, to)
+                square = np.zeros((len(linked), len(linked)), bool)
+                square[np.ix_(np.searchsorted(linked, at), np.searchsorted(linked, to))] = (
+                    near[near.any(axis=1)][:, near.any(axis=0)])
+                order = np.argsort(nodes[low + linked])
+                found += _stars(nodes[low + linked[order]], square[np.ix_(order, order)])
+        return pa.Table.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=schema)
+
+    return run
+
+
+def _meeting(members: DataFrame, group: str, tasks: int) -> DataFrame:
+    """Members of groups of known size, once for each pair of blocks that they take part in.
+
+    A group is dealt out over blocks of bounded size and every two blocks meet in a
+    task (task, i, j) of their own; small groups share tasks.
+    """
+    return (
+        members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("task", F.when(F.col("blocks") == 1, F.concat(F.lit("s"), F.pmod(F.xxhash64(group), F.lit(tasks))))
+                    .otherwise(F.concat(F.lit("r"), F.col(group))))
+        .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+        .drop("size", "blocks", "other")
+    )
+
+
+def _in_runs(scratch: Scratch, classes: DataFrame, cosine: float, planes: int, passes: int) -> DataFrame:
+    """Links between vectors of one run, as many as join what they join."""
+    classes = classes.select("node", "embedding")
+    keys = scratch.keep(classes.mapInArrow(_runs(planes, passes), "node bigint, run bigint"), "runs")
+    sizes = keys.groupBy("run").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    tasks = max(1, keys.count() // BLOCK)
+    members = keys.join(sizes, "run").join(classes, "node")
+    links = scratch.keep(
+        _meeting(members, "run", tasks).groupBy("task", "i", "j")
+        .applyInArrow(_link_block(cosine), "a bigint, b bigint"), "links")
+    scratch.drop(keys)
+    return links
+
+
 def _count_block(cosine: float):
     """For each vector of a group, the vectors that link with it, copies included."""
     schema = arrow_schema("node bigint, links bigint")
@@ -139,23 +223,10 @@ def _count_block(cosine: float):
 
 
 def _count_links(spark: SparkSession, classes: DataFrame, groups: DataFrame, cosine: float) -> DataFrame:
-    """(node, links) of all vectors in components.
-
-    A component is dealt out over blocks of bounded size and every two blocks meet in a
-    task of their own; small components share tasks.
-    """
+    """(node, links) of all vectors in components."""
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    members = (
-        groups.join(sizes, "root").join(classes, "node")
-        .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    )
-    tasks = max(1, groups.count() // BLOCK)
-    meets = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        F.when(F.col("blocks") == 1, F.concat(F.lit("s"), F.pmod(F.xxhash64("root"), F.lit(tasks))))
-        .otherwise(F.concat(F.lit("r"), F.col("root"))).alias("task"),
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "node", "root", "copies", "block", "embedding")
+    members = groups.join(sizes, "root").join(classes, "node")
+    meets = _meeting(members, "root", max(1, groups.count() // BLOCK))
     return (
         meets.groupBy("task", "i", "j").applyInArrow(_count_block(cosine), "node bigint, links bigint")
         .groupBy("node").agg(F.sum("links").alias("links"))
@@ -169,7 +240,8 @@ def usable(embedding) -> F.Column:
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = COSINE,
-                    passes: int = PASSES, window: int = WINDOW) -> DataFrame:
+                    passes: int = PASSES, window: int = WINDOW, run_planes: int = RUN_PLANES,
+                    run_passes: int = RUN_PASSES) -> DataFrame:
     """Links, component and survivor of every vector."""
     with_workers(spark)
     scratch = Scratch(spark, "vectors")
@@ -185,6 +257,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = COS
             .mapInArrow(_neighbours(window, cosine), "a bigint, b bigint"), f"pass{number}")
         for number in range(passes)
     ]
+    links.append(_in_runs(scratch, classes, cosine, run_planes, run_passes))
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
