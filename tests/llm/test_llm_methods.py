@@ -390,6 +390,43 @@ def test_edited_items_are_found(spark, sf_dir):
     assert found >= whole and len([f for f in found if f[0] < 10**6]) <= len(whole) + 2
 
 
+def test_every_alignment_is_found(spark):
+    """However the edits lie, and although exact copies make other sequences rarer."""
+    item = [f"w{k}" for k in range(20)]
+    third = [w for k, x in enumerate(item) for w in ([x, f"n{k}"] if k % 3 == 2 else [x])]
+    second = [w for k, x in enumerate(item) for w in ([x, f"n{k}"] if k % 2 else [x])]
+    fourth = [x if k % 4 != 3 else f"n{k}" for k, x in enumerate(item)]
+    seven = "one two three four five six seven".split()
+    rows = [(1, third), (2, fourth), (3, second), (4, item), (5, item), (6, seven[:3] + ["other"] + seven[4:])]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(seven))], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.overlaps(spark, docs, items).collect()}
+    assert found == {(1, 7), (2, 7), (3, 7), (4, 7), (5, 7), (6, 8)}
+
+
+def test_matches_are_all_alignments():
+    draw = np.random.default_rng(9)
+    words = [f"w{k}".encode() for k in range(9)]
+    items = [[words[k] for k in draw.integers(0, 9, draw.integers(1, 22))] for _ in range(40)]
+    texts = []
+    for k in range(200):
+        text = []
+        for w in items[k % 40]:
+            text += [w] if (x := draw.random()) > 0.45 else [words[draw.integers(0, 9)]] if x > 0.3 else (
+                [w, b"other"] if x > 0.1 else [])
+        texts.append([words[j] for j in draw.integers(0, 9, 5)] + text + [b"x"] * draw.integers(0, 60) + text[:9])
+    block = decontamination.Block(list(range(40)), items, 0.5)
+    found = {(n, k): score for n, k, _, score, *_ in block.matches([b" ".join(t).decode() for t in texts])}
+    for n, text in enumerate(texts):
+        codes = block.coded.words(text)
+        left = np.zeros((40, 22), int)
+        for k, item in enumerate(block.items):
+            left[k, :len(item)] = item
+        scores = decontamination.align(left, np.tile(codes, (40, 1)))[0] / [len(i) for i in items]
+        assert {k for k in range(40) if scores[k] >= 0.5 - 1e-9} == {k for m, k in found if m == n}
+        assert all(math.isclose(scores[k], v) for (m, k), v in found.items() if m == n)
+
+
 def test_pipeline_stages(spark, sf_dir):
     import corpus_pipeline
 

@@ -1,24 +1,24 @@
-"""Benchmark decontamination: rare word sequences as seeds, then local alignment.
+"""Benchmark decontamination: enough shared word pairs close together, then local alignment.
 
-Of every two successive three-word sequences of a test item the one that the
-documents hold less often is a seed, so each stretch of an item has one, however
-common the item has become. Documents that hold seeds of an item are joined to it, and
-Smith-Waterman alignment of the item with the document around the seeds gives the score:
-matched words score 1, mismatches and gaps cost, and the best local score is divided by
-the item's length. Copies, edited copies and long parts of items score high.
+Smith-Waterman alignment of a test item with a document gives the score: matched words score 1,
+mismatches and gaps cost, and the best local score is divided by the item's length. Copies,
+edited copies and long parts of items score high.
+
+An alignment of a given score holds a number of word pairs of the item unchanged, however
+its edits lie, and these are not far apart, as gaps cost. Documents that hold so many pairs
+of an item so close together are aligned with it around them; no other can reach the score. Items
+too short for one sure pair go by their single words. How common a pair is does not matter.
 
 Test items are taken in blocks of a bounded number of words, which bounds what is sent
 to every task; each block meets all documents.
 
-Defined cases: null and empty texts and items match nothing; an item of fewer words than
-a seed is one seed by itself; equal items and repeated rows are reported each; empty
+Defined cases: null and empty texts and items match nothing; equal items and repeated rows are reported each; empty
 tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from itertools import repeat
 
 import numpy as np
@@ -27,9 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, arrow_schema, batches, filter_texts, with_workers
 
-SEED_WORDS = 3
-#: One seed for so many successive sequences.
-SEED_EVERY = 2
+SEED_WORDS = 2
 #: Share of an item's best possible score from which a document is contaminated.
 LEAST_SCORE = 0.5
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.7
@@ -89,11 +87,27 @@ def _inside(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-def rare_seeds(sequences: list[int], held: dict[int, int]) -> set[int]:
-    """The least held sequence of every window of SEED_EVERY; of equals the last."""
-    windows = range(max(1, len(sequences) - SEED_EVERY + 1))
-    return {min(reversed(sequences[k:k + SEED_EVERY]), key=lambda s: held.get(s, 0))
-            for k in windows if sequences}
+def sure_seeds(length: int, least: float) -> tuple[int, int]:
+    """Words of a seed and the fewest seeds that an alignment of the score keeps.
+
+    Of ``m`` matched words, edits part at most one more run than there are edits, and a run
+    of n words holds n - 1 pairs. The most edits are the mismatches that the item has
+    words for, as they cost less, then gaps.
+    """
+    fewest, fewest_words = length, length
+    for m in range(1, length + 1):
+        spare = m * MATCH - least * length * MATCH + 1e-9
+        if spare < 0:
+            continue
+        mismatches = min(length - m, int(spare / -MISMATCH))
+        gaps = int((spare + mismatches * MISMATCH) / -GAP)
+        fewest, fewest_words = min(fewest, m - 1 - mismatches - gaps), min(fewest_words, m)
+    return (SEED_WORDS, fewest) if fewest > 0 else (1, max(1, fewest_words))
+
+
+def reach_of(length: int, least: float) -> int:
+    """The most words of a text that an alignment of the score spans."""
+    return int(length * (1 + max(0.0, 1 - least) * MATCH / -GAP)) + 1
 
 
 def align(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,28 +150,11 @@ def align(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return best, first, last
 
 
-def _count_sequences(coded: Coded, known: dict[int, np.ndarray]):
-    """How many documents hold each known sequence, added up within a partition."""
-    def run(rows):
-        counts = {size: np.zeros(len(keys), np.int64) for size, keys in known.items()}
-        for batch in rows:
-            for text in batch.column(0):
-                codes = coded.words(words_of(text.as_py()))
-                for size, keys in known.items():
-                    at = _inside(keys, coded.sequences(codes, size))
-                    counts[size][np.unique(at[at >= 0])] += 1
-        yield from batches(((size, int(keys[k]), int(counts[size][k]))
-                            for size, keys in known.items() for k in np.flatnonzero(counts[size])),
-                           arrow_schema("size int, sequence bigint, held bigint"))
-
-    return run
-
-
-def _regions(places: list[int], length: int, end: int) -> list[tuple[int, int]]:
+def _regions(first: list[int], last: list[int], reach: int, end: int) -> list[tuple[int, int]]:
     """Stretches of the text around seeds, run together where they meet."""
     out: list[list[int]] = []
-    for p in places:
-        low, high = max(0, p - 2 * length), min(end, p + 2 * length)
+    for p, q in zip(first, last):
+        low, high = max(0, p - reach), min(end, q + SEED_WORDS + reach)
         if out and low <= out[-1][1]:
             out[-1][1] = high
         else:
@@ -168,10 +165,52 @@ def _regions(places: list[int], length: int, end: int) -> list[tuple[int, int]]:
 class Block:
     """A bounded number of items with their seeds."""
 
-    def __init__(self, ids: list, coded: Coded, items: list[np.ndarray],
-                 seeds: dict[int, dict[int, list[int]]]):
-        self.ids, self.coded, self.items, self.seeds = ids, coded, items, seeds
-        self.keys = {size: np.array(sorted(found)) for size, found in seeds.items()}
+    def __init__(self, ids: list, words: list[list[bytes]], least: float):
+        self.ids, self.least, self.coded = ids, least, Coded(words)
+        self.items = [self.coded.words(w) for w in words]
+        sure = [sure_seeds(len(w), least) for w in words]
+        self.fewest = np.array([n for _, n in sure], np.int64)
+        self.reach = np.array([reach_of(len(w), least) for w in words], np.int64)
+        #: For each size the seeds, where the items of each begin, and the items.
+        self.holders: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in {size for size, _ in sure}:
+            held = [np.unique(self.coded.sequences(codes, size)) if size == wanted else np.zeros(0, np.int64)
+                    for codes, (wanted, _) in zip(self.items, sure)]
+            seeds, items = np.concatenate(held), np.repeat(np.arange(len(held)), [len(h) for h in held])
+            order = np.argsort(seeds, kind="stable")
+            keys, begins = np.unique(seeds[order], return_index=True)
+            if len(keys):
+                self.holders[size] = keys, np.append(begins, len(seeds)), items[order]
+
+    def _seeds(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items and places of the seeds in a text, by item and place."""
+        items, places = [], []
+        for size, (keys, begins, holders) in self.holders.items():
+            at = _inside(keys, self.coded.sequences(codes, size))
+            place = np.flatnonzero(at >= 0)
+            at = at[place]
+            times = begins[at + 1] - begins[at]
+            before = np.cumsum(times) - times
+            items.append(holders[np.repeat(begins[at] - before, times) + np.arange(times.sum())])
+            places.append(np.repeat(place, times))
+        item, place = np.concatenate(items), np.concatenate(places)
+        order = np.lexsort((place, item))
+        return item[order], place[order]
+
+    def _stretches(self, codes: np.ndarray):
+        """(item, seeds, first word, end) wherever enough seeds of an item are close together."""
+        item, place = self._seeds(codes)
+        here = np.arange(len(item))
+        there = here + self.fewest[item] - 1
+        here, there = here[there < len(item)], there[there < len(item)]
+        ok = (item[there] == item[here]) & (place[there] - place[here] <= self.reach[item[here]])
+        here, there = here[ok], there[ok]
+        for k in np.unique(item[here]).tolist():
+            mine = item[here] == k
+            hits = int(np.searchsorted(item, k, side="right") - np.searchsorted(item, k))
+            for low, high in _regions(place[here[mine]].tolist(), place[there[mine]].tolist(),
+                                      int(self.reach[k]), len(codes)):
+                yield k, hits, low, high
 
     def _score(self, waiting: list[tuple], best: dict[tuple, tuple]) -> None:
         """Align stretches (text, item, seeds, place, words), wide and narrow ones apart."""
@@ -190,39 +229,31 @@ class Block:
                 if share > best.get((n, k), (0, -1.0))[1]:
                     best[n, k] = (hits, share, low + int(first), low + int(last))
 
-    def matches(self, texts: list[str | None], least: float) -> list[tuple]:
-        """(text, item, seeds, score, first word, end) of all pairs that share a seed and
-        reach the score."""
+    def matches(self, texts: list[str | None]) -> list[tuple]:
+        """(text, item, seeds, score, first word, end) of all pairs that reach the score."""
         best: dict[tuple, tuple] = {}
         waiting: list[tuple] = []
         cells = 0
         for n, text in enumerate(texts):
             codes = self.coded.words(words_of(text))
-            hits: dict[int, list[int]] = defaultdict(list)
-            for size, known in self.keys.items():
-                at = _inside(known, self.coded.sequences(codes, size))
-                for p in np.flatnonzero(at >= 0):
-                    for k in self.seeds[size][int(known[at[p]])]:
-                        hits[k].append(int(p))
-            for k, places in hits.items():
-                for low, high in _regions(sorted(places), len(self.items[k]), len(codes)):
-                    waiting.append((n, k, len(places), low, codes[low:high]))
-                    cells += (high - low) * len(self.items[k])
+            for k, hits, low, high in self._stretches(codes):
+                waiting.append((n, k, hits, low, codes[low:high]))
+                cells += (high - low) * len(self.items[k])
             if cells >= CELLS:
                 self._score(waiting, best)
                 cells = 0
         self._score(waiting, best)
-        return [(n, k, *found) for (n, k), found in sorted(best.items()) if found[1] >= least]
+        return [(n, k, *found) for (n, k), found in sorted(best.items()) if found[1] >= self.least - 1e-9]
 
 
-def _find(shared, least: float):
+def _find(shared):
     def run(rows):
         block = shared.value
 
         def out():
             for batch in rows:
                 ids = batch.column(0).to_pylist()
-                for n, k, *found in block.matches(batch.column(1).to_pylist(), least):
+                for n, k, *found in block.matches(batch.column(1).to_pylist()):
                     yield (ids[n], block.ids[k], *found)
 
         yield from batches(out(), arrow_schema(COLUMNS))
@@ -230,8 +261,8 @@ def _find(shared, least: float):
     return run
 
 
-def blocks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> list:
-    """The items in blocks, as broadcast variables; seeds are chosen by the documents' counts."""
+def blocks(spark: SparkSession, benchmark: DataFrame, least: float) -> list:
+    """The items in blocks, as broadcast variables."""
     with_workers(spark)
     scratch = Scratch(spark, "decontamination")
     items = scratch.keep(benchmark.select(
@@ -242,25 +273,8 @@ def blocks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> list:
         # The words of a block are bounded, for items are dealt out evenly by hash.
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == number).collect()
         words = [words_of(r.text) for r in part]
-        coded = Coded(words)
-        coded_items = [coded.words(w) for w in words]
-        sizes = [min(SEED_WORDS, len(w)) for w in words]
-        grams = [coded.sequences(c, n).tolist() if n else [] for c, n in zip(coded_items, sizes)]
-        known = {n: np.unique([s for g, m in zip(grams, sizes) if m == n for s in g]).astype(np.int64)
-                 for n in set(sizes) if n}
-        if not known:
-            continue
-        held: dict[int, dict[int, int]] = {n: {} for n in known}
-        counted = docs.select("text").mapInArrow(
-            _count_sequences(coded, known), "size int, sequence bigint, held bigint")
-        for r in counted.groupBy("size", "sequence").agg(F.sum("held").alias("held")).collect():
-            held[r.size][r.sequence] = r.held  # of the block's sequences only
-        seeds: dict[int, dict[int, list[int]]] = {n: defaultdict(list) for n in known}
-        for k, (g, n) in enumerate(zip(grams, sizes)):
-            for s in rare_seeds(g, held.get(n, {})):
-                seeds[n][s].append(k)
-        out.append(spark.sparkContext.broadcast(Block(
-            [r.item_id for r in part], coded, coded_items, {n: dict(s) for n, s in seeds.items()})))
+        if any(words):
+            out.append(spark.sparkContext.broadcast(Block([r.item_id for r in part], words, least)))
     return out
 
 
@@ -268,8 +282,8 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
              least: float = LEAST_SCORE) -> DataFrame:
     """(document, item) pairs whose alignment reaches the score."""
     out = spark.createDataFrame([], COLUMNS)
-    for block in blocks(spark, docs, benchmark):
-        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(_find(block, least), COLUMNS))
+    for block in blocks(spark, benchmark, least):
+        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(_find(block), COLUMNS))
     return out
 
 
@@ -277,11 +291,11 @@ def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
           least: float = LEAST_SCORE) -> DataFrame:
     """Documents that hold no benchmark item, with all columns."""
     out = docs
-    for shared in blocks(spark, docs, benchmark):
+    for shared in blocks(spark, benchmark, least):
         def make(shared=shared):
             def passes(texts):
                 ok = np.ones(len(texts), bool)
-                ok[[m[0] for m in shared.value.matches(texts, least)]] = False
+                ok[[m[0] for m in shared.value.matches(texts)]] = False
                 return ok
 
             return passes
