@@ -212,6 +212,27 @@ def test_minhash_in_large_groups(spark):
     _check_groups(out, rows)
 
 
+def test_the_size_of_a_group_hardly_loses_a_pair():
+    places = bagminhash.BANDS * bagminhash.ROWS
+    fewest = math.ceil(bagminhash.fewest_places(0.8, places))
+    assert sum(math.comb(places, k) * 0.8**k * 0.2 ** (places - k) for k in range(fewest)) < 2e-6
+
+
+def test_groups_cut_by_the_edge_of_a_partition():
+    """Bands 7 and 9 are cut; of the others only whole groups are given, each row once."""
+    import pyarrow as pa
+
+    def chained(*parts):
+        made = (pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in p], pa.int64()) for k in (0, 1)], ["band", "node"]) for p in parts)
+        return [tuple(r.values()) for b in bagminhash._chain(made) for r in b.to_pylist()]
+
+    assert chained([(5, 1), (6, 1), (6, 2)], [(7, 1)]) == [(5, 1, None), (6, 1, None), (6, 2, 1), (7, 1, None)]
+    assert chained([(7, 2)], [(8, 1)], [(9, 1)]) == [(7, 2, None), (9, 1, None)]
+    assert chained([(9, 2)], [(9, 3)]) == [(9, 2, None), (9, 3, 2)]
+    assert chained([(9, 4)]) == [(9, 4, None)]
+
+
 def _check_groups(out, texts):
     words = {k: bagminhash.words_of(t) for k, t in texts.items()}
     bags = {k: Counter(tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))) for k, w in words.items() if w}

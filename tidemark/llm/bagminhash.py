@@ -13,8 +13,9 @@ the group's centre, the one that shares its bands most widely: most often the or
 the copies. That joins a group of near copies in about as many comparisons as it has rows.
 Then, wherever a group still holds several components, all documents of different ones
 meet: in small groups at once; in larger ones block against block, by their signatures
-and exactly if these leave a chance. So no pair is left out for the size of its group, pairs of one
-component are not compared again, and copies are compared once.
+and exactly if these leave a chance: a pair of the wanted similarity lies below that bound
+with a chance of 1.7e-6. So the size of its group adds that to the 5e-5 with which such a
+pair shares no band; pairs of one component are not compared again, and copies are compared once.
 
 Words are lower-cased and parted by white space; a text of fewer than five words is one
 shingle. Defined cases: null, empty and blank texts are alone in their groups; rows are
@@ -44,7 +45,7 @@ SMALL = 8
 #: Documents of a block of a larger group.
 BLOCK = 256
 #: Standard errors that the share of equal places may lie below the similarity.
-ERRORS = 3.0
+ERRORS = 5.0
 #: Shingles whose processes run together in a task.
 TOGETHER = 200_000
 
@@ -173,7 +174,7 @@ def _sign(bands: int, rows: int):
 def _chain(rows):
     """Rows of groups of two or more in a partition sorted by (band, node), with the one before.
 
-    A partition's edge parts one group of one band; the documents meet in other bands.
+    A partition's first and last row are always given, for their groups may go on in others.
     """
     schema = arrow_schema("band bigint, node bigint, previous bigint")
     last_band = last_node = None
@@ -188,6 +189,7 @@ def _chain(rows):
         before = np.concatenate([[last_node if last_node is not None else -1], node[:-1]])
         first = np.zeros(len(band), bool)
         first[:-1] = ~same[:-1] & same[1:]
+        first[0] |= last_band is None
         given = np.flatnonzero(same | first)
         lead = pending and same[0]
         bands, nodes = band[given], node[given]
@@ -195,10 +197,14 @@ def _chain(rows):
         if lead:
             bands, nodes = np.concatenate([[last_band], bands]), np.concatenate([[last_node], nodes])
             previous = [None, *previous]
-        pending = not same[-1]
+        pending = not (same | first)[-1]
         last_band, last_node = band[-1], node[-1]
         yield pa.RecordBatch.from_arrays(
             [pa.array(bands), pa.array(nodes), pa.array(previous, pa.int64())], schema=schema)
+    if pending:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([last_band], pa.int64()), pa.array([last_node], pa.int64()), pa.array([None], pa.int64())],
+            schema=schema)
 
 
 def _with_centre(shared: DataFrame) -> DataFrame:
@@ -232,12 +238,17 @@ def _across(rows):
     yield from batches(out(), arrow_schema("a bigint, b bigint"))
 
 
+def fewest_places(least: float, places: int) -> float:
+    """Equal places below which two documents of a large group are not compared exactly."""
+    return places * max(0.0, least - ERRORS * np.sqrt(least * (1 - least) / places))
+
+
 def _blocks(least: float, places: int):
     """Links between different components of two blocks, as many as join what they join.
 
     Signatures and sizes rule out most pairs; the others are compared exactly.
     """
-    enough = places * max(0.0, least - ERRORS * np.sqrt(least * (1 - least) / places))
+    enough = fewest_places(least, places)
 
     def run(key, rows):
         i, j = key[1].as_py(), key[2].as_py()
