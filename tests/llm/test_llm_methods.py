@@ -317,6 +317,24 @@ def test_main_text_of_a_page():
     assert html_text.main_text(plain) == html_text.main_text(PAGE)
 
 
+LONG_TEXT = "<p>" + "A long text, with commas, and more words, goes on. " * 6 + "</p>"
+
+
+@pytest.mark.parametrize("page, kept", [
+    (f"<article><div><h1><a href=/>Headline</a></h1></div>{LONG_TEXT}"
+     "<ul><li><a href=/s>Source one</a><li><a href=/t>Source two</a></ul>"
+     "<table><tr><td><a href=/n>Name</a></td></tr></table></article>", ["Headline", "Source two", "Name"]),
+    (f"<body><div>{LONG_TEXT}</div><p>The end.</p>Loose text<div><p>Short.</p></div></body>",
+     ["The end.", "Loose text", "Short."]),
+    (f'<article class="post category-social">{LONG_TEXT}</article>', ["A long text"]),
+    (f'<div class="content with-sidebar">{LONG_TEXT}</div><p>After</p>', ["A long text", "After"]),
+    (f'<div class="social">{LONG_TEXT}</div><p>After</p>', ["A long text"]),
+    (f"<article>{LONG_TEXT}<p>So <math><mi>x</mi></math> holds</p></article>", ["So x holds"])])
+def test_article_text_is_kept(page, kept):
+    text = html_text.main_text(page)
+    assert all(k in text for k in kept)
+
+
 def test_pages_of_the_table(spark, sf_dir):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     import html

@@ -2,7 +2,7 @@
 
 Blocks of text pass points for their length and commas to the containers around them,
 half as many at each level up; a container's points are discounted by the share of its
-text that is links. The best container and those of its siblings that read like text
+text that is links. The best container and its siblings except menus
 are kept, and the whole article when the best container is a part of one. Menus, headers,
 footers, sidebars, notices, adverts, forms, comments and scripts never count.
 
@@ -29,7 +29,7 @@ BLOCKS = frozenset(
     "details summary hr center dialog menu search hgroup".split())
 DROPPED = frozenset(
     "script style noscript template textarea iframe noframes xmp title head nav footer aside form button "
-    "select option object embed svg canvas menu dialog input label audio video map math search".split())
+    "select option object embed svg canvas menu dialog input label audio video map search".split())
 TEXT_BLOCKS = frozenset("p pre blockquote td li dd h1 h2 h3 h4 h5 h6 figcaption".split())
 CLOSES = {  # a start tag ends these open ones, up to the given bounds
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -39,11 +39,16 @@ CLOSES = {  # a start tag ends these open ones, up to the given bounds
     "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
 }
 AROUND = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|adsense|adbox|banner|breadcrumbs?|comments?|commentlist|"
+    r"ads?|adverts?|advertis\w*|adsense|adbox|banner|breadcrumbs?|comments?|commentlist|"
     r"respond|replies|disqus|cookies?|consent|gdpr|notices?|alert|disclaimer|footer|foot|header|masthead|"
     r"menus?|nav|navbar|navigation|newsletter|pager|pagination|popup|modal|overlay|promo\w*|related|"
     r"recommend\w*|shar(?:e|ing)|social|sidebar|sponsor\w*|subscribe|subscription|widgets?|toolbar|login|"
-    r"signup|copyright|skip|hidden|print-only|tags)(?:$|[\s_\d-])", re.I)
+    r"signup|copyright|skip|hidden|print-only|tags", re.I)
+#: Words that may stand beside these in a class without changing its meaning.
+NEUTRAL = re.compile(
+    r"\d*|site|page|post|posts|entry|article|main|top|bottom|left|right|box|bar|wrap|wrapper|container|"
+    r"list|section|area|block|links?|buttons?|inner|outer|items?|primary|secondary|global|local|user|media|"
+    r"meta|form|panel|col|column|row|group|message|print|only|icons?|js|module|region|slot|unit|area", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu "
                   "menubar toolbar status note".split())
 NEVER_AROUND = frozenset(("html", "body", "main"))
@@ -61,10 +66,11 @@ HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "around", "depth", "points", "length", "linked", "commas")
+    __slots__ = ("name", "parent", "parts", "around", "named", "depth", "points", "length", "linked", "commas")
 
     def __init__(self, name: str, parent: Node | None, around: bool = False):
         self.name, self.parent, self.around = name, parent, around
+        self.named = False  # around by a class or an id alone
         self.parts: list = []  # strings and nodes, in page order
         self.points = 0.0
         self.length = self.linked = self.commas = 0
@@ -82,7 +88,20 @@ def _surrounds(name: str, rest: str) -> bool:
         return True
     if given.get("role", "").lower() in ROLES or HIDDEN_STYLE.search(given.get("style", "")):
         return True
-    return any(AROUND.search(entities.unescape(given.get(k, ""))) for k in ("class", "id"))
+    return False
+
+
+def _named(name: str, rest: str) -> bool:
+    """Does a whole class or id say that it surrounds an article?"""
+    if not rest or rest.isspace() or name in NEVER_AROUND:
+        return False
+    given = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(rest)}
+    for token in entities.unescape(f"{given.get('class', '')} {given.get('id', '')}").split():
+        words = re.split("[_-]", token)
+        marks = [bool(AROUND.fullmatch(w)) for w in words]
+        if any(marks) and all(m or NEUTRAL.fullmatch(w) for m, w in zip(marks, words)):
+            return True
+    return False
 
 
 def parse(page: str) -> Node:
@@ -129,6 +148,8 @@ def parse(page: str) -> Node:
                     break
                 node = node.parent
         child = Node(name, at, _surrounds(name, rest))
+        if not child.around and _named(name, rest):
+            child.around = child.named = True
         at.parts.append(child)
         if not rest.rstrip().endswith("/") and child.depth < DEEPEST:
             at = child
@@ -146,9 +167,23 @@ def _order(root: Node) -> list[Node]:
     return nodes
 
 
+def _keep_most(nodes: list[Node]) -> None:
+    """What holds most of the page's text does not surround it, whatever its class."""
+    lengths = {id(n): 0 for n in nodes}
+    for node in reversed(nodes):
+        lengths[id(node)] += sum(len(p.strip()) for p in node.parts if isinstance(p, str))
+        if node.parent and (node.named or not node.around):
+            lengths[id(node.parent)] += lengths[id(node)]
+    for node in nodes:
+        if node.named and 2 * lengths[id(node)] > lengths[id(nodes[0])]:
+            node.around = node.named = False
+
+
 def _prune(root: Node) -> list[Node]:
     """Drop what surrounds the article; a wrapper that holds an article is not dropped."""
     nodes = _order(root)
+    if not any(n.name in ("article", "main") and not n.around for n in nodes):
+        _keep_most(nodes)
     holds: set[int] = set()
     for node in reversed(nodes):
         own = node.name in ("article", "main") and not node.around
@@ -200,7 +235,16 @@ def _density(node: Node) -> float:
     return node.linked / node.length if node.length else 0.0
 
 
-def _blocks(kept: list[Node]) -> list[str]:
+def _menu(part: Node) -> bool:
+    """A list of links without a heading, a paragraph or a table."""
+    if part.name not in ("ul", "ol", "div", "section") or _density(part) <= 0.6:
+        return False
+    names = [n.name for n in _order(part)]
+    return names.count("a") > 1 and not set(names) & set("p h1 h2 h3 h4 h5 h6 table".split())
+
+
+def _blocks(kept: list, whole: tuple = ()) -> list[str]:
+    """Text blocks of what is kept; menus count as such only in what is the whole page."""
     out: list[str] = []
     run: list[str] = []
 
@@ -218,9 +262,8 @@ def _blocks(kept: list[Node]) -> list[str]:
             run.append(part)
         elif part.name == "br":
             run.append(" ")
-        elif part.name in ("ul", "ol", "div", "section", "table") and part.length and (
-                _density(part) > 0.6 and not any(n.name == "p" for n in _order(part))):
-            end()  # a list of links
+        elif part.parent in whole and _menu(part):
+            end()
         else:
             block = part.name in BLOCKS or part.parent is None
             if block:
@@ -239,8 +282,9 @@ def main_text(page: str | None) -> str:
     nodes = _prune(root)
     _measure(nodes)
     holders = [n for n in nodes if n.points > 0 and (n.name in BLOCKS or n is root)]
+    page_nodes = tuple(n for n in nodes if n is root or n.name in ("html", "body"))
     if not holders:
-        return "\n\n".join(_blocks([root]))
+        return "\n\n".join(_blocks([root], page_nodes))
     best = max(holders, key=lambda n: n.points * (1 - _density(n)))
     whole = best
     node = best
@@ -249,21 +293,9 @@ def main_text(page: str | None) -> str:
             whole = node
         node = node.parent
     if whole is not best or best.name in ("article", "main") or best.parent is None:
-        return "\n\n".join(_blocks([whole]))
-    least = max(3.0, 0.2 * best.points * (1 - _density(best)))
-    kept = []
-    for part in best.parent.parts:
-        if part is best:
-            kept.append(part)
-        elif isinstance(part, str):
-            if len(part.strip()) > 80:
-                kept.append(part)
-        elif part.points * (1 - _density(part)) >= least:
-            kept.append(part)
-        elif part.name in TEXT_BLOCKS and part.length and _density(part) < 0.25 and (
-                part.name[0] == "h" or part.length > 40):
-            kept.append(part)
-    return "\n\n".join(_blocks(kept))
+        return "\n\n".join(_blocks([whole], page_nodes))
+    kept = [p for p in best.parent.parts if p is best or isinstance(p, str) or (p.length or p.name == "br") and not _menu(p)]
+    return "\n\n".join(_blocks(kept, page_nodes))
 
 
 def _extract(rows):
