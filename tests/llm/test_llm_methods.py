@@ -91,6 +91,23 @@ def test_hidden_markov_sums_over_all_paths():
         assert np.allclose(one, two)
 
 
+def test_hidden_markov_learns_from_all_texts_in_every_round(spark):
+    """The numbers of the rows, which follow the partitions, make no difference; starts are those of texts."""
+    draw = np.random.default_rng(3)
+    overall = np.full(hmm.CLASSES, 1 / hmm.CLASSES)
+    texts = [draw.integers(0, 5, 40).astype("<u2").tobytes() for _ in range(30)]
+    models = [hmm.train(spark, spark.createDataFrame(
+        [(k, k * step, False, t) for k, t in enumerate(texts)],
+        "doc_id long, row_no long, held_out boolean, codes binary"), overall, states=2) for step in (1, 977)]
+    assert np.allclose(models[0].emits, models[1].emits) and np.allclose(models[0].moves, models[1].moves)
+    run, _ = hmm._uses(type("Shared", (), {"value": models[0]}), 2)
+    import pyarrow as pa
+
+    long = draw.integers(0, 5, 3 * hmm.STRETCH).astype("<u2").tobytes()
+    found = next(run([pa.RecordBatch.from_arrays([pa.array([long, texts[0]])], ["codes"])])).to_pylist()
+    assert math.isclose(sum(v for k, v in found[0].items() if k != "place"), 2)
+
+
 def test_hidden_markov_beats_its_base(spark, sf_dir, texts):
     out = queries.op2_hidden_markov(spark, sf_dir).collect()
     tokens = {k: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [""]

@@ -10,7 +10,7 @@ emissions is bounded, and every text has an exact probability:
 
 Baum-Welch: every partition adds up the expected uses of transitions and emissions,
 Spark sums them, and the driver, whose share is bounded by states x classes, divides.
-First rounds run on a fixed share of the training texts, the last ones on all of them.
+Every round counts all training texts; starts are counted where texts start.
 
 Counts of frequent words are known to every task (a word that makes up a millionth of
 all tokens or more, so at most a million); those of other words are joined, and none
@@ -44,8 +44,8 @@ OWN = 1 << 14
 #: Classes of other words, by their last bytes.
 ENDINGS, ENDING_BYTES = 1 << 14, 4
 CLASSES = OWN + ENDINGS
-#: Rounds on one text in SHARE, then rounds on all.
-FIRST_ROUNDS, SHARE, ROUNDS = 6, 16, 2
+#: Rounds of training, each on all training texts.
+ROUNDS = 8
 #: Weight of the overall distribution in each state's emissions, in tokens.
 PRIOR = 100.0
 STAY = 0.95
@@ -207,9 +207,14 @@ def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of the sequences (forward and backward)."""
-    _, flat, begins = _columns(sequences)
+def expected_uses(model: Model, sequences: list[np.ndarray],
+                  opens: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, moves and emissions of the sequences (forward and backward).
+
+    Only sequences that open a text count as starts; all do if ``opens`` is not given.
+    """
+    order, flat, begins = _columns(sequences)
+    opening = np.ones(len(order)) if opens is None else np.array(opens, float)[order]
     states = len(model.start)
     forward, scales = np.empty((len(flat), states)), np.empty(len(flat))
     for t in range(len(begins) - 1):
@@ -233,7 +238,7 @@ def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray
         backward = before
     emits = np.stack([np.bincount(flat, weights=forward[:, z], minlength=len(model.emits))
                       for z in range(states)], axis=1)
-    return forward[:begins[1]].sum(axis=0), moves * model.moves, emits
+    return opening @ forward[:begins[1]], moves * model.moves, emits
 
 
 def _uses(shared, states: int):
@@ -243,19 +248,22 @@ def _uses(shared, states: int):
     def run(rows):
         model, total = shared.value, None
         waiting: list[np.ndarray] = []
+        opens: list[bool] = []
         size = 0
 
         def add():
             nonlocal total, size
-            found = expected_uses(model, waiting)
+            found = expected_uses(model, waiting, opens)
             total = found if total is None else tuple(a + b for a, b in zip(total, found))
             waiting.clear()
+            opens.clear()
             size = 0
 
         for batch in rows:
             for codes in batch.column(0):
                 sequence = np.frombuffer(codes.as_py(), "<u2")
                 waiting.extend(sequence[k:k + STRETCH] for k in range(0, len(sequence), STRETCH))
+                opens.extend(k == 0 for k in range(0, len(sequence), STRETCH))
                 size += len(sequence)
                 if size > TOGETHER:
                     add()
@@ -274,16 +282,15 @@ def _uses(shared, states: int):
 
 
 def train(spark: SparkSession, coded: DataFrame, overall: np.ndarray, states: int = STATES,
-          first_rounds: int = FIRST_ROUNDS, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch on the training texts of a coded table."""
+          rounds: int = ROUNDS) -> Model:
+    """Baum-Welch on all training texts of a coded table."""
     learning = coded.filter("NOT held_out")
-    some = learning.filter(F.pmod(F.xxhash64("doc_id", "row_no"), F.lit(SHARE)) == 0)
     model = Model.first(overall, states)
-    for number in range(first_rounds + rounds):
+    for _ in range(rounds):
         shared = spark.sparkContext.broadcast(model)
         run, schema = _uses(shared, states)
         summed = (
-            (some if number < first_rounds else learning).select("codes").mapInArrow(run, schema)
+            learning.select("codes").mapInArrow(run, schema)
             .groupBy("place").agg(*[F.sum(f"s{z}").alias(f"s{z}") for z in range(states)])
             .collect()  # at most classes + states + 1 rows
         )
