@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bagminhash, decontamination, hmm, html_text, licenses, packing, quality, sharding, toxicity, vectors
+from tidemark.llm import (
+    bagminhash, decontamination, hmm, html_text, licenses, packing, quality, rule_votes, sharding, toxicity, vectors)
 from tidemark.llm.common import table
 
 
@@ -55,10 +56,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_rule_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_votes.judge(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", *rule_votes.BASE, "base_failed", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_hidden_markov, op3_embeddings, op4_minhash, op5_toxicity, op6_html_extraction, op7_licenses, op8_quality, op9_sharding,
-    op10_decontamination)}
+    op10_decontamination, op11_rule_votes)}
 
-#: The draws use xxhash64 and the checks crc32, which the SQL engine of the tests lacks;
-#: the other operators are models, alignments or searches. All are tested by brute force.
-ORACLES: dict[str, str] = {}
+#: Of the others, the draws use xxhash64 and the checks crc32, which the SQL engine of the tests
+#: lacks, or they are models, alignments or searches. All are tested by brute force.
+ORACLES: dict[str, str] = {"op11_rule_votes": rule_votes.oracle()}
