@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    bagminhash, decontamination, hmm, html_text, licenses, packing, quality, rule_votes, sharding, toxicity, vectors)
+    alignment, bagminhash, decontamination, divergence, hmm, html_text, licenses, packing, quality, rule_votes, sharding,
+    toxicity, vectors)
 from tidemark.llm.common import table
 
 
@@ -61,10 +62,19 @@ def op11_rule_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *rule_votes.BASE, "base_failed", "kept")
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(spark, table(spark, sf_dir, "documents"),
+                           tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_hidden_markov, op3_embeddings, op4_minhash, op5_toxicity, op6_html_extraction, op7_licenses, op8_quality, op9_sharding,
-    op10_decontamination, op11_rule_votes)}
+    op10_decontamination, op11_rule_votes, op12_divergence, op13_alignment)}
 
 #: Of the others, the draws use xxhash64 and the checks crc32, which the SQL engine of the tests
 #: lacks, or they are models, alignments or searches. All are tested by brute force.
-ORACLES: dict[str, str] = {"op11_rule_votes": rule_votes.oracle()}
+ORACLES: dict[str, str] = {"op11_rule_votes": rule_votes.oracle(), "op12_divergence": divergence.ORACLE}
