@@ -27,9 +27,10 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import re
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,9 @@ UNIT_BYTES = 32 << 20
 #: Counted pairs that are read from a run at once.
 BLOCK = 1 << 15
 #: Stretches of a text that are looked up at once, and those in each of two generations of the cache.
-TOGETHER, CACHED = 50_000, 200_000
+TOGETHER, CACHED = 50_000, 300_000
+#: Characters from which on the stretches of a text are not all held at once.
+LONG = 1 << 20
 
 # White space as both tokenizers see it.
 _BREAK, _OTHER = " \n", "\t\x0b\x0c\r\x85\xa0  -     　"
@@ -66,7 +69,7 @@ DOCUMENT = ("row_no bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigi
 RUN = "radix int, first_row bigint, bytes bigint, pairs binary, postings binary"
 
 
-def pair_code(first: int, second: int) -> int:
+def pair_code(first, second):
     """Radix of the second id, the rest of it, the first id: one radix is one stretch of codes."""
     radix = second & ((1 << RADIX_BITS) - 1)
     return (radix << SECOND_BITS - RADIX_BITS | second >> RADIX_BITS) << FIRST_BITS | first
@@ -78,33 +81,39 @@ def second_of(code: np.ndarray) -> np.ndarray:
     return (high & ((1 << rest) - 1)) << RADIX_BITS | high >> rest
 
 
-class Aligned(tuple):
-    """(tokens of a, tokens of b, groups, codes of the links, groups as text) of a stretch."""
+def byte_level(path: str) -> tuple[list[bytes], Callable[[str], list[int]]]:
+    """Bytes of the tokens of a byte-level vocabulary, and its encoder of plain text.
 
-    __slots__ = ()
-
-
-def aligned(first: list[int], second: list[int], first_bytes: list[bytes],
-            second_bytes: list[bytes]) -> Aligned:
-    """Links and groups of two token sequences over the same bytes."""
-    i = j = i0 = j0 = 0
-    end_a, end_b = len(first_bytes[0]), len(second_bytes[0])
-    codes, groups = [], []
-    while True:
-        codes.append(pair_code(first[i], second[j]))
-        if end_a == end_b:
-            groups.append(",".join(map(str, first[i0:i + 1])) + "|" + ",".join(map(str, second[j0:j + 1])))
-            i0, j0 = i + 1, j + 1
-        on_a, on_b = end_a <= end_b, end_b <= end_a
-        if on_a:
-            i += 1
-            if i == len(first):
-                break
-            end_a += len(first_bytes[i])
-        if on_b:
-            j += 1
-            end_b += len(second_bytes[j])
-    return Aligned((len(first), len(second), len(groups), np.array(codes, "<u4").tobytes(), ";".join(groups)))
+    Where ids follow the order of merges, they are ranks, and a quicker library can merge
+    by them; the ids are the same.
+    """
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # their strings are plain text
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in plain)
+    letters = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+    special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    tokens: list[bytes] = [b""] * tokenizer.get_vocab_size()
+    for token, at in tokenizer.get_vocab().items():
+        tokens[at] = token.encode() if token in special else bytes(letters[c] for c in token)
+    with open(path, encoding="utf-8") as file:
+        merges = json.load(file)["model"]["merges"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    if all(tokenizer.token_to_id(left + right) == 256 + k for k, (left, right) in enumerate(pairs)):
+        ranks = {t: k for k, t in enumerate(tokens[:256 + len(pairs)])}
+        return tokens, tiktoken.Encoding(
+            "ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return tokens, lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+#: (tokens of a, tokens of b, groups, codes of the links, groups as text, each with ";" at its end)
+Aligned = tuple[int, int, int, bytes, str]
+
+#: How byte-level vocabularies of this family part a text before they merge.
+WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class Aligner:
@@ -112,23 +121,18 @@ class Aligner:
 
     def __init__(self, byte_path: str, piece_path: str, cached: int = CACHED):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.byte_level = Tokenizer.from_file(byte_path)
-        self.byte_level.encode_special_tokens = True  # their strings are plain text
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = (b for b in range(256) if b not in plain)
-        letters = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
-        self.first_bytes = {
-            at: bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-            for token, at in self.byte_level.get_vocab().items()}
+        self.first_bytes, self._encode = byte_level(byte_path)
         self.second_bytes = [self._piece_bytes(k) for k in range(self.pieces.get_piece_size())]
         self.space = self.pieces.piece_to_id("▁")
-        if max(self.first_bytes) >> FIRST_BITS or len(self.second_bytes) - 1 >> SECOND_BITS:
+        if len(self.first_bytes) - 1 >> FIRST_BITS or len(self.second_bytes) - 1 >> SECOND_BITS:
             raise ValueError("the ids of a tokenizer take more bits than a pair's code has")
         names = [self.pieces.id_to_piece(k) for k in range(len(self.second_bytes))]
         self.parted = not any("\n" in n or "▁" in n.lstrip("▁") or " " in n for n in names)
+        self.sizes = [np.array(list(map(len, x)), np.int64) for x in (self.first_bytes, self.second_bytes)]
+        self.texts = [[np.array([f"{k}{end}" for k in range(len(x))], object) for end in ends]
+                      for x, ends in ((self.first_bytes, ",|"), (self.second_bytes, ",;"))]
         self.now: dict[str, Aligned | None] = {}
         self.before: dict[str, Aligned | None] = {}
         self.cached = cached
@@ -139,22 +143,57 @@ class Aligner:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode("utf-8")
 
-    def _align(self, stretches: list[str]) -> Iterator[Aligned | None]:
-        firsts = self.byte_level.encode_batch(stretches, add_special_tokens=False)
+    def _align(self, stretches: list[str]) -> Iterator[tuple[str, Aligned | None]]:
         # The second tokenizer puts a space before its text.
         seconds = self.pieces.encode([s[s[0] == " ":] for s in stretches], num_threads=1)
-        for stretch, first, second in zip(stretches, firsts, seconds):
-            first, want = first.ids, stretch.encode("utf-8")
+        whole, firsts, kept = [], [], []
+        for stretch, second in zip(stretches, seconds):
             if stretch[0] != " ":
                 if second[0] != self.space:
                     raise ValueError("a stretch is not parted from what is before it")
                 second = second[1:]
             elif stretch == " ":
                 second = [self.space]  # it puts none before an empty text
-            first_bytes = [self.first_bytes[k] for k in first]
-            second_bytes = [self.second_bytes[k] for k in second]
-            whole = b"".join(first_bytes) == want and b"".join(second_bytes) == want
-            yield aligned(first, second, first_bytes, second_bytes) if whole else None
+            first, text = self._encode(stretch), stretch.encode("utf-8")
+            if (b"".join(map(self.second_bytes.__getitem__, second)) == text
+                    and b"".join(map(self.first_bytes.__getitem__, first)) == text):
+                whole.append(stretch)
+                firsts.append(first)
+                kept.append(second)
+            else:
+                yield stretch, None
+        if whole:
+            yield from zip(whole, self._aligned(firsts, kept))
+
+    def _aligned(self, firsts: list[list[int]], seconds: list[list[int]]) -> Iterator[Aligned]:
+        """Links and groups of token sequences that are the same bytes, all in one line."""
+        (a, size_a), (b, size_b) = (
+            (np.fromiter(chain.from_iterable(ids), np.int64), np.array(list(map(len, ids))))
+            for ids in (firsts, seconds))
+        end_a, end_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+        last = end_a[np.cumsum(size_a) - 1]  # where each stretch ends
+        # Every place where a token ends closes one link: that of the tokens which are over it.
+        ends = np.union1d(end_a, end_b)
+        codes = pair_code(a[np.searchsorted(end_a, ends)], b[np.searchsorted(end_b, ends)]).astype("<u4").tobytes()
+        links = np.searchsorted(ends, last, side="right")
+        both = np.intersect1d(end_a, end_b, assume_unique=True)
+        groups = np.searchsorted(both, last, side="right")
+        group_a, group_b = np.searchsorted(both, end_a), np.searchsorted(both, end_b)
+        # The tokens of each group in order, those of the first side before those of the second.
+        place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a)
+        place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")
+        text = np.empty(len(a) + len(b), object)
+        for side, ids, place, closes in ((0, a, place_a, end_a == both[group_a]),
+                                         (1, b, place_b, end_b == both[group_b])):
+            inner, outer = self.texts[side]
+            text[place] = np.where(closes, outer[ids], inner[ids])
+        text = text.tolist()
+        token = link = group = 0
+        for n_a, n_b, link_end, group_end in zip(
+                size_a.tolist(), size_b.tolist(), links.tolist(), groups.tolist()):
+            yield (n_a, n_b, group_end - group, codes[4 * link:4 * link_end],
+                   "".join(text[token:token + n_a + n_b]))
+            token, link, group = token + n_a + n_b, link_end, group_end
 
     def look_up(self, stretches: list[str]) -> list[Aligned | None]:
         missing = [s for s in set(stretches).difference(self.now)]
@@ -165,7 +204,7 @@ class Aligner:
             else:
                 fresh.append(s)
         if fresh:
-            self.now.update(zip(fresh, self._align(fresh)))
+            self.now.update(self._align(fresh))
         found = list(map(self.now.__getitem__, stretches))
         if len(self.now) > self.cached:
             self.before, self.now = self.now, {}
@@ -177,7 +216,12 @@ class Aligner:
         if not text:
             return nothing
         text = " " + text
-        parts = (m.group() for m in STRETCH.finditer(text)) if self.parted else iter([text])
+        if not self.parted:
+            parts = iter([text])
+        elif len(text) < LONG:
+            parts = iter(STRETCH.findall(text))
+        else:
+            parts = (m.group() for m in STRETCH.finditer(text))
         counts, codes, digest = [0, 0, 0], [], hashlib.sha256()
         while stretches := list(islice(parts, TOGETHER)):
             found = self.look_up(stretches)
@@ -186,7 +230,7 @@ class Aligner:
             n_a, n_b, n_groups, links, groups = zip(*found)
             if codes:
                 digest.update(b";")
-            digest.update(";".join(groups).encode())
+            digest.update("".join(groups)[:-1].encode())
             codes.append(b"".join(links))
             for k, n in enumerate((n_a, n_b, n_groups)):
                 counts[k] += sum(n)
