@@ -1,3 +1,6 @@
+import random
+from datetime import datetime, timedelta
+
 import pytest
 from helpers import dimension
 from pyspark.sql import functions as F
@@ -90,3 +93,30 @@ def test_ties_and_vanished_customers_in_the_history(spark):
     assert sorted((r.customer_id, r.segment or "", r.valid_from.day, r.valid_to.day if r.valid_to else None)
                   for r in ranges.collect()) == [
         (1, "A", 1, 2), (1, "A", 3, None), (1, "B", 2, 3), (2, "A", 1, 2), (2, "A", 3, None), (3, "", 1, None)]
+
+
+def test_sorted_as_of_equals_every_range_against_every_order(spark):
+    """Also with one customer as most of the orders, whose time is then split."""
+    draw = random.Random(6)
+    start = datetime(2024, 1, 1)
+
+    def at(minutes):
+        return start + timedelta(minutes=minutes)
+
+    ranges = []
+    for customer in range(8):
+        cuts = sorted(draw.sample(range(0, 3000), draw.randint(1, 40)))
+        for a, b in zip(cuts, cuts[1:] + [None]):
+            if draw.random() < 0.8:
+                ranges.append((customer, f"s{a}", at(a), None if b is None else at(b)))
+    orders = [(k % 3, k, draw.choice([1, 1, 1, 1, 2, 3, 99, None]),
+               None if k % 50 == 7 else at(draw.randint(-50, 3100))) for k in range(900)]
+    history_rows = spark.createDataFrame(
+        ranges, "customer_id int, segment string, valid_from timestamp, valid_to timestamp")
+    frame = spark.createDataFrame(orders, "partition int, offset long, customer_id int, event_time timestamp")
+    got = {r.offset: r.segment for r in history.sorted_as_of(frame, history_rows, F.col("event_time")).collect()}
+    want = {}
+    for _, offset, customer, when in orders:
+        valid = [s for c, s, a, b in ranges if when is not None and c == customer and a <= when and (b is None or when < b)]
+        want[offset] = valid[0] if valid else None
+    assert got == want and len(orders) == len(got)

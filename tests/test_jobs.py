@@ -8,7 +8,8 @@ from tidemark import contract as C
 from tidemark import fixtures as X
 from tidemark.jobs import arguments, main
 from tidemark.plans.batch import OrderPipeline
-from tidemark.streaming.newest import live_orders
+from tidemark.sources.snapshots import SnapshotStore
+from tidemark.streaming import outcomes, revenue
 from tidemark.streaming.run import LagReporter
 
 SEGMENTS = ["--segments", *X.SEGMENTS]
@@ -72,9 +73,31 @@ def test_stream_on_the_state_store(spark, root):
     refresh(spark, root, *CLOCK, *SEGMENTS)
     messages(spark, [event("a", 3), "junk"]).write.parquet(f"{root}/inbox")
     assert run(spark, "stream", root, "--inbox", f"{root}/inbox", "--available-now", "--state-store") == 0
-    (row,) = live_orders(spark, f"{root}/versions/changes").collect()
+    labelled = outcomes.read_labelled(spark, f"{root}/versions/labelled")
+    (row,) = outcomes.served(labelled).collect()
     assert (row.order_id, row.lsn) == ("a", 3) and row.name is not None
-    assert spark.read.parquet(f"{root}/versions/dead_letters").count() == 1
+    assert outcomes.letters(labelled).count() == 1 and outcomes.counters(labelled).first().reconciles
+    assert run(spark, "revenue", root, "--available-now", "--minutes", "30") == 0
+    (earned,) = revenue.revenue(revenue.read_totals(spark, f"{root}/versions/revenue")).collect()
+    assert (earned.revenue, earned.orders, earned.window_start.minute % 30) == (10.5, 1, 0)
+
+
+def test_revenue_needs_labelled_messages(spark, root):
+    assert run(spark, "revenue", root, "--available-now") == 1
+
+
+def test_large_ids_of_the_source_are_kept(spark, root):
+    """An id beyond the type stops the refresh; it never becomes NULL."""
+    X.source_customers(spark, "/root/testdata/sf0.001").selectExpr(
+        "customer_id + 2999999999 AS customer_id", "name", "city", "segment", "signup_date",
+        "updated_at").write.parquet(f"{root}/large")
+    large = ["refresh", "--root", root, "--source", f"{root}/large", *CLOCK, *SEGMENTS]
+    assert main(large, spark) == 1
+    assert main([*large, "--customer-id-type", "bigint"], spark) == 0
+    store = SnapshotStore(spark, f"{root}/customers")
+    assert store.current()["number"] == 1
+    ids = [r.customer_id for r in store.read().collect()]
+    assert min(ids) == 3000000000 and len(set(ids)) == 150
 
 
 def test_lag_of_the_last_report(spark, root):

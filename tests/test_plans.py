@@ -57,15 +57,32 @@ def test_small_dimension_is_broadcast_and_large_one_is_not(spark, feed):
     assert "CartesianProduct" not in text
 
 
-@pytest.mark.parametrize("name", ["enrich_orders_shuffled", "enrich_as_of_shuffled"])
-def test_shuffled_queries_shuffle(spark, sf_dir, name):
+def test_outcomes_read_the_feed_once(spark, feed):
+    judged = events.judge(events.parse(feed))
+    stored = spark.range(9).selectExpr("CAST(id AS STRING) AS order_id", "id AS stored_lsn", "'U' AS stored_op")
+    for text in (plan(versions.label(judged)), plan(versions.label(judged, stored.hint("merge")))):
+        assert text.count("FileScan") == 1 and text.count("from_json") == 1
+        # The second exchange of the events serves the ranking and the join.
+        assert text.count("Exchange hashpartitioning(_group#") == text.count("SortMergeJoin") + 2
+
+
+def test_shuffled_enrichment_shuffles(spark, sf_dir):
     from tidemark.queries import QUERIES
 
-    frame = QUERIES[name](spark, sf_dir)
+    frame = QUERIES["enrich_orders_shuffled"](spark, sf_dir)
     frame.collect()
     assert re.search(r"SortMergeJoin(\(skew=true\))? \[customer_id#\d+, _part", plan(frame))
 
 
+def test_orders_and_ranges_meet_in_one_sort(spark, sf_dir):
+    """No join tests the ranges of a customer against each of the orders."""
+    from tidemark.queries import QUERIES
+
+    text = plan(QUERIES["enrich_as_of_shuffled"](spark, sf_dir))
+    assert re.search(r"Exchange hashpartitioning\(_key#\d+, _part", text)
+    assert "valid_from" not in " ".join(line for line in text.splitlines() if "Join" in line)
+
+
 def above(text: str, scan: str) -> list[str]:
     """Operators between a scan and the join that reads it, in the text of a plan."""
     lines = text.splitlines()

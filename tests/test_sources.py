@@ -2,7 +2,13 @@
 
 from datetime import datetime, timezone
 
+import pytest
+from pyspark.sql import functions as F
+
 from tidemark import contract as C
+from tidemark import fixtures as X
+from tidemark.plans.refresh import RefreshStopped, refresh_dimension
+from tidemark.sources.snapshots import SnapshotStore
 from tidemark.sources import topics
 from tidemark.sources.database import JdbcSource
 
@@ -29,6 +35,22 @@ def test_database_options():
         "SELECT COUNT(*) AS row_count, MAX(updated_at) AS max_updated_at FROM customers")
 
 
+def test_the_gate_sees_what_the_database_sent(spark, sf_dir, tmp_path):
+    """The connector alone is replaced: absent columns and bad ids arrive as they are."""
+    sent = X.source_customers(spark, sf_dir).withColumn("customer_id", F.concat(F.lit("x"), "customer_id")).drop("city")
+    asked = []
+
+    def reader(options):
+        asked.append(options)
+        return sent if "dbtable" in options else sent.selectExpr("1 AS low", "9 AS high")
+
+    source = JdbcSource("jdbc:postgresql://host/db", "user", "secret")
+    rows = source.read(spark, reader)
+    assert rows.columns == sent.columns and asked[1]["upperBound"] == "9"
+    with pytest.raises(RefreshStopped, match="customer_id_numeric, .*required_columns_present"):
+        refresh_dimension(rows, None, SnapshotStore(spark, str(tmp_path)), X.RULES, datetime(2001, 8, 2))
+
+
 def test_topic_range_options():
     begin, end = datetime(2024, 1, 10), datetime(2024, 1, 11, tzinfo=timezone.utc)
     options = topics.kafka_range_options("broker:9092", "orders_stream", begin, end)

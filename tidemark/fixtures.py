@@ -144,12 +144,14 @@ def dated_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def corrupt_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source with one kind of damage per check of the quality gate.
 
-    The newest changes are missing, as in a snapshot that was taken too early.
+    The newest changes are missing, as in a snapshot that was taken too early, and some
+    customers are in it twice.
     """
     key = F.col("customer_id")
     day = F.date_format("signup_date", "yyyy-MM-dd")
+    copies = F.when(key % 200 == 13, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
-        source_customers(spark, sf_dir).filter(F.col("updated_at") < instant(CORRUPT_UNTIL))
+        dated_customers(spark, sf_dir).withColumn("copy", F.explode(copies))
         .select(
             F.when(key % 50 == 3, "abc").when(key % 50 == 7, (-key).cast("string"))
             .when(key % 50 == 11, "1").otherwise(key.cast("string")).alias("id"),
@@ -159,7 +161,7 @@ def corrupt_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(key % 30 == 5, "Platinum").otherwise(F.col("segment")).alias("segment"),
             F.when(key % 60 == 9, "not-a-date").when(key % 60 == 10, "2030-01-01")
             .otherwise(day).alias("signup_date"),
-            "updated_at",
+            F.least("updated_at", instant(CORRUPT_UNTIL)).alias("updated_at"),
         )
         .withColumnRenamed("id", "customer_id")
     )

@@ -6,6 +6,7 @@
     compact   fold the batches of the served table into its base
     audit     check that the served table holds each order once
     lag       how far the stream is behind
+    revenue   revenue by window from the stream on the state store
 
 Broker and database can be replaced by Parquet folders of the same columns.
 """
@@ -16,7 +17,7 @@ import argparse
 import logging
 import os
 import sys
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,8 @@ from tidemark.plans.refresh import RefreshStopped, refresh_dimension
 from tidemark.sources import files, topics
 from tidemark.sources.database import JdbcSource
 from tidemark.sources.snapshots import PublishedDimension, SnapshotStore
-from tidemark.streaming.newest import merge_changes, version_stream, write_changes, write_rejects
+from tidemark.streaming import outcomes, revenue
+from tidemark.streaming.newest import merge_changes
 from tidemark.streaming.run import LagReporter, newest_offsets, start
 
 log = logging.getLogger("tidemark")
@@ -50,12 +52,15 @@ def arguments() -> argparse.ArgumentParser:
     refresh.add_argument("--max-null-rate", type=float, default=0.0)
     refresh.add_argument("--max-age-hours", type=float, default=26.0)
     refresh.add_argument("--segments", nargs="+", default=list(C.ALLOWED_SEGMENTS))
+    refresh.add_argument("--customer-id-type", choices=("int", "bigint"), default=C.PipelineConfig.customer_id_type)
     refresh.add_argument("--now", type=_instant, help="clock of the checks, default the present")
 
     stream = _command(commands, "stream", applies=True)
     stream.add_argument("--available-now", action="store_true", help="stop when caught up")
     stream.add_argument("--state-store", action="store_true",
                         help="keep versions in the state store, for small batches on a huge table")
+    stream.add_argument("--dimension-poll-s", type=int, default=60,
+                        help="how often a stream on the state store looks for a new dimension")
 
     history = _command(commands, "backfill", applies=True)
     history.add_argument("--label", required=True, help="a label is applied once")
@@ -69,6 +74,10 @@ def arguments() -> argparse.ArgumentParser:
     compact.add_argument("--hard-deletes", action="store_true", help="as the table is written")
     compact.add_argument("--customer-id-type", choices=("int", "bigint"), default=C.PipelineConfig.customer_id_type)
 
+    earned = _command(commands, "revenue")
+    earned.add_argument("--available-now", action="store_true", help="stop when caught up")
+    earned.add_argument("--minutes", type=int, default=15, help="width of the windows")
+
     _command(commands, "audit")
     lag = _command(commands, "lag")
     lag.add_argument("--max-offsets", type=int, default=C.PipelineConfig.max_offsets_per_trigger)
@@ -143,7 +152,8 @@ def run_refresh(spark: SparkSession, args) -> int:
     clock = args.now or datetime.now(timezone.utc)
     try:
         report = refresh_dimension(
-            rows, held, customers(spark, args), rules, clock, args.keep_history)
+            rows, held, customers(spark, args), rules, clock, args.keep_history,
+            C.PipelineConfig(customer_id_type=args.customer_id_type))
     except RefreshStopped as stopped:
         log.error("%s", stopped)
         return 1
@@ -171,21 +181,49 @@ def run_stream(spark: SparkSession, args) -> int:
 
 
 def _run_versions(spark: SparkSession, args, job: OrderPipeline) -> int:
-    """The stream on the state store: versions and rejects, each with its checkpoint."""
-    def messages() -> DataFrame:
-        if args.servers:
-            return topics.kafka_stream(spark, args.servers, topic=args.topic, group=args.group, cfg=job.cfg)
-        return topics.file_stream(spark, args.inbox)
+    """The stream on the state store: one query that labels every message.
+
+    It is started anew from its checkpoint when another dimension is published.
+    """
+    root, store = f"{args.root}/versions", job.dimension.store
+    reporter = LagReporter(spark, f"{args.root}/lag", job.cfg)
+    spark.streams.addListener(reporter)
+    try:
+        while True:
+            if args.servers:
+                messages = topics.kafka_stream(
+                    spark, args.servers, topic=args.topic, group=args.group, cfg=job.cfg)
+            else:
+                messages = topics.file_stream(spark, args.inbox)
+            version = store.current()["number"]
+            labelled = outcomes.label_stream(messages, *job.dimension(), job.cfg)
+            writer = outcomes.write_labelled(labelled, f"{root}/labelled", f"{root}/checkpoint-labelled")
+            if args.available_now:
+                outcomes.catch_up(writer, outcomes.expires(job.cfg))
+                return 0
+            query = writer.start()
+            while store.current()["number"] == version:
+                if query.awaitTermination(args.dimension_poll_s):
+                    return 0
+            query.stop()
+    finally:
+        spark.streams.removeListener(reporter)
+
 
+def run_revenue(spark: SparkSession, args) -> int:
+    """Totals of the labelled messages as they come, by window of event time."""
     root = f"{args.root}/versions"
-    writers = [
-        write_changes(version_stream(messages(), job.cfg), f"{root}/changes",
-                      f"{root}/checkpoint-changes", job.dimension, job.cfg),
-        write_rejects(messages(), root, f"{root}/checkpoint-rejects", job.cfg),
-    ]
-    started = [(w.trigger(availableNow=True) if args.available_now else w).start() for w in writers]
-    for query in started:
-        query.awaitTermination()
+    if not files.exists(spark, f"{root}/labelled/_spark_metadata"):
+        log.error("no stream on the state store has written below %s", args.root)
+        return 1
+    changed = revenue.deltas(outcomes.labelled_stream(spark, f"{root}/labelled"))
+    writer = revenue.write_totals(
+        revenue.epoch_totals(changed, timedelta(minutes=args.minutes)), f"{root}/revenue",
+        f"{root}/checkpoint-revenue")
+    if args.available_now:
+        outcomes.catch_up(writer)
+    else:
+        writer.start().awaitTermination()
     return 0
 
 
@@ -199,7 +237,7 @@ def run_compact(spark: SparkSession, args) -> int:
     job.merge_reports()
     changes = f"{args.root}/versions/changes"
     if files.exists(spark, changes):
-        merge_changes(spark, changes)
+        merge_changes(spark, changes, args.retain_s)
     return 0 if done else 1
 
 
@@ -243,7 +281,7 @@ def run_lag(spark: SparkSession, args) -> int:
 
 JOBS = {
     "refresh": run_refresh, "stream": run_stream, "backfill": run_backfill,
-    "compact": run_compact, "audit": run_audit, "lag": run_lag,
+    "revenue": run_revenue, "compact": run_compact, "audit": run_audit, "lag": run_lag,
 }
 
 

@@ -27,6 +27,13 @@ def conform(frame: DataFrame, schema) -> DataFrame:
     return frame.select(*columns)
 
 
+def lost_values(frame: DataFrame, schema) -> DataFrame:
+    """One row: how many values of each column ``conform`` would turn into NULL."""
+    return frame.agg(*[
+        F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name)
+        for f in schema if f.name in frame.columns])
+
+
 def baseline(source: DataFrame, updated_at: str = "updated_at") -> DataFrame:
     """What the source holds: row count and newest change."""
     return source.agg(

@@ -29,13 +29,42 @@ def latest_per_order(events: DataFrame, *extra_keys: str) -> DataFrame:
     )
 
 
-def superseded(events: DataFrame, latest: DataFrame) -> DataFrame:
-    """Events that lost against a newer version in the same batch.
-
-    Matched on the event position, which is unique and evenly spread, rather
-    than on the order, whose events may be very unevenly spread.
+def label(judged: DataFrame, stored: DataFrame | None = None, parts: int | None = None) -> DataFrame:
+    """Every judged event with its outcome, in one pass over the events.
+
+    The events of an order are dealt over ``parts`` groups, and the losers of each group
+    are superseded at once. Only the groups' winners meet: at most ``parts`` of an order,
+    however many events it has. All others take part in that step under a key of their
+    own, evenly spread, which also serves the join with ``stored`` (order_id, stored_lsn,
+    stored_op), so the events are not joined with themselves and not read again.
     """
-    return events.join(latest.select(*POSITION), list(POSITION), "left_anti")
+    parts = parts or int(judged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fresh = F.col("stage") == C.FRESH
+    own = F.concat_ws("-", F.lit("#"), *POSITION)
+    order = F.concat(F.lit("+"), F.col("order_id"))
+    local = Window.partitionBy("_group", "_part").orderBy(*newest_first())
+    dealt = judged.withColumns({
+        "_group": F.when(fresh, order).otherwise(own),
+        "_part": F.when(fresh, F.pmod(F.xxhash64(*POSITION), F.lit(parts))).otherwise(0),
+    }).withColumn("_first", fresh & (F.row_number().over(local) == 1))
+    whole = Window.partitionBy("_group").orderBy(*newest_first())
+    met = (
+        dealt.withColumn("_group", F.when(F.col("_first"), order).otherwise(own))
+        .withColumn("_first", F.col("_first") & (F.row_number().over(whole) == 1)).drop("_part")
+    )
+    if stored is None:
+        met = met.withColumns({
+            "stored_lsn": F.lit(None).cast("bigint"), "stored_op": F.lit(None).cast("string")})
+    else:
+        known = stored.select(order.alias("_group"), "stored_lsn", "stored_op")
+        met = met.join(known, "_group", "left").withColumns({
+            c: F.when(F.col("_first"), F.col(c)) for c in ("stored_lsn", "stored_op")})
+    return met.withColumn(
+        "outcome",
+        F.when(~fresh, F.col("stage")).when(~F.col("_first"), C.SUPERSEDED)
+        .when(F.col("lsn") <= F.col("stored_lsn"), C.STALE)
+        .when(F.col("op") == C.DELETE, C.REMOVE).otherwise(C.UPSERT),
+    ).drop("_group", "_first")
 
 
 def attach_stored(latest: DataFrame, stored: DataFrame) -> DataFrame:

@@ -107,9 +107,9 @@ corrupt AS (
     city,
     CASE WHEN customer_id % 30 = 5 THEN 'Platinum' ELSE segment END AS segment,
     CASE WHEN customer_id % 60 = 9 THEN 'not-a-date' WHEN customer_id % 60 = 10 THEN '2030-01-01'
-      ELSE strftime(signup_date, '%Y-%m-%d') END AS signup_date,
-    updated_at
-  FROM source WHERE updated_at < TIMESTAMP '2001-07-25')
+      ELSE strftime(coalesce(signup_date, TIMESTAMP '1992-01-01'), '%Y-%m-%d') END AS signup_date,
+    least(coalesce(updated_at, TIMESTAMP '1992-01-01'), TIMESTAMP '2001-07-25') AS updated_at
+  FROM source JOIN (SELECT unnest([1, 2]) AS copy) ON copy = 1 OR customer_id % 200 = 13)
 """
 
 _ALLOWED = ", ".join(f"'{s}'" for s in SEGMENTS)
@@ -256,6 +256,11 @@ FROM stages s LEFT JOIN guarded g ON g.pos = s.pos WHERE s.part = 1""",
 SELECT s.pos AS "offset", CASE WHEN s.stage <> 'fresh' THEN s.stage
   WHEN w.pos IS NULL THEN 'superseded' WHEN w.op = 'D' THEN 'delete' ELSE 'upsert' END AS outcome
 FROM stages s LEFT JOIN winners w ON w.pos = s.pos""",
+    "stream_outcomes": f"""{TWO_BATCHES}
+SELECT s.pos AS "offset",
+  CASE WHEN s.stage <> 'fresh' THEN s.stage WHEN a.ra = 1 AND a.op = 'D' THEN 'delete'
+    WHEN a.ra = 1 THEN 'upsert' ELSE coalesce(g.outcome, 'superseded') END AS outcome
+FROM stages s LEFT JOIN part_a a ON a.pos = s.pos LEFT JOIN guarded g ON g.pos = s.pos""",
     "op_mix": f"WITH {FEED} SELECT op, count(*) AS n FROM winners GROUP BY op",
     "batch_counters": f"{_sequence(_TWO)} SELECT batch_no AS batch_id, {_COUNTS} FROM counters",
     "cdc_deletes": f"WITH {FEED} SELECT order_id, lsn FROM winners WHERE op = 'D'",
@@ -354,3 +359,9 @@ SELECT customer_id, name, city, segment, valid_from, valid_to, is_current FROM h
     "enrich_as_of": _AS_OF,
     "enrich_as_of_shuffled": _AS_OF,
 }
+# A stream gives what the batch gives.
+ORACLES |= {
+    "stream_counters": ORACLES["batch_counters"],
+    "stream_revenue": ORACLES["revenue_segment_city"],
+    "stream_triage": ORACLES["dlq_triage"],
+}

@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
-from tidemark.contract import CUSTOMER, QualityRules
+from tidemark import contract as C
+from tidemark.contract import QualityRules
 from tidemark.functions.safe import instant
 from tidemark.operators import history, quality
 from tidemark.sources.snapshots import SnapshotStore
@@ -43,14 +44,20 @@ def validate(
 
 
 def publish(
-    candidate: str, store: SnapshotStore, clock: datetime, schema=CUSTOMER, keep_history: bool = False,
+    candidate: str, store: SnapshotStore, clock: datetime, schema=C.CUSTOMER, keep_history: bool = False,
 ) -> dict:
     """Give the checked copy its types and make it what readers see.
 
-    With ``keep_history`` the history advances by it: changed and vanished customers are
+    A value that its type cannot hold stops the run: it would be lost as a NULL. With
+    ``keep_history`` the history advances by it: changed and vanished customers are
     closed at ``clock``.
     """
-    typed = store.write_candidate(quality.conform(store.spark.read.parquet(candidate), schema))
+    copied = store.spark.read.parquet(candidate)
+    lost = {c: n for c, n in quality.lost_values(copied, schema).first().asDict().items() if n}
+    if lost:
+        raise RefreshStopped("not published, for values do not fit their type: " + ", ".join(
+            f"{n} of {c}" for c, n in sorted(lost.items())))
+    typed = store.write_candidate(quality.conform(copied, schema))
     if not keep_history:
         return store.publish(typed)
     ranges = history.advance(store.history(), store.spark.read.parquet(typed), instant(clock))
@@ -60,9 +67,10 @@ def publish(
 def refresh_dimension(
     source: DataFrame, baseline: DataFrame | None, store: SnapshotStore,
     rules: QualityRules, clock: datetime, keep_history: bool = False,
+    cfg: C.PipelineConfig = C.PipelineConfig(),
 ) -> DataFrame:
     """All stages in order; returns the report of the published snapshot."""
     candidate = extract(source, store)
     report = validate(candidate, baseline, store, rules, clock)
-    publish(candidate, store, clock, keep_history=keep_history)
+    publish(candidate, store, clock, C.with_id_type(C.CUSTOMER, cfg), keep_history)
     return report

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import contract as C
@@ -19,6 +19,7 @@ from tidemark.session import shared_folder
 from tidemark.sources import topics
 from tidemark.sources.measure import memory_bytes
 from tidemark.sources.snapshots import PublishedDimension, SnapshotStore
+from tidemark.streaming import letters, outcomes, revenue
 from tidemark.streaming.run import start
 from tidemark.streaming.newest import live_orders, merge_changes, version_stream, write_changes
 
@@ -159,8 +160,8 @@ def latest_per_order(spark, sf_dir):
 
 @query
 def superseded_events(spark, sf_dir):
-    fresh = _fresh(spark, sf_dir)
-    return _keys(versions.superseded(fresh, versions.latest_per_order(fresh)))
+    labelled = versions.label(_judged(spark, sf_dir))
+    return _keys(labelled.filter(F.col("outcome") == C.SUPERSEDED))
 
 
 @query
@@ -178,14 +179,14 @@ def drop_stale(spark, sf_dir):
 
 @query
 def event_outcomes(spark, sf_dir):
-    batch = _second_batch(spark, sf_dir, hold=_written(spark, "outcomes"))
-    return batch.outcomes().select("offset", "outcome")
+    stored = _written(spark, "outcomes")("state", versions.stored_versions(_first_winners(spark, sf_dir)))
+    second = events.judge(events.parse(X.second_part(X.order_messages(spark, sf_dir))), CFG)
+    return versions.label(second, stored).select("offset", "outcome")
 
 
 @query
 def feed_outcomes(spark, sf_dir):
-    batch = _whole_feed(spark, sf_dir, hold=_written(spark, "outcomes"))
-    return batch.outcomes().select("offset", "outcome")
+    return versions.label(_judged(spark, sf_dir)).select("offset", "outcome")
 
 
 @query
@@ -359,6 +360,69 @@ def stream_lsn_state(spark, sf_dir):
     return _keys(live_orders(spark, f"{root}/changes"), "amount", "name", "city", "segment")
 
 
+def _labelled_in_two_batches(spark, sf_dir, root, after=lambda: None) -> DataFrame:
+    """Batch A, a restart from the checkpoint, then batch B, each followed by ``after``."""
+    dimension, size = _published_dimension(spark, sf_dir, root)()
+    messages = X.order_messages(spark, sf_dir)
+    for part in (X.first_part(messages), X.second_part(messages)):
+        part.write.mode("append").parquet(f"{root}/inbox")
+        stream = outcomes.label_stream(topics.file_stream(spark, f"{root}/inbox"), dimension, size, CFG)
+        outcomes.write_labelled(stream, f"{root}/labelled", f"{root}/checkpoint").trigger(
+            availableNow=True).start().awaitTermination()
+        after()
+    return outcomes.read_labelled(spark, f"{root}/labelled")
+
+
+@query
+def stream_outcomes(spark, sf_dir):
+    """The fate of every message of a stream that keeps its versions in the state store."""
+    labelled = _labelled_in_two_batches(spark, sf_dir, shared_folder(spark, "labelled"))
+    return labelled.select("offset", "outcome")
+
+
+@query
+def stream_counters(spark, sf_dir):
+    """Counters of that stream, by batch."""
+    counted = outcomes.counters(
+        _labelled_in_two_batches(spark, sf_dir, shared_folder(spark, "labelled")))
+    # One row for each batch.
+    number = F.row_number().over(Window.orderBy("applied_at")) - 1
+    return counted.withColumn("batch_id", number).drop("applied_at")
+
+
+@query
+def stream_revenue(spark, sf_dir):
+    """Revenue as a running result, after late corrections and deletes."""
+    root = shared_folder(spark, "revenue")
+
+    def add_up() -> None:
+        labelled = outcomes.labelled_stream(spark, f"{root}/labelled")
+        totals = revenue.epoch_totals(revenue.deltas(labelled))
+        revenue.write_totals(totals, f"{root}/totals", f"{root}/checkpoint-totals").trigger(
+            availableNow=True).start().awaitTermination()
+
+    _labelled_in_two_batches(spark, sf_dir, root, add_up)
+    found = revenue.revenue(revenue.read_totals(spark, f"{root}/totals"))
+    return _naive(found.withColumn("revenue", F.round("revenue", 2)), "window_start")
+
+
+@query
+def stream_triage(spark, sf_dir):
+    """Letters of batch A; then those of batch B with the letters of A sent again."""
+    root, sent = shared_folder(spark, "triage"), _letters(spark, sf_dir)
+    position = F.from_json(F.col("value").cast("string"), "`partition` int, offset bigint")
+    rows = sent.select(
+        F.col("key").cast("binary").alias("key"), "value", F.lit(C.DEAD_LETTER_TOPIC).alias("topic"),
+        position["partition"].alias("partition"), position["offset"].alias("offset"))
+    deliveries = ((X.first_part(rows), "2024-02-01 00:00"), (rows, "2024-02-01 00:05"))
+    for part, at in deliveries:
+        part.withColumn("timestamp", F.lit(at).cast("timestamp")).write.mode("append").parquet(f"{root}/inbox")
+        unique = letters.unique_letters(topics.file_stream(spark, f"{root}/inbox"))
+        letters.write_triage(unique, f"{root}/counts", f"{root}/checkpoint").trigger(
+            availableNow=True).start().awaitTermination()
+    return _naive(letters.read_triage(spark, f"{root}/counts"), "window_start")
+
+
 # ---- dimension refresh -----------------------------------------------------
 @query
 def dim_extract(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from tidemark.sources import files
 FIELDS = ("op", "customer_id", "amount", "product_category", "event_time", "lsn", "ingested_at",
           "arrived_at", *events.POSITION)
 
+#: Beside the rows of a merged folder: when it was made and of which ones.
+MERGED = "_merged.json"
+
 Dimension = Callable[[], tuple[DataFrame, int | None]]
 
 
@@ -90,21 +94,27 @@ def newest_changes(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def live_orders(spark: SparkSession, path: str) -> DataFrame:
-    """Orders that are not deleted."""
-    return newest_changes(spark, f"{path}/*").filter(F.col("op") != C.DELETE)
+    """Orders that are not deleted, of all batches that were written to their end."""
+    return newest_changes(spark, *files.complete(spark, path)).filter(F.col("op") != C.DELETE)
 
 
-def merge_changes(spark: SparkSession, path: str) -> None:
-    """Replace the folders of all batches by one with the newest change of each order.
+def merge_changes(spark: SparkSession, path: str, retain_s: int = C.PipelineConfig.retain_s) -> None:
+    """Join the folders of all batches in one with the newest change of each order.
 
-    The merged folder is there before the others go, and a change that is found twice
-    counts once, so the rows are whole at any time. A batch that is repeated afterwards
-    adds its changes again, which changes nothing. Readers that run longer than this
-    job should read from a merged table of their own.
+    What was merged stays for ``retain_s``, for those who still read it: a change that is
+    found twice counts once, so the rows are whole at any time. A later merge removes it.
+    A batch that is repeated afterwards adds its changes again, which changes nothing.
     """
-    before = files.complete(spark, path)
-    if len(before) < 2:
-        return
-    newest_changes(spark, *before).write.parquet(f"{path}/merged-{uuid.uuid4().hex}")
-    for folder in before:
-        files.remove(spark, folder)
+    now = datetime.now(timezone.utc)
+    found = files.complete(spark, path)
+    lists = {f: files.read_json(spark, f"{f}/{MERGED}") for f in found}
+    merged = {f for held in lists.values() if held for f in held["folders"]}
+    before = [f for f in found if f not in merged]
+    if len(before) > 1:
+        target = f"{path}/merged-{uuid.uuid4().hex}"
+        newest_changes(spark, *before).write.parquet(target)
+        files.create_json(spark, f"{target}/{MERGED}", {"at": now.isoformat(), "folders": before})
+    for held in filter(None, lists.values()):
+        if datetime.fromisoformat(held["at"]) <= now - timedelta(seconds=retain_s):
+            for folder in held["folders"]:
+                files.remove(spark, folder)
