@@ -67,10 +67,14 @@ def test_leftovers_are_merged_without_padding():
     assert sum(sizes) == 5167 and all(2048 - s < 16 or s & (s - 1) == 0 for s in sizes)
 
 
-def test_hidden_markov_sums_over_all_paths():
+@pytest.mark.parametrize("block", [1, 2, 3, 1024])
+def test_hidden_markov_sums_over_all_paths(monkeypatch, block):
+    """Whole or in blocks of a few tokens."""
+    monkeypatch.setattr(hmm, "BLOCK", block)
+    monkeypatch.setattr(hmm, "CHUNK", 4)
     draw = np.random.default_rng(0)
     model = hmm.Model(draw.dirichlet(np.ones(3)), draw.dirichlet(np.ones(3), 3), draw.dirichlet(np.ones(5), 3).T)
-    sequences = [draw.integers(0, 5, n) for n in (1, 4, 6, 2, 4)]
+    sequences = [draw.integers(0, 5, n) for n in (1, 4, 7, 2, 4, 7)]
     starts, moves, emits = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
     for sequence, found in zip(sequences, hmm.log_likelihoods(model, sequences)):
         paths = {}
@@ -103,11 +107,37 @@ def test_hidden_markov_learns_from_all_texts_in_every_round(spark):
     run, _ = hmm._uses(type("Shared", (), {"value": models[0]}), 2)
     import pyarrow as pa
 
-    long = draw.integers(0, 5, 3 * hmm.STRETCH).astype("<u2").tobytes()
+    long = draw.integers(0, 5, 6 * hmm.BLOCK).astype("<u2").tobytes()
     found = next(run([pa.RecordBatch.from_arrays([pa.array([long, texts[0]])], ["codes"])])).to_pylist()
     assert math.isclose(sum(v for k, v in found[0].items() if k != "place"), 2)
 
 
+def test_hidden_markov_scores_a_text_of_a_million_words():
+    draw = np.random.default_rng(5)
+    model = hmm.Model(draw.dirichlet(np.ones(8)), draw.dirichlet(np.ones(8), 8), draw.dirichlet(np.ones(50), 8).T)
+    parts = [draw.integers(0, 50, n) for n in (1_000_000, 1500)]
+    (long, found), state, want = hmm.log_likelihoods(model, parts), model.start, 0.0
+    for code in parts[1]:
+        state = state * model.emits[code]
+        want += math.log(state.sum())
+        state = state / state.sum() @ model.moves
+    assert math.isclose(found, want, rel_tol=1e-9) and -4.2e6 < long < -3e6
+
+
+def test_hidden_markov_numbers_the_end_however_rare(spark, monkeypatch):
+    """With few words known to the tasks the end is one of many that are not."""
+    monkeypatch.setattr(hmm, "KNOWN", 4)
+    texts = {k: " ".join(f"w{(k * 7 + j) % 11}" for j in range(60)) for k in range(12)}
+    rows = hmm.score(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 2).collect()
+    trained = [k for k in texts if zlib.crc32(str(k).encode()) % 7 != 2]
+    counts = Counter(w for k in trained for w in [*texts[k].split(), ""])
+    total = counts.total()
+    for r in rows:
+        words = [*texts[r.doc_id].split(), ""]
+        assert r.n_known == sum(w in counts for w in words)
+        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in words))
+
+
 def test_hidden_markov_beats_its_base(spark, sf_dir, texts):
     out = queries.op2_hidden_markov(spark, sf_dir).collect()
     tokens = {k: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [""]

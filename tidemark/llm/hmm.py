@@ -10,7 +10,8 @@ emissions is bounded, and every text has an exact probability:
 
 Baum-Welch: every partition adds up the expected uses of transitions and emissions,
 Spark sums them, and the driver, whose share is bounded by states x classes, divides.
-Every round counts all training texts; starts are counted where texts start.
+Every round counts all training texts, each whole: a long one in blocks, between which
+states are passed on by products of matrices.
 
 Counts of frequent words are known to every task (a word that makes up a millionth of
 all tokens or more, so at most a million); those of other words are joined, and none
@@ -49,9 +50,11 @@ ROUNDS = 8
 #: Weight of the overall distribution in each state's emissions, in tokens.
 PRIOR = 100.0
 STAY = 0.95
-#: Training cuts texts into stretches of at most so many tokens; scoring never does.
-STRETCH = 2048
+#: Longer texts are worked in blocks of so many tokens, which are joined exactly.
+BLOCK = 1024
 TOGETHER, SCORED_TOGETHER = 500_000, 4_000_000
+#: Moves that are added up at once.
+CHUNK = 100_000
 LONGEST_WORD = 64
 END = b""
 
@@ -142,7 +145,6 @@ def _rare_words(rows):
     def out():
         for batch in rows:
             for row_no, rare in zip(batch.column(0).to_pylist(), batch.column(1)):
-                # The end is rare only where few texts are, and then it leaves no trace here.
                 for word, n in Counter(rare.as_py().split()).items():
                     yield row_no, word, n
 
@@ -180,7 +182,7 @@ class Model:
 
 def _columns(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sequences side by side, longest first: their order, the classes one step after
-    another and how many sequences are left at each step."""
+    another and where each step begins. Step t holds the sequences longer than t, in order."""
     lengths = np.array([len(s) for s in sequences])
     order = np.argsort(-lengths, kind="stable")
     left = len(lengths) - np.searchsorted(np.sort(lengths), np.arange(lengths.max()), side="right")
@@ -191,54 +193,132 @@ def _columns(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nd
     return order, flat, begins
 
 
-def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
-    """Natural logarithm of each sequence's probability, by the scaled forward recursion."""
-    order, flat, begins = _columns(sequences)
-    total, state = np.zeros(len(sequences)), None
+def _maps(model: Model, blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each block the matrix that takes the states before it to those after it, of
+    largest entry 1, and the natural logarithm of what it was divided by.
+
+    A long text is a product of such matrices, so its blocks need not wait for each other.
+    """
+    states = len(model.start)
+    order, flat, begins = _columns(blocks)
+    here, logs = np.tile(np.eye(states), (len(blocks), 1, 1)), np.zeros(len(blocks))
     for t in range(len(begins) - 1):
         n = begins[t + 1] - begins[t]
-        emitted = model.emits[flat[begins[t]:begins[t + 1]]]
-        state = emitted * (model.start if state is None else state[:n] @ model.moves)
-        scale = state.sum(axis=1)
-        state /= scale[:, None]
-        total[:n] += np.log(scale)
-    out = np.empty(len(sequences))
-    out[order] = total
-    return out
-
-
-def expected_uses(model: Model, sequences: list[np.ndarray],
-                  opens: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        now = (here[:n] * model.emits[flat[begins[t]:begins[t + 1]]][:, None, :]) @ model.moves
+        most = now.max(axis=(1, 2))
+        here[:n] = now / most[:, None, None]
+        logs[:n] += np.log(most)
+    back = np.argsort(order)
+    return here[back], logs[back]
+
+
+def _blocks(sequence: np.ndarray) -> list[np.ndarray]:
+    return [sequence[k:k + BLOCK] for k in range(0, len(sequence), BLOCK)]
+
+
+def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
+    """Natural logarithm of each sequence's probability, by the scaled forward recursion."""
+    total = np.zeros(len(sequences))
+    short = [k for k, s in enumerate(sequences) if len(s) <= BLOCK]
+    if short:
+        order, flat, begins = _columns([sequences[k] for k in short])
+        sums, state = np.zeros(len(short)), None
+        for t in range(len(begins) - 1):
+            n = begins[t + 1] - begins[t]
+            emitted = model.emits[flat[begins[t]:begins[t + 1]]]
+            state = emitted * (model.start if state is None else state[:n] @ model.moves)
+            scale = state.sum(axis=1)
+            state /= scale[:, None]
+            sums[:n] += np.log(scale)
+        total[np.array(short)[order]] = sums
+    for k in sorted(set(range(len(sequences))) - set(short)):
+        state = model.start
+        for part in _groups(_blocks(sequences[k])):
+            for matrix, log in zip(*_maps(model, part)):
+                state = state @ matrix
+                total[k] += log + np.log(state.sum())
+                state = state / state.sum()
+    return total
+
+
+def _groups(blocks: list[np.ndarray], size: int = 512) -> list[list[np.ndarray]]:
+    return [blocks[k:k + size] for k in range(0, len(blocks), size)]
+
+
+def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, moves and emissions of the sequences (forward and backward).
 
-    Only sequences that open a text count as starts; all do if ``opens`` is not given.
+    A long sequence is worked in blocks side by side, each between the states that the
+    blocks before it and after it leave: the sums are those of the whole sequence.
     """
-    order, flat, begins = _columns(sequences)
-    opening = np.ones(len(order)) if opens is None else np.array(opens, float)[order]
     states = len(model.start)
-    forward, scales = np.empty((len(flat), states)), np.empty(len(flat))
-    for t in range(len(begins) - 1):
+    parts: list[np.ndarray] = []
+    before: list[np.ndarray] = []  # states before the first token, from the text's begin
+    after: list[np.ndarray] = []  # what follows the last token, for each state
+    inner: list[bool] = []  # whether a block of the same text comes before
+    for sequence in sequences:
+        blocks = _blocks(sequence)
+        parts += blocks
+        inner += [k > 0 for k in range(len(blocks))]
+        if len(blocks) == 1:
+            before.append(model.start)
+            after.append(np.ones(states))
+            continue
+        maps = np.concatenate([_maps(model, part)[0] for part in _groups(blocks)])
+        state = model.start
+        for matrix in maps:
+            before.append(state)
+            state = state @ matrix
+            state = state / state.sum()
+        ends = [np.ones(states)]
+        follows = np.ones(states)
+        for matrix in maps[:0:-1]:
+            follows = matrix @ follows
+            follows = follows / follows.sum()
+            ends.append(model.moves @ follows)
+        after += ends[::-1]
+
+    order, flat, begins = _columns(parts)
+    sizes, place = np.diff(begins, append=begins[-1]), np.argsort(order)
+    emitted = model.emits[flat]
+    forward, ahead = np.empty_like(emitted), np.empty_like(emitted)
+    state = np.array(before)[order]
+    for t in range(len(sizes) - 1):
         here = slice(begins[t], begins[t + 1])
-        n = here.stop - here.start
-        emitted = model.emits[flat[here]]
-        now = emitted * (model.start if t == 0 else forward[begins[t - 1]:begins[t - 1] + n] @ model.moves)
-        scales[here] = now.sum(axis=1)
-        forward[here] = now / scales[here][:, None]
-    moves = np.zeros((states, states))
-    backward = np.ones((begins[-1] - begins[-2], states))
-    for t in range(len(begins) - 2, -1, -1):
+        state = emitted[here] * (state if t == 0 else state[:sizes[t]] @ model.moves)
+        state /= state.sum(axis=1)[:, None]
+        forward[here] = state
+    # For each state the weight of what follows; a block's last token takes it from its end.
+    ends = np.array(after)[order]
+    follows = ends[:0]
+    for t in range(len(sizes) - 2, -1, -1):
         here = slice(begins[t], begins[t + 1])
-        n = here.stop - here.start
-        before = np.ones((begins[t] - begins[t - 1] if t else 0, states))
-        if t:
-            ahead = backward * model.emits[flat[here]] / scales[here][:, None]
-            moves += forward[begins[t - 1]:begins[t - 1] + n].T @ ahead
-            before[:n] = ahead @ model.moves.T
-        forward[here] *= backward  # now the share of each state
-        backward = before
-    emits = np.stack([np.bincount(flat, weights=forward[:, z], minlength=len(model.emits))
-                      for z in range(states)], axis=1)
-    return opening @ forward[:begins[1]], moves * model.moves, emits
+        follows = np.concatenate([follows, ends[sizes[t + 1]:sizes[t]]])
+        ahead[here] = emitted[here] * follows
+        emitted[here] = forward[here] * follows  # from here on the share of each state
+        follows = ahead[here] @ model.moves.T
+        follows /= follows.sum(axis=1)[:, None]
+    emitted /= emitted.sum(axis=1)[:, None]
+    # The token before each: in the same column, or at the end of the block before.
+    entered = np.flatnonzero(np.array(inner)[order])
+    source = order[entered] - 1
+    lengths = np.array(list(map(len, parts)))
+    firsts = begins[lengths[source] - 1] + place[source]
+    previous = np.concatenate([firsts, *(np.arange(begins[t - 1], begins[t - 1] + sizes[t])
+                                         for t in range(1, len(sizes) - 1))])
+    current = np.concatenate([entered, np.arange(begins[1], len(flat))])
+    moves = np.zeros((states, states))
+    for k in range(0, len(current), CHUNK):
+        left, right = forward[previous[k:k + CHUNK]], ahead[current[k:k + CHUNK]]
+        left /= ((left @ model.moves) * right).sum(axis=1)[:, None]
+        moves += left.T @ right
+    starts = np.ones(begins[1], bool)
+    starts[entered] = False
+    emits = np.zeros_like(model.emits)
+    by_class = np.argsort(flat, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(flat[by_class]) != 0]))
+    emits[flat[by_class[edges]]] = np.add.reduceat(emitted[by_class], edges, axis=0)
+    return emitted[:begins[1]][starts].sum(axis=0), moves * model.moves, emits
 
 
 def _uses(shared, states: int):
@@ -248,23 +328,19 @@ def _uses(shared, states: int):
     def run(rows):
         model, total = shared.value, None
         waiting: list[np.ndarray] = []
-        opens: list[bool] = []
         size = 0
 
         def add():
             nonlocal total, size
-            found = expected_uses(model, waiting, opens)
+            found = expected_uses(model, waiting)
             total = found if total is None else tuple(a + b for a, b in zip(total, found))
             waiting.clear()
-            opens.clear()
             size = 0
 
         for batch in rows:
             for codes in batch.column(0):
-                sequence = np.frombuffer(codes.as_py(), "<u2")
-                waiting.extend(sequence[k:k + STRETCH] for k in range(0, len(sequence), STRETCH))
-                opens.extend(k == 0 for k in range(0, len(sequence), STRETCH))
-                size += len(sequence)
+                waiting.append(np.frombuffer(codes.as_py(), "<u2"))
+                size += len(waiting[-1])
                 if size > TOGETHER:
                     add()
         if waiting:
@@ -352,8 +428,10 @@ def score(spark: SparkSession, docs: DataFrame, states: int = STATES) -> DataFra
         docs.filter("NOT held_out").select("text").mapInArrow(_count, "word binary, c bigint")
         .groupBy("word").agg(F.sum("c").alias("c")), "counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
-    known = sorted(((bytes(r.word), r.c) for r in counts.filter(F.col("c") >= max(1, tokens / KNOWN)).collect()),
-                   key=lambda r: (-r[1], r[0]))  # at most KNOWN words of bounded length
+    # The end of a text is numbered however rare it is: it is no word and has no other name.
+    frequent = (F.col("c") >= max(1, tokens / KNOWN)) | (F.length("word") == 0)
+    known = sorted(((bytes(r.word), r.c) for r in counts.filter(frequent).collect()),
+                   key=lambda r: (-r[1], r[0]))  # at most KNOWN words of bounded length, and the end
     vocabulary = Vocabulary(known, max(1, tokens / OWN))
     shared = spark.sparkContext.broadcast(vocabulary)
     mass = np.zeros(CLASSES)
@@ -370,7 +448,7 @@ def score(spark: SparkSession, docs: DataFrame, states: int = STATES) -> DataFra
     rare = (
         coded.filter(F.length("rare") > 0).select("row_no", "rare")
         .mapInArrow(_rare_words, "row_no bigint, word binary, n bigint")
-        .join(counts.filter(F.col("c") < max(1, tokens / KNOWN)), "word")
+        .join(counts.filter(~frequent), "word")
         .groupBy("row_no").agg(F.sum("n").alias("known_rare"),
                                F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("logs_rare"))
     )
