@@ -530,3 +530,22 @@ def test_pipeline_stages(spark, sf_dir):
             assert kept.count() == groups.count()
     packed = corpus_pipeline.run(spark, sf_dir)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in kept.collect()}
+
+
+@pytest.mark.parametrize("text", [
+    "<|Endoftext|> z", "<|endoftext|> Z", "A<|endoftext|>B", "<|STARTOFTEXT|>", "x<|startoftext|>,", "<|", "<| A |>",
+    "É<|EndOfText|>."])
+def test_special_tokens_are_matched_as_they_are_spelled(text):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.WordIds(path).ids(text), "<u4").tolist() == want
+
+
+def test_a_run_of_letters_counts_to_its_end():
+    run = "字" * 70
+    assert toxicity.features(run + "甲乙丙丁") != toxicity.features(run + "甲丙乙丁")
+    model = {"bias": 0.0, "weights": {f: 1.0 for f in toxicity.features(run + "甲乙丙丁")}}
+    scorer = toxicity.Scorer(model)
+    assert scorer(run + "甲乙丙丁") > scorer(run + "甲丙乙丁") and not scorer.known

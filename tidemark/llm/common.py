@@ -26,11 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes of texts that are sent to a Python task at once: both sides hold a batch whole.
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+                "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
 def with_workers(spark: SparkSession) -> SparkSession:
-    """Let Python workers on this machine import the package from where the driver did.
+    """Let Python workers on this machine import the package from where the driver did, and
+    send them small batches.
 
     On a cluster the package is shipped with ``--py-files``.
     """
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for name, most in BATCH_LIMITS.items():
+        if not 0 < size(spark.conf.get(name)) <= most:
+            spark.conf.set(name, str(most))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

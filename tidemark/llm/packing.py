@@ -60,6 +60,9 @@ class WordIds:
         self.known = WordCache(self._encode, most=cache_words)
 
     def _encode(self, word: bytes) -> bytes:
+        if b"<|" in word:  # a special token is known by its own spelling only
+            ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
+            return array("I", ids).tobytes()
         low = word.lower() if word.isascii() else word
         core = low.rstrip(b".,")
         if core != word and core:

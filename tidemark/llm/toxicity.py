@@ -5,7 +5,7 @@ its inner letter groups. Features that the labels do not clearly favour are left
 For labelled texts that name a group of people, a copy with the group's name swapped
 is made, and training penalises the square of the change in score.
 
-Defined cases: null and empty texts get the score of no evidence (the intercept); a
+Defined cases: a text and its words count whole, however long; null and empty texts get the score of no evidence (the intercept); a
 repeated row is scored like the first; without labels of both kinds every score is
 the share of label 1 (0.5 without labels). Other columns are never read.
 """
@@ -31,6 +31,7 @@ STEPS, RATE, RIDGE = 30, 0.4, 1e-4
 #: Weight of the squared score change under a swap, against the mean log loss.
 COUNTERFACTUAL = 4.0
 PARTS = 12
+LONGEST_KEPT = 64
 THRESHOLD = 0.5
 
 # Names of groups of people that may stand for each other.
@@ -61,13 +62,14 @@ def swapped(words: set[str]) -> set[str] | None:
 
 
 def features(word: str) -> list[int]:
-    """Buckets of a word; a very long word counts by its first 64 letters and its length."""
-    if len(word) > 64:
-        word = f"{word[:64]}{len(word)}"
-    parts = {f"w{word}"}
-    parts.update(f"b{word[:k]}" for k in (4, 5, 6) if len(word) > k)
-    parts.update(f"g{word[k:k + 5]}" for k in range(len(word) - 4))
-    return [zlib.crc32(p.encode("utf-8")) % BUCKETS for p in parts]
+    """Buckets of a whole word, of its beginnings and of all its inner letter groups."""
+    def bucket(part: str) -> int:
+        return zlib.crc32(part.encode("utf-8")) % BUCKETS
+
+    found = {bucket(f"w{word}")}
+    found.update(bucket(f"b{word[:k]}") for k in (4, 5, 6) if len(word) > k)
+    found.update(bucket(f"g{word[k:k + 5]}") for k in range(len(word) - 4))
+    return sorted(found)
 
 
 def _encode(rows):
@@ -166,14 +168,17 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.bias, self.weights = model["bias"], model["weights"]
-        self.known = WordCache(
-            lambda word: tuple(f for f in features(word) if f in self.weights))
+        self.known = WordCache(self.chosen)
+
+    def chosen(self, word: str) -> tuple[int, ...]:
+        return tuple(f for f in features(word) if f in self.weights)
 
     def __call__(self, text: str | None) -> float:
         self.known = known = self.known.renewed()
         found: set[int] = set()
         for word in words_of(text):
-            if hit := known[word]:
+            # In scripts without spaces a run may be a whole text; such are not kept.
+            if hit := known[word] if len(word) <= LONGEST_KEPT else self.chosen(word):
                 found.update(hit)
         total = self.bias + sum(self.weights[f] for f in sorted(found))
         return float(1 / (1 + np.exp(-np.clip(total, -60, 60))))
