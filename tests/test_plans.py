@@ -101,7 +101,7 @@ def above(text: str, scan: str) -> list[str]:
 @pytest.mark.parametrize("limit, join", [(10**6, "BroadcastHashJoin"), (0, "ShuffledHashJoin")])
 def test_the_guard_neither_sorts_nor_shuffles_the_base(spark, tmp_path, limit, join):
     frame = dimension(spark)
-    cfg = C.PipelineConfig(state_buckets=4, broadcast_limit_bytes=limit)
+    cfg = C.PipelineConfig(state_buckets=4, broadcast_limit_bytes=limit, prune_keys=1)
     job = OrderPipeline(spark, str(tmp_path), lambda: (frame, 100), cfg)
     job.apply(messages(spark, [event("a", 1), event("b", 2), event("c", 2)]), 0, "run")
     job.state.compact()
@@ -116,6 +116,40 @@ def test_the_guard_neither_sorts_nor_shuffles_the_base(spark, tmp_path, limit, j
     assert sorted((r.order_id, r.stored_lsn) for r in guard.collect()) == [("a", 1), ("z", None)]
 
 
+@pytest.mark.parametrize("keys", [2, 9, 30, 31])
+def test_the_guard_reads_the_buckets_of_the_batch(spark, tmp_path, keys):
+    """By the metric of the scan: rows of the buckets that it has opened."""
+    frame = dimension(spark)
+    job = OrderPipeline(spark, str(tmp_path), lambda: (frame, 100), C.PipelineConfig(state_buckets=64, prune_keys=30))
+    job.apply(messages(spark, [event(f"o{k}", k + 1) for k in range(600)]), 0, "run")
+    job.state.compact()
+    batch = [(f"o{17 * k}", 10**6) for k in range(keys - 1)] + [("new", 1)]
+    winners = spark.createDataFrame(batch, "order_id string, lsn long")
+    found = job.state._stored(
+        job.state.base(job.state.manifest()["base"]).select("order_id", "lsn", "op"), winners.select("order_id"))
+    executed = found._jdf.queryExecution().executedPlan()
+    rows = executed.executeCollect()
+    (scan,) = [p for p in leaves(executed) if "FileScan" in p.toString()]
+    read = scan.metrics().apply("numOutputRows").value()
+    assert len(rows) == keys - 1
+    assert keys - 1 <= read <= 600 / 64 * keys * 2 if keys <= 30 else read == 600
+    assert sorted((r.order_id, r.stored_lsn) for r in job.state.attach(winners, job.state.manifest()).collect()) == sorted(
+        [(f"o{17 * k}", 17 * k + 1) for k in range(keys - 1)] + [("new", None)])
+
+
+def leaves(executed) -> list:
+    """Scans of a plan, also of one that was changed as it ran."""
+    text = executed.getClass().getSimpleName()
+    if text == "AdaptiveSparkPlanExec":
+        return leaves(executed.executedPlan())
+    if text.endswith("QueryStageExec"):
+        return leaves(executed.plan())
+    children = executed.children()
+    if not children.size():
+        return [executed]
+    return [p for k in range(children.size()) for p in leaves(children.apply(k))]
+
+
 @pytest.mark.parametrize("name", ["feed_outcomes", "batch_counters", "counter_trend", "event_outcomes"])
 def test_reports_on_the_feed_parse_it_once(spark, sf_dir, name):
     """What a report uses twice is written once; the state of an earlier batch is its own read."""

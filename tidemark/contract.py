@@ -144,6 +144,9 @@ class PipelineConfig:
     customer_id_type: str = "int"
     # Largest dimension, in memory, that is copied to every executor.
     broadcast_limit_bytes: int = 64 * 1024 * 1024
+    # A batch of at most so many orders names them to the scan of the base, which then
+    # reads only their buckets; a larger one is joined with all of them.
+    prune_keys: int = 10_000
     # Keep the parsed batch between its uses; off for bulk backfills.
     cache_batch: bool = True
 

@@ -98,17 +98,16 @@ class OrderState:
     def attach(self, latest: DataFrame, manifest: dict) -> DataFrame:
         """Winners beside their stored version.
 
-        Only the rows of the batch's orders leave the base, by a semi-join that neither
-        sorts nor shuffles it: the keys of a small batch are broadcast, those of a large
-        one are hashed bucket by bucket.
+        Only the rows of the batch's orders leave the base. The scan of a batch of up to
+        ``prune_keys`` orders opens the files of their buckets alone, so what is read
+        follows the batch and not the table. A larger one meets the base in a semi-join
+        that neither sorts nor shuffles it: keys within the limit are broadcast, others
+        are hashed bucket by bucket.
         """
-        keys = latest.select("order_id")
-        small = bool(manifest["base"]) and memory_bytes(keys) <= self.cfg.broadcast_limit_bytes
-        keys = F.broadcast(keys) if small else keys.hint("shuffle_hash")
         found = []
         if manifest["base"]:
-            found.append(self.base(manifest["base"]).select("order_id", "lsn", "op")
-                         .join(keys, "order_id", "left_semi"))
+            found.append(self._stored(
+                self.base(manifest["base"]).select("order_id", "lsn", "op"), latest.select("order_id")))
         if manifest["deltas"]:
             found.append(self.recent(manifest).select("order_id", "lsn", "op"))
         attached, names = latest, []
@@ -126,6 +125,14 @@ class OrderState:
         return attached.withColumns(
             {"stored_lsn": stored["lsn"], "stored_op": stored["op"]}).drop(*names)
 
+    def _stored(self, base: DataFrame, keys: DataFrame) -> DataFrame:
+        most = self.cfg.prune_keys
+        named = [r.order_id for r in keys.limit(most + 1).collect()] if most else []
+        if named and len(named) <= most:
+            return base.filter(F.col("order_id").isin(named))
+        small = memory_bytes(keys) <= self.cfg.broadcast_limit_bytes
+        return base.join(F.broadcast(keys) if small else keys.hint("shuffle_hash"), "order_id", "left_semi")
+
     # ---- writing --------------------------------------------------------
     def commit(self, changes: DataFrame, manifest: dict, run_id: str, batch_id: int) -> dict | None:
         """Add the rows that a batch changes in the version ``manifest``.
