@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark import contract as C
 from tidemark import fixtures as X
-from tidemark.operators import quality
+from tidemark.functions.safe import instant
+from tidemark.operators import history, quality
 from tidemark.plans.batch import OrderPipeline
 from tidemark.plans.refresh import RefreshStopped, extract, publish, refresh_dimension, validate
 from tidemark.sources import files
@@ -140,6 +141,28 @@ def test_history_is_kept_by_the_refresh(spark, sf_dir, store):
     assert store.read().count() == 149
 
 
+def test_a_refresh_adds_to_the_closed_ranges_only(spark, store):
+    """Three refreshes: each writes what it closes and the current part, the rest stays as it is."""
+    def people(rows):
+        return spark.createDataFrame(
+            [(k, f"n{k}", "c", s, CLOCK, CLOCK) for k, s in rows], C.CUSTOMER)
+
+    versions = [[(1, "HOUSEHOLD"), (2, "BUILDING"), (3, "BUILDING")], [(1, "BUILDING"), (2, "BUILDING")],
+                [(1, "BUILDING"), (2, "BUILDING")], [(1, "FURNITURE"), (2, "BUILDING"), (3, "BUILDING")]]
+    whole, held = None, []
+    for k, rows in enumerate(versions):
+        at = CLOCK + timedelta(hours=k)
+        refresh_dimension(people(rows), None, store, X.RULES, at, keep_history=True)
+        whole = history.advance(whole, people(rows), instant(at))
+        held.append(store.current()["history"])
+        found, want = ({tuple(r) for r in f.select(*sorted(f.columns)).collect()} for f in (store.history(), whole))
+        assert found == want
+    assert [len(h["closed"]) for h in held] == [0, 1, 1, 2]
+    assert held[3]["closed"][:1] == held[1]["closed"]
+    assert spark.read.parquet(held[3]["closed"][1]).count() == 1
+    assert len({h["current"] for h in held}) == 4
+
+
 def test_memory_bound_follows_the_text_and_not_the_files(spark, tmp_path):
     """Repeated text is stored once in Parquet, but takes its place in memory."""
     frame = spark.range(2000).selectExpr("id AS customer_id", "repeat('x', 1000) AS name")

@@ -40,18 +40,29 @@ def advance(
     history: DataFrame | None, snapshot: DataFrame, at: Column,
     attributes: tuple[str, ...] = ATTRIBUTES,
 ) -> DataFrame:
-    """The history after one more snapshot.
+    """The history after one more snapshot."""
+    if history is None:
+        return advance_current(None, snapshot, at, attributes)
+    moved = advance_current(history.filter("is_current"), snapshot, at, attributes)
+    return history.filter("NOT is_current").unionByName(moved)
+
+
+def advance_current(
+    current: DataFrame | None, snapshot: DataFrame, at: Column,
+    attributes: tuple[str, ...] = ATTRIBUTES,
+) -> DataFrame:
+    """What becomes of the current ranges by one more snapshot: those that it closes, and
+    those that are current after it. Ranges that were closed before take no part.
 
     Ranges of changed customers and of those who are no longer in the snapshot end at
     ``at``; a customer who comes back opens a new range. A changed customer's new range
     begins where the old one ends.
     """
     now = snapshot.select("customer_id", *attributes)
-    if history is None:
+    if current is None:
         return now.select(
             "*", at.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"),
             F.lit(True).alias("is_current"))
-    current = history.filter("is_current")
     same = F.lit(True)
     for a in attributes:
         same = same & F.col(f"n.{a}").eqNullSafe(F.col(f"h.{a}"))
@@ -64,7 +75,7 @@ def advance(
     new = met.filter(F.col("n.customer_id").isNotNull() & ~(F.col("h.customer_id").isNotNull() & same)).select(
         *[F.col(f"n.{c}") for c in ("customer_id", *attributes)], at.alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"), F.lit(True).alias("is_current"))
-    return history.filter("NOT is_current").unionByName(old).unionByName(new)
+    return old.unionByName(new)
 
 
 def enrich_as_of(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from tidemark import contract as C
 from tidemark.contract import QualityRules
 from tidemark.functions.safe import instant
-from tidemark.operators import history, quality
+from tidemark.operators import quality
 from tidemark.sources.snapshots import SnapshotStore
 
 
@@ -60,8 +60,7 @@ def publish(
     typed = store.write_candidate(quality.conform(copied, schema))
     if not keep_history:
         return store.publish(typed)
-    ranges = history.advance(store.history(), store.spark.read.parquet(typed), instant(clock))
-    return store.publish(typed, store.write_candidate(ranges))
+    return store.publish(typed, store.advance_history(typed, instant(clock)))
 
 
 def refresh_dimension(

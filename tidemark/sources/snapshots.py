@@ -6,9 +6,11 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import enrichment_columns
+from tidemark.operators.history import advance_current
 from tidemark.sources import files
 from tidemark.sources.manifests import Manifests, split_by_age
 from tidemark.sources.measure import memory_bytes
@@ -39,10 +41,11 @@ class SnapshotStore:
     def current(self) -> dict | None:
         return self.published.latest()
 
-    def publish(self, candidate: str, history: str | None = None) -> dict:
+    def publish(self, candidate: str, history: dict | None = None) -> dict:
         """Make a validated candidate the current version, without copying it.
 
-        ``history`` is the folder of the history that goes with it, if one is kept.
+        ``history`` names the folders of the history that goes with it, if one is kept: see
+        ``advance_history``. Folders that it names no more are retired.
         """
         size = memory_bytes(self.spark.read.parquet(candidate))
         while True:
@@ -50,7 +53,8 @@ class SnapshotStore:
             if before["path"] == candidate:
                 return before
             at = datetime.now(timezone.utc).isoformat()
-            gone = [p for p in (before["path"], before.get("history")) if p]
+            gone = [p for p in (before["path"], *_folders(before.get("history")))
+                    if p and p not in _folders(history)]
             old, kept = split_by_age(before["retired"], self.retain_s)
             added = self.published.add({
                 "number": before["number"] + 1, "path": candidate, "bytes": size, "history": history,
@@ -80,8 +84,31 @@ class SnapshotStore:
 
     def history(self) -> DataFrame | None:
         """The history that goes with the current version, None if none is kept."""
-        entry = self.current()
-        return self.spark.read.parquet(entry["history"]) if entry and entry.get("history") else None
+        folders = _folders((self.current() or {}).get("history"))
+        return self.spark.read.parquet(*folders) if folders else None
+
+    def advance_history(self, snapshot: str, at: Column) -> dict:
+        """Folders of the history after one more snapshot.
+
+        Closed ranges are only ever added to: what the snapshot closes gets a folder of
+        its own. The current ranges are written anew. Nothing else is read or written,
+        however long the history is.
+        """
+        held = (self.current() or {}).get("history")
+        current = self.spark.read.parquet(held["current"]) if held else None
+        path = f"{self.root}/candidates/{uuid.uuid4().hex}"
+        moved = advance_current(current, self.spark.read.parquet(snapshot), at)
+        moved.withColumn("part", F.when(F.col("is_current"), "current").otherwise("closed")).write.partitionBy(
+            "part").parquet(path)
+        parts = files.names(self.spark, path)
+        closed = [f"{path}/part=closed"] if "part=closed" in parts else []
+        if "part=current" not in parts:  # an empty snapshot leaves nothing current
+            moved.limit(0).write.parquet(f"{path}/part=current")
+        return {"closed": [*(held["closed"] if held else []), *closed], "current": f"{path}/part=current"}
+
+
+def _folders(history: dict | None) -> list[str]:
+    return [*history["closed"], history["current"]] if history else []
 
 
 @dataclass
