@@ -294,16 +294,22 @@ def test_large_ids_by_setting(spark, tmp_path):
         other.apply(messages(spark, big), 1, "run")
 
 
-def test_reports_are_merged(spark, tmp_path):
+def test_a_repeated_batch_replaces_its_reports(spark, tmp_path):
     job = pipeline(spark, tmp_path)
     for batch in range(6):
         job.apply(messages(spark, ["junk", event("a", batch + 1)], 10 * batch), batch, "run")
-        if batch % 3 == 2:
-            job.merge_reports()
-            job.merge_reports()
-    assert len(files.names(spark, f"{job.root}/batch_metrics")) == 1
-    assert len(files.names(spark, f"{job.root}/dead_letters")) == 1
-    assert job.metrics().count() == 6 and job.letters().count() == 6
+    seen = job.letters()
+    held = {r.batch_id: r.value for r in seen.collect()}
+    # A repeated batch replaces its own part; one of another run is beside it.
+    job._write_letters(apply_batch(messages(spark, ["junk", "more junk"], 20)).letters(), "run", 2)
+    job._write_letters(apply_batch(messages(spark, ["junk"], 20)).letters(), "other/run = 1", 2)
+    counted = {(r.run_id, r.batch_id): r["count"] for r in job.letters().groupBy("run_id", "batch_id").count().collect()}
+    assert counted == {("run", k): 2 if k == 2 else 1 for k in range(6)} | {("other/run = 1", 2): 1}
+    assert {r.batch_id: r.value for r in job.letters().filter("batch_id <> 2").collect()} == {
+        k: v for k, v in held.items() if k != 2}
+    # Who began to read before goes on with the batches that were not repeated.
+    assert seen.filter("run_id = 'run' AND batch_id < 2").count() == 2
+    assert job.metrics().count() == 6
 
 
 def test_a_backfill_is_known_by_label_and_range(spark, tmp_path):

@@ -138,6 +138,8 @@ class PipelineConfig:
     # Number of batch folders at which they are folded into the base; None leaves it to
     # the compact job.
     compact_after: int | None = None
+    # Number of batch folders from which on a batch warns that the table is not compacted.
+    warn_after: int = 200
     # How long replaced folders stay for those who still read them.
     retain_s: int = 7 * 24 * 3600
     # Type of customer_id, "int" or "bigint"; ids beyond it are invalid.

@@ -234,7 +234,6 @@ def run_compact(spark: SparkSession, args) -> int:
         tombstone_ttl_s=args.tombstone_ttl_s, customer_id_type=args.customer_id_type)
     job = OrderPipeline(spark, f"{args.root}/facts", PublishedDimension(customers(spark, args)), cfg)
     done = job.state.compact(datetime.now(timezone.utc), args.buckets)
-    job.merge_reports()
     changes = f"{args.root}/versions/changes"
     if files.exists(spark, changes):
         merge_changes(spark, changes, args.retain_s)

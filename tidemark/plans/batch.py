@@ -8,7 +8,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import contract as C
@@ -153,6 +153,8 @@ class OrderPipeline:
                     return False
             log.log(logging.INFO if counted["reconciles"] else logging.ERROR,
                     "batch %d of %s: %s", batch_id, run_id, counted)
+            if not self.cfg.compact_after and len(added["deltas"]) >= self.cfg.warn_after:
+                log.warning("%d batches wait to be compacted; every guard reads them", len(added["deltas"]))
             if self.cfg.compact_after and len(added["deltas"]) >= self.cfg.compact_after:
                 state.compact(now)
             return True
@@ -163,40 +165,21 @@ class OrderPipeline:
             else:
                 files.remove(self.spark, staged)
 
-    def letters(self, paths: list[str] | None = None) -> DataFrame:
-        """All dead letters, with the run and batch that rejected them, each message once."""
-        text = F.col("value").cast("string")
-        place = [F.get_json_object(text, f"$.{c}").alias(f"_{c}") for c in events.POSITION]
-        rows = self.spark.read.schema(LETTERS).parquet(*(paths or [f"{self.root}/dead_letters/*"]))
-        return (
-            rows.select("*", *place)
-            .dropDuplicates(["run_id", "batch_id", *(f"_{c}" for c in events.POSITION)])
-            .drop(*(f"_{c}" for c in events.POSITION))
-        )
-
-    def metrics(self, paths: list[str] | None = None) -> DataFrame:
-        """Counters per batch; of a repeated batch the last attempt counts."""
-        rows = self.spark.read.schema(C.COUNTERS).parquet(*(paths or [f"{self.root}/batch_metrics/*"]))
-        last = Window.partitionBy("run_id", "batch_id").orderBy(F.col("recorded_at").desc())
-        return (
-            rows.withColumn("_rank", F.row_number().over(last))
-            .filter(F.col("_rank") == 1).drop("_rank")
-        )
+    def letters(self) -> DataFrame:
+        """All dead letters, with the run and batch that rejected them."""
+        return self.spark.read.schema(LETTERS).parquet(f"{self.root}/dead_letters")
 
-    def merge_reports(self) -> None:
-        """Replace the many small folders of letters and metrics by one each.
+    def metrics(self) -> DataFrame:
+        """Counters per batch."""
+        return self.spark.read.schema(C.COUNTERS).parquet(f"{self.root}/batch_metrics")
 
-        Every attempt writes a folder of its own, so a finished one never changes. The
-        merged folder is there before the others go, and what is found twice counts
-        once, so the rows are whole at any time.
-        """
-        for name, rows in (("dead_letters", self.letters), ("batch_metrics", self.metrics)):
-            before = files.complete(self.spark, f"{self.root}/{name}")
-            if len(before) < 2:
-                continue
-            rows(before).write.parquet(f"{self.root}/{name}/merged-{uuid.uuid4().hex}")
-            for old in before:
-                files.remove(self.spark, old)
+    def _report(self, rows: DataFrame, name: str) -> None:
+        """Write a batch's part of a report: a partition of its own, so that a batch that is
+        repeated replaces what it wrote before, and nothing else is touched."""
+        (
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("run_id", "batch_id").parquet(f"{self.root}/{name}")
+        )
 
     def _stage(self, frame: DataFrame, path: str, column: str) -> DataFrame:
         """Write a part once; its later uses read only their rows and columns."""
@@ -204,12 +187,11 @@ class OrderPipeline:
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def _write_letters(self, letters: DataFrame, run_id: str, batch_id: int) -> None:
-        path = f"{self.root}/dead_letters/{run_id}-{batch_id}-{uuid.uuid4().hex}"
-        rows = letters.withColumns({
-            "run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
-        rows.write.parquet(path)
+        self._report(letters.withColumns({
+            "run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")}), "dead_letters")
         if self.publish_letters is not None:
-            self.publish_letters(self.spark.read.parquet(path))
+            mine = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
+            self.publish_letters(self.letters().filter(mine))
 
     def _write_counters(
         self, counted: dict, run_id: str, batch_id: int, now: datetime,
@@ -219,7 +201,7 @@ class OrderPipeline:
             (instant(now) if f.name == "recorded_at" else F.lit(row[f.name]).cast(f.dataType))
             .alias(f.name) for f in C.COUNTERS
         ])
-        frame.write.parquet(f"{self.root}/batch_metrics/{run_id}-{batch_id}-{uuid.uuid4().hex}")
+        self._report(frame, "batch_metrics")
 
 
 def backfill(
