@@ -549,3 +549,14 @@ def test_a_run_of_letters_counts_to_its_end():
     model = {"bias": 0.0, "weights": {f: 1.0 for f in toxicity.features(run + "甲乙丙丁")}}
     scorer = toxicity.Scorer(model)
     assert scorer(run + "甲乙丙丁") > scorer(run + "甲丙乙丁") and not scorer.known
+
+
+def test_a_form_around_the_whole_page_is_no_form():
+    page = """<html><body><form action="x"><input type="hidden" value="v"><nav><a href="/">Home</a></nav>
+      <div><h1>Title</h1><p>The first paragraph of some length, with a comma.</p>
+      <p>And a second one that is also long enough to count.</p></div>
+      <select><option>One</option></select><label>Name</label><button>Send</button></form></body></html>"""
+    want = "Title\n\nThe first paragraph of some length, with a comma.\n\nAnd a second one that is also long enough to count."
+    assert html_text.main_text(page) == want
+    beside = page.replace('<form action="x">', "").replace("</form>", "<form><p>Leave a reply</p><input></form>")
+    assert html_text.main_text(beside) == want

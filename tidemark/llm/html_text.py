@@ -179,9 +179,33 @@ def _keep_most(nodes: list[Node]) -> None:
             node.around = node.named = False
 
 
+#: A form around so much of the paragraphs' text is no form of the page but the page itself.
+FORM_SHARE = 0.8
+
+
+def _open_forms(nodes: list[Node]) -> None:
+    """Let forms that are wrapped around a page count as plain containers; their fields go."""
+    forms = [n for n in nodes if n.name == "form" and not n.named]
+    if not forms:
+        return
+    held: dict[int, int] = {}
+    for node in nodes:
+        if node.name == "p":
+            size = sum(len(x) for n in _order(node) for x in n.parts if isinstance(x, str))
+            holder: Node | None = node
+            while holder is not None:
+                held[id(holder)] = held.get(id(holder), 0) + size
+                holder = holder.parent
+    total = held.get(id(nodes[0]), 0)
+    for form in forms:
+        if total and held.get(id(form), 0) >= FORM_SHARE * total:
+            form.name, form.around = "div", False
+
+
 def _prune(root: Node) -> list[Node]:
     """Drop what surrounds the article; a wrapper that holds an article is not dropped."""
     nodes = _order(root)
+    _open_forms(nodes)
     if not any(n.name in ("article", "main") and not n.around for n in nodes):
         _keep_most(nodes)
     holds: set[int] = set()
