@@ -26,6 +26,12 @@ def test_payload_is_parsed_once(feed):
     assert plan(events.fresh(events.judge(events.parse(feed)))).count("from_json") == 1
 
 
+def test_rules_are_evaluated_once(feed):
+    judged = events.judge(events.parse(feed))
+    assert plan(events.rejected(judged)).count("RLIKE") == 3
+    assert plan(events.fresh(judged)).count("RLIKE") == 3
+
+
 def test_unused_message_columns_are_not_read(feed):
     text = plan(events.fresh(events.judge(events.parse(feed))))
     (schema,) = re.findall(r"ReadSchema: struct<([^>]*)>", text)

@@ -35,13 +35,20 @@ def parse(messages: DataFrame) -> DataFrame:
 
 
 def judge(parsed: DataFrame, cfg: C.PipelineConfig = C.PipelineConfig()) -> DataFrame:
-    """Add ``rule`` (first broken one), ``age_s`` and ``stage`` to every event."""
-    return (
-        parsed.withColumns({"rule": broken_rule(cfg), "age_s": age_seconds(cfg)})
-        .withColumn("stage", F.expr(f"""
-            CASE WHEN rule IS NOT NULL THEN '{C.INVALID}'
-              WHEN age_s > {cfg.allowed_lateness_s} THEN '{C.LATE}' ELSE '{C.FRESH}' END"""))
-    )
+    """Add ``rule`` (first broken one), ``age_s`` and ``stage`` to every event.
+
+    They come out of a generator for the same reason as the fields: a filter on the stage
+    would otherwise evaluate the rules twice.
+    """
+    def verdict(found):
+        stage = (
+            F.when(found["rule"].isNotNull(), C.INVALID)
+            .when(found["age_s"] > cfg.allowed_lateness_s, C.LATE).otherwise(C.FRESH)
+        )
+        return F.struct(found["rule"].alias("rule"), found["age_s"].alias("age_s"), stage.alias("stage"))
+
+    found = F.array(F.struct(broken_rule(cfg).alias("rule"), age_seconds(cfg).alias("age_s")))
+    return parsed.select("*", F.inline(F.transform(found, verdict)))
 
 
 def raw_of_rejects(judged: DataFrame) -> DataFrame:

@@ -141,16 +141,18 @@ def expires(cfg: C.PipelineConfig) -> bool:
 
 
 def catch_up(writer: DataStreamWriter, endless: bool = False) -> None:
-    """Run a stream until it has read what is there; an endless one ends with the first
-    batch that finds nothing new."""
+    """Run a stream until it has read what is there; an endless one ends with a batch that
+    finds nothing new. Its first batch may repeat one of before, so that one tells nothing."""
     if not endless:
         writer.trigger(availableNow=True).start().awaitTermination()
         return
-    query = writer.start()
+    query, first = writer.start(), None
     while not query.awaitTermination(0.2):
-        if query.lastProgress and not query.lastProgress["numInputRows"]:
-            query.stop()
-            return
+        for progress in query.recentProgress:
+            first = progress["batchId"] if first is None else first
+            if progress["batchId"] > first and not progress["numInputRows"]:
+                query.stop()
+                return
 
 
 def write_labelled(labelled_messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
