@@ -20,7 +20,8 @@ pair shares no band; pairs of one component are not compared again, and copies a
 Words are lower-cased and parted by white space; a text of fewer than five words is one
 shingle. Defined cases: null, empty and blank texts are alone in their groups; rows are
 told apart by their place in the table, so repeated ids and null ids are safe, and a
-group is named by its smallest id (null if all are null); an empty table gives no rows. Other columns are
+group is named by its smallest id (null if all are null); a text of any length is
+compared whole; an empty table gives no rows. Other columns are
 ignored.
 """
 

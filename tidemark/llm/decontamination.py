@@ -12,7 +12,8 @@ too short for one sure pair go by their single words. How common a pair is does
 Test items are taken in blocks of a bounded number of words, which bounds what is sent
 to every task; each block meets all documents.
 
-Defined cases: null and empty texts and items match nothing; equal items and repeated rows are reported each; empty
+Defined cases: null and empty texts and items match nothing; equal items and repeated rows are reported each; of alignments with
+equal scores the first that is found is reported; a text of any length is searched to its end; empty
 tables give no rows. Other columns are ignored.
 """
 

@@ -18,8 +18,9 @@ all tokens or more, so at most a million); those of other words are joined, and
 of these can weigh on one task.
 
 Defined cases: a null or empty text is its end alone; null ids learn and are scored like
-any other; repeated rows count each time; without training texts all counts are 0; an
-empty table gives no rows. Other columns are ignored.
+any other; repeated rows count each time; a text of any length is learned and scored
+whole; words of equal counts are numbered by their bytes; without training texts all
+counts are 0; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

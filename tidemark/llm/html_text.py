@@ -8,7 +8,8 @@ footers, sidebars, notices, adverts, forms, comments and scripts never count.
 
 Defined cases: null, empty or tag-only html gives an empty text and 0 characters; html
 without tags is one block; unclosed and stray tags are tolerated; repeated pages are
-extracted each. Other columns are ignored.
+extracted each; of containers with equal scores the first on the page is the best; a page of any
+length is read whole. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ by one, so a notice that repeats is found each time.
 
 Defined cases: null, empty and wordless texts have no notices; where notices overlap,
 the one that matches more words stays, the first name at a tie; repeated rows are
-scanned each; an empty table gives no rows. Other columns are ignored.
+scanned each; a text of any length is scanned to its end; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

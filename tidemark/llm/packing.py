@@ -6,7 +6,8 @@ its gap is filled with the head of the document, if the gap is worth a cut. What
 still open at the end of a partition is merged with the leftovers of other partitions.
 
 Defined cases: a null or empty text is the end id alone; a document of the window's
-length or more fills windows by itself and its rest is placed; repeated rows and null
+length or more fills windows by itself and its rest is placed; of windows that a document
+fills equally well it takes the first; repeated rows and null
 ids are packed each on its own; an empty table gives no rows. Other columns are ignored.
 """
 

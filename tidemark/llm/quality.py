@@ -6,7 +6,7 @@ size is fixed). A fold of its own then gives a rising step function from ridge s
 to the share of good labels (isotonic regression on a histogram of fixed size).
 
 Defined cases: null and empty texts have statistics of 0 and a score like any other;
-repeated rows score alike; without labels of both kinds every score is the share of
+repeated rows score alike; a text of any length is measured whole; without labels of both kinds every score is the share of
 label 1 (0.5 without labels). Other columns are never read.
 """
 

@@ -7,7 +7,8 @@ and below a node only what reached it is dealt again. One more shard joins as a
 of its own, so that rows move into it only.
 
 Defined cases: a null text has no bytes and size 1; a null key is one key like any
-other; repeated rows share a shard and take a slot each; an empty table gives no rows.
+other; repeated rows share a shard and take a slot each; of equal draws the child whose name sorts
+first wins; an empty table gives no rows.
 Other columns are ignored.
 """
 

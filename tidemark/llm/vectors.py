@@ -13,7 +13,8 @@ Equal vectors are one until the end, so copies cost nothing.
 
 Defined cases: a vector that is null, empty, zero or holds a null, a NaN or an infinity
 links with nothing, nor does one without an id; vectors of different lengths never link; rows that
-share an id and a vector count as two vectors; an empty table gives no rows. Other
+share an id and a vector count as two vectors; equal sort keys stand in any order, for what they
+miss is found by whole runs; an empty table gives no rows. Other
 columns are ignored.
 """
 
