@@ -147,3 +147,21 @@ def test_decontamination(spark, odd):
     assert decontamination.overlaps(spark, made(spark, []), items).count() == 0
     assert decontamination.overlaps(spark, docs, items.limit(0)).count() == 0
     assert decontamination.clean(spark, docs, items.limit(0)).count() == len(ROWS) + 3
+
+
+@pytest.mark.parametrize("rows", [0, len(ROWS)])
+def test_pipeline_stages_keep_columns_and_survive_odd_rows(spark, sf_dir, rows):
+    """Nulls, empty and long texts, repeated rows and clashing columns, and no rows at all."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame(
+        [(i, t, "en", None, None if t is None else len(t), *CLASH_VALUES) for i, t in ROWS[:rows]],
+        f"doc_id long, text string, lang string, source string, n_chars long, {CLASH}")
+    before = [tuple(r) for r in docs.collect()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns, name
+        kept = [tuple(r) for r in out.collect()]
+        assert all(r in before for r in kept) and (rows == 0 or name != "decontamination" or kept == before), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert (packed.count() > 0) == (rows > 0)
