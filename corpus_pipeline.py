@@ -1,4 +1,10 @@
-"""The training-data pipeline: each stage reads what the one before it kept."""
+"""The training-data pipeline: each stage reads what the one before it kept.
+
+Defined cases: null, empty and very long texts pass through every stage whole (a null text
+is scored as an empty one and packed as its end alone); of repeated rows and ties one stays,
+as ``deduplicate`` states; columns beyond those of ``documents`` are kept by all stages but
+the last; an empty table gives no rows. Without labels no document is rejected for them.
+"""
 
 from __future__ import annotations
 
