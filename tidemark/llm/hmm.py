@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
@@ -52,10 +53,10 @@ ROUNDS = 8
 PRIOR = 100.0
 STAY = 0.95
 #: Longer texts are worked in blocks of so many tokens, which are joined exactly.
-BLOCK = 1024
+BLOCK = 2048
 TOGETHER, SCORED_TOGETHER = 500_000, 4_000_000
-#: Moves that are added up at once.
-CHUNK = 100_000
+#: Moves that are added up at once, and blocks whose matrices are made at once.
+CHUNK, ASIDE = 100_000, 4096
 LONGEST_WORD = 64
 END = b""
 
@@ -217,6 +218,17 @@ def _blocks(sequence: np.ndarray) -> list[np.ndarray]:
     return [sequence[k:k + BLOCK] for k in range(0, len(sequence), BLOCK)]
 
 
+def _maps_of(model: Model, texts: list[list[np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Matrices and logarithms of the blocks of each text; all texts' blocks go side by side."""
+    blocks = [block for text in texts for block in text]
+    if blocks:
+        found = [_maps(model, blocks[k:k + ASIDE]) for k in range(0, len(blocks), ASIDE)]
+        matrices, logs = (np.concatenate(x) for x in zip(*found))
+        ends = np.cumsum(list(map(len, texts))).tolist()
+        for begin, end in zip([0, *ends], ends):
+            yield matrices[begin:end], logs[begin:end]
+
+
 def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """Natural logarithm of each sequence's probability, by the scaled forward recursion."""
     total = np.zeros(len(sequences))
@@ -232,20 +244,16 @@ def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
             state /= scale[:, None]
             sums[:n] += np.log(scale)
         total[np.array(short)[order]] = sums
-    for k in sorted(set(range(len(sequences))) - set(short)):
+    long = sorted(set(range(len(sequences))) - set(short))
+    for k, (matrices, logs) in zip(long, _maps_of(model, [_blocks(sequences[k]) for k in long])):
         state = model.start
-        for part in _groups(_blocks(sequences[k])):
-            for matrix, log in zip(*_maps(model, part)):
-                state = state @ matrix
-                total[k] += log + np.log(state.sum())
-                state = state / state.sum()
+        for matrix, log in zip(matrices, logs):
+            state = state @ matrix
+            total[k] += log + np.log(state.sum())
+            state = state / state.sum()
     return total
 
 
-def _groups(blocks: list[np.ndarray], size: int = 512) -> list[list[np.ndarray]]:
-    return [blocks[k:k + size] for k in range(0, len(blocks), size)]
-
-
 def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, moves and emissions of the sequences (forward and backward).
 
@@ -257,15 +265,16 @@ def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray
     before: list[np.ndarray] = []  # states before the first token, from the text's begin
     after: list[np.ndarray] = []  # what follows the last token, for each state
     inner: list[bool] = []  # whether a block of the same text comes before
-    for sequence in sequences:
-        blocks = _blocks(sequence)
+    texts = list(map(_blocks, sequences))
+    maps_of = _maps_of(model, [blocks for blocks in texts if len(blocks) > 1])
+    for blocks in texts:
         parts += blocks
         inner += [k > 0 for k in range(len(blocks))]
         if len(blocks) == 1:
             before.append(model.start)
             after.append(np.ones(states))
             continue
-        maps = np.concatenate([_maps(model, part)[0] for part in _groups(blocks)])
+        maps, _ = next(maps_of)
         state = model.start
         for matrix in maps:
             before.append(state)
