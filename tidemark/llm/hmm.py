@@ -57,6 +57,8 @@ BLOCK = 2048
 TOGETHER, SCORED_TOGETHER = 500_000, 4_000_000
 #: Moves that are added up at once, and blocks whose matrices are made at once.
 CHUNK, ASIDE = 100_000, 4096
+#: Steps between two rescalings: scaled emissions shrink weights by a small factor a step.
+RESCALED = 16
 LONGEST_WORD = 64
 END = b""
 
@@ -196,20 +198,26 @@ def _columns(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def _maps(model: Model, blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """For each block the matrix that takes the states before it to those after it, of
-    largest entry 1, and the natural logarithm of what it was divided by.
+    """For each block the matrix that takes the states before it to those after it, and the
+    natural logarithm of what it was divided by.
 
     A long text is a product of such matrices, so its blocks need not wait for each other.
     """
     states = len(model.start)
     order, flat, begins = _columns(blocks)
     here, logs = np.tile(np.eye(states), (len(blocks), 1, 1)), np.zeros(len(blocks))
+    sums = np.maximum(model.emits.sum(axis=1), 1e-300)
+    scaled, log_sums = model.emits / sums[:, None], np.log(sums)
     for t in range(len(begins) - 1):
-        n = begins[t + 1] - begins[t]
-        now = (here[:n] * model.emits[flat[begins[t]:begins[t + 1]]][:, None, :]) @ model.moves
-        most = now.max(axis=(1, 2))
-        here[:n] = now / most[:, None, None]
-        logs[:n] += np.log(most)
+        n, codes = begins[t + 1] - begins[t], flat[begins[t]:begins[t + 1]]
+        now = here[:n]
+        now *= scaled[codes][:, None, :]
+        np.matmul(now.reshape(-1, states), model.moves, out=now.reshape(-1, states))
+        logs[:n] += log_sums[codes]
+        if t % RESCALED == 0:
+            most = now.max(axis=(1, 2))
+            now /= most[:, None, None]
+            logs[:n] += np.log(most)
     back = np.argsort(order)
     return here[back], logs[back]
 
@@ -290,25 +298,31 @@ def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray
 
     order, flat, begins = _columns(parts)
     sizes, place = np.diff(begins, append=begins[-1]), np.argsort(order)
-    emitted = model.emits[flat]
+    # Shares do not depend on the scale of a token's emissions, nor of a state's weights.
+    emitted = (model.emits / np.maximum(model.emits.sum(axis=1), 1e-300)[:, None])[flat]
     forward, ahead = np.empty_like(emitted), np.empty_like(emitted)
     state = np.array(before)[order]
+    moved = np.empty_like(state)
     for t in range(len(sizes) - 1):
-        here = slice(begins[t], begins[t + 1])
-        state = emitted[here] * (state if t == 0 else state[:sizes[t]] @ model.moves)
-        state /= state.sum(axis=1)[:, None]
-        forward[here] = state
+        here, n = slice(begins[t], begins[t + 1]), sizes[t]
+        if t:
+            state = np.matmul(state[:n], model.moves, out=moved[:n])
+        state = np.multiply(emitted[here], state, out=forward[here])
+        if t % RESCALED == 0:
+            state /= state.sum(axis=1)[:, None]
     # For each state the weight of what follows; a block's last token takes it from its end.
     ends = np.array(after)[order]
-    follows = ends[:0]
+    follows = np.empty_like(ends)
+    back = np.ascontiguousarray(model.moves.T)
     for t in range(len(sizes) - 2, -1, -1):
-        here = slice(begins[t], begins[t + 1])
-        follows = np.concatenate([follows, ends[sizes[t + 1]:sizes[t]]])
-        ahead[here] = emitted[here] * follows
-        emitted[here] = forward[here] * follows  # from here on the share of each state
-        follows = ahead[here] @ model.moves.T
-        follows /= follows.sum(axis=1)[:, None]
-    emitted /= emitted.sum(axis=1)[:, None]
+        here, n = slice(begins[t], begins[t + 1]), sizes[t]
+        follows[sizes[t + 1]:n] = ends[sizes[t + 1]:n]
+        now = np.multiply(emitted[here], follows[:n], out=ahead[here])
+        np.matmul(now, back, out=follows[:n])
+        if t % RESCALED == 0:
+            follows[:n] /= follows[:n].sum(axis=1)[:, None]
+    shares = np.divide(forward * ahead, emitted, out=emitted)
+    shares /= shares.sum(axis=1)[:, None]
     # The token before each: in the same column, or at the end of the block before.
     entered = np.flatnonzero(np.array(inner)[order])
     source = order[entered] - 1
@@ -320,15 +334,15 @@ def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray
     moves = np.zeros((states, states))
     for k in range(0, len(current), CHUNK):
         left, right = forward[previous[k:k + CHUNK]], ahead[current[k:k + CHUNK]]
-        left /= ((left @ model.moves) * right).sum(axis=1)[:, None]
+        left /= np.einsum("ij,ij->i", left @ model.moves, right)[:, None]
         moves += left.T @ right
     starts = np.ones(begins[1], bool)
     starts[entered] = False
     emits = np.zeros_like(model.emits)
-    by_class = np.argsort(flat, kind="stable")
+    by_class = np.argsort(flat.astype(np.uint16), kind="stable")
     edges = np.flatnonzero(np.concatenate([[True], np.diff(flat[by_class]) != 0]))
-    emits[flat[by_class[edges]]] = np.add.reduceat(emitted[by_class], edges, axis=0)
-    return emitted[:begins[1]][starts].sum(axis=0), moves * model.moves, emits
+    emits[flat[by_class[edges]]] = np.add.reduceat(shares[by_class], edges, axis=0)
+    return shares[:begins[1]][starts].sum(axis=0), moves * model.moves, emits
 
 
 def _uses(shared, states: int):
