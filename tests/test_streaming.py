@@ -149,3 +149,24 @@ def test_reporter_warns_of_lag(spark, tmp_path, caplog, offsets, warned):
     cfg = C.PipelineConfig(lag_report_every=1, max_offsets_per_trigger=offsets)
     LagReporter(spark, f"{tmp_path}/lag", cfg).record(PROGRESS)
     assert ("69 messages behind" in caplog.text) is warned
+
+
+def test_state_is_updated_once_in_a_batch(spark, tmp_path):
+    """However often the join without a broadcast reads a batch, its state is read once."""
+    drop(spark, tmp_path, [event(f"o{k}", 1) for k in range(40)])
+    tried, frame = spark.sparkContext.accumulator(0), dimension(spark)
+
+    def seen(rows):
+        for batch in rows:
+            tried.add(batch.num_rows)
+            yield batch
+
+    stream = topics.file_stream(spark, f"{tmp_path}/inbox")
+    # Behind the state, so that a second pass over the batch is seen.
+    changes = version_stream(stream)
+    changes = changes.mapInArrow(seen, changes.schema)
+    write_changes(
+        changes, f"{tmp_path}/changes", f"{tmp_path}/cp", lambda: (frame, None),
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert live_orders(spark, f"{tmp_path}/changes").filter("name = 'name 1'").count() == 40
+    assert tried.value == 40

@@ -45,16 +45,26 @@ def write_changes(
     """Store the touched orders of every batch, enriched if there is a dimension.
 
     Every attempt of a batch writes a folder of its own, so nothing that was written is
-    replaced; a change that is found twice counts once.
+    replaced; a change that is found twice counts once. A join without a broadcast reads
+    its orders several times, so the batch is written first: its state is run through once.
     """
     spark = changes.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if dimension is not None:
-            frame, size = dimension()
-            batch = enrich.join_dimension(batch, frame, size, cfg.broadcast_limit_bytes)
-        batch.write.parquet(f"{path}/{batch_id}-{uuid.uuid4().hex}")
+        target = f"{batch_id}-{uuid.uuid4().hex}"
+        if dimension is None:
+            batch.write.parquet(f"{path}/{target}")
+            return
+        frame, size = dimension()
+        staged = None
+        if size is None or size > cfg.broadcast_limit_bytes:
+            staged = f"{path}-staged/{target}"
+            batch.write.parquet(staged)
+            batch = spark.read.schema(batch.schema).parquet(staged)
+        enrich.join_dimension(batch, frame, size, cfg.broadcast_limit_bytes).write.parquet(f"{path}/{target}")
+        if staged is not None:
+            files.remove(spark, staged)
 
     return (
         changes.writeStream.foreachBatch(handle).outputMode("update")
