@@ -2,6 +2,7 @@
 
 import time
 
+import pandas as pd
 import pytest
 from helpers import NOW, dimension, event, messages
 from pyspark.sql import functions as F
@@ -139,3 +140,52 @@ def test_labels_in_one_pass(spark, parts):
     want = {r.offset: r.outcome for r in guarded.outcomes().collect()}
     assert {r.offset: r.outcome for r in versions.label(batch.judged, stored, parts).collect()} == want
     assert "stale" in want.values()
+
+
+class Kept(dict):
+    """A map of the state store that counts its calls."""
+
+    calls = 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self[key]
+
+
+def test_a_group_of_orders_costs_few_frames_and_calls():
+    """Many orders of a group come back together, and each asks the state at most twice."""
+    names = ["partition", "offset", "arrived_at", "op", "order_id", "lsn", "stage", "event_time", "segment", "city"]
+    processor, live = outcomes.Versions(names, True, None), Kept()
+    processor.init(type("Handle", (), {"getMapState": lambda self, *given, **more: live})())
+
+    def frame(version, op):
+        rows = [("0", str(k), "5", op, f"o{k}", str((1 << 62) + version), C.FRESH, "7", "s", "c", "1.5")
+                for k in range(1000) for _ in range(2)]
+        return pd.DataFrame(rows + [(None,) * 6 + (C.LATE,) + (None,) * 4], columns=[*names, "sum"])
+
+    for version, op, fate in ((2, "U", "upsert"), (1, "U", "stale"), (3, "D", "delete"), (3, "U", "stale")):
+        live.calls = 0
+        out = list(processor.handleInputRows((0,), iter([frame(version, op)]), None))
+        assert len(out) == 2 and live.calls <= 2000
+        counted = pd.concat(out).outcome.value_counts().to_dict()
+        assert counted == {fate: 1000, "superseded": 1000, "late": 1}
+    assert all(value[:2] == ((1 << 62) + 3, "D") for value in live.values())
+
+
+def test_values_come_back_as_they_were_sent(spark, tmp_path):
+    """Numbers beyond a double's digits and times beyond nanoseconds, without a broadcast."""
+    run = Run(spark, str(tmp_path), C.PipelineConfig(broadcast_limit_bytes=0))
+    far = "9999-12-31T23:59:59.123456+00:00"
+    first = run.step([event("a", (1 << 62) + 1, event_time=far), "junk"]).collect()
+    assert {(r.lsn, r.name, r.age_s is None) for r in first} == {((1 << 62) + 1, "name 1", False), (None, None, True)}
+    last = run.step([event("a", (1 << 62) + 2, amount=0.1 + 0.2), event("a", (1 << 62) + 1)])
+    got = {(r.outcome, str(r.old_event_time), r.old_amount) for r in last.filter("offset >= 2").collect()}
+    assert got == {("upsert", "9999-12-31 23:59:59.123456", 10.5), ("superseded", "None", None)}

@@ -6,14 +6,16 @@ labelled messages see finished batches only, and a repeated batch replaces itsel
 Counters, dead letters, changed orders and revenue are read from that one table.
 
 This is the library's one path through Python: a label for every event needs state of
-its own, which no built-in aggregate keeps.
+its own, which no built-in aggregate keeps. Messages come to it in ``GROUPS`` groups of
+orders, since each key of the processor costs a batch of its own on the way back, and as
+text, so that whole columns are passed at once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor
@@ -23,89 +25,120 @@ from tidemark.operators import deadletter, enrich, events
 from tidemark.operators.events import POSITION
 from tidemark.session import ROCKSDB
 
-#: What a live order keeps: its version, and what a later one has to take back.
-KEPT = "lsn bigint, op string, amount double, event_time timestamp, segment string, city string"
+#: What an order keeps: its version, and what a later one has to take back (times in microseconds).
+KEPT = "lsn bigint, op string, amount double, event_time bigint, segment string, city string"
 TAKEN_BACK = ("amount", "event_time", "segment", "city")
-#: Messages that are not applied pass by in so many groups without state.
-PASSING = 64
+#: Groups of orders, each with a map of its orders as state; the number is part of the state.
+GROUPS = 128
+NOTHING = (None,) * len(TAKEN_BACK)
 
 
-def _added() -> list[T.StructField]:
-    kept = T._parse_datatype_string(KEPT)
-    return [
-        T.StructField("outcome", T.StringType()), T.StructField("stored_op", T.StringType()),
-        *[T.StructField(f"old_{c}", kept[c].dataType) for c in TAKEN_BACK],
-    ]
+#: What is added to a message: its outcome, and what an applied change takes back.
+ADDED = "outcome string, stored_op string, old_amount double, old_event_time string, old_segment string, old_city string"
 
 
 class Versions(StatefulProcessor):
-    """Labels the events of one order.
+    """Labels the events of a group of orders.
 
-    Of the events of a batch the newest meets the stored version; the others leave as
-    soon as a newer one is seen, so no more than one event is held. A deleted order is
-    kept apart from the live ones, so that its tombstone alone may expire.
+    Of the events of an order in a batch the newest meets the stored version; the others
+    leave as soon as a newer one is seen, so no more than one event of an order is held.
+    A deleted order whose tombstone is to expire is kept apart from the live ones.
     """
 
-    def __init__(self, tombstones: bool, tombstone_ttl_s: int | None):
+    def __init__(self, fields: list[str], tombstones: bool, tombstone_ttl_s: int | None):
+        self.fields = fields
+        self.names = [*fields, *(f.split()[0] for f in ADDED.split(", "))]
         self.tombstones = tombstones
         self.ttl_ms = None if tombstone_ttl_s is None else tombstone_ttl_s * 1000
 
     def init(self, handle) -> None:
-        self.live = handle.getValueState("live", KEPT)
-        if self.tombstones:
-            self.gone = handle.getValueState("gone", "lsn bigint", ttlDurationMs=self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
-        best = None
-        for row in rows:
-            if row.stage != C.FRESH:
-                yield labelled(row, row.stage)
-            elif best is None or newer(row, best):
-                if best is not None:
-                    yield labelled(best, C.SUPERSEDED)
-                best = row
-            else:
-                yield labelled(row, C.SUPERSEDED)
-        if best is not None:
-            yield self.decide(best)
-
-    def decide(self, row: Row) -> Row:
-        live, gone = self.live.get(), None
-        if live is None and self.tombstones:
-            gone = self.gone.get()
-        stored = live or gone
-        stored_lsn = None if stored is None else stored[0]
-        stored_op = live[1] if live else C.DELETE if gone else None
-        if stored_lsn is not None and row.lsn <= stored_lsn:
+        self.live, self.gone = handle.getMapState("live", "order_id string", KEPT), None
+        if self.tombstones and self.ttl_ms is not None:
+            self.gone = handle.getMapState("gone", "order_id string", "lsn bigint", ttlDurationMs=self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timer_values) -> Iterator:
+        import pandas as pd
+
+        at = {name: k for k, name in enumerate((*self.fields, "sum"))}
+        stage, order_id, arrival = at["stage"], at["order_id"], [at[c] for c in ("arrived_at", *POSITION)]
+        best: dict[str, tuple] = {}
+        for frame in rows:
+            out = []
+            for row in frame[[*self.fields, "sum"]].itertuples(index=False, name=None):
+                if row[stage] != C.FRESH:
+                    out.append(labelled(row, row[stage]))
+                    continue
+                # Of equal versions the first to arrive stays.
+                rank = (-int(row[at["lsn"]]), *(_number(row[k]) for k in arrival))
+                before = best.get(row[order_id])
+                if before is None or rank < before[0]:
+                    best[row[order_id]] = (rank, row)
+                    row = None if before is None else before[1]
+                if row is not None:
+                    out.append(labelled(row, C.SUPERSEDED))
+            if out:
+                yield pd.DataFrame(out, columns=self.names, dtype=object)
+        if best:
+            out = [self.decide(row, at) for _, row in best.values()]
+            yield pd.DataFrame(out, columns=self.names, dtype=object)
+
+    def stored(self, order: tuple) -> tuple | None:
+        found = self.live.getValue(order)
+        if found is None and self.gone is not None:
+            gone = self.gone.getValue(order)
+            found = None if gone is None else (gone[0], C.DELETE, *NOTHING)
+        return found
+
+    def decide(self, row: tuple, at: dict[str, int]) -> tuple:
+        order, lsn, op = (row[at["order_id"]],), int(row[at["lsn"]]), row[at["op"]]
+        stored = self.stored(order)
+        stored_lsn, stored_op, *old = stored or (None, None, *NOTHING)
+        if stored is not None and lsn <= stored_lsn:
             return labelled(row, C.STALE, stored_op)
-        old = tuple(live[2:]) if live else None
-        if row.op == C.DELETE:
-            if live:
-                self.live.clear()
-            if self.tombstones:
-                self.gone.update((row.lsn,))
+        living = stored is not None and stored_op != C.DELETE
+        if op == C.DELETE:
+            if self.tombstones and self.gone is None:
+                self.live.updateValue(order, (lsn, op, *NOTHING))
+            else:
+                if living:
+                    self.live.removeKey(order)
+                if self.tombstones:
+                    self.gone.updateValue(order, (lsn,))
             return labelled(row, C.REMOVE, stored_op, old)
-        if gone:
-            self.gone.clear()
-        self.live.update((row.lsn, row.op, row.sum, row.event_time, row.segment, row.city))
+        if self.gone is not None and stored is not None and not living:
+            self.gone.removeKey(order)
+        amount, moment = row[at["sum"]], row[at["event_time"]]
+        self.live.updateValue(order, (
+            lsn, op, None if amount is None else float(amount), None if moment is None else int(moment),
+            row[at["segment"]], row[at["city"]]))
         return labelled(row, C.UPSERT, stored_op, old)
 
     def close(self) -> None:
         pass
 
 
-def newer(row: Row, than: Row) -> bool:
-    """Of equal versions the first to arrive stays."""
-    if row.lsn != than.lsn:
-        return row.lsn > than.lsn
-    return (row.arrived_at, *(row[c] for c in POSITION)) < (than.arrived_at, *(than[c] for c in POSITION))
+def _number(text: str | None) -> int:
+    """A number sent as text; one that is missing comes first."""
+    return -1 << 63 if text is None else int(text)
+
+
+def labelled(row: tuple, outcome: str, stored_op: str | None = None, old: tuple = NOTHING) -> tuple:
+    """A row of the result, without the last field of the input."""
+    amount, moment, *place = old
+    return (*row[:-1], outcome, stored_op, amount, None if moment is None else str(moment), *place)
+
+
+def _as_text(field: T.StructField) -> Column:
+    """A value as text from which the same value can be read."""
+    exact = F.unix_micros(field.name) if isinstance(field.dataType, T.TimestampType) else F.col(field.name)
+    return exact.cast("string").alias(field.name)
 
 
-def labelled(row: Row, outcome: str, stored_op: str | None = None, old: tuple | None = None) -> Row:
-    values = row.asDict()
-    del values["route"], values["sum"]
-    values |= {f"old_{c}": v for c, v in zip(TAKEN_BACK, old or (None,) * len(TAKEN_BACK))}
-    return Row(**values, outcome=outcome, stored_op=stored_op)
+def _from_text(field: T.StructField) -> Column:
+    text = F.col(field.name)
+    if isinstance(field.dataType, T.TimestampType):
+        return F.timestamp_micros(text.cast("bigint")).alias(field.name)
+    return text.cast(field.dataType).alias(field.name)
 
 
 def label_stream(messages: DataFrame, dimension: DataFrame, dimension_bytes: int | None,
@@ -114,25 +147,32 @@ def label_stream(messages: DataFrame, dimension: DataFrame, dimension_bytes: int
 
     Attributes are joined first, as the state keeps those an order was last counted
     under. The dimension is that of the query's start: ``jobs`` starts the query anew
-    from its checkpoint when another one is published.
+    from its checkpoint when another one is published. Messages without a customer have
+    keys of their own there, which match nothing and are evenly spread.
     """
     judged = events.raw_of_rejects(events.judge(events.parse(messages), cfg))
     small = dimension_bytes is not None and dimension_bytes <= cfg.broadcast_limit_bytes
-    right = enrich.enrichment_columns(dimension).withColumnRenamed("customer_id", "_id")
+    right = enrich.enrichment_columns(dimension).withColumn("customer_id", F.col("customer_id").cast("string"))
+    right = right.withColumnRenamed("customer_id", "_id")
     fresh = F.col("stage") == C.FRESH
-    key = F.when(fresh, F.expr(f"try_cast(customer_id AS {cfg.customer_id_type})"))
+    known = F.when(fresh, F.expr(f"try_cast(customer_id AS {cfg.customer_id_type})")).cast("string")
+    key = F.coalesce(known, F.concat_ws("-", F.lit("#"), *POSITION))
     joined = judged.withColumn("_key", key).join(
         F.broadcast(right) if small else right, F.col("_key") == F.col("_id"), "left").drop("_key", "_id")
-    passing = F.concat(F.lit("-"), F.pmod(F.xxhash64(*POSITION), F.lit(PASSING)))
-    routed = joined.withColumns({
-        "route": F.when(fresh, F.concat(F.lit("+"), F.col("order_id"))).otherwise(passing),
-        "sum": F.when(fresh, F.expr("try_cast(amount AS DOUBLE)")),
-        "applied_at": F.current_timestamp(),  # the same for a whole batch
-    })
-    fields = [f for f in routed.schema if f.name not in ("route", "sum")]
-    return routed.groupBy("route").transformWithState(
-        Versions(cfg.tombstones, cfg.tombstone_ttl_s), T.StructType(fields + _added()),
-        outputMode="Append", timeMode="ProcessingTime" if expires(cfg) else "None")
+    fields = list(joined.schema)
+    group = F.when(fresh, F.xxhash64("order_id")).otherwise(F.xxhash64(*POSITION))
+    routed = joined.select(
+        F.pmod(group, F.lit(GROUPS)).cast("int").alias("route"), *[_as_text(f) for f in fields],
+        F.when(fresh, F.expr("try_cast(amount AS DOUBLE)")).cast("string").alias("sum"))
+    names = [f.name for f in fields]
+    found = routed.groupBy("route").transformWithStateInPandas(
+        Versions(names, cfg.tombstones, cfg.tombstone_ttl_s),
+        ", ".join([*(f"`{n}` string" for n in names), ADDED]), outputMode="Append", timeMode="ProcessingTime" if expires(cfg) else "None")
+    return found.select(
+        *[_from_text(f) for f in fields],
+        F.current_timestamp().alias("applied_at"),  # the same for a whole batch
+        "outcome", "stored_op", "old_amount", _from_text(T.StructField("old_event_time", T.TimestampType())),
+        "old_segment", "old_city")
 
 
 def expires(cfg: C.PipelineConfig) -> bool:
