@@ -112,6 +112,21 @@ def test_hidden_markov_learns_from_all_texts_in_every_round(spark):
     assert math.isclose(sum(v for k, v in found[0].items() if k != "place"), 2)
 
 
+def test_hidden_markov_works_texts_of_like_length_together(monkeypatch):
+    """Every text is in one group; no group but that of one text is beyond its limit."""
+    monkeypatch.setattr(hmm, "CACHED", 50)
+    monkeypatch.setattr(hmm, "SIDE_BY_SIDE", 3)
+    draw = np.random.default_rng(8)
+    texts = [np.full(n, k) for k, n in enumerate([*draw.integers(1, 60, 80), 9000])]
+    groups = list(hmm._alike(texts))
+    assert sorted(t[0] for g in groups for t in g) == list(range(81))
+    assert all(len(g) == 1 or sum(map(len, g)) <= max(50, 3 * len(g[-1])) for g in groups)
+    model = hmm.Model(draw.dirichlet(np.ones(3)), draw.dirichlet(np.ones(3), 3), draw.dirichlet(np.ones(81), 3).T)
+    apart = [hmm.expected_uses(model, g) for g in groups]
+    for one, *parts in zip(hmm.expected_uses(model, texts), *apart):
+        assert np.allclose(one, sum(parts))
+
+
 def test_hidden_markov_scores_a_text_of_a_million_words():
     draw = np.random.default_rng(5)
     model = hmm.Model(draw.dirichlet(np.ones(8)), draw.dirichlet(np.ones(8), 8), draw.dirichlet(np.ones(50), 8).T)

@@ -54,9 +54,11 @@ PRIOR = 100.0
 STAY = 0.95
 #: Longer texts are worked in blocks of so many tokens, which are joined exactly.
 BLOCK = 2048
-TOGETHER, SCORED_TOGETHER = 500_000, 4_000_000
+TOGETHER, SCORED_TOGETHER = 2_000_000, 4_000_000
+#: Tokens worked at once, and columns there should be at least.
+CACHED, SIDE_BY_SIDE = 160_000, 300
 #: Moves that are added up at once, and blocks whose matrices are made at once.
-CHUNK, ASIDE = 100_000, 4096
+CHUNK, ASIDE = 8192, 4096
 #: Steps between two rescalings: scaled emissions shrink weights by a small factor a step.
 RESCALED = 16
 LONGEST_WORD = 64
@@ -321,8 +323,6 @@ def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray
         np.matmul(now, back, out=follows[:n])
         if t % RESCALED == 0:
             follows[:n] /= follows[:n].sum(axis=1)[:, None]
-    shares = np.divide(forward * ahead, emitted, out=emitted)
-    shares /= shares.sum(axis=1)[:, None]
     # The token before each: in the same column, or at the end of the block before.
     entered = np.flatnonzero(np.array(inner)[order])
     source = order[entered] - 1
@@ -336,13 +336,32 @@ def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray
         left, right = forward[previous[k:k + CHUNK]], ahead[current[k:k + CHUNK]]
         left /= np.einsum("ij,ij->i", left @ model.moves, right)[:, None]
         moves += left.T @ right
+    shares = np.empty((states, len(flat)))
+    ones = np.ones(states)
+    for k in range(0, len(flat), CHUNK):
+        share = forward[k:k + CHUNK] * ahead[k:k + CHUNK]
+        share /= emitted[k:k + CHUNK]
+        share /= (share @ ones)[:, None]
+        shares[:, k:k + CHUNK] = share.T
     starts = np.ones(begins[1], bool)
     starts[entered] = False
-    emits = np.zeros_like(model.emits)
-    by_class = np.argsort(flat.astype(np.uint16), kind="stable")
-    edges = np.flatnonzero(np.concatenate([[True], np.diff(flat[by_class]) != 0]))
-    emits[flat[by_class[edges]]] = np.add.reduceat(shares[by_class], edges, axis=0)
-    return shares[:begins[1]][starts].sum(axis=0), moves * model.moves, emits
+    emits = np.stack([np.bincount(flat, share, len(model.emits)) for share in shares], axis=1)
+    return shares[:, :begins[1]][:, starts].sum(axis=1), moves * model.moves, emits
+
+
+def _alike(sequences: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Sequences of like length together: as many as fit a processor's cache, or more where
+    that would leave few side by side."""
+    group: list[np.ndarray] = []
+    size = 0
+    for sequence in sorted(sequences, key=len):
+        if size + len(sequence) > max(CACHED, SIDE_BY_SIDE * min(len(sequence), BLOCK)) and group:
+            yield group
+            group, size = [], 0
+        group.append(sequence)
+        size += len(sequence)
+    if group:
+        yield group
 
 
 def _uses(shared, states: int):
@@ -356,8 +375,9 @@ def _uses(shared, states: int):
 
         def add():
             nonlocal total, size
-            found = expected_uses(model, waiting)
-            total = found if total is None else tuple(a + b for a, b in zip(total, found))
+            for group in _alike(waiting):
+                found = expected_uses(model, group)
+                total = found if total is None else tuple(a + b for a, b in zip(total, found))
             waiting.clear()
             size = 0
 
