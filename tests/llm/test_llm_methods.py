@@ -127,6 +127,66 @@ def test_hidden_markov_works_texts_of_like_length_together(monkeypatch):
         assert np.allclose(one, sum(parts))
 
 
+def test_hidden_markov_leaves_long_texts_uncut_beside_others_as_long(monkeypatch):
+    """No matrices are made of texts with enough others as long beside them; the sums stay."""
+    draw = np.random.default_rng(9)
+    model = hmm.Model(draw.dirichlet(np.ones(3)), draw.dirichlet(np.ones(3), 3), draw.dirichlet(np.ones(40), 3).T)
+    texts = [draw.integers(0, 40, hmm.BLOCK + 9 * k) for k in range(1, 21)]
+    made, maps = [], hmm._maps
+    monkeypatch.setattr(hmm, "_maps", lambda m, blocks: made.extend(blocks) or maps(m, blocks))
+    few = texts[:hmm.UNCUT]
+    alike = [few[0]] * hmm.UNCUT
+    uncut = hmm.expected_uses(model, alike), hmm.log_likelihoods(model, alike)
+    assert not made
+    apart = [(hmm.expected_uses(model, [t]), hmm.log_likelihoods(model, [t])) for t in texts]
+    assert len(made) == 2 * 2 * len(texts)
+    for one, part in zip(uncut[0], apart[0][0]):
+        assert np.allclose(one, hmm.UNCUT * part)
+    assert np.allclose(uncut[1], apart[0][1], rtol=1e-12)
+    for one, *parts in zip(hmm.expected_uses(model, texts), *(a for a, _ in apart)):
+        assert np.allclose(one, sum(parts))
+    assert np.allclose(hmm.log_likelihoods(model, texts), np.concatenate([s for _, s in apart]), rtol=1e-12)
+
+
+def test_hidden_markov_counts_and_codes_each_word_once():
+    """Words as the pattern finds them, in texts with odd white space; looked up once a batch."""
+    import pyarrow as pa
+
+    long = "L" * 70
+    texts = [" A b\x0ba \t", None, "", "\u00c9 x\u00a0y\x1cz\x85 b\n", "  ", f"{long} {long.lower()} q q", "b\x0c" * 9]
+    want = [[*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), ""] for t in texts]
+    want = [[w.encode() for w in ws] for ws in want]
+    column = pa.array(texts)
+    counted = Counter()
+    for batch in hmm._count(pa.RecordBatch.from_arrays([column.slice(k, 3)], ["text"]) for k in (0, 3, 6)):
+        assert len(set(batch.column(0).to_pylist())) == len(batch)
+        counted.update(dict(zip(*(c.to_pylist() for c in batch.columns))))
+    assert counted == Counter(hmm.key_of(w) for ws in want for w in ws)
+
+    class Seen(hmm.Vocabulary):
+        asked: list = []
+
+        def numbers(self, keys):
+            self.asked.append(keys.to_pylist())
+            return super().numbers(keys)
+
+    vocabulary = Seen([(b"", 7), (b"a", 2), (b"b", 11)], own_from=3)
+    assert vocabulary.numbers(hmm._keys(pa.array([b"b", b"zz", b"#" * 65]))).tolist() == list(
+        map(vocabulary.number, (b"b", b"zz", b"#" * 65)))
+    vocabulary.asked.clear()
+    n = len(texts)
+    given = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(n)), pa.array([False] * n), column], ["r", "d", "h", "t"])
+    [coded] = hmm._encode(type("Shared", (), {"value": vocabulary}))([given])
+    assert [sorted(set(a)) for a in vocabulary.asked] == [sorted(a) for a in vocabulary.asked] and len(vocabulary.asked) == 1
+    for row, words in zip(coded.to_pylist(), want):
+        numbers = [vocabulary.number(w) for w in words]
+        assert row["n_tokens"] == len(words) and row["known_here"] == sum(k < 3 for k in numbers)
+        assert np.frombuffer(row["codes"], "<u2").tolist() == vocabulary.classes[numbers].tolist()
+        assert math.isclose(row["logs_here"], vocabulary.logs[numbers].sum())
+        assert {r["word"]: r["n"] for r in row["rare"]} == Counter(
+            hmm.key_of(w) for w, k in zip(words, numbers) if k >= 3)
+
+
 def test_hidden_markov_scores_a_text_of_a_million_words():
     draw = np.random.default_rng(5)
     model = hmm.Model(draw.dirichlet(np.ones(8)), draw.dirichlet(np.ones(8), 8), draw.dirichlet(np.ones(50), 8).T)

@@ -27,16 +27,16 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, WordCache, arrow_schema, batches, id_crc, with_workers
+from tidemark.llm.common import Scratch, arrow_schema, batches, id_crc, with_workers
 
 FOLDS, HELD_OUT = 7, 2
 STATES = 8
@@ -54,22 +54,33 @@ PRIOR = 100.0
 STAY = 0.95
 #: Longer texts are worked in blocks of so many tokens, which are joined exactly.
 BLOCK = 2048
-TOGETHER, SCORED_TOGETHER = 2_000_000, 4_000_000
+TOGETHER, SCORED_TOGETHER = 4_000_000, 4_000_000
+#: Texts side by side that need not be cut in blocks.
+UNCUT = 16
 #: Tokens worked at once, and columns there should be at least.
 CACHED, SIDE_BY_SIDE = 160_000, 300
-#: Moves that are added up at once, and blocks whose matrices are made at once.
+#: Tokens whose shares are turned at once, and blocks whose matrices are made at once.
 CHUNK, ASIDE = 8192, 4096
 #: Steps between two rescalings: scaled emissions shrink weights by a small factor a step.
 RESCALED = 16
+#: Divisors are never less.
+LEAST = 1e-200
 LONGEST_WORD = 64
+#: Bytes of texts that are counted at once.
+COUNTED = 32 << 20
 END = b""
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    """Words of a text in lower case (A-Z) and its end."""
-    words = (text or "").encode("utf-8").lower().split()
-    words.append(END)
-    return words
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words of all texts in lower case (A-Z): each word once, its number for every token, and
+    where each text's tokens begin and the last one's end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    offsets, words = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
+    # White space at the ends of a text leaves an empty word there.
+    empty = np.flatnonzero(pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False))
+    coded = words.dictionary_encode()
+    return (coded.dictionary, np.delete(coded.indices.to_numpy(), empty),
+            offsets - np.searchsorted(empty, offsets))
 
 
 def key_of(word: bytes) -> bytes:
@@ -81,23 +92,35 @@ def ending_class(key: bytes) -> int:
     return zlib.crc32(key[-ENDING_BYTES:]) % ENDINGS
 
 
+def _keys(words: pa.Array) -> pa.Array:
+    keys = words.cast(pa.binary())
+    long = pc.greater(pc.binary_length(keys), LONGEST_WORD)
+    if pc.any(long).as_py():
+        keys = pc.replace_with_mask(
+            keys, long, pa.array(map(key_of, keys.filter(long).to_pylist()), pa.binary()))
+    return keys
+
+
 def _count(rows):
     """Counts of words, added up within a partition as far as memory should go."""
-    schema, counts = arrow_schema("word binary, c bigint"), Counter()
+    schema = arrow_schema("word binary, c bigint")
+    held: list[pa.Array] = []
 
     def given():
-        merged: Counter = Counter()
-        for word, c in counts.items():
-            merged[key_of(word)] += c
-        counts.clear()
-        return batches(merged.items(), schema, 50_000)
+        words, places, _ = words_of(pa.concat_arrays(held))
+        c = np.bincount(places, minlength=len(words))
+        found = pa.RecordBatch.from_arrays([_keys(words), pa.array(c, pa.int64())], schema=schema)
+        found = found.filter(pa.array(c > 0))
+        yield from (found.slice(k, 50_000) for k in range(0, len(found), 50_000))
+        yield from batches([(END, sum(map(len, held)))], schema)
+        held.clear()
 
     for batch in rows:
-        for text in batch.column(0):
-            counts.update(tokens_of(text.as_py()))
-            if len(counts) > 500_000:
-                yield from given()
-    yield from given()
+        if held and batch.nbytes + sum(texts.nbytes for texts in held) > COUNTED:
+            yield from given()
+        held.append(batch.column(0))
+    if held:
+        yield from given()
 
 
 class Vocabulary:
@@ -118,43 +141,54 @@ class Vocabulary:
         at = self.place.get(key)
         return self.size + ending_class(key) if at is None else at
 
+    def numbers(self, keys: pa.Array) -> np.ndarray:
+        """The same for many keys."""
+        words = keys.to_numpy(zero_copy_only=False)
+        at = np.fromiter(map(self.place.get, words.tolist(), repeat(-1)), np.int64, len(words))
+        rare = np.flatnonzero(at < 0)
+        at[rare] = self.size + np.fromiter(map(ending_class, words[rare].tolist()), np.int64, len(rare))
+        return at
 
-CODED = ("row_no bigint, doc_id bigint, held_out boolean, n_tokens bigint, known_here bigint, "
-         "logs_here double, codes binary, rare binary")
 
+CODED = ("row_no bigint, doc_id bigint, held_out boolean, n_tokens bigint, known_here bigint, "
+         "logs_here double, codes binary, rare array<struct<word:binary,n:bigint>>")
 
-def _encode(shared):
-    def run(rows):
-        schema, vocabulary = arrow_schema(CODED), shared.value
-        numbers = WordCache(vocabulary.number)
-
-        def out():
-            nonlocal numbers
-            for batch in rows:
-                for row_no, doc_id, held_out, text in zip(
-                        *(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
-                    numbers = numbers.renewed()
-                    tokens = tokens_of(text.as_py())
-                    at = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-                    rare = at >= vocabulary.size
-                    yield (row_no, doc_id, held_out, len(tokens), int((~rare).sum()),
-                           float(vocabulary.logs[at].sum()), vocabulary.classes[at].tobytes(),
-                           b" ".join(map(key_of, compress(tokens, rare.tolist()))))
-
-        yield from batches(out(), schema, 500)
 
-    return run
+def _lists(ends: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], ends]), pa.int32())
 
 
-def _rare_words(rows):
-    """(row_no, word, times) of the rare words of each text."""
-    def out():
+def _encode(shared):
+    """Classes of the tokens of each text, and its rare words with their times."""
+    def run(rows):
+        vocabulary = shared.value
+        end = vocabulary.number(END)
         for batch in rows:
-            for row_no, rare in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for word, n in Counter(rare.as_py().split()).items():
-                    yield row_no, word, n
+            if not len(batch):
+                continue
+            words, places, begins = words_of(batch.column(3))
+            keys = _keys(words)
+            number = vocabulary.numbers(keys)
+            at = np.insert(number[places], begins[1:], end)
+            begins_at = begins[:-1] + np.arange(len(batch))
+            # Each rare word of a text once: texts and words as one number.
+            texts = np.repeat(np.arange(len(batch)), np.diff(begins))
+            rare = np.flatnonzero(number[places] >= vocabulary.size)
+            pairs, times = np.unique(texts[rare] * len(keys) + places[rare], return_counts=True)
+            text_of, word_of = np.divmod(pairs, max(1, len(keys)))
+            rare_words = pa.ListArray.from_arrays(
+                _lists(np.searchsorted(text_of, np.arange(len(batch)), side="right")),
+                pa.StructArray.from_arrays([keys.take(pa.array(word_of)), pa.array(times, pa.int64())], ["word", "n"]))
+            sizes = np.diff(begins) + 1
+            codes = pa.Array.from_buffers(pa.binary(), len(batch), [
+                None, _lists(2 * np.cumsum(sizes)).buffers()[1], pa.py_buffer(vocabulary.classes[at])])
+            yield pa.RecordBatch.from_arrays([
+                *batch.columns[:3], pa.array(sizes, pa.int64()),
+                pa.array(np.add.reduceat(at < vocabulary.size, begins_at, dtype=np.int64)),
+                pa.array(np.add.reduceat(vocabulary.logs[at], begins_at)), codes, rare_words],
+                [c.split()[0] for c in CODED.split(", ")])
 
-    yield from batches(out(), arrow_schema("row_no bigint, word binary, n bigint"), 20_000)
+    return run
 
 
 def _class_mass(shared):
@@ -162,8 +196,8 @@ def _class_mass(shared):
     def run(rows):
         vocabulary, mass = shared.value, np.zeros(CLASSES)
         for batch in rows:
-            for word, c in zip(*(x.to_pylist() for x in batch.columns)):
-                mass[vocabulary.classes[vocabulary.number(word)]] += c + 1
+            mass += np.bincount(vocabulary.classes[vocabulary.numbers(_keys(batch.column(0)))],
+                                batch.column(1).to_numpy() + 1, CLASSES)
         yield from batches(((int(k), float(mass[k])) for k in np.flatnonzero(mass)),
                            arrow_schema("class int, mass double"))
 
@@ -207,25 +241,33 @@ def _maps(model: Model, blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarra
     """
     states = len(model.start)
     order, flat, begins = _columns(blocks)
-    here, logs = np.tile(np.eye(states), (len(blocks), 1, 1)), np.zeros(len(blocks))
-    sums = np.maximum(model.emits.sum(axis=1), 1e-300)
+    at = begins.tolist()
+    here, logs = np.empty((states, len(blocks), states)), np.zeros(len(blocks))
+    here[:] = np.eye(states)[:, None, :]
+    weights = np.empty_like(here)
+    sums = np.maximum(model.emits.sum(axis=1), LEAST)
     scaled, log_sums = model.emits / sums[:, None], np.log(sums)
-    for t in range(len(begins) - 1):
-        n, codes = begins[t + 1] - begins[t], flat[begins[t]:begins[t + 1]]
-        now = here[:n]
-        now *= scaled[codes][:, None, :]
-        np.matmul(now.reshape(-1, states), model.moves, out=now.reshape(-1, states))
-        logs[:n] += log_sums[codes]
+    for t, (begin, end) in enumerate(zip(at, at[1:])):
+        now, codes = here[:, :end - begin], flat[begin:end]
+        np.matmul(np.multiply(now, scaled.take(codes, axis=0), out=weights[:, :end - begin]), model.moves, out=now)
+        logs[:end - begin] += log_sums[codes]
         if t % RESCALED == 0:
-            most = now.max(axis=(1, 2))
-            now /= most[:, None, None]
-            logs[:n] += np.log(most)
+            most = now.max(axis=(0, 2))
+            now /= most[:, None]
+            logs[:end - begin] += np.log(most)
     back = np.argsort(order)
-    return here[back], logs[back]
+    return here.transpose(1, 0, 2)[back], logs[back]
+
 
+def _block(sequences: list[np.ndarray]) -> int:
+    """Length of blocks: a text need not be cut where enough others are as long, since the
+    matrices of its blocks cost more than a step of few columns."""
+    lengths = sorted(map(len, sequences), reverse=True)
+    return max(BLOCK, lengths[UNCUT - 1]) if len(lengths) >= UNCUT else BLOCK
 
-def _blocks(sequence: np.ndarray) -> list[np.ndarray]:
-    return [sequence[k:k + BLOCK] for k in range(0, len(sequence), BLOCK)]
+
+def _blocks(sequence: np.ndarray, size: int) -> list[np.ndarray]:
+    return [sequence[k:k + size] for k in range(0, len(sequence), size)]
 
 
 def _maps_of(model: Model, texts: list[list[np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -241,21 +283,30 @@ def _maps_of(model: Model, texts: list[list[np.ndarray]]) -> Iterator[tuple[np.n
 
 def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """Natural logarithm of each sequence's probability, by the scaled forward recursion."""
-    total = np.zeros(len(sequences))
-    short = [k for k, s in enumerate(sequences) if len(s) <= BLOCK]
+    total, block = np.zeros(len(sequences)), _block(sequences)
+    short = [k for k, s in enumerate(sequences) if len(s) <= block]
     if short:
         order, flat, begins = _columns([sequences[k] for k in short])
-        sums, state = np.zeros(len(short)), None
-        for t in range(len(begins) - 1):
-            n = begins[t + 1] - begins[t]
-            emitted = model.emits[flat[begins[t]:begins[t + 1]]]
-            state = emitted * (model.start if state is None else state[:n] @ model.moves)
-            scale = state.sum(axis=1)
-            state /= scale[:, None]
-            sums[:n] += np.log(scale)
+        at, moves = begins.tolist(), np.maximum(model.moves, LEAST)
+        totals = np.maximum(model.emits.sum(axis=1), LEAST)
+        emitted, logs = (model.emits / totals[:, None]).take(flat, axis=0), np.log(totals)[flat]
+        sums, ones = np.zeros(len(short)), np.ones(len(model.start))
+        state = np.tile(np.maximum(model.start, LEAST), (len(short), 1))
+        for t, (begin, end) in enumerate(zip(at, at[1:])):
+            n = end - begin
+            here = emitted[begin:end]
+            here *= state[:n]
+            sums[:n] += logs[begin:end]
+            # The sums of texts that end here are taken now, those of others where they are scaled.
+            ending = n if t % RESCALED == 0 else n - at[t + 2] + end if t + 2 < len(at) else n
+            scale = here[n - ending:] @ ones
+            sums[n - ending:n] += np.log(scale)
+            if t % RESCALED == 0:
+                here /= scale[:, None]
+            np.matmul(here, moves, out=state[:n])
         total[np.array(short)[order]] = sums
     long = sorted(set(range(len(sequences))) - set(short))
-    for k, (matrices, logs) in zip(long, _maps_of(model, [_blocks(sequences[k]) for k in long])):
+    for k, (matrices, logs) in zip(long, _maps_of(model, [_blocks(sequences[k], block) for k in long])):
         state = model.start
         for matrix, log in zip(matrices, logs):
             state = state @ matrix
@@ -275,7 +326,8 @@ def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray
     before: list[np.ndarray] = []  # states before the first token, from the text's begin
     after: list[np.ndarray] = []  # what follows the last token, for each state
     inner: list[bool] = []  # whether a block of the same text comes before
-    texts = list(map(_blocks, sequences))
+    block = _block(sequences)
+    texts = [_blocks(s, block) for s in sequences]
     maps_of = _maps_of(model, [blocks for blocks in texts if len(blocks) > 1])
     for blocks in texts:
         parts += blocks
@@ -299,54 +351,49 @@ def expected_uses(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray
         after += ends[::-1]
 
     order, flat, begins = _columns(parts)
-    sizes, place = np.diff(begins, append=begins[-1]), np.argsort(order)
+    at, ranks = begins.tolist(), np.arange(len(parts))
+    moves = np.maximum(model.moves, LEAST)
     # Shares do not depend on the scale of a token's emissions, nor of a state's weights.
-    emitted = (model.emits / np.maximum(model.emits.sum(axis=1), 1e-300)[:, None])[flat]
-    forward, ahead = np.empty_like(emitted), np.empty_like(emitted)
-    state = np.array(before)[order]
-    moved = np.empty_like(state)
-    for t in range(len(sizes) - 1):
-        here, n = slice(begins[t], begins[t + 1]), sizes[t]
+    forward = (model.emits / np.maximum(model.emits.sum(axis=1), LEAST)[:, None]).take(flat, axis=0)
+    # Weights of the states before each token's emission; later its shares divided by these.
+    entering = np.empty_like(forward)
+    entering[:len(parts)] = np.maximum(np.array(before)[order], LEAST)
+    ones = np.ones(states)
+    for t, (begin, end) in enumerate(zip(at, at[1:])):
+        here, weights = forward[begin:end], entering[begin:end]
         if t:
-            state = np.matmul(state[:n], model.moves, out=moved[:n])
-        state = np.multiply(emitted[here], state, out=forward[here])
+            np.matmul(forward[at[t - 1]:at[t - 1] + end - begin], moves, out=weights)
+        here *= weights
         if t % RESCALED == 0:
-            state /= state.sum(axis=1)[:, None]
-    # For each state the weight of what follows; a block's last token takes it from its end.
-    ends = np.array(after)[order]
-    follows = np.empty_like(ends)
-    back = np.ascontiguousarray(model.moves.T)
-    for t in range(len(sizes) - 2, -1, -1):
-        here, n = slice(begins[t], begins[t + 1]), sizes[t]
-        follows[sizes[t + 1]:n] = ends[sizes[t + 1]:n]
-        now = np.multiply(emitted[here], follows[:n], out=ahead[here])
-        np.matmul(now, back, out=follows[:n])
-        if t % RESCALED == 0:
-            follows[:n] /= follows[:n].sum(axis=1)[:, None]
-    # The token before each: in the same column, or at the end of the block before.
+            here /= (here @ ones)[:, None]
+    # A token's shares come from those of the next, by the moves that lead there; the last
+    # token's from what follows the block.
+    shares = np.empty_like(forward)
+    ends = begins[np.array(list(map(len, parts)))[order] - 1] + ranks
+    last = forward[ends] * np.array(after)[order]
+    shares[ends] = last / (last @ ones)[:, None]
+    uses, moved = np.zeros((states, states)), np.empty((len(parts), states))
+    back = np.ascontiguousarray(moves.T)
+    for t in range(len(at) - 2, 0, -1):
+        begin, end = at[t], at[t + 1]
+        n, weights = end - begin, entering[begin:end]
+        left = forward[at[t - 1]:at[t - 1] + n]
+        np.divide(shares[begin:end], weights, out=weights)
+        uses += left.T @ weights
+        np.matmul(weights, back, out=moved[:n])
+        np.multiply(left, moved[:n], out=shares[at[t - 1]:at[t - 1] + n])
+    # Blocks that go on with a text are entered from the last token of the block before.
     entered = np.flatnonzero(np.array(inner)[order])
-    source = order[entered] - 1
-    lengths = np.array(list(map(len, parts)))
-    firsts = begins[lengths[source] - 1] + place[source]
-    previous = np.concatenate([firsts, *(np.arange(begins[t - 1], begins[t - 1] + sizes[t])
-                                         for t in range(1, len(sizes) - 1))])
-    current = np.concatenate([entered, np.arange(begins[1], len(flat))])
-    moves = np.zeros((states, states))
-    for k in range(0, len(current), CHUNK):
-        left, right = forward[previous[k:k + CHUNK]], ahead[current[k:k + CHUNK]]
-        left /= np.einsum("ij,ij->i", left @ model.moves, right)[:, None]
-        moves += left.T @ right
-    shares = np.empty((states, len(flat)))
-    ones = np.ones(states)
-    for k in range(0, len(flat), CHUNK):
-        share = forward[k:k + CHUNK] * ahead[k:k + CHUNK]
-        share /= emitted[k:k + CHUNK]
-        share /= (share @ ones)[:, None]
-        shares[:, k:k + CHUNK] = share.T
-    starts = np.ones(begins[1], bool)
+    place = np.argsort(order)
+    left = forward[ends[place[order[entered] - 1]]]
+    uses += left.T @ (shares[entered] / (left @ moves))
+    starts = np.ones(len(parts), bool)
     starts[entered] = False
-    emits = np.stack([np.bincount(flat, share, len(model.emits)) for share in shares], axis=1)
-    return shares[:, :begins[1]][:, starts].sum(axis=1), moves * model.moves, emits
+    by_state = entering.reshape(states, len(flat))  # in the place of what is no longer used
+    for k in range(0, len(flat), CHUNK):
+        by_state[:, k:k + CHUNK] = shares[k:k + CHUNK].T
+    emits = np.stack([np.bincount(flat, share, len(model.emits)) for share in by_state], axis=1)
+    return shares[:len(parts)][starts].sum(axis=0), uses * moves, emits
 
 
 def _alike(sequences: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
@@ -441,8 +488,10 @@ def _score(shared):
         size = 0
 
         def out():
-            found = log_likelihoods(model, waiting) / np.log(10)
-            for h, s, f in zip(held, waiting, found):
+            found = np.empty(len(waiting))
+            found[sorted(range(len(waiting)), key=lambda k: len(waiting[k]))] = np.concatenate(
+                [log_likelihoods(model, group) for group in _alike(waiting)])
+            for h, s, f in zip(held, waiting, found / np.log(10)):
                 yield (*h, float(f - log_mass[s].sum()))
             held.clear()
             waiting.clear()
@@ -490,8 +539,7 @@ def score(spark: SparkSession, docs: DataFrame, states: int = STATES) -> DataFra
         "row_no", "doc_id", "held_out", "n_tokens", "known_here", "logs_here", "codes").mapInArrow(
         _score(tables), SCORED)
     rare = (
-        coded.filter(F.length("rare") > 0).select("row_no", "rare")
-        .mapInArrow(_rare_words, "row_no bigint, word binary, n bigint")
+        coded.select("row_no", F.inline("rare"))
         .join(counts.filter(~frequent), "word")
         .groupBy("row_no").agg(F.sum("n").alias("known_rare"),
                                F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("logs_rare"))
